@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .byte_bpe import op10_byte_bpe
+from .decontamination import op3_decontamination
 from .simhash_dedup import op8_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
+from .token_counts import op6_token_counts
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_decontamination": op3_decontamination,
+    "op6_token_counts": op6_token_counts,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
