@@ -61,6 +61,22 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lens) - lens, lens
 
 
+def _odd(chars: set[str], pattern: str) -> set[str]:
+    """Characters that the library's pattern engine and this module's put in different classes (their Unicode versions may differ).
+
+    A vocabulary in which "a", "1" and "!" merge with each character shows the library's class.
+    """
+    tokens = {bytes([b]): None for b in range(256)}
+    for c in chars:
+        for mate in (b"a", b"1", b"!"):
+            whole = mate + c.encode()
+            tokens |= {whole[:n]: None for n in range(2, len(whole) + 1)}
+    tokens = sorted(tokens, key=len)
+    library = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks={t: k for k, t in enumerate(tokens)}, special_tokens={})
+    split = regex.compile(pattern).findall
+    return {c for c in chars if any((len(library.encode_ordinary(m + c)) == 1) != (len(split(m + c)) == 1) for m in "a1!")}
+
+
 def gather(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``data[start : start + len]`` of each pair in a row, and where each ends."""
     ends = np.cumsum(lens)
@@ -92,10 +108,16 @@ class _Numbers(dict):
 def _send(size: int, buckets: int, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, base = regex.compile(pattern).findall, TaskContext.get().partitionId() << 24
+        seen: set[str] = set()
+        odd: set[str] = set()
         for k, (ids, texts) in enumerate(doc_chunks(batches, size)):
             no, numbers, places = base + k, _Numbers(), []
+            texts = [(t or b"").decode() for t in texts]
+            new = set().union(*texts) - seen
+            seen |= new
+            odd |= _odd(new, pattern)
             for t in texts:
-                words = split(t.decode()) if t else []
+                words = split(t) if not odd or odd.isdisjoint(t) else [t]  # the library splits a text with an odd character
                 places.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             words = [w.encode() for w in numbers]
             bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int32, len(words))

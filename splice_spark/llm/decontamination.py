@@ -22,7 +22,7 @@ The input must give the same rows per partition when a task is run again.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_chunks, read_table, id_text
+from .common import cut, doc_chunks, id_text, read_table
 
 #: Lower-cases A-Z; other ASCII but digits and letters separates words; bytes from 0x80 belong to words.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -166,14 +166,14 @@ def _search(phrases: _Phrases):
     return run
 
 
-def _parts(benchmark: DataFrame, most_bytes: int) -> Iterator[list[tuple[int, bytes | None]]]:
-    """The benchmark in lists of about ``most_bytes`` of text at most."""
-    items = id_text(benchmark, "item_id").toDF("item_id", "text")
+def _parts(benchmark: DataFrame, most_bytes: int) -> Iterator[Callable[[], list]]:
+    """Readers of the benchmark's parts, each of about ``most_bytes`` of text at most."""
+    items = id_text(benchmark, "item_id").toDF("item_id", "text").dropDuplicates()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(1.25 * size / most_bytes)) if size > most_bytes else 1
+    n = math.ceil(1.25 * size / most_bytes) if size > most_bytes else 1
     for k in range(n):
-        some = items if n == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
-        yield [(r[0], None if r[1] is None else r[1].encode()) for r in some.dropDuplicates().collect()]
+        some = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        yield lambda some=some: ((r[0], None if r[1] is None else r[1].encode()) for r in some.collect())
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_bytes: int = 16 << 20) -> DataFrame:
@@ -181,14 +181,15 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_byt
 
     A phrase is ``window`` consecutive words of an item, or all of a shorter item.
     """
+    parts = list(_parts(benchmark, most_bytes))
     found = None
-    for part in _parts(benchmark, most_bytes):
-        phrases = _Phrases(part, window)
+    for part in parts:
+        phrases = _Phrases(list(part()), window)
         here = build_index(docs, list(phrases.terms)).mapInArrow(_search(phrases), HITS)
+        if len(parts) == 1:
+            return here.drop("shard", "ordinal")
+        here = cut(here)  # shards are numbered by partition, so each part runs on its own
         found = here if found is None else found.unionByName(here)
-        several = found is not here
-    if not several:
-        return found.drop("shard", "ordinal")
     spans = F.array_sort(F.flatten(F.collect_list("hits")))
     merged = F.aggregate(
         spans,
@@ -236,7 +237,7 @@ def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int =
     found = None
     for part in _parts(benchmark, most_bytes):
         terms: dict[bytes, int] = {}
-        phrases = [(i, [terms.setdefault(w, len(terms)) for w in words_of(t)]) for i, t in part]
+        phrases = [(i, [terms.setdefault(w, len(terms)) for w in words_of(t)]) for i, t in part()]
         here = build_index(docs, list(terms)).mapInArrow(_near(phrases, terms, need, slop), "doc_id long, item_id long, start long, end long")
         found = here if found is None else found.unionByName(here)
     return found
