@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from .byte_bpe import op10_byte_bpe
 from .decontamination import op3_decontamination
+from .quality_classifier import op7_quality_classifier
+from .repetition import op5_repetition_rules
 from .simhash_dedup import op8_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
 from .token_counts import op6_token_counts
+from .toxicity import op9_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_decontamination": op3_decontamination,
+    "op5_repetition_rules": op5_repetition_rules,
     "op6_token_counts": op6_token_counts,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
