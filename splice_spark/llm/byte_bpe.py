@@ -77,10 +77,15 @@ def _odd(chars: set[str], pattern: str) -> set[str]:
     return {c for c in chars if any((len(library.encode_ordinary(m + c)) == 1) != (len(split(m + c)) == 1) for m in "a1!")}
 
 
-def gather(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``data[start : start + len]`` of each pair in a row, and where each ends."""
+def gather(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, step: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """``data[start : start + len]`` of each pair in a row, and where each ends; index arrays are made for ``step`` pairs at a time."""
     ends = np.cumsum(lens)
-    return data[np.repeat(starts - ends + lens, lens) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
+    out = np.empty(int(ends[-1]) if len(ends) else 0, data.dtype)
+    for k in range(0, len(lens), step):
+        n, e = lens[k : k + step], ends[k : k + step]
+        lo, hi = int(e[0] - n[0]), int(e[-1])
+        out[lo:hi] = data[np.repeat(starts[k : k + step] - e + n, n) + np.arange(lo, hi)]
+    return out, ends
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -89,7 +94,7 @@ def _planes(x: np.ndarray) -> bytes:
 
 
 def _unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(unsqueeze(data), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(unsqueeze(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _rows(rows: list) -> pa.RecordBatch:
@@ -141,7 +146,7 @@ def _encode_words(path: str, pattern: str):
             return pa.Table.from_batches([_rows([])])
         encode, known, rows = _encoding(path, pattern).encode_ordinary, {}, []
         for no, lens, data in zip(*(table.column(c).to_pylist() for c in ("block", "a", "b")), strict=True):
-            data, ends = unsqueeze(data), np.cumsum(lens := _unplanes(lens))
+            data, ends = unsqueeze(data), np.cumsum(lens := _unplanes(lens).astype(np.int64))
             out = []
             for s, e in zip((ends - lens).tolist(), ends.tolist(), strict=True):
                 if (ids := known.get(w := data[s:e])) is None:
@@ -163,10 +168,11 @@ def _reassemble(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
     places, bucket, head = (mine.column(c)[0].as_py() for c in "abc")
     places, bucket, head = _unplanes(places), _unplanes(bucket), np.frombuffer(unsqueeze(head), np.int64).reshape(-1, 3)
     got = sorted(zip(*(answers.column(c).to_pylist() for c in ("block", "a", "b")), strict=True), key=lambda x: x[0])
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.uint32)
     lens, ids = (np.concatenate([none, *(_unplanes(x[k]) for x in got)]) for k in (1, 2))
+    lens = lens.astype(np.int64)
     starts = np.cumsum(lens) - lens
-    at = np.empty(len(bucket), np.int64)  # of the block's word numbers among the answers
+    at = np.empty(len(bucket), np.int32)  # of the block's word numbers among the answers
     at[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
     at = at[places]
     ids, ends = gather(ids.astype(np.int32), starts[at], lens[at])
@@ -175,7 +181,7 @@ def _reassemble(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([keys, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))], schema=_IDS)
 
 
-def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, block_bytes: int = 32 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, block_bytes: int = 10 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """``doc_id, ids array<int>`` of each row, as the tiktoken library encodes the text without special tokens."""
     path, pattern = vocab_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     docs = id_text(docs)
@@ -190,13 +196,19 @@ def _decode(path: str):
         data, starts, lens = _token_bytes(path)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.concatenate(([0], np.cumsum(lens[ids])))
-            out, _ = gather(data, starts[ids], lens[ids])
             counts = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
-            offsets = ends[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
-            decoded = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, decoded], names=["doc_id", "ids", "decoded"])
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            stops = np.cumsum(counts)
+            lo = 0
+            while lo < len(counts):  # some million ids at a time
+                first = int(stops[lo] - counts[lo])
+                hi = max(lo + 1, int(np.searchsorted(stops, first + (1 << 20), "right")))
+                some = ids[first : int(stops[hi - 1])]
+                out, ends = gather(data, starts[some], lens[some])
+                offsets = np.concatenate(([0], ends))[np.concatenate(([0], stops[lo:hi] - first))].astype(np.int32)
+                decoded = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists.slice(lo, hi - lo), decoded], names=["doc_id", "ids", "decoded"])
+                lo = hi
 
     return run
 
