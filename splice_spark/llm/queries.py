@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .byte_bpe import op10_byte_bpe
 from .decontamination import op3_decontamination
+from .pii import op2_pii
 from .quality_classifier import op7_quality_classifier
 from .repetition import op5_repetition_rules
 from .simhash_dedup import op8_simhash_near_dedup
@@ -13,6 +14,7 @@ from .toxicity import op9_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
     "op5_repetition_rules": op5_repetition_rules,
     "op6_token_counts": op6_token_counts,
