@@ -29,6 +29,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A name that no caller's column has.
+ROW = "__row_number__"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, the same in every scan of the same files (not for inputs that come from a shuffle)."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (numbered) without the numbers in ``gone``, which is written first, so that its size decides on the join."""
+    return docs.join(cut(gone.select(ROW)), ROW, "left_anti").drop(ROW)
+
+
 def total_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts: one aggregate, from which blocks and buckets are sized."""
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)

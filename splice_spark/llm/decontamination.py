@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, doc_chunks, id_text, read_table
+from .common import ROW, cut, doc_chunks, id_text, numbered, read_table, without_rows
 
 #: Lower-cases A-Z; other ASCII but digits and letters separates words; bytes from 0x80 belong to words.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -253,6 +253,13 @@ def with_verdict(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", n_hit).withColumn("contaminated", contaminated(F.col("n_hit"), F.col("n_words")))
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that aren't contaminated."""
+    rows = numbered(docs)
+    found = with_verdict(find_items(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, window))
+    return without_rows(rows, found.filter("contaminated").withColumnRenamed("doc_id", ROW))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = with_verdict(find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
     items = F.array_sort(F.col("items").cast("array<string>"))

@@ -23,9 +23,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from .common import cut, id_text, read_table
 
@@ -197,16 +199,42 @@ def fit(patterns: list[tuple[int, str, int, int]], rounds: int = 50) -> SpanMode
     return SpanModel(reliability, weights)
 
 
-def find_personal(docs: DataFrame, sure: float = 0.9) -> DataFrame:
-    """``doc_id, spans array<struct<kind,start,end,base>>`` of each row, by kind, then start."""
-    found = cut(find_candidates(docs))
+def train(found: DataFrame, sure: float = 0.9) -> frozenset[str]:
+    """Kinds of candidates (kind, votes, shape) that the span classifier, trained on ``found``, is ``sure`` of."""
     counts = found.select(F.explode("found").alias("c")).groupBy("c.kind", "c.votes", "c.shape").agg(F.count("*").alias("n"))
     patterns = sorted((r["kind"], r["votes"], r["shape"], r["n"]) for r in counts.collect())  # bounded: see above
     model = fit(patterns)
-    yes = [f"{k}{v}{s}" for k, v, s, _ in patterns if model.probability(k, v, s) >= sure]
+    return frozenset(f"{k}{v}{s}" for k, v, s, _ in patterns if model.probability(k, v, s) >= sure)
+
+
+def find_personal(docs: DataFrame, sure: float = 0.9) -> DataFrame:
+    """``doc_id, spans array<struct<kind,start,end,base,votes,shape>>`` of each row, by kind, then start."""
+    found = cut(find_candidates(docs))
+    yes = F.array(*map(F.lit, sorted(train(found, sure)))).cast("array<string>")
     key = lambda c: F.concat(c["kind"].cast("string"), c["votes"], c["shape"].cast("string"))
-    added = lambda c: F.array_contains(F.array(*map(F.lit, yes)), key(c)) if yes else F.lit(False)
-    return found.select("doc_id", F.filter("found", lambda c: c["base"] | added(c)).alias("spans"))
+    return found.select("doc_id", F.filter("found", lambda c: c["base"] | F.array_contains(yes, key(c))).alias("spans"))
+
+
+def redact(docs: DataFrame, sure: float = 0.9, text_col: str = "text") -> DataFrame:
+    """``docs`` with each span in ``text_col`` replaced by its kind in brackets; overlapping spans by the first one's. Other columns stay."""
+    yes = train(cut(find_candidates(docs)), sure)
+
+    def cleaned(text: str | None) -> str | None:
+        if text is None:
+            return None
+        out, at = [], 0
+        spans = [c for c in candidates(text) if c["base"] or f"{c['kind']}{c['votes']}{c['shape']}" in yes]
+        for c in sorted(spans, key=lambda c: (c["start"], -c["end"])):
+            if c["start"] >= at:
+                out += [text[at : c["start"]], f"[{KINDS[c['kind']].upper()}]"]
+            at = max(at, c["end"])
+        return "".join([*out, text[at:]])
+
+    @pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([cleaned(t) for t in texts], dtype=object)
+
+    return docs.withColumn(text_col, clean(F.col(text_col)))
 
 
 def _shown(spans: F.Column) -> F.Column:

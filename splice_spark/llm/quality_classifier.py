@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -144,19 +145,36 @@ def held_out(key: str = "doc_id", parts: int = 3, part: int = 1) -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % parts == part, F.lit(True))
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of each row of ``docs``."""
-    stats = cut(measure(docs))
+def train(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Discriminant:
+    """A model from the ``doc_id, stats`` of labelled rows that aren't held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(~held_out())
-    model = fit(stats.join(known, "doc_id"))
+    return fit(stats.join(known, "doc_id"))
+
+
+def scorer(model: Discriminant, of_text: bool = False):
+    """A vectorised function of the ``stats`` column, or of a text column, to the score."""
 
     @pandas_udf("double")
-    def score(x):
-        return x.map(len).astype("float64") if not len(x) else type(x)(model.scores(np.stack(x.to_numpy())))
+    def score(x: pd.Series) -> pd.Series:
+        rows = [statistics(None if t is None else t.encode()) for t in x] if of_text else x.tolist()
+        return pd.Series(model.scores(np.array(rows, np.float64).reshape(-1, len(STATS))))
+
+    return score
 
+
+def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of each row of ``docs``."""
+    stats = cut(measure(docs))
+    score = scorer(train(stats, labels, label))
     out = stats.select("doc_id", held_out().alias("held_out"), score("stats").alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose score is 0.5 or more; texts are measured again where they are, not shuffled."""
+    score = scorer(train(cut(measure(docs)), labels, label), of_text=True)
+    return docs.filter(score(F.col(text_col)) >= 0.5)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, id_text, ids_and_bytes, read_table
+from .common import LOWER, ROW, cut, id_text, ids_and_bytes, numbered, read_table, without_rows
 from .graph import star_components
 
 _ROWS = 1 << 16
@@ -158,6 +158,16 @@ def near_duplicates(docs: DataFrame, most: int = 2, n: int = 3, seed: int = 42)
     return prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, most: int = 2) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that have the smallest doc_id of their component (the first row of those that share it)."""
+    rows = numbered(docs)
+    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), most).toDF(ROW, "fp", "component")
+    each = cut(found.join(rows.select(ROW, "doc_id"), ROW))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    first = each.groupBy("component").agg(F.min(place)[ROW].alias(ROW))
+    return without_rows(rows, each.join(first.select(ROW), ROW, "left_anti"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
