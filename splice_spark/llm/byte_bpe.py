@@ -158,57 +158,69 @@ def _encode_words(path: str, pattern: str):
     return run
 
 
-_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-
-
-def _reassemble(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
-    """Ids of a block's documents, by position."""
-    if key[0].as_py() < 0 or not mine.num_rows:
-        return _IDS.empty_table()
-    places, bucket, head = (mine.column(c)[0].as_py() for c in "abc")
-    places, bucket, head = _unplanes(places), _unplanes(bucket), np.frombuffer(unsqueeze(head), np.int64).reshape(-1, 3)
-    got = sorted(zip(*(answers.column(c).to_pylist() for c in ("block", "a", "b")), strict=True), key=lambda x: x[0])
-    none = np.zeros(0, np.uint32)
-    lens, ids = (np.concatenate([none, *(_unplanes(x[k]) for x in got)]) for k in (1, 2))
-    lens = lens.astype(np.int64)
-    starts = np.cumsum(lens) - lens
-    at = np.empty(len(bucket), np.int32)  # of the block's word numbers among the answers
-    at[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
-    at = at[places]
-    ids, ends = gather(ids.astype(np.int32), starts[at], lens[at])
-    offsets = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(head[:, 2])))]
-    keys = pa.array(head[:, 0], pa.int64(), mask=head[:, 1] > 0)
-    return pa.Table.from_arrays([keys, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))], schema=_IDS)
-
-
-def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, block_bytes: int = 10 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
-    """``doc_id, ids array<int>`` of each row, as the tiktoken library encodes the text without special tokens."""
+def _decoded(lists: pa.ListArray, path: str) -> Iterator[tuple[int, int, pa.Array]]:
+    """Bytes of rows lo to hi of ``lists``, some million ids at a time: each id is joined with its row of the token-byte table."""
+    data, starts, lens = _token_bytes(path)
+    counts = np.array([n or 0 for n in lists.value_lengths().to_pylist()], np.int64)
+    ids, stops, lo = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(counts), 0
+    while lo < len(counts):
+        first = int(stops[lo] - counts[lo])
+        hi = max(lo + 1, int(np.searchsorted(stops, first + (1 << 20), "right")))
+        some = ids[first : int(stops[hi - 1])]
+        out, ends = gather(data, starts[some], lens[some])
+        offsets = np.concatenate(([0], ends))[np.concatenate(([0], stops[lo:hi] - first))].astype(np.int32)
+        yield lo, hi, pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+        lo = hi
+
+
+_ROUND_TRIP = "doc_id long, ids array<int>, decoded binary"
+_NAMES = ["doc_id", "ids", "decoded"]
+
+
+def _reassemble(path: str, decoded: bool):
+    out = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())][: 2 + decoded])
+
+    def run(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
+        """Ids of a block's documents, by position; decoded too if asked for."""
+        if key[0].as_py() < 0 or not mine.num_rows:
+            return out.empty_table()
+        places, bucket, head = (mine.column(c)[0].as_py() for c in "abc")
+        places, bucket, head = _unplanes(places), _unplanes(bucket), np.frombuffer(unsqueeze(head), np.int64).reshape(-1, 3)
+        got = sorted(zip(*(answers.column(c).to_pylist() for c in ("block", "a", "b")), strict=True), key=lambda x: x[0])
+        none = np.zeros(0, np.uint32)
+        lens, ids = (np.concatenate([none, *(_unplanes(x[k]) for x in got)]) for k in (1, 2))
+        lens = lens.astype(np.int64)
+        starts = np.cumsum(lens) - lens
+        at = np.empty(len(bucket), np.int32)  # of the block's word numbers among the answers
+        at[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+        at = at[places]
+        ids, ends = gather(ids.astype(np.int32), starts[at], lens[at])
+        offsets = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(head[:, 2])))]
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+        keys = pa.array(head[:, 0], pa.int64(), mask=head[:, 1] > 0)
+        if not decoded:
+            return pa.Table.from_arrays([keys, lists], schema=out)
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays([keys[lo:hi], lists[lo:hi], data], schema=out) for lo, hi, data in _decoded(lists, path)], out)
+
+    return run
+
+
+def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, decoded: bool = False, block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+    """``doc_id, ids array<int>`` of each row, as the tiktoken library encodes the text without special tokens; ``decoded binary`` too if asked for."""
     path, pattern = vocab_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     docs = id_text(docs)
     n = total_bytes(docs)
     sent = docs.mapInArrow(_send(block_bytes, max(1, math.ceil(n / bucket_bytes)), pattern), PACKET).repartition(parts_for(docs.sparkSession, n), "part")
     answers = sent.groupBy("part").applyInArrow(_encode_words(path, pattern), PACKET)
-    return sent.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
+    return sent.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_reassemble(path, decoded), _ROUND_TRIP if decoded else "doc_id long, ids array<int>")
 
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, starts, lens = _token_bytes(path)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index("ids"))
-            counts = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            stops = np.cumsum(counts)
-            lo = 0
-            while lo < len(counts):  # some million ids at a time
-                first = int(stops[lo] - counts[lo])
-                hi = max(lo + 1, int(np.searchsorted(stops, first + (1 << 20), "right")))
-                some = ids[first : int(stops[hi - 1])]
-                out, ends = gather(data, starts[some], lens[some])
-                offsets = np.concatenate(([0], ends))[np.concatenate(([0], stops[lo:hi] - first))].astype(np.int32)
-                decoded = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists.slice(lo, hi - lo), decoded], names=["doc_id", "ids", "decoded"])
-                lo = hi
+            keys, lists = batch.columns
+            for lo, hi, data in _decoded(lists, path):
+                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), lists.slice(lo, hi - lo), data], names=_NAMES)
 
     return run
 
@@ -216,14 +228,18 @@ def _decode(path: str):
 def decode(ids: DataFrame, vocab_path: str | None = None) -> DataFrame:
     """``doc_id, ids, decoded binary`` of rows with ``doc_id, ids``; an id out of the table is an error, null ids decode to nothing."""
     path = vocab_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return ids.select("doc_id", "ids").mapInArrow(_decode(path), "doc_id long, ids array<int>, decoded binary")
+    return ids.select("doc_id", "ids").mapInArrow(_decode(path), _ROUND_TRIP)
 
 
-def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decode(encode(read_table(spark, sf_dir, "documents")))
-    return out.select(
+def round_trip(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each row."""
+    return encode(docs, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents"))
