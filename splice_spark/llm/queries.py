@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .byte_bpe import op10_byte_bpe
+from .chat_snapshots import OP4_SQL, op4_chat_snapshots
 from .decontamination import op3_decontamination
 from .pii import op2_pii
 from .quality_classifier import op7_quality_classifier
@@ -16,12 +19,14 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
+    "op4_chat_snapshots": op4_chat_snapshots,
     "op5_repetition_rules": op5_repetition_rules,
     "op6_token_counts": op6_token_counts,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_chat_snapshots": OP4_SQL}
