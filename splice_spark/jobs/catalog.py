@@ -1,4 +1,8 @@
 """Registered queries over the driver's tables and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from splice_spark.jobs import score_queries
+
+QUERIES = {**score_queries.QUERIES}
+ORACLE_SQL = {**score_queries.ORACLE_SQL}
