@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from splice_spark.functions.lineage import cut
 from splice_spark.functions.names import GENE, STRAND, name_part
 
 SIDES = ("Start", "End")
@@ -235,8 +236,12 @@ def cell_gene_scores(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
 
 
 def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
-    """Normalised junction rows to merged rows with z: the whole chain."""
+    """Normalised junction rows to merged rows with z: the whole chain.
+
+    The kept rows feed the junction table and the join back, and the merged rows
+    all later steps, so both are written once.
+    """
     named = fill_gene(filter_called(junctions, sicilian))
     sign = gene_sign(named)
-    kept = min_reads(drop_constitutive(named, rank_quant), bounds)
-    return add_z(merge_sides(kept, pin_s).join(sign, "gene"), pin_z)
+    kept = cut(min_reads(drop_constitutive(named, rank_quant), bounds))
+    return cut(add_z(merge_sides(kept, pin_s).join(sign, "gene"), pin_z))
