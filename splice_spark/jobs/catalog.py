@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from splice_spark.jobs import analysis_queries, score_queries
+from splice_spark.jobs import analysis_queries, read_queries, score_queries
 
-QUERIES = {**score_queries.QUERIES, **analysis_queries.QUERIES}
-ORACLE_SQL = {**score_queries.ORACLE_SQL, **analysis_queries.ORACLE_SQL}
+QUERIES = {**read_queries.QUERIES, **score_queries.QUERIES, **analysis_queries.QUERIES}
+ORACLE_SQL = {**read_queries.ORACLE_SQL, **score_queries.ORACLE_SQL, **analysis_queries.ORACLE_SQL}
