@@ -37,7 +37,9 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.arange(int(lens.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), lens)
     values = _TABLE[((place & 63) << 8) | buf[word[1:-1]]]
     if lens.max() > 64:
-        steps = np.cumprod(np.full(int(lens.max()) // 64 + 1, 0xD6E8FEB86659FD93, np.uint64))
+        steps = np.full(int(lens.max()) // 64 + 1, 0xD6E8FEB86659FD93, np.uint64)
+        steps[0] = 1  # words of up to 64 bytes hash alike whatever stands beside them
+        steps = np.cumprod(steps)
         values *= steps[place >> 6]
     return mix(np.add.reduceat(values, first)), starts, ends
 
