@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary, doc_chunks, id_text, parts_for, read_table, squeeze, total_bytes, unsqueeze
+from .common import binary, doc_chunks, give_back, id_text, parts_for, read_table, squeeze, total_bytes, trimmed, unsqueeze
 
 PACKET = "part long, block long, a binary, b binary, c binary, d binary"
 
@@ -142,6 +142,7 @@ def _send(size: int, buckets: int, pattern: str):
 def _encode_words(path: str, pattern: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         """Ids of each word of a bucket; a word of many blocks is encoded once."""
+        give_back()
         if key[0].as_py() >= 0 or not table.num_rows:
             return pa.Table.from_batches([_rows([])])
         encode, known, rows = _encoding(path, pattern).encode_ordinary, {}, []
@@ -182,6 +183,7 @@ def _reassemble(path: str, decoded: bool):
 
     def run(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
         """Ids of a block's documents, by position; decoded too if asked for."""
+        give_back()
         if key[0].as_py() < 0 or not mine.num_rows:
             return out.empty_table()
         places, bucket, head = (mine.column(c)[0].as_py() for c in "abc")
@@ -205,12 +207,12 @@ def _reassemble(path: str, decoded: bool):
     return run
 
 
-def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, decoded: bool = False, block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, decoded: bool = False, block_bytes: int = 6 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """``doc_id, ids array<int>`` of each row, as the tiktoken library encodes the text without special tokens; ``decoded binary`` too if asked for."""
     path, pattern = vocab_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     docs = id_text(docs)
     n = total_bytes(docs)
-    sent = docs.mapInArrow(_send(block_bytes, max(1, math.ceil(n / bucket_bytes)), pattern), PACKET).repartition(parts_for(docs.sparkSession, n), "part")
+    sent = docs.mapInArrow(trimmed(_send(block_bytes, max(1, math.ceil(n / bucket_bytes)), pattern)), PACKET).repartition(parts_for(docs.sparkSession, n), "part")
     answers = sent.groupBy("part").applyInArrow(_encode_words(path, pattern), PACKET)
     return sent.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_reassemble(path, decoded), _ROUND_TRIP if decoded else "doc_id long, ids array<int>")
 
@@ -228,7 +230,7 @@ def _decode(path: str):
 def decode(ids: DataFrame, vocab_path: str | None = None) -> DataFrame:
     """``doc_id, ids, decoded binary`` of rows with ``doc_id, ids``; an id out of the table is an error, null ids decode to nothing."""
     path = vocab_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return ids.select("doc_id", "ids").mapInArrow(_decode(path), _ROUND_TRIP)
+    return ids.select("doc_id", "ids").mapInArrow(trimmed(_decode(path)), _ROUND_TRIP)
 
 
 def round_trip(docs: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ shuffles, under fixed names, so other columns of the caller cannot clash.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,45 @@ from pyspark.sql import functions as F
 LOWER = bytes(range(256)).lower()
 
 
+# Python workers live on from stage to stage; what they free should go back to the machine.
+pa.set_memory_pool(pa.system_memory_pool())
+
+
+@functools.cache
+def _trim() -> Callable:
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the machine."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def trimmed(run: Callable) -> Callable:
+    """``run`` over batches, giving freed memory back when its task is done."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
+#: Rows of an Arrow batch: texts are long, and both the JVM and Python hold whole batches.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``BATCH_ROWS`` if it is larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id bigint, text string`` of ``docs``, whatever else it has."""
+    """``doc_id bigint, text string`` of ``docs``, whatever else it has.  Arrow batches of the session become small."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

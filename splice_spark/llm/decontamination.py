@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, cut, doc_chunks, id_text, numbered, read_table, without_rows
+from .common import ROW, cut, doc_chunks, id_text, numbered, read_table, trimmed, without_rows
 
 #: Lower-cases A-Z; other ASCII but digits and letters separates words; bytes from 0x80 belong to words.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -73,7 +73,7 @@ def _index(terms: list[bytes] | None, size: int):
 
 def build_index(docs: DataFrame, terms: list[bytes] | None = None, shard_bytes: int = 4 << 20) -> DataFrame:
     """A row a shard, of all words or only of ``terms`` (a list of checked size)."""
-    return id_text(docs).mapInArrow(_index(terms, shard_bytes), INDEX)
+    return id_text(docs).mapInArrow(trimmed(_index(terms, shard_bytes)), INDEX)
 
 
 class _Phrases:
@@ -185,7 +185,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_byt
     found = None
     for part in parts:
         phrases = _Phrases(list(part()), window)
-        here = build_index(docs, list(phrases.terms)).mapInArrow(_search(phrases), HITS)
+        here = build_index(docs, list(phrases.terms)).mapInArrow(trimmed(_search(phrases)), HITS)
         if len(parts) == 1:
             return here.drop("shard", "ordinal")
         here = cut(here)  # shards are numbered by partition, so each part runs on its own
@@ -238,7 +238,7 @@ def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int =
     for part in _parts(benchmark, most_bytes):
         terms: dict[bytes, int] = {}
         phrases = [(i, [terms.setdefault(w, len(terms)) for w in words_of(t)]) for i, t in part()]
-        here = build_index(docs, list(terms)).mapInArrow(_near(phrases, terms, need, slop), "doc_id long, item_id long, start long, end long")
+        here = build_index(docs, list(terms)).mapInArrow(trimmed(_near(phrases, terms, need, slop)), "doc_id long, item_id long, start long, end long")
         found = here if found is None else found.unionByName(here)
     return found
 

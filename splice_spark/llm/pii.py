@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import cut, id_text, read_table
+from .common import cut, give_back, id_text, read_table, trimmed
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns (fixed values).
@@ -141,7 +141,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_candidates(docs: DataFrame) -> DataFrame:
     """``doc_id, found array<struct<kind,start,end,base,votes,shape>>`` of each row; no shuffle."""
-    return id_text(docs).mapInArrow(_find, "doc_id long, found array<struct<kind:int,start:long,end:long,base:boolean,votes:string,shape:int>>")
+    return id_text(docs).mapInArrow(trimmed(_find), "doc_id long, found array<struct<kind:int,start:long,end:long,base:boolean,votes:string,shape:int>>")
 
 
 @dataclass
@@ -232,7 +232,9 @@ def redact(docs: DataFrame, sure: float = 0.9, text_col: str = "text") -> DataFr
 
     @pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([cleaned(t) for t in texts], dtype=object)
+        out = pd.Series([cleaned(t) for t in texts], dtype=object)
+        give_back()
+        return out
 
     return docs.withColumn(text_col, clean(F.col(text_col)))
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import cut, id_text, ids_and_bytes, read_table
+from .common import cut, id_text, ids_and_bytes, read_table, trimmed
 
 STATS = [
     "word_length", "word_spread", "symbols", "bars", "bangs", "capitals", "digits", "marks",
@@ -86,7 +86,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame) -> DataFrame:
     """``doc_id, stats array<double>`` (in the order of ``STATS``) of each row; no shuffle."""
-    return id_text(docs).mapInArrow(_measure, "doc_id long, stats array<double>")
+    return id_text(docs).mapInArrow(trimmed(_measure), "doc_id long, stats array<double>")
 
 
 @dataclass

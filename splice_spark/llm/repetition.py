@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_chunks, id_text, read_table
+from .common import doc_chunks, id_text, read_table, trimmed
 from .hashing import mix, word_hashes
 
 _SYMBOLS = b"#*$%&|<>"
@@ -141,7 +141,7 @@ def _measure(min_words: int, size: int):
 def measure_repetition(docs: DataFrame, min_words: int = 5, chunk_bytes: int = 4 << 20) -> DataFrame:
     """Base counts, ``n_covered, longest_repeat`` and ``repeats array<struct<start,length>>`` (maximal ones) of each row; no shuffle."""
     schema = ", ".join(f"{f.name} long" for f in list(_OUT)[:-1]) + ", repeats array<struct<start:long,length:long>>"
-    return id_text(docs).mapInArrow(_measure(min_words, chunk_bytes), schema)
+    return id_text(docs).mapInArrow(trimmed(_measure(min_words, chunk_bytes)), schema)
 
 
 def with_verdict(measured: DataFrame, max_covered: float = 0.3, max_longest: float = 0.2) -> DataFrame:

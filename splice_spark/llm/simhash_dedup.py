@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, ROW, cut, id_text, ids_and_bytes, numbered, read_table, without_rows
+from .common import LOWER, ROW, cut, id_text, ids_and_bytes, numbered, read_table, trimmed, without_rows
 from .graph import star_components
 
 _ROWS = 1 << 16
@@ -63,7 +63,7 @@ def _fingerprints(n: int, seed: int):
 
 def fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFrame:
     """``doc_id, fp bigint`` of each row."""
-    return id_text(docs).mapInArrow(_fingerprints(n, seed), "doc_id long, fp long")
+    return id_text(docs).mapInArrow(trimmed(_fingerprints(n, seed)), "doc_id long, fp long")
 
 
 def positional_index(prints: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def near_duplicates(docs: DataFrame, most: int = 2, n: int = 3, seed: int = 42)
     each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     index = positional_index(each)
     dealt = index.repartition("places", "shared").sortWithinPartitions("places", "shared", "fp")
-    roots = star_components(dealt.mapInArrow(_links(most), "u long, v long"))
+    roots = star_components(dealt.mapInArrow(trimmed(_links(most)), "u long, v long"))
     rooted = each.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")

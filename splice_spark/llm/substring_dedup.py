@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary, bits, doc_chunks, id_text, parts_for, read_table, squeeze, total_bytes, unbits, unsqueeze
+from .common import binary, bits, doc_chunks, id_text, parts_for, read_table, squeeze, total_bytes, trimmed, unbits, unsqueeze
 from .hashing import pair, windows, word_hashes
 
 PACKET = "part long, block long, a binary, b binary, c binary, d binary"
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, block_bytes: int = 8 << 20
     docs = id_text(docs)
     n = total_bytes(docs)
     buckets = max(1, math.ceil(n / bucket_bytes))
-    sent = docs.mapInArrow(_send(block_bytes, window, buckets), PACKET).repartition(parts_for(docs.sparkSession, n), "part")
+    sent = docs.mapInArrow(trimmed(_send(block_bytes, window, buckets)), PACKET).repartition(parts_for(docs.sparkSession, n), "part")
     answers = sent.groupBy("part").applyInArrow(_match_anchors, PACKET)
     asked = sent.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_extend(window, buckets), PACKET)
     found = asked.groupBy("part").applyInArrow(_earliest, PACKET)

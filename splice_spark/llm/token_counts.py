@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import id_text, ids_and_bytes, read_table
+from .common import id_text, ids_and_bytes, read_table, trimmed
 
 #: The pre-token pattern of byte-level vocabularies (a fixed value).
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -98,7 +98,7 @@ def _count(path: str):
 def count_tokens(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of each row; no shuffle."""
     path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
-    return id_text(docs).mapInArrow(_count(path), "doc_id long, n_bytes long, n_tokens long")
+    return id_text(docs).mapInArrow(trimmed(_count(path)), "doc_id long, n_bytes long, n_tokens long")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str, limit: int = 512) -> DataFrame:

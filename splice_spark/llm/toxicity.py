@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, id_text, ids_and_bytes, read_table
+from .common import cut, id_text, ids_and_bytes, read_table, trimmed
 from .quality_classifier import held_out
 
 #: Insults that are in the lexicon whatever the labels hold.
@@ -164,9 +164,9 @@ def learn_lexicon(sampled: DataFrame, support: float = 0.02, least: int = 3, pur
     size = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     need = max(least, support * n1)
-    toxic = texts.filter("label = 1").select("text").mapInArrow(_count_entries(None), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n")).filter(F.col("n") >= need)
+    toxic = texts.filter("label = 1").select("text").mapInArrow(trimmed(_count_entries(None)), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n")).filter(F.col("n") >= need)
     toxic = {r["entry"]: r["n"] for r in toxic.collect()}  # at most (entries a text) / support rows
-    clean = texts.filter("label = 0").select("text").mapInArrow(_count_entries(frozenset(toxic)), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+    clean = texts.filter("label = 0").select("text").mapInArrow(trimmed(_count_entries(frozenset(toxic))), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
     clean = {r["entry"]: r["n"] for r in clean.collect()}
     words, stems = set(SEED), set()
     for e in sorted(toxic, key=len):
@@ -238,10 +238,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     some = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     sampled = cut(docs.join(F.broadcast(some[0].unionByName(some[1])), "doc_id").select("text", "label"))  # at most 2 * sample labels
     lexicon = learn_lexicon(sampled)
-    rows = sampled.select(F.col("label").cast("long").alias("doc_id"), "text").mapInArrow(_score(lexicon, None), "label long, x array<double>").collect()
+    rows = sampled.select(F.col("label").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(_score(lexicon, None)), "label long, x array<double>").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(-1, len(FEATURES))
     weights = fit_weights(x, np.array([r["label"] for r in rows], np.float64))
-    out = docs.mapInArrow(_score(lexicon, weights), "doc_id long, score double, hits array<struct<word:long,kind:long,quoted:boolean>>")
+    out = docs.mapInArrow(trimmed(_score(lexicon, weights)), "doc_id long, score double, hits array<struct<word:long,kind:long,quoted:boolean>>")
     return out.select("doc_id", held_out(parts=5, part=0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "hits")
 
 
