@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from splice_spark.functions.lineage import cut
 from splice_spark.operators import score
 from splice_spark.sources import fixtures, tables
 
@@ -13,7 +14,8 @@ ROW = ["cell", "gene", "refName_newR1"]
 
 
 def normal(spark: SparkSession, sf_dir: str, sicilian: bool = True) -> DataFrame:
-    return tables.normalise_input(fixtures.junctions(spark, sf_dir), sicilian, "tissue")
+    """The derived input, written once as the jobs' input table would be."""
+    return cut(tables.normalise_input(fixtures.junctions(spark, sf_dir), sicilian, "tissue"))
 
 
 def named(spark: SparkSession, sf_dir: str) -> DataFrame:

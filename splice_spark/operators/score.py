@@ -133,7 +133,7 @@ def merge_sides(junctions: DataFrame, pin_s: float = 0.01) -> DataFrame:
     The two sides come from one junction table, so there is no outer self-join;
     (cell, gene, refName_newR1) must be unique.
     """
-    k = junction_table(junctions)
+    k = cut(junction_table(junctions))  # small, and read four times: ranks and quantiles of two sides
     out = junctions
     for side in SIDES:
         values = normalise_sijk(sijk(k, side, pin_s)).select(*JUNCTION, F.col("nSijk").alias(f"nSijk{side}"), F.col("S").alias(f"S_{side}"), F.col("S_unpinned").alias(f"S_{side}_unpinned"), F.col("flat").alias(f"flat_{side}"))
