@@ -207,7 +207,7 @@ def _reassemble(path: str, decoded: bool):
     return run
 
 
-def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, decoded: bool = False, block_bytes: int = 6 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def encode(docs: DataFrame, vocab_path: str | None = None, pattern: str | None = None, decoded: bool = False, block_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
     """``doc_id, ids array<int>`` of each row, as the tiktoken library encodes the text without special tokens; ``decoded binary`` too if asked for."""
     path, pattern = vocab_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     docs = id_text(docs)
