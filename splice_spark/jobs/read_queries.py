@@ -224,7 +224,29 @@ sh2 AS (SELECT * REPLACE (CASE WHEN shared > 0 AND (n_A > 1 OR n_B > 1) THEN str
 sh AS (SELECT *, CASE WHEN n_A > 1 AND shared = 0 THEN string_split(geneR1A, ',')[-1] ELSE geneR1A END AS uniq_A, CASE WHEN n_B > 1 AND shared = 0 THEN string_split(geneR1B, ',')[-1] ELSE geneR1B END AS uniq_B FROM sh2)"""
 
 
+_NUM = "CAST(regexp_extract(qname, '^r([0-9]+)_', 1) AS BIGINT)"
+_NAME = "{c1} || ':' || x.gene || ':' || CAST({p1} AS VARCHAR) || ':' || x.strand || '|' || {c2} || ':' || y.gene || ':' || CAST({p2} AS VARCHAR) || ':' || y.strand || '|' || "
+_CHIMERIC = f"""WITH {_READS}, {_CIGARS}, {_GTF},
+cl AS (SELECT {_NUM} - {_NUM} % 2 AS k, {_NUM} % 2 AS seg, CASE WHEN {_NUM} % 10 < 6 THEN 'chr1' ELSE 'chr' || rname END AS chr, {_STRAND} AS strand, pos, span FROM r JOIN cg ON r.cigar = cg.cigar),
+pq AS (SELECT a.k, a.chr AS pc, a.strand AS ps, CASE WHEN a.strand = '+' THEN a.pos + a.span - 1 ELSE a.pos END AS pp, b.chr AS qc, b.strand AS qs, CASE WHEN b.strand = '-' THEN b.pos + b.span - 1 ELSE b.pos END AS qp FROM cl a JOIN cl b ON a.k = b.k AND a.seg = 0 AND b.seg = 1),
+lx AS (SELECT pc AS chr, pp AS pos, ps AS read_strand FROM pq UNION SELECT qc, qp, qs FROM pq),
+{_loc("lg", "lx")},
+ck AS (SELECT *, CASE WHEN pc <> qc THEN 'fus' WHEN ps <> qs THEN 'sc' WHEN ps = '+' AND pp > qp OR ps = '-' AND pp < qp THEN 'rev' WHEN pp <> qp THEN 'lin' ELSE 'err' END AS kind FROM pq)
+SELECT 'c' || CAST(k AS VARCHAR) AS id, {_NAME.format(c1="pc", p1="pp", c2="qc", p2="qp")} kind AS refName_ABR1, kind AS junc_type, pc AS chrR1A, x.gene AS geneR1A, pp AS juncPosR1A, qc AS chrR1B, y.gene AS geneR1B, qp AS juncPosR1B
+FROM ck JOIN lg x ON x.chr = pc AND x.pos = pp AND x.read_strand = ps JOIN lg y ON y.chr = qc AND y.pos = qp AND y.read_strand = qs"""
+_PAIRS = f"""WITH {_READS}, {_CIGARS}, {_GTF},
+mt AS (SELECT 1 AS mate, qname, flag, rname, pos, cigar, ch FROM r UNION ALL SELECT 2, 'r' || CAST({_NUM} - 1 AS VARCHAR) || '_U' || CAST(({_NUM} - 1) % 7 AS VARCHAR), flag, rname, pos, cigar, ch FROM r WHERE {_NUM} % 2 = 1),
+nx AS (SELECT mate, qname AS id, {_STRAND} AS strand, 'chr' || rname AS chr, coalesce(pos + a, pos) AS pa, pos + b AS pb, flag & 256 = 0 AS prim FROM mt JOIN cg ON mt.cigar = cg.cigar WHERE flag & 4 = 0 AND ch IS NULL),
+lx AS (SELECT chr, pa AS pos, strand AS read_strand FROM nx WHERE pb IS NOT NULL UNION SELECT chr, pb, strand FROM nx WHERE pb IS NOT NULL),
+{_loc("lg", "lx")},
+fs AS (SELECT nx.*, {_NAME.format(c1="nx.chr", p1="pa", c2="nx.chr", p2="pb")} 'lin' AS name FROM nx JOIN lg x ON x.chr = nx.chr AND x.pos = pa AND x.read_strand = nx.strand JOIN lg y ON y.chr = nx.chr AND y.pos = pb AND y.read_strand = nx.strand WHERE prim)
+SELECT fs.id, name AS refName_ABR1, fs.pa AS juncPosR1A, fs.pb AS juncPosR1B, s.pa AS juncPosR2A, fs.strand AS read_strandR1, s.strand AS read_strandR2, CASE WHEN fs.strand = s.strand THEN 0 ELSE 1 END AS read_strand_compatible,
+       CASE WHEN s.pa IS NULL THEN 0 WHEN fs.strand = '+' AND s.pa >= fs.pa OR fs.strand = '-' AND s.pa <= fs.pa THEN 1 ELSE 0 END AS location_compatible
+FROM fs LEFT JOIN nx s ON s.id = fs.id AND s.mate <> fs.mate AND s.prim"""
+
 ORACLE_SQL = {
+    "chimeric_junctions": _CHIMERIC,
+    "pair_reads": _PAIRS,
     "cigar_features": f"WITH {_READS}, {_CIGARS} SELECT qname, pos + a AS pos_a, pos + b AS pos_b, CAST(span AS BIGINT) AS span, CAST(n_m AS BIGINT) AS n_m, CAST(n_s AS BIGINT) AS n_s, CAST(n_i AS BIGINT) AS n_i, CAST(n_d AS BIGINT) AS n_d, c1 AS cigar_1, c2 AS cigar_2 FROM r JOIN cg ON r.cigar = cg.cigar",
     "chimeric_cigars": f"WITH {_READS} SELECT qname, CASE WHEN as_score % 3 = 0 OR as_score % 3 = 1 AND cigar NOT LIKE '5S%' THEN cigar WHEN as_score % 3 = 1 THEN cigar WHEN as_score % 4 + 1 > 3 THEN cigar || '3S' ELSE CAST(as_score % 4 + 1 AS VARCHAR) || 'S' || cigar END AS kept FROM r",
     "sequence_features": f"""WITH {_READS}, km AS (SELECT qname, seq, substr(seq, CAST(i AS BIGINT), 5) AS m FROM r, range(1, 60) t(i) WHERE i <= length(seq) - 4),
