@@ -244,7 +244,30 @@ SELECT fs.id, name AS refName_ABR1, fs.pa AS juncPosR1A, fs.pb AS juncPosR1B, s.
        CASE WHEN s.pa IS NULL THEN 0 WHEN fs.strand = '+' AND s.pa >= fs.pa OR fs.strand = '-' AND s.pa <= fs.pa THEN 1 ELSE 0 END AS location_compatible
 FROM fs LEFT JOIN nx s ON s.id = fs.id AND s.mate <> fs.mate AND s.prim"""
 
+_SAME_A, _SAME_B = "coalesce(new_A = read_A, false)", "coalesce(new_B = read_B, false)"
+_ENDS = {e: f"chrR1{e} || ':' || coalesce(uniq_{e}, '') || ':' || CAST(juncPosR1{e} AS VARCHAR) || ':' || new_{e}" for e in "AB"}
+_PLAIN, _SWAPPED = f"{_ENDS['A']} || '|' || {_ENDS['B']}", f"{_ENDS['B']} || '|' || {_ENDS['A']}"
+_REPAIR = f"""WITH {_weird_sql()}, {_GTF},
+gs AS (SELECT DISTINCT seqname, strand, gene FROM gn WHERE gene IS NOT NULL),
+rp0 AS (SELECT *, read_strandR1A AS read_A, CASE WHEN fileTypeR1 = 'Aligned' THEN read_strandR1A ELSE read_strandR1B END AS read_B FROM sh),
+rp1 AS (SELECT rp0.*, a.strand AS new_A, b.strand AS new_B FROM rp0 LEFT JOIN gs a ON a.gene = uniq_A AND a.seqname = chrR1A LEFT JOIN gs b ON b.gene = uniq_B AND b.seqname = chrR1B),
+rp2 AS (SELECT * EXCLUDE (new_A) REPLACE (CASE WHEN (NOT {_SAME_A} AND {_SAME_B} OR {_SAME_A} AND new_B IS NOT NULL AND NOT {_SAME_B}) AND strand_A = '?' AND shared = 0 AND n_A > 1 THEN string_split(geneR1A, ',')[-2] ELSE uniq_A END AS uniq_A) FROM rp1),
+rp3 AS (SELECT rp2.*, a.strand AS new_A FROM rp2 LEFT JOIN gs a ON a.gene = uniq_A AND a.seqname = chrR1A),
+rp4 AS (SELECT * EXCLUDE (new_B) REPLACE (CASE WHEN (NOT {_SAME_A} AND new_A IS NOT NULL AND {_SAME_B} OR {_SAME_A} AND NOT {_SAME_B}) AND strand_B = '?' AND shared = 0 AND n_B > 1 THEN string_split(geneR1B, ',')[-2] ELSE uniq_B END AS uniq_B) FROM rp3),
+rp5 AS (SELECT rp4.*, b.strand AS new_B FROM rp4 LEFT JOIN gs b ON b.gene = uniq_B AND b.seqname = chrR1B),
+rp6 AS (SELECT * REPLACE (CASE WHEN new_B IS NOT NULL THEN new_B WHEN {_SAME_A} THEN read_B WHEN new_A IS NOT NULL THEN translate(read_B, '+-', '-+') END AS new_B) FROM rp5),
+rp7 AS (SELECT * REPLACE (CASE WHEN new_A IS NOT NULL THEN new_A WHEN {_SAME_B} THEN read_A WHEN new_B IS NOT NULL THEN translate(read_A, '+-', '-+') END AS new_A) FROM rp6),
+rp8 AS (SELECT refName_ABR1, max(coalesce(CASE WHEN fileTypeR1 = 'Aligned' AND new_A = '-' AND juncPosR1A < juncPosR1B THEN {_SWAPPED} WHEN fileTypeR1 = 'Aligned' AND new_A = '+' THEN {_PLAIN}
+        WHEN fileTypeR1 = 'Chimeric' AND NOT {_SAME_A} AND NOT {_SAME_B} THEN {_SWAPPED} WHEN fileTypeR1 = 'Chimeric' THEN {_PLAIN} END, refName_ABR1)) AS name FROM rp7 GROUP BY refName_ABR1),
+rp9 AS (SELECT refName_ABR1, name, {", ".join(f"split_part(split_part(name, '|', {k}), ':', 1) AS chrR1{e}, split_part(split_part(name, '|', {k}), ':', 2) AS geneR1{e}_uniq, CAST(split_part(split_part(name, '|', {k}), ':', 3) AS BIGINT) AS juncPosR1{e}, split_part(split_part(name, '|', {k}), ':', 4) AS gene_strandR1{e}" for k, e in ((1, "A"), (2, "B")))} FROM rp8)
+SELECT rp9.refName_ABR1, rp9.chrR1A, rp9.chrR1B, rp9.juncPosR1A, rp9.juncPosR1B, geneR1A_uniq, geneR1B_uniq, gene_strandR1A, gene_strandR1B,
+       name || CASE WHEN rp9.chrR1A <> rp9.chrR1B OR fileTypeR1 = 'Chimeric' AND read_strandR1A = read_strandR1B AND abs(rp9.juncPosR1A - rp9.juncPosR1B) >= 1000000 THEN '|fus'
+       WHEN fileTypeR1 = 'Chimeric' AND read_strandR1A <> read_strandR1B THEN '|sc'
+       WHEN fileTypeR1 = 'Chimeric' AND (read_strandR1A = '+' AND rp9.juncPosR1A > rp9.juncPosR1B OR read_strandR1A = '-' AND rp9.juncPosR1A < rp9.juncPosR1B) THEN '|rev' ELSE '|lin' END AS refName_newR1
+FROM rp9 JOIN ci ON ci.refName_ABR1 = rp9.refName_ABR1"""
+
 ORACLE_SQL = {
+    "gene_repair": _REPAIR,
     "chimeric_junctions": _CHIMERIC,
     "pair_reads": _PAIRS,
     "cigar_features": f"WITH {_READS}, {_CIGARS} SELECT qname, pos + a AS pos_a, pos + b AS pos_b, CAST(span AS BIGINT) AS span, CAST(n_m AS BIGINT) AS n_m, CAST(n_s AS BIGINT) AS n_s, CAST(n_i AS BIGINT) AS n_i, CAST(n_d AS BIGINT) AS n_d, c1 AS cigar_1, c2 AS cigar_2 FROM r JOIN cg ON r.cigar = cg.cigar",
