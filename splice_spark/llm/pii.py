@@ -19,7 +19,8 @@ are code points, ends exclusive; an added span never touches a base span.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,8 +40,15 @@ BASE = {
     "card": re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: The same matches in linear time: a run is taken whole, and counts if the rest of the pattern follows it.
+#: (A start inside a run has the same rest, so it can't succeed where the whole run fails.)
+_BY_RUN = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)?"),
+    "ip": re.compile(r"[0-9]++((?:\.[0-9]+){3})?"),
+}
+_AT_SIGN = re.compile(r"[\[(](?:at|AT)[\])]")
 _LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]+)+"),
+    "email": re.compile(r"[A-Za-z0-9._%+-]++( ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]+(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]+)+)?"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\[\.\] ?[0-9]{1,3}){3}(?![0-9])"),
     "card": re.compile(r"(?<![0-9A-Za-z])(?=((?:[0-9]{4}(?:[ ./_-]{1,3}[0-9]{4}){3}|[0-9]{13,19})(?![0-9A-Za-z])))"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])(?=((?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|00[1-9][0-9 ]{8,14}[0-9]|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])))"),
@@ -77,6 +85,38 @@ def base_holds(kind: str, found: str) -> bool:
     return kind == "email" or 9 <= len(_digits(found)) <= 15
 
 
+def base_spans(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping matches of the base pattern that pass its check; failing ones are not tried again."""
+    if kind in _BY_RUN:
+        found = (m for m in _BY_RUN[kind].finditer(text) if m[1])
+    else:
+        found = BASE[kind].finditer(text)
+    return (m.span() for m in found if base_holds(kind, m[0]))
+
+
+class _Taken:
+    """Stretches of a text that spans cover, disjoint and in order."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def take(self, start: int, end: int) -> bool:
+        """Cover the span if it touches no other."""
+        k = bisect_right(self.ends, start)
+        if k < len(self.starts) and self.starts[k] < end:
+            return False
+        self.starts.insert(k, start)
+        self.ends.insert(k, end)
+        return True
+
+
 def votes(kind: str, found: str, base: bool, text: str, start: int, end: int) -> str:
     """One letter a labeler: strict pattern, structure, gazetteer, context, shape."""
     digits = _digits(found)
@@ -111,17 +151,16 @@ def candidates(text: str) -> list[dict]:
     asked = {"email": "@" in text, "phone": "+" in text, "ip": True, "card": True}
     for k, kind in enumerate(KINDS):
         if asked[kind]:
-            spans += [(k, m.start(), m.end(), True) for m in BASE[kind].finditer(text) if base_holds(kind, m[0])]
-    taken = sorted((s, e) for _, s, e, _ in spans)
+            spans += [(k, s, e, True) for s, e in base_spans(kind, text)]
+    taken = _Taken((s, e) for _, s, e, _ in spans)
     for k, kind in enumerate(KINDS):
-        if kind == "email" and "(" not in text and "[" not in text:
-            continue
-        # starts may overlap; what the structure confirms comes first
-        loose = [m.span(m.lastindex or 0) for m in _LOOSE[kind].finditer(text)]
+        if kind == "email":
+            loose = [m.span() for m in _LOOSE[kind].finditer(text) if m[1]] if _AT_SIGN.search(text) else []
+        else:  # starts may overlap; what the structure confirms comes first
+            loose = [m.span(m.lastindex or 0) for m in _LOOSE[kind].finditer(text)]
         for s, e in sorted(loose, key=lambda x: (kind == "card" and not luhn(_digits(text[x[0] : x[1]])), x)):
-            if all(e <= a or b <= s for a, b in taken):
+            if taken.take(s, e):
                 spans.append((k, s, e, False))
-                taken.append((s, e))
     out = []
     for k, s, e, base in sorted(spans):
         left, right = text[s - 1 : s] if s else "", text[e : e + 1]

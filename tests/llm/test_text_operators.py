@@ -246,6 +246,22 @@ def test_pii(spark, docs, empty):
     assert pii.find_personal(docs).count() == docs.count() and pii.find_personal(empty).count() == 0
 
 
+def test_base_spans_are_those_of_the_patterns():
+    rng = random.Random(8)
+    for alphabet in ("ab1@.-_+ ", "0123456789. -+()", "a1@."):
+        for _ in range(4000):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
+            for kind in pii.KINDS:
+                assert list(pii.base_spans(kind, text)) == [m.span() for m in pii.BASE[kind].finditer(text) if pii.base_holds(kind, m[0])]
+
+
+def test_personal_data_in_long_runs_takes_linear_time():
+    digits, letters = "7" * 1_000_000, "ab0" * 400_000
+    assert [c["kind"] for c in pii.candidates(f"{digits} (at) {letters} jo@example.com {letters}") if c["base"]] == [0]
+    many = pii.candidates("10.20.30.40 and 361-555-8283, " * 20_000)
+    assert sum(c["base"] for c in many) == 20_000 and len(many) == 40_000
+
+
 def test_luhn():
     assert pii.luhn("4539148803436467") and not pii.luhn("4539148803436468")
 
