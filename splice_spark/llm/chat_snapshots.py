@@ -9,9 +9,9 @@ prefix leave by an anti-join; the others are rendered.
 
 Sums are taken in segments of ``segment`` turns, and a segment's base is added
 from a window over segments, so a conversation of very many turns is spread
-over tasks; it is rendered in pieces of a segment for the same reason.  A first
-turn or a conversation that very many share is one row in the anti-join, as
-both sides are made distinct before.
+over tasks; it is rendered in pieces of a segment, joined by piece, for the same
+reason.  A first turn or a conversation that very many share is one row in the
+anti-join, as both sides are made distinct before.
 
 Nulls and edges: rows with a null conv_id are one conversation; a null turn
 comes first, a null role or text is shown as nothing but differs from an empty
@@ -76,8 +76,8 @@ def collapse_snapshots(conversations: DataFrame, segment: int = 128) -> DataFram
     ``n_turns`` is of the whole conversation; ``n_copies`` counts equal conversations; pieces follow each other.
     """
     turns = _turns(conversations, segment)
-    stay = maximal(turns)
-    shown = turns.join(stay, "conv").groupBy("conv", "piece").agg(
+    stay = turns.select("conv", "piece").distinct().join(maximal(turns), "conv")
+    shown = turns.join(stay, ["conv", "piece"]).groupBy("conv", "piece").agg(
         F.first("n").alias("n_turns"),
         F.first("n_copies").alias("n_copies"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: render(t["role"], t["text"])), "").alias("rendered"),
