@@ -111,6 +111,19 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_counted(left: DataFrame, right: DataFrame, key: str, share: int = 256) -> DataFrame:
+    """Inner join with ``right``, which has one row a key and, in ``n``, the rows that ``left`` has of it (left out of the result).
+
+    Keys with one in ``share`` rows of ``left`` or more, of which there can be ``share`` at most, are joined by
+    broadcast where their rows are; only the others are shuffled, so no task gets the rows of a hot key.
+    """
+    right = cut(right)
+    least = (right.agg(F.sum("n")).first()[0] or 0) / share
+    hot, others = right.filter(F.col("n") >= least).drop("n"), right.filter(F.col("n") < least).drop("n")
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(F.broadcast(hot), key).unionByName(cold.join(others, key))
+
+
 def squeeze(data: bytes, level: int = 1) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(data)
 

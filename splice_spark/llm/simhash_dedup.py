@@ -13,7 +13,8 @@ they are verified by the differing bits.
 Copies of a fingerprint count once, so a group of any size costs one entry a
 list.  Inside a list, verified links are reduced to a star for each connected
 part: no link between different fingerprints is lost for the components, and no
-pairs of a group are listed.
+pairs of a group are listed.  A fingerprint or component that holds a large
+share of all rows is joined back by broadcast, where its rows are.
 
 Nulls and edges: a null or wordless text has fingerprint zero and links like
 any other; each row gives a row; null doc_ids never name a component unless
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, ROW, cut, id_text, ids_and_bytes, numbered, read_table, trimmed, without_rows
+from .common import LOWER, ROW, cut, id_text, ids_and_bytes, join_counted, numbered, read_table, trimmed, without_rows
 from .graph import star_components
 
 _ROWS = 1 << 16
@@ -149,13 +150,14 @@ def near_duplicates(docs: DataFrame, most: int = 2, n: int = 3, seed: int = 42)
     if not 0 <= most <= 2:
         raise ValueError("six of eight shared bytes are guaranteed for 0, 1 or 2 differing bits only")
     prints = cut(fingerprints(docs, n, seed))
-    each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     index = positional_index(each)
     dealt = index.repartition("places", "shared").sortWithinPartitions("places", "shared", "fp")
     roots = star_components(dealt.mapInArrow(trimmed(_links(most)), "u long, v long"))
     rooted = each.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    of_print = join_counted(rooted, named, "root").select("fp", "component_id", F.col("copies").alias("n"))
+    return join_counted(prints, of_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, most: int = 2) -> DataFrame:
