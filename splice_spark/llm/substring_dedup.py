@@ -222,7 +222,7 @@ def _keep(window: int):
         for x in found.column("a").to_pylist():
             mark[np.frombuffer(unsqueeze(x), np.int32) + 1] = 1
         c = np.cumsum(mark)
-        covered = c[1:] - np.concatenate((np.zeros(min(window, b.n), np.int32), c[1 : b.n + 1 - window])) > 0
+        covered = c[1:] - np.concatenate((np.zeros(min(window, b.n), np.int32), c[1 : max(1, b.n + 1 - window)])) > 0
         ids, counts, spans, kept = [], [], [], []
         for i, t, lo, hi in zip(b.ids, b.texts, b.bounds.tolist(), b.bounds[1:].tolist(), strict=False):
             words, gone = (t or b"").split(), covered[lo:hi]

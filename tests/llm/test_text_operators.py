@@ -87,6 +87,16 @@ def test_substring_dedup(docs, rows, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_substring_dedup_of_blocks_of_few_words(spark):
+    words = lambda n: " ".join(f"w{k}" for k in range(n))
+    # A document a partition, so each is a block of its own; the last table has a short document after a full block.
+    tables = [[(n, words(n)) for n in range(23)], [(0, words(40)), (1, words(40)), (2, words(12))]]
+    for rows in tables:
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows) if len(rows) > 3 else 1), "doc_id long, text string")
+        got = substring_dedup.remove_repeats(docs, block_bytes=150, bucket_bytes=900).collect()
+        assert counted((r.doc_id, r.n_words, sum(s.end - s.start for s in r.removed), r.kept_text) for r in got) == counted(brute_removed(rows))
+
+
 def brute_print(t):
     w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     grams = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
