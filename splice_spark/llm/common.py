@@ -73,7 +73,7 @@ ROW = "__row_number__"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row, the same in every scan of the same files (not for inputs that come from a shuffle)."""
+    """``docs`` with a number for each row, which holds for one scan only: splits of files follow the cores at hand, so ``cut`` it before a second use."""
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 

@@ -182,13 +182,15 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_byt
     A phrase is ``window`` consecutive words of an item, or all of a shorter item.
     """
     parts = list(_parts(benchmark, most_bytes))
+    several = len(parts) > 1
+    rows = cut(numbered(id_text(docs))) if several else docs  # parts meet by row number, whatever the partitions of each scan
     found = None
     for part in parts:
         phrases = _Phrases(list(part()), window)
-        here = build_index(docs, list(phrases.terms)).mapInArrow(trimmed(_search(phrases)), HITS)
-        if len(parts) == 1:
-            return here.drop("shard", "ordinal")
-        here = cut(here)  # shards are numbered by partition, so each part runs on its own
+        here = build_index(rows.select(F.col(ROW).alias("doc_id"), "text") if several else rows, list(phrases.terms)).mapInArrow(trimmed(_search(phrases)), HITS).drop("shard", "ordinal")
+        if not several:
+            return here
+        here = cut(here.withColumnRenamed("doc_id", ROW))
         found = here if found is None else found.unionByName(here)
     spans = F.array_sort(F.flatten(F.collect_list("hits")))
     merged = F.aggregate(
@@ -196,8 +198,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_byt
         F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda out, s: F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] >= s["start"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.try_element_at(out, F.lit(-1))["start"].alias("start"), F.greatest(F.try_element_at(out, F.lit(-1))["end"], s["end"]).alias("end"))))).otherwise(F.concat(out, F.array(s))),
     )
-    each = found.groupBy("shard", "ordinal").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return each.drop("shard", "ordinal")
+    each = found.groupBy(ROW).agg(F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    return rows.select(ROW, "doc_id").join(each, ROW).select("doc_id", "n_words", "hits", "items")
 
 
 def _near(phrases: list, terms: dict[bytes, int], need: int, slop: int):
@@ -255,7 +257,7 @@ def with_verdict(found: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """Rows of ``docs``, with all their columns, that aren't contaminated."""
-    rows = numbered(docs)
+    rows = cut(numbered(docs))
     found = with_verdict(find_items(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, window))
     return without_rows(rows, found.filter("contaminated").withColumnRenamed("doc_id", ROW))
 

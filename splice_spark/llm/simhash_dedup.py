@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, most: int = 2, n: int = 3, seed: int = 42)
 
 def keep_one(docs: DataFrame, most: int = 2) -> DataFrame:
     """Rows of ``docs``, with all their columns, that have the smallest doc_id of their component (the first row of those that share it)."""
-    rows = numbered(docs)
+    rows = cut(numbered(docs))
     found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), most).toDF(ROW, "fp", "component")
     each = cut(found.join(rows.select(ROW, "doc_id"), ROW))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)

@@ -209,6 +209,40 @@ def test_proximity(spark):
     assert [(r.doc_id, r.item_id, r.start, r.end) for r in got] == [(1, 9, 0, 6)]
 
 
+def test_row_numbers_hold_when_splits_change(spark, tmp_path, monkeypatch):
+    """Cores that come or go between two scans change the splits of files; here each written table changes them."""
+    copy, item = " ".join(f"c{k}" for k in range(60)), " ".join(f"b{k}" for k in range(30))
+    rows = [(k, copy if k % 3 == 0 else item if k % 3 == 1 else " ".join(f"d{k}x{j}" for j in range(40))) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id").write.parquet(path := f"{tmp_path}/docs")
+    bench = spark.createDataFrame([(1, item), (2, "never seen words " * 9)], "item_id long, text string")
+    clean = sorted(i for i, t in rows if t != item)
+    want = sorted((i, 30, 30, (1,)) if t == item else (i, len(t.split()), 0, ()) for i, t in rows)
+    name, sizes = "spark.sql.files.maxPartitionBytes", ["100", "1g"]
+    for module in (simhash_dedup, decontamination):
+        for f in ("cut", "without_rows"):
+
+            def moved(*a, real=getattr(module, f)):
+                out = real(*a)
+                sizes.reverse()
+                spark.conf.set(name, sizes[0])
+                return out
+
+            monkeypatch.setattr(module, f, moved)
+    try:
+        for k in (0, 1):
+            spark.conf.set(name, sizes[0])
+            docs = spark.read.parquet(path)
+            assert sorted(r.doc_id for r in simhash_dedup.keep_one(docs).collect()) == sorted([0, 1, *(i for i, _ in rows if i % 3 == 2)])
+            spark.conf.set(name, sizes[0])
+            assert sorted(r.doc_id for r in decontamination.keep_clean(spark.read.parquet(path), bench).collect()) == clean
+            spark.conf.set(name, sizes[0])
+            got = decontamination.with_verdict(decontamination.find_items(spark.read.parquet(path), bench, most_bytes=150)).collect()
+            assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == want
+            sizes.reverse()
+    finally:
+        spark.conf.unset(name)
+
+
 def test_repetition(docs, rows, empty):
     want = []
     for i, t in rows:
