@@ -202,30 +202,37 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_byt
     return rows.select(ROW, "doc_id").join(each, ROW).select("doc_id", "n_words", "hits", "items")
 
 
-def _near(phrases: list, terms: dict[bytes, int], need: int, slop: int):
+def _windows(shard: _Shard, some: list[int], slop: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of the shortest window (the leftmost of equal ones) around each occurrence of ``some[0]`` that has all of ``some``, where it has ``slop`` words at most."""
+    lists = [shard.positions[shard.starts[t] : shard.starts[t] + shard.counts[t]] for t in some]
+    at = lists[0]
+    far = len(shard.seq) + slop  # beyond every window
+    low, size = at.copy(), np.full(len(at), slop + 1)
+    for back in range(slop - 1, -1, -1):
+        left = at - back
+        right = at.copy()
+        for other in lists[1:]:
+            right = np.maximum(right, np.append(other, far)[np.searchsorted(other, left)])
+        n = right - left + 1
+        better = np.flatnonzero((left >= 0) & (n < size))
+        better = better[shard.doc[left[better]] == shard.doc[right[better]]]
+        low[better], size[better] = left[better], n[better]
+    ok = size <= slop
+    return low[ok], low[ok] + size[ok] - 1
+
+
+def _near(phrases: list[tuple[int, list[int]]], terms: dict[bytes, int], slop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 shard, out = _Shard(row, terms), []
                 bounds = np.concatenate(([0], np.cumsum(row["n_words"])))
-                for item, seq in phrases:
-                    some = sorted(set(seq), key=lambda t: (shard.counts[t], t))[:need]
-                    if not some or not shard.counts[some[0]]:
+                for item, some in phrases:
+                    if not shard.counts[some].all():
                         continue
-                    lists = [shard.positions[shard.starts[t] : shard.starts[t] + shard.counts[t]] for t in some]
-                    at = lists[0]
-                    low, high, ok = at.copy(), at.copy(), np.ones(len(at), bool)
-                    for other in lists[1:]:
-                        if not len(other):
-                            ok[:] = False
-                            break
-                        j = np.searchsorted(other, at)
-                        left, right = other[np.maximum(j - 1, 0)], other[np.minimum(j, len(other) - 1)]
-                        best = np.where(np.abs(at - left) <= np.abs(right - at), left, right)
-                        low, high = np.minimum(low, best), np.maximum(high, best)
-                    ok &= (high - low < slop) & (shard.doc[low] == shard.doc[high])
-                    for a, b in zip(low[ok].tolist(), high[ok].tolist(), strict=True):
+                    low, high = _windows(shard, some, slop)
+                    for a, b in zip(low.tolist(), high.tolist(), strict=True):
                         d = int(shard.doc[a])
                         out.append((row["doc_ids"][d], item, a - int(bounds[d]), b + 1 - int(bounds[d])))
                 cols = list(zip(*out, strict=True)) or [[]] * 4
@@ -234,13 +241,28 @@ def _near(phrases: list, terms: dict[bytes, int], need: int, slop: int):
     return run
 
 
-def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int = 20, most_bytes: int = 16 << 20) -> DataFrame:
-    """Proximity: ``doc_id, item_id, start, end`` where the ``need`` rarest terms of an item stand within ``slop`` words, each taken nearest to the rarest."""
+def _rarest(words: list[bytes], counts: dict[bytes, int], need: int) -> list[bytes]:
+    """The ``need`` (or all, if fewer) distinct words of an item that are the rarest of those that occur; none where too few occur."""
+    there = sorted((counts[w], w) for w in set(words) if w in counts)
+    n = min(need, len(set(words)))
+    return [w for _, w in there[:n]] if len(there) >= n else []
+
+
+def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int = 20, most_bytes: int = 16 << 20, shard_bytes: int = 4 << 20) -> DataFrame:
+    """Proximity: ``doc_id, item_id, start, end`` where the ``need`` rarest terms of an item stand within ``slop`` words.
+
+    Rarest by the counts in all of ``docs``, of the terms that occur there.  A row for each occurrence of the rarest one
+    in such a window: the shortest around it, the leftmost of equal ones.
+    """
     found = None
     for part in _parts(benchmark, most_bytes):
+        items = [(i, words_of(t)) for i, t in part()]
+        index = build_index(docs, sorted({w for _, ws in items for w in ws}), shard_bytes)
+        pairs = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).select("x.terms", "x.counts")
+        counts = {bytes(r[0]): r[1] for r in pairs.groupBy("terms").agg(F.sum("counts")).collect()}
         terms: dict[bytes, int] = {}
-        phrases = [(i, [terms.setdefault(w, len(terms)) for w in words_of(t)]) for i, t in part()]
-        here = build_index(docs, list(terms)).mapInArrow(trimmed(_near(phrases, terms, need, slop)), "doc_id long, item_id long, start long, end long")
+        phrases = [(i, [terms.setdefault(w, len(terms)) for w in some]) for i, ws in items if (some := _rarest(ws, counts, need))]
+        here = build_index(docs, list(terms), shard_bytes).mapInArrow(trimmed(_near(phrases, terms, slop)), "doc_id long, item_id long, start long, end long")
         found = here if found is None else found.unionByName(here)
     return found
 
@@ -266,3 +288,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = with_verdict(find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
     items = F.array_sort(F.col("items").cast("array<string>"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_near(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -6,7 +6,7 @@ import corpus_pipeline
 
 from .byte_bpe import op10_byte_bpe
 from .chat_snapshots import OP4_SQL, op4_chat_snapshots
-from .decontamination import op3_decontamination
+from .decontamination import op3_decontamination, op3_proximity
 from .oracles import OP1_SQL, OP3_SQL, OP5_SQL
 from .pii import op2_pii
 from .quality_classifier import op7_quality_classifier
@@ -20,6 +20,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
+    "op3_proximity": op3_proximity,
     "op4_chat_snapshots": op4_chat_snapshots,
     "op5_repetition_rules": op5_repetition_rules,
     "op6_token_counts": op6_token_counts,

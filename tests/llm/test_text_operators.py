@@ -209,6 +209,31 @@ def test_proximity(spark):
     assert [(r.doc_id, r.item_id, r.start, r.end) for r in got] == [(1, 9, 0, 6)]
 
 
+def test_proximity_is_that_of_brute_force_over_shards(spark):
+    rng = random.Random(4)
+    some = lambda n, m: " ".join(f"t{min(rng.randrange(m), rng.randrange(m))}" for _ in range(n))
+    rows = [(k, some(rng.randrange(1, 120), 30)) for k in range(60)]
+    rows += [(100, "b" + " x" * 11 + " a" + " x" * 11 + " c b"), (101, "only t1 t2 here"), (102, "x t29 y t26 t25 z t29")]
+    items = [(1, "a b c"), (2, "t25 t26 t29 absent"), (3, "t3 t28"), (4, "t1 absent gone"), (5, None), (6, some(12, 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    counts = Counter(w for _, t in rows for w in t.split())
+    want = set()
+    for i, t in items:
+        ws = set((t or "").split())
+        there = sorted((counts[w], w) for w in ws if counts[w])
+        need = min(3, len(ws))
+        for d, text in rows if ws and len(there) >= need else ():
+            words, terms = text.split(), [w for _, w in there[:need]]
+            for at in (k for k, w in enumerate(words) if w == terms[0]):
+                spans = [(b - a, a, b) for a in range(max(0, at - 19), at + 1) for b in range(at + 1, min(len(words), a + 20) + 1) if set(terms) <= set(words[a:b])]
+                want |= {(d, i, *min(spans)[1:])} if spans else set()
+    assert {i for _, i, *_ in want} == {1, 2, 3, 6}
+    for size in (1 << 20, 600):
+        got = decontamination.find_near(docs, bench, need=3, slop=20, shard_bytes=size).collect()
+        assert counted(tuple(r) for r in got) == counted(want)
+
+
 def test_row_numbers_hold_when_splits_change(spark, tmp_path, monkeypatch):
     """Cores that come or go between two scans change the splits of files; here each written table changes them."""
     copy, item = " ".join(f"c{k}" for k in range(60)), " ".join(f"b{k}" for k in range(30))
