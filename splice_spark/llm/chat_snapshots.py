@@ -10,7 +10,9 @@ prefix leave by an anti-join; the others are rendered.
 Sums are taken in segments of ``segment`` turns, and a segment's base is added
 from a window over segments, so a conversation of very many turns is spread
 over tasks; it is rendered in pieces of a segment, joined by piece, for the same
-reason.  A first turn or a conversation that very many share is one row in the
+reason.  Turn numbers may repeat without end (rows of one id, or of none, logged
+over and over), so a conversation with a piece of more than ``most_bytes`` is cut
+by the place of its rows in their order instead.  A first turn or a conversation that very many share is one row in the
 anti-join, as both sides are made distinct before.
 
 Nulls and edges: rows with a null conv_id are one conversation; a null turn
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import cut, parts_for, read_table
 
 _NO_ID = -(1 << 63)
 _SUMS = ["n", "a", "b", "c", "d"]
@@ -70,18 +72,52 @@ def render(role: F.Column, text: F.Column) -> F.Column:
     return F.concat(F.lit("<|im_start|>"), F.coalesce(role, F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("<|im_end|>\n"))
 
 
-def collapse_snapshots(conversations: DataFrame, segment: int = 128) -> DataFrame:
-    """``conv_id, piece, n_turns, n_copies, rendered``: a row for each ``segment`` turns of a conversation that stays.
+def _bytes() -> F.Column:
+    """Bytes of a turn in the chat markup, about."""
+    return 30 + F.coalesce(F.octet_length("role"), F.lit(0)).cast("long") + F.coalesce(F.octet_length("text"), F.lit(0))
 
-    ``n_turns`` is of the whole conversation; ``n_copies`` counts equal conversations; pieces follow each other.
-    """
-    turns = _turns(conversations, segment)
-    stay = turns.select("conv", "piece").distinct().join(maximal(turns), "conv")
-    shown = turns.join(stay, ["conv", "piece"]).groupBy("conv", "piece").agg(
+
+def _by_place(turns: DataFrame, segment: int, n_bytes: int) -> DataFrame:
+    """``turns`` of few conversations with the ``segment`` rows that each row belongs to, in the order of turn, role and text, as its piece."""
+    order = ["turn", "role", "text"]
+    # Equal rows are dealt over tasks by a random number; which of them goes where makes no difference.
+    dealt = turns.withColumn("any", F.rand(1)).repartitionByRange(parts_for(turns.sparkSession, n_bytes), "conv", *order, "any")
+    dealt = cut(dealt.drop("any", "piece").withColumn("slot", F.spark_partition_id()))
+    before = Window.partitionBy("conv").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    bases = dealt.groupBy("conv", "slot").agg(F.count("*").alias("rows")).select("conv", "slot", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    place = F.col("base") + F.row_number().over(Window.partitionBy("conv", "slot").orderBy(*order)) - 1
+    return dealt.join(bases, ["conv", "slot"]).withColumn("piece", F.floor(place / segment).cast("long")).drop("slot", "base")
+
+
+def _shown(turns: DataFrame) -> DataFrame:
+    return turns.groupBy("conv", "piece").agg(
         F.first("n").alias("n_turns"),
         F.first("n_copies").alias("n_copies"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: render(t["role"], t["text"])), "").alias("rendered"),
     )
+
+
+def collapse_snapshots(conversations: DataFrame, segment: int = 128, most_bytes: int = 16 << 20) -> DataFrame:
+    """``conv_id, piece, n_turns, n_copies, rendered``: a row for each ``segment`` turns of a conversation that stays.
+
+    ``n_turns`` is of the whole conversation; ``n_copies`` counts equal conversations; pieces follow each other.  Pieces
+    are of ``segment`` turn numbers, or of ``segment`` rows where one of the former would exceed ``most_bytes``.
+    """
+    turns = _turns(conversations, segment)
+    stay = maximal(turns)
+    sizes = turns.groupBy("conv", "piece").agg(F.sum(_bytes()).alias("bytes"))
+    dense = cut(sizes.groupBy("conv").agg(F.max("bytes").alias("most"), F.sum("bytes").alias("bytes")).filter(F.col("most") > most_bytes))
+    n_bytes = dense.agg(F.sum("bytes")).first()[0]
+    if not n_bytes:
+        shown = _shown(turns.join(turns.select("conv", "piece").distinct().join(stay, "conv"), ["conv", "piece"]))
+    else:
+        # Each has more than ``most_bytes`` of text, so there are few.
+        stay, few = cut(stay), F.broadcast(dense.select("conv"))
+        light = turns.join(few, "conv", "left_anti")
+        shown = _shown(light.join(light.select("conv", "piece").distinct().join(stay, "conv"), ["conv", "piece"]))
+        known = F.broadcast(cut(stay.join(few, "conv")))
+        placed = _by_place(turns.join(F.broadcast(known.select("conv")), "conv", "left_semi"), segment, n_bytes)
+        shown = shown.unionByName(_shown(placed.join(known, "conv")))
     none = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return shown.select(none("conv").alias("conv_id"), none("piece").alias("piece"), "n_turns", "n_copies", "rendered")
 

@@ -385,6 +385,22 @@ def test_chat_snapshots(spark):
     assert {r.conv_id for r in shuffled.collect()} == {3, 4, 6, 7, 8, None}
 
 
+def test_chat_snapshots_of_many_rows_a_turn(spark):
+    rng = random.Random(6)
+    rows = [(None, k % 10, rng.choice(["user", None]), f"x{rng.randrange(40)}") for k in range(3000)]
+    rows += [(1, None, "user", "same") for _ in range(500)] + [(2, k, "user", f"y{k}") for k in range(200)] + [(3, 0, "user", "y0")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = chat_snapshots.collapse_snapshots(table, segment=64, most_bytes=5000).collect()
+    shown = {i: sorted((r.piece, r.rendered) for r in got if r.conv_id == i) for i in (None, 1, 2, 3)}
+    assert not shown[3] and max(r.rendered.count("<|im_start|>") for r in got) == 64
+    first = lambda x: (x is not None, x or "")
+    for i in (None, 1, 2):
+        mine = sorted((r[1:] for r in rows if r[0] == i), key=lambda r: ((r[0] is not None, r[0] or 0), first(r[1]), r[2]))
+        assert [p for p, _ in shown[i]] == list(range(-(-len(mine) // 64)))
+        assert "".join(t for _, t in shown[i]) == "".join(f"<|im_start|>{r or ''}\n{t}<|im_end|>\n" for _, r, t in mine)
+        assert {(r.n_turns, r.n_copies) for r in got if r.conv_id == i} == {(len(mine), 1)}
+
+
 def test_components(spark):
     from splice_spark.llm.graph import star_components
 
