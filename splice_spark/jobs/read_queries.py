@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,8 @@ from splice_spark.operators import annotate, counts, gene_repair, genes, reads
 from splice_spark.sources import fixtures, tables
 
 
-def _gtf(spark, sf_dir):
-    return fixtures.gtf(spark, sf_dir)
+def _gtf(spark, sf_dir, whole=False):
+    return fixtures.gtf(spark, sf_dir, whole)
 
 
 def cigar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,33 +54,33 @@ def max_genomic_score(spark, sf_dir):
     return reads.max_genomic_score(fixtures.reads(spark, sf_dir).withColumn("qname", F.concat(F.lit("q"), F.substring("qname", -1, 1))), "10X")
 
 
-def gene_intervals(spark, sf_dir):
-    return genes.gene_intervals(_gtf(spark, sf_dir))
+def gene_intervals(spark, sf_dir, whole=False):
+    return genes.gene_intervals(_gtf(spark, sf_dir, whole))
 
 
-def gene_strands(spark, sf_dir):
-    return genes.gene_strands(_gtf(spark, sf_dir))
+def gene_strands(spark, sf_dir, whole=False):
+    return genes.gene_strands(_gtf(spark, sf_dir, whole))
 
 
-def _loci(spark, sf_dir):
-    r = fixtures.reads(spark, sf_dir)
+def _loci(spark, sf_dir, whole=False):
+    r = fixtures.reads(spark, sf_dir, fixtures.N_GENES if whole else 150)
     return r.select(reads.normalise_chrom(F.col("rname")).alias("chr"), "pos", reads.strand_from_flag(F.col("flag")).alias("read_strand"))
 
 
-def genes_at_locus(spark, sf_dir):
-    return genes.genes_at_locus(_loci(spark, sf_dir), genes.gene_intervals(_gtf(spark, sf_dir)))
+def genes_at_locus(spark, sf_dir, whole=False):
+    return genes.genes_at_locus(_loci(spark, sf_dir, whole), genes.gene_intervals(_gtf(spark, sf_dir, whole)))
 
 
-def genes_at_locus_stranded(spark, sf_dir):
-    return genes.genes_at_locus(_loci(spark, sf_dir), genes.gene_intervals(_gtf(spark, sf_dir)), True)
+def genes_at_locus_stranded(spark, sf_dir, whole=False):
+    return genes.genes_at_locus(_loci(spark, sf_dir, whole), genes.gene_intervals(_gtf(spark, sf_dir, whole)), True)
 
 
-def _named(spark, sf_dir, spread: int = 150):
-    return reads.class_input(fixtures.reads(spark, sf_dir, spread), _gtf(spark, sf_dir), "10X")
+def _named(spark, sf_dir, spread: int | str = 150, whole=False):
+    return reads.class_input(fixtures.reads(spark, sf_dir, spread), _gtf(spark, sf_dir, whole), "10X")
 
 
-def spliced_junctions(spark, sf_dir):
-    return _named(spark, sf_dir).select("sample_id", "id", "refName_ABR1", "UMI", "barcode", "read_strandR1", "juncPosR1A", "juncPosR1B", "geneR1A", "geneR1B", "chrR1A")
+def spliced_junctions(spark, sf_dir, whole=False):
+    return _named(spark, sf_dir, fixtures.N_GENES if whole else 150, whole).select("sample_id", "id", "refName_ABR1", "UMI", "barcode", "read_strandR1", "juncPosR1A", "juncPosR1B", "geneR1A", "geneR1B", "chrR1A")
 
 
 def _mates(spark, sf_dir):
@@ -137,13 +138,13 @@ def annotate_splices(spark, sf_dir):
     return annotate.annotate_splices(j.withColumns({"juncPosR1A": F.col("juncPosR1B"), "juncPosR1B": F.col("juncPosR1A")}), known).select("cell", "refName_newR1", "splice_ann")
 
 
-def gene_repair_names(spark, sf_dir):
-    out = gene_repair.modify_refnames(fixtures.class_input(spark, sf_dir), genes.gene_strands(_gtf(spark, sf_dir)))
+def gene_repair_names(spark, sf_dir, whole=False):
+    out = gene_repair.modify_refnames(fixtures.class_input(spark, sf_dir, whole), genes.gene_strands(_gtf(spark, sf_dir, whole)))
     return out.select("refName_ABR1", "refName_newR1", "chrR1A", "chrR1B", "juncPosR1A", "juncPosR1B", "geneR1A_uniq", "geneR1B_uniq", "gene_strandR1A", "gene_strandR1B")
 
 
-def weird_genes(spark, sf_dir):
-    one = gene_repair.resolve_shared_gene(gene_repair.drop_weird_genes(fixtures.class_input(spark, sf_dir)))
+def weird_genes(spark, sf_dir, whole=False):
+    one = gene_repair.resolve_shared_gene(gene_repair.drop_weird_genes(fixtures.class_input(spark, sf_dir, whole)))
     return one.select("refName_ABR1", "geneR1A", "geneR1B", "uniq_A", "uniq_B", "n_A", "n_B", "shared")
 
 
@@ -166,6 +167,9 @@ def io_by_chromosome(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, junction_table, attach_meta, annotate_exons, annotate_splices, weird_genes, io_tsv_roundtrip, io_by_chromosome)}
 QUERIES["gene_repair"] = gene_repair_names
+#: Queries that also run over all of part, as ``..._whole``; under their own names they keep the inputs of their SQL.
+WHOLE = ("gene_repair", "weird_genes", "gene_intervals", "gene_strands", "genes_at_locus", "genes_at_locus_stranded", "spliced_junctions")
+QUERIES |= {f"{name}_whole": partial(QUERIES[name], whole=True) for name in WHOLE}
 
 # SQL
 
@@ -294,3 +298,13 @@ UNION ALL SELECT qname, 'SLS', xc, xm FROM r WHERE flag & 4 = 0 UNION ALL SELECT
     "io_tsv_roundtrip": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A, juncPosR1B, numReads, splice_ann, called FROM j",
     "io_by_chromosome": f"WITH {_J} SELECT cell, refName_newR1, numReads, chrR1A FROM j WHERE called = 1",
 }
+
+
+def _whole_sql(sql: str) -> str:
+    """``sql`` with the inputs over all of part."""
+    for one, whole in ((fixtures.GTF, fixtures.GTF_WHOLE), (fixtures.CLASS_INPUT, fixtures.CLASS_INPUT_WHOLE)):
+        sql = sql.replace(fixtures.duck(one), fixtures.duck(whole))
+    return sql.replace(fixtures.duck(fixtures.READS, spread=150), fixtures.duck(fixtures.READS, spread=fixtures.N_GENES))
+
+
+ORACLE_SQL |= {f"{name}_whole": _whole_sql(ORACLE_SQL[name]) for name in WHOLE}

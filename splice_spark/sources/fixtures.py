@@ -73,6 +73,12 @@ FROM (
 ) AS t
 """
 
+_PART = " WHERE p_partkey <= 400"
+#: The same over all of part: annotation without gaps made on purpose, gene lists of all genes, and as many loci of reads as genes.
+GTF_WHOLE = GTF.replace(f"{_PART} AND p_partkey % 10 <> 0", "")
+CLASS_INPUT_WHOLE = CLASS_INPUT.replace(_PART, "").replace("CAST(p_partkey % 50 AS STRING)", "CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING)")
+N_GENES = "(SELECT CAST(floor(max(p_partkey) / 2) AS BIGINT) + 1 FROM {part})"
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -81,9 +87,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf_dir: str, sql: str, **values) -> DataFrame:
-    names = [t for t in TABLES if f"{{{t}}}" in sql]
     for k, v in values.items():
         sql = sql.replace(f"{{{{{k}}}}}", str(v))
+    names = [t for t in TABLES if f"{{{t}}}" in sql]
     return spark.sql(sql.replace('"start"', "`start`").replace('"end"', "`end`"), **{t: _table(spark, sf_dir, t) for t in names})
 
 
@@ -101,14 +107,14 @@ def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, JUNCTIONS)
 
 
-def reads(spark: SparkSession, sf_dir: str, spread: int = 150) -> DataFrame:
+def reads(spark: SparkSession, sf_dir: str, spread: int | str = 150) -> DataFrame:
     """Aligned reads; a small ``spread`` makes many reads of one junction."""
     return _run(spark, sf_dir, READS, spread=spread)
 
 
-def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, GTF)
+def gtf(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return _run(spark, sf_dir, GTF_WHOLE if whole else GTF)
 
 
-def class_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, CLASS_INPUT)
+def class_input(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return _run(spark, sf_dir, CLASS_INPUT_WHOLE if whole else CLASS_INPUT)
