@@ -54,6 +54,3 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
         out += h[j : j + m] * _ODD[j]
     return mix(out)
 
-
-def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(a * _ODD[62] + b * _ODD[63])

@@ -4,28 +4,37 @@ A window is ``window`` consecutive words of one document.  A word is removed if
 a window that covers it has a word sequence which also starts earlier (in a
 smaller doc_id, or earlier in the same document).
 
-Method.  With anchors of ``window / 2`` words, every window holds a whole
-non-overlapping anchor block of its document.  So
-
-1. each block of documents sends the hashes of its rolling anchor-length
-   windows, with a mark at those that start at a multiple of the anchor length
-   (the index), to the bucket of the hash;
-2. the bucket answers with two bits a hash: does it occur elsewhere, and is it
-   an indexed anchor;
-3. hits are extended: positions where all rolling windows inside a full window
-   repeat, and one of them is an indexed anchor, are candidates; runs of them
-   are the maximal repeats.  Their full-window hashes go to a second bucket,
-   which answers whether an earlier document has the same window.
-
-Hashes travel packed, each distinct one once a block, so a passage that a third
-of all documents share puts one entry a block into its bucket.  No pairs of
-documents are made.  Texts are shuffled once (compressed, by block); all three
-rounds read that one exchange.  Windows are equal if their 64-bit hashes are.
+Method.  An anchor has ``window / 2`` words.  The index holds the
+non-overlapping anchors of every document, those that start at a multiple of
+the anchor length; every window of any document holds a whole one of them.
+
+1. Each block of documents sends the hashes of all its rolling anchor-length
+   windows to the bucket of the hash, with a mark at those that are in the
+   index.  So every rolling window probes the index.
+2. The bucket answers two bits a hash: a hit (it is indexed, and stands in
+   another place too), and whether it repeats at all.
+3. A hit is extended to both sides while the rolling windows repeat.  A stretch
+   of ``window`` words or more around a hit is a candidate, and each full
+   window of it belongs to one hit inside it, that of the least hash, which is
+   the same one wherever the window stands.  The words of the windows of a hit
+   go to the bucket of the hit.
+4. There the windows are compared word by word; a window goes if an earlier
+   document, or an earlier place, has the same words.  Neighbours that go are
+   put together in the block: the maximal exact repeats.
+
+Without an index no window has a hit and nothing is removed.  Hashes only
+select what is compared; equality is that of the words.
+
+Hashes and windows travel packed, each distinct one once a block, so a passage
+that a third of all documents share puts one entry a block into its bucket.  No
+pairs of documents are made.  Texts are shuffled once (compressed, by block);
+all later rounds read that one exchange.
 
 Nulls and edges: a null text has no words; rows that share a doc_id are one
 place in the order, so neither is earlier; null doc_ids come last.  Each input
-row gives one output row.  The input must give the same rows per partition when
-a task is run again (a file scan or a checkpoint does).
+row gives one output row, an empty table none.  A document longer than a block
+is a block of its own.  The input must give the same rows per partition when a
+task is run again (a file scan or a checkpoint does).
 """
 
 from __future__ import annotations
@@ -40,50 +49,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary, bits, doc_chunks, id_text, parts_for, read_table, squeeze, total_bytes, trimmed, unbits, unsqueeze
-from .hashing import pair, windows, word_hashes
+from .hashing import mix, windows, word_hashes
 
 PACKET = "part long, block long, a binary, b binary, c binary, d binary"
 _LAST = np.iinfo(np.int64).max
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 class _Block:
     """Documents of one block in the order of their ids, as one word sequence."""
 
-    def __init__(self, ids: list, texts: list, window: int):
+    def __init__(self, ids: list, texts: list, window: int, buckets: int):
         order = sorted(range(len(ids)), key=lambda i: _LAST if ids[i] is None else ids[i])
         self.ids = [ids[i] for i in order]
         self.texts = [texts[i] for i in order]
-        data = b"\n".join(t or b"" for t in self.texts)
-        h, starts, ends = word_hashes(np.frombuffer(data, np.uint8))
+        self.data = b"\n".join(t or b"" for t in self.texts)
+        h, self.starts, self.ends = word_hashes(np.frombuffer(self.data, np.uint8))
         tops = np.concatenate(([0], np.cumsum([len(t or b"") + 1 for t in self.texts])))
-        self.bounds = np.searchsorted(starts, tops)  # word index of each document's first word
-        self.n = len(h)
-        self.window, self.anchor = window, window // 2
-        lens = np.diff(self.bounds)
-        self.start = (np.arange(self.n) - np.repeat(self.bounds[:-1], lens)).astype(np.int32)
+        bounds = np.searchsorted(self.starts, tops)  # word index of each document's first word
+        self.n, self.anchor = len(h), window // 2
+        lens = np.diff(bounds)
+        self.start = (np.arange(self.n) - np.repeat(bounds[:-1], lens)).astype(np.int32)
         self.left = np.repeat(lens, lens).astype(np.int32) - self.start  # words from here to the document's end
         self.doc = np.repeat(np.array([_LAST if i is None else i for i in self.ids], np.int64), lens)
+        # bucket above, 32 bits of the hash below
         self.roll = np.zeros(self.n, np.uint64)
         w = windows(h, self.anchor)
-        self.roll[: len(w)] = w
+        self.roll[: len(w)] = _bucket(w, buckets).astype(np.uint64) << np.uint64(32) | w & _LOW
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def probes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of whole rolling windows by rising hash, the hashes, and where a new one begins."""
         at = np.flatnonzero(self.left >= self.anchor)
         at = at[np.argsort(self.roll[at], kind="stable")]
         h = self.roll[at]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        return at, h, new
+        return at, h, _news(h)
+
+    def indexed(self, at: np.ndarray) -> np.ndarray:
+        """Which of these places start a block of the index."""
+        return self.start[at] % self.anchor == 0
+
+
+def _news(sorted_values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    new = np.ones(len(sorted_values), bool)
+    new[1:] = sorted_values[1:] != sorted_values[:-1]
+    return new
 
 
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
-    """0 to n - 1, rising with the hash."""
+    """0 to n - 1."""
     return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
-def _cuts(bucket: np.ndarray) -> np.ndarray:
-    return np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)])) if len(bucket) else np.zeros(1, np.int64)
+def _cuts(bucket: np.ndarray) -> list[int]:
+    return [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)] if len(bucket) else [0]
 
 
 def _rows(rows: list) -> pa.RecordBatch:
@@ -91,123 +110,188 @@ def _rows(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), *(binary(list(c)) for c in cols[2:])], names=["part", "block", "a", "b", "c", "d"])
 
 
+def _table(rows: list) -> pa.Table:
+    return pa.Table.from_batches([_rows(rows)])
+
+
+def _rising(values: np.ndarray) -> bytes:
+    """Rising 32-bit numbers as the steps between them, compressed by byte planes."""
+    steps = np.diff(values.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
+    return squeeze(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unrising(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(unsqueeze(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return squeeze(values.tobytes())
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(unsqueeze(data), kind)
+
+
 def _send(size: int, window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 24
         for k, (ids, texts) in enumerate(doc_chunks(batches, size)):
-            b = _Block(ids, texts, window)
+            b = _Block(ids, texts, window, buckets)
             no = base + k
             lens = np.array([-1 if t is None else len(t) for t in b.texts], np.int64)
             keys = np.array([_LAST if i is None else i for i in b.ids], np.int64)
-            rows = [(no, no, squeeze(b"".join(t or b"" for t in b.texts)), squeeze(lens.tobytes()), squeeze(keys.tobytes()), bits(np.array([i is None for i in b.ids], bool)))]
-            at, h, new = b.anchors()
+            rows = [(no, no, squeeze(b"".join(t or b"" for t in b.texts)), _packed(lens), _packed(keys), bits(np.array([i is None for i in b.ids], bool)))]
+            at, h, new = b.probes()
             if len(h):
                 run_of = np.flatnonzero(new)
                 many = np.diff(np.append(run_of, len(h))) > 1
-                marked = np.logical_or.reduceat(b.start[at] % b.anchor == 0, run_of)
+                marked = np.logical_or.reduceat(b.indexed(at), run_of)
                 h = h[run_of]
-                bucket = _bucket(h, buckets)
+                bucket = h >> np.uint64(32)
                 for lo, hi in zip(cut := _cuts(bucket), cut[1:], strict=False):
-                    rows.append((-1 - int(bucket[lo]), no, h[lo:hi].astype(np.uint32).tobytes(), bits(many[lo:hi]), bits(marked[lo:hi]), None))
+                    rows.append((-1 - int(bucket[lo]), no, _rising(h[lo:hi] & _LOW), bits(many[lo:hi]), bits(marked[lo:hi]), None))
             yield _rows(rows)
 
     return run
 
 
-def _match_anchors(key: tuple, table: pa.Table) -> pa.Table:
-    """Of each hash sent to a bucket: whether it repeats, and whether it is an indexed anchor."""
+def _probe(key: tuple, table: pa.Table) -> pa.Table:
+    """Of each hash sent to a bucket: whether it hits the index beside another place, and whether it repeats.  Packets without a repeat get no answer."""
     if key[0].as_py() >= 0 or not table.num_rows:
-        return pa.Table.from_batches([_rows([])])
+        return _table([])
     block, a, many, marked = (table.column(c).to_pylist() for c in ("block", "a", "b", "c"))
-    sizes = [len(x) // 4 for x in a]
-    h = np.frombuffer(b"".join(a), np.uint32)
+    a = [_unrising(x) for x in a]
+    sizes = [len(x) for x in a]
+    h = np.concatenate(a)
     order = np.argsort(h, kind="stable")
-    h = h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    runs = np.flatnonzero(new)
-    many = np.concatenate([unbits(x, n) for x, n in zip(many, sizes, strict=True)])[order]
-    marked = np.concatenate([unbits(x, n) for x, n in zip(marked, sizes, strict=True)])[order]
+    runs = np.flatnonzero(_news(h[order]))
+    many, marked = (np.concatenate([unbits(x, n) for x, n in zip(y, sizes, strict=True)])[order] for y in (many, marked))
     lens = np.diff(np.append(runs, len(h)))
-    again, index = np.empty(len(h), bool), np.empty(len(h), bool)
-    again[order] = np.repeat((lens > 1) | np.logical_or.reduceat(many, runs), lens)
-    index[order] = np.repeat(np.logical_or.reduceat(marked, runs), lens)
-    ends = np.cumsum(sizes)
-    bucket = -1 - key[0].as_py()
-    return pa.Table.from_batches([_rows([(no, bucket, bits(again[e - n : e]), bits(index[e - n : e]), n.to_bytes(8, "little"), None) for no, n, e in zip(block, sizes, ends, strict=True)])])
+    twice = (lens > 1) | np.logical_or.reduceat(many, runs)
+    again, hit = np.empty(len(h), bool), np.empty(len(h), bool)
+    again[order] = np.repeat(twice, lens)
+    hit[order] = np.repeat(twice & np.logical_or.reduceat(marked, runs), lens)
+    ends, bucket = np.cumsum(sizes), -1 - key[0].as_py()
+    return _table([(no, bucket, bits(hit[e - n : e]), bits(again[e - n : e]), None, None) for no, n, e in zip(block, sizes, ends, strict=True) if again[e - n : e].any()])
 
 
-def _open(table: pa.Table, window: int) -> _Block:
+def _opened(table: pa.Table) -> tuple[list, list]:
+    """Ids and texts of a block's own row."""
     own = table.slice(0, 1)
     text, lens, keys, none = (own.column(c)[0].as_py() for c in "abcd")
-    text = unsqueeze(text)
-    lens = np.frombuffer(unsqueeze(lens), np.int64)
-    keys = np.frombuffer(unsqueeze(keys), np.int64).tolist()
+    text, lens, keys = unsqueeze(text), _unpacked(lens, np.int64), _unpacked(keys, np.int64).tolist()
     ids = [None if n else k for k, n in zip(keys, unbits(none, len(keys)), strict=True)]
     ends = np.cumsum(np.maximum(lens, 0)).tolist()
-    return _Block(ids, [None if n < 0 else text[e - n : e] for n, e in zip(lens.tolist(), ends, strict=True)], window)
+    return ids, [None if n < 0 else text[e - n : e] for n, e in zip(lens.tolist(), ends, strict=True)]
+
+
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def later(words: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
+    """Of windows at the places ``at`` of a sequence of word numbers: whether an equal one has a smaller (doc, start).
+
+    Hashes bring equal windows together; windows whose words differ from the first of their hash are compared again by themselves.
+    """
+    late = np.zeros(len(at), bool)
+    todo, h = np.arange(len(at)), windows(mix(words.astype(np.uint64)), window)[at] if len(at) else np.zeros(0, np.uint64)
+    while len(todo):
+        order = np.lexsort((start[todo], doc[todo], h[todo]))
+        mine = todo[order]
+        new = _news(h[mine])
+        lead = mine[np.flatnonzero(new)][np.cumsum(new) - 1]
+        same = np.ones(len(mine), bool)
+        for j in range(window):
+            same &= words[at[mine] + j] == words[at[lead] + j]
+        late[mine[same]] = ((doc[mine] != doc[lead]) | (start[mine] != start[lead]))[same]
+        todo = mine[~same]
+    return late
+
+
+def _around_hits(b: _Block, hit: np.ndarray, again: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the candidate windows, and the place of the hit of least hash (the leftmost of equal ones) in each."""
+    inner = window - b.anchor + 1
+    runs, hits = np.concatenate(([0], np.cumsum(again))), np.concatenate(([0], np.cumsum(hit)))
+    p = np.flatnonzero(b.left >= window)
+    p = p[(hits[p + inner] > hits[p]) & (runs[p + inner] - runs[p] == inner)]
+    best, least = np.zeros(len(p), np.int64), np.full(len(p), ~np.uint64(0))
+    for o in range(inner):
+        better = hit[p + o] & (b.roll[p + o] < least)
+        best[better], least[better] = p[better] + o, b.roll[p[better] + o]
+    return p, best
 
 
 def _extend(window: int, buckets: int):
     def run(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
-        """Candidate windows of a block: those already repeated inside it, and the first of each, for its bucket."""
-        if key[0].as_py() < 0 or not mine.num_rows:
-            return pa.Table.from_batches([_rows([])])
+        """Candidate windows of a block: those that follow an equal one inside it, and the words of the others, for the buckets of their hits."""
+        if key[0].as_py() < 0 or not mine.num_rows or not answers.num_rows:
+            return _table([])
         no = key[0].as_py()
-        b = _open(mine, window)
-        at, h, new = b.anchors()
-        got = sorted(zip(*(answers.column(c).to_pylist() for c in ("block", "a", "b", "c")), strict=True), key=lambda x: x[0])
-        if not got:
-            return pa.Table.from_batches([_rows([])])
-        sizes = [int.from_bytes(x[3], "little") for x in got]
-        which = np.cumsum(new) - 1
-        again, index = np.zeros(b.n + 1, np.int32), np.zeros(b.n + 1, np.int32)
-        again[at + 1] = np.concatenate([unbits(x[1], n) for x, n in zip(got, sizes, strict=True)])[which]
-        index[at + 1] = np.concatenate([unbits(x[2], n) for x, n in zip(got, sizes, strict=True)])[which] & (again[at + 1] > 0)
-        again, index = np.cumsum(again), np.cumsum(index)
-        inner = window - b.anchor + 1
-        p = np.flatnonzero(b.left >= window)
-        p = p[(again[p + inner] - again[p] == inner) & (index[p + inner] - index[p] > 0)]
-        h = pair(b.roll[p], b.roll[p + window - b.anchor])
-        rank = np.searchsorted(np.unique(b.doc), b.doc[p]) << 32 | b.start[p]  # equal ids, equal place in the order
-        order = np.lexsort((rank, h))
-        p, h, rank = p[order], h[order], rank[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        first = rank == rank[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else new
-        rows = [(no, no, squeeze(np.sort(p[~first]).astype(np.int32).tobytes()), None, None, None)]
-        p, h = p[first], h[first]
-        bucket = _bucket(h, buckets)
+        b = _Block(*_opened(mine), window, buckets)
+        at, h, new = b.probes()
+        h = h[new]
+        first = np.searchsorted(h, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+        flags = np.zeros((2, len(h)), bool)
+        for bucket, hit, again in zip(*(answers.column(c).to_pylist() for c in ("block", "a", "b")), strict=True):
+            lo, hi = first[bucket], first[bucket + 1]
+            flags[:, lo:hi] = unbits(hit, hi - lo), unbits(again, hi - lo)
+        places = np.zeros((2, b.n), bool)
+        places[:, at] = flags[:, np.cumsum(new) - 1]
+        p, hit = _around_hits(b, *places, window)
+        if not len(p):
+            return _table([])
+        covered = np.cumsum(np.bincount(p, minlength=b.n + 1) - np.bincount(p + window, minlength=b.n + 1))[:-1] > 0
+        at = np.flatnonzero(covered)
+        numbers, words = _Numbers(), np.zeros(b.n, np.int32)
+        words[at] = np.fromiter((numbers[b.data[s:e]] for s, e in zip(b.starts[at].tolist(), b.ends[at].tolist(), strict=True)), np.int32, len(at))
+        late = later(words, p, b.doc[p], b.start[p], window)
+        rows = [(no, no, _packed(p[late].astype(np.int32)), None, None, None)]
+        # windows of a hit stand within its reach, so a mask of their starts will do
+        p, hit = p[~late], hit[~late]
+        heads = np.flatnonzero(_news(hit))
+        begin, end = p[heads], p[np.append(heads[1:], len(p)) - 1] + window
+        mask = np.add.reduceat(np.int64(1) << (p - np.repeat(begin, np.diff(np.append(heads, len(p))))), heads).astype(np.int32)
+        order = np.argsort(b.roll[hit[heads]], kind="stable")
+        begin, end, mask, bucket = begin[order], end[order], mask[order], (b.roll[hit[heads]][order] >> np.uint64(32)).astype(np.int64)
         for lo, hi in zip(cut := _cuts(bucket), cut[1:], strict=False):
-            q = p[lo:hi]
-            rows.append((-1 - int(bucket[lo]), no, h[lo:hi].tobytes(), squeeze(b.doc[q].tobytes()), squeeze(b.start[q].tobytes()), squeeze(q.astype(np.int32).tobytes())))
-        return pa.Table.from_batches([_rows(rows)])
+            q, e = begin[lo:hi], end[lo:hi]
+            text = b"\n".join(b.data[s:t] for s, t in zip(b.starts[q].tolist(), b.ends[e - 1].tolist(), strict=True))
+            where = np.stack([q.astype(np.int32), (e - q).astype(np.int32), mask[lo:hi], b.start[q]])
+            rows.append((-1 - int(bucket[lo]), no, squeeze(text), _packed(where), _packed(b.doc[q]), None))
+        return _table(rows)
 
     return run
 
 
-def _earliest(key: tuple, table: pa.Table) -> pa.Table:
-    """Places of windows of which an earlier one is in another block; a block's own row passes."""
-    part = key[0].as_py()
-    if part >= 0:
-        return table
-    block, h, doc, start, at = (table.column(c).to_pylist() for c in ("block", "a", "b", "c", "d"))
-    sizes = [len(x) // 8 for x in h]
-    h = np.frombuffer(b"".join(h), np.uint64)
-    doc = np.frombuffer(b"".join(map(unsqueeze, doc)), np.int64)
-    start = np.frombuffer(b"".join(map(unsqueeze, start)), np.int32)
-    order = np.lexsort((start, doc, h))
-    new = np.ones(len(h), bool)
-    new[1:] = h[order][1:] != h[order][:-1]
-    lead = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    late = np.empty(len(h), bool)
-    late[order] = (doc[order] != doc[lead]) | (start[order] != start[lead])
-    rows = []
-    for no, n, e, q in zip(block, sizes, np.cumsum(sizes), at, strict=True):
-        q = np.frombuffer(unsqueeze(q), np.int32)[late[e - n : e]]
-        if len(q):
-            rows.append((no, -1, squeeze(q.tobytes()), None, None, None))
-    return pa.Table.from_batches([_rows(rows)])
+def _settle(window: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Places of windows of which an earlier equal one is in another block; a block's own row passes."""
+        if key[0].as_py() >= 0:
+            return table
+        numbers, words, where, docs, blocks = _Numbers(), [], [], [], []
+        for no, text, some, doc in zip(*(table.column(c).to_pylist() for c in ("block", "a", "b", "c")), strict=True):
+            words.append(np.fromiter(map(numbers.__getitem__, unsqueeze(text).split()), np.int32))
+            where.append(_unpacked(some, np.int32).reshape(4, -1))
+            docs.append(_unpacked(doc, np.int64))
+            blocks.append(np.full(where[-1].shape[1], no))
+        words, docs, blocks = np.concatenate(words), np.concatenate(docs), np.concatenate(blocks)
+        begin, length, mask, start = np.concatenate(where, axis=1)
+        first = np.cumsum(length, dtype=np.int64) - length
+        stretch, step = np.nonzero(mask[:, None] >> np.arange(window // 2 + 1) & 1)
+        late = later(words, first[stretch] + step, docs[stretch], start[stretch] + step, window)
+        stretch, place = stretch[late], (begin[stretch] + step)[late]
+        order = np.argsort(blocks[stretch], kind="stable")
+        no, place = blocks[stretch][order], place[order]
+        cut = _cuts(no)
+        return _table([(int(no[lo]), -1, _packed(place[lo:hi].astype(np.int32)), None, None, None) for lo, hi in zip(cut, cut[1:], strict=False)])
+
+    return run
 
 
 def _keep(window: int):
@@ -217,26 +301,23 @@ def _keep(window: int):
         """Cover the repeated windows and write each document's kept words."""
         if key[0].as_py() < 0 or not mine.num_rows:
             return out.empty_table()
-        b = _open(mine, window)
-        mark = np.zeros(b.n + 1, np.int32)
-        for x in found.column("a").to_pylist():
-            mark[np.frombuffer(unsqueeze(x), np.int32) + 1] = 1
-        c = np.cumsum(mark)
-        covered = c[1:] - np.concatenate((np.zeros(min(window, b.n), np.int32), c[1 : max(1, b.n + 1 - window)])) > 0
-        ids, counts, spans, kept = [], [], [], []
-        for i, t, lo, hi in zip(b.ids, b.texts, b.bounds.tolist(), b.bounds[1:].tolist(), strict=False):
-            words, gone = (t or b"").split(), covered[lo:hi]
-            ids.append(i)
-            counts.append(hi - lo)
-            if gone.any():
-                edges = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
-                spans.append([{"start": s, "end": e} for s, e in zip(edges[0::2], edges[1::2], strict=True)])
-                stay = [0, *edges, hi - lo]
+        late = np.concatenate([np.zeros(0, np.int32), *(_unpacked(x, np.int32) for x in found.column("a").to_pylist())])
+        late.sort()
+        rows, lo = [], 0
+        for i, t in zip(*_opened(mine), strict=True):
+            words = (t or b"").split()
+            hi = lo + len(words)
+            p = late[np.searchsorted(late, lo) : np.searchsorted(late, hi)] - lo
+            spans = []
+            if len(p):
+                mark = np.bincount(p, minlength=len(words) + 1) - np.bincount(p + window, minlength=len(words) + 1)
+                edges = np.flatnonzero(np.diff(np.cumsum(mark)[:-1] > 0, prepend=False, append=False)).tolist()
+                spans = [{"start": s, "end": e} for s, e in zip(edges[0::2], edges[1::2], strict=True)]
+                stay = [0, *edges, len(words)]
                 words = [w for s, e in zip(stay[0::2], stay[1::2], strict=True) for w in words[s:e]]
-            else:
-                spans.append([])
-            kept.append(b" ".join(words))
-        return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(spans, out.field("removed").type), pa.array(kept, pa.binary()).cast(pa.string())], schema=out)
+            rows.append((i, hi - lo, spans, b" ".join(words).decode()))
+            lo = hi
+        return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
     return run
 
@@ -244,16 +325,18 @@ def _keep(window: int):
 def remove_repeats(docs: DataFrame, window: int = 20, block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """``doc_id, n_words, removed array<struct<start,end>>`` (word indexes, end exclusive)``, kept_text``, a row for each input row.
 
-    ``window`` must be even.  A task holds one block (``block_bytes`` of text, or
-    one longer document) or one bucket (hashes of ``bucket_bytes`` of text).
+    ``window`` must be even and 60 at most.  A task holds one block (``block_bytes`` of text, or
+    one longer document) or one bucket (hashes, or windows, of ``bucket_bytes`` of text).
     """
+    if window % 2 or not 2 <= window <= 60:
+        raise ValueError("window must be even, and between 2 and 60")
     docs = id_text(docs)
     n = total_bytes(docs)
     buckets = max(1, math.ceil(n / bucket_bytes))
     sent = docs.mapInArrow(trimmed(_send(block_bytes, window, buckets)), PACKET).repartition(parts_for(docs.sparkSession, n), "part")
-    answers = sent.groupBy("part").applyInArrow(_match_anchors, PACKET)
+    answers = sent.groupBy("part").applyInArrow(_probe, PACKET)
     asked = sent.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_extend(window, buckets), PACKET)
-    found = asked.groupBy("part").applyInArrow(_earliest, PACKET)
+    found = asked.groupBy("part").applyInArrow(_settle(window), PACKET)
     return sent.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_keep(window), "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept_text string")
 
 

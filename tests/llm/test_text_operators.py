@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import public_tokenizers
 import pytest
@@ -97,6 +98,53 @@ def test_substring_dedup_of_blocks_of_few_words(spark):
         assert counted((r.doc_id, r.n_words, sum(s.end - s.start for s in r.removed), r.kept_text) for r in got) == counted(brute_removed(rows))
 
 
+def _in_one_process(rows, monkeypatch, window=20, buckets=3):
+    """The steps of the operator by hand, so that a patched index is the one that is used."""
+    import pyarrow as pa
+
+    sent = []
+    for no, part in enumerate((rows[0::2], rows[1::2])):
+        batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], pa.int64()), pa.array([t for _, t in part], pa.string())], names=["doc_id", "text"])
+        monkeypatch.setattr(substring_dedup, "TaskContext", SimpleNamespace(get=lambda no=no: SimpleNamespace(partitionId=lambda: no)))
+        sent += [r for b in substring_dedup._send(1 << 30, window, buckets)(iter([batch])) for r in b.to_pylist()]
+
+    def groups(found):
+        out = {}
+        for r in found:
+            out.setdefault(r["part"], []).append(r)
+        return out
+
+    table = lambda some: pa.Table.from_pylist(some, substring_dedup._rows([]).schema)
+    each = lambda f, one, *others: [r for k, v in one.items() for r in f((pa.scalar(k),), table(v), *(table(o.get(k, [])) for o in others)).to_pylist()]
+    sent = groups(sent)
+    answers = groups(each(substring_dedup._probe, sent))
+    asked = groups(each(substring_dedup._extend(window, buckets), sent, answers))
+    found = groups(each(substring_dedup._settle(window), asked))
+    return each(substring_dedup._keep(window), sent, found)
+
+
+def test_substring_dedup_needs_its_index(rows, monkeypatch):
+    removed = lambda: sum(s["end"] - s["start"] for r in _in_one_process(rows, monkeypatch) for s in r["removed"])
+    assert removed() == sum(n for _, _, n, _ in brute_removed(rows)) > 0
+    monkeypatch.setattr(substring_dedup._Block, "indexed", lambda self, at: at < 0)
+    assert removed() == 0
+
+
+def test_equal_hashes_are_no_equal_windows(monkeypatch):
+    """With one hash for all windows the words alone decide."""
+    import numpy as np
+
+    monkeypatch.setattr(substring_dedup, "windows", lambda h, n: np.zeros(len(h) - n + 1, np.uint64))
+    words = np.array([1, 2, 3, 1, 2, 3, 2, 2, 3, 1, 2, 9])
+    at = np.arange(11)
+    late = substring_dedup.later(words, at, np.zeros(11, np.int64), at, 2)
+    seen, want = set(), []
+    for k in at:
+        want.append((w := tuple(words[k : k + 2])) in seen)
+        seen.add(w)
+    assert late.tolist() == want
+
+
 def brute_print(t):
     w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     grams = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
