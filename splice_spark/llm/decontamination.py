@@ -1,44 +1,53 @@
 """Benchmark decontamination on a distributed positional inverted index.
 
-The index is split by document: a shard is a run of documents of a partition,
+Index.  It is split by document: a shard is a run of documents of a partition,
 one row with the shard's terms and, for each, the rising positions at which it
-stands.  It can be stored and searched again; for one benchmark it keeps only
-that benchmark's terms, which is the selection pushed into the index.
+stands.  It is stored as a table in the shared folder and searched from there;
+for one benchmark it holds that benchmark's terms only, which is the selection
+pushed into the index.  Counts of terms in all documents are an aggregate of it.
 
-Search, a shard at a time: for each phrase the lists are taken from the rarest
-term of the shard; its positions less its offset are the candidate starts,
-which the other terms' offset-adjusted lists cut down one after another.  A
-phrase with a term that the shard lacks costs nothing.  Neither step shuffles.
+Phrases.  A shard is searched from its lists alone.  The terms of a phrase are
+taken from the one that is rarest in all documents: the positions in its list,
+less its offset, are the candidate starts, which are intersected with the
+offset-adjusted lists of the other terms, the next rarest first.
 
-The benchmark is sent to all tasks only in parts of at most ``most_bytes`` of
-text; a larger one is searched part by part, and the parts' hits are merged by
-document.
+Proximity.  The ``need`` rarest terms of an item (of those that occur, by their
+counts in all documents) must stand within ``slop`` words of one document; every
+window around an occurrence of the rarest is looked at, whatever the shards are.
+
+Benchmark.  Its texts are cut by Spark into pieces of at most ``piece_words``
+words, which overlap so that no phrase is lost.  Pieces are sent to all tasks as
+term numbers and a vocabulary, about as large as the text, in parts of at most
+``most_bytes`` of text; a larger benchmark is searched part by part, and the
+parts' hits are merged by document.
 
 Nulls and edges: a null text has no words; an item without words matches
-nothing; repeated items count once by item_id; each document row gives a row.
-The input must give the same rows per partition when a task is run again.
+nothing; repeated items count once by item_id; each document row gives a row,
+an empty table none, an empty benchmark no hits.  The input must give the same
+rows per partition when a task is run again.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, cut, doc_chunks, id_text, numbered, read_table, trimmed, without_rows
+from .common import ROW, cut, doc_chunks, id_text, ids_and_bytes, numbered, read_table, trimmed, without_rows
 
 #: Lower-cases A-Z; other ASCII but digits and letters separates words; bytes from 0x80 belong to words.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _AT_ONCE = 1 << 22
 
 INDEX = "shard long, doc_ids array<long>, n_words array<long>, terms array<binary>, counts array<long>, positions array<int>"
-HITS = "shard long, ordinal long, doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<long>"
+FOUND = "doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<long>, near array<struct<item:long,start:long,end:long>>"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -72,123 +81,239 @@ def _index(terms: list[bytes] | None, size: int):
 
 
 def build_index(docs: DataFrame, terms: list[bytes] | None = None, shard_bytes: int = 4 << 20) -> DataFrame:
-    """A row a shard, of all words or only of ``terms`` (a list of checked size)."""
-    return id_text(docs).mapInArrow(trimmed(_index(terms, shard_bytes)), INDEX)
+    """A row a shard, of all words or only of ``terms`` (a list of checked size), stored in the shared folder."""
+    return cut(id_text(docs).mapInArrow(trimmed(_index(terms, shard_bytes)), INDEX))
+
 
+def term_counts(index: DataFrame) -> DataFrame:
+    """``term, n``: occurrences in all documents."""
+    pairs = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x"))
+    return pairs.groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.counts").alias("n"))
 
-class _Phrases:
-    """Distinct phrases of a part of the benchmark, by length, and the items they come from."""
 
-    def __init__(self, items: list[tuple[int, bytes | None]], window: int):
-        self.terms: dict[bytes, int] = {}
-        found: dict[tuple, set] = {}
-        for item, text in items:
-            seq = [self.terms.setdefault(w, len(self.terms)) for w in words_of(text)]
-            n = min(window, len(seq))
-            for k in range(len(seq) - n + 1 if n else 0):
-                found.setdefault(tuple(seq[k : k + n]), set()).add(item)
-        self.by_length = {}
-        for n in sorted({len(p) for p in found}):
-            some = [p for p in found if len(p) == n]
-            self.by_length[n] = (np.array(some, np.int64).reshape(len(some), n), [sorted(found[p], key=str) for p in some])
+def _cut_items(window: int, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, t in zip(*ids_and_bytes(batch), strict=True):
+                words = words_of(t)
+                for k in range(0, max(1, len(words) - window + 1) if words else 0, most):
+                    rows.append((i, b" ".join(words[k : k + most + window - 1])))
+            ids, texts = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], names=["item_id", "words"])
+
+    return run
+
+
+def cut_items(benchmark: DataFrame, window: int = 13, piece_words: int = 1 << 16) -> DataFrame:
+    """``item_id, words`` (normalised, joined by spaces): pieces of the items that overlap by ``window - 1`` words."""
+    items = id_text(benchmark, "item_id").toDF("item_id", "text").dropDuplicates()
+    return items.mapInArrow(trimmed(_cut_items(window, piece_words)), "item_id long, words binary")
+
+
+def rarest_terms(pieces: DataFrame, counts: DataFrame, need: int) -> DataFrame:
+    """``item_id, terms``: the ``need`` (or all, if fewer) distinct words of an item that are the rarest of those that occur, rarest first; no row where too few occur."""
+    key = F.coalesce(F.col("item_id").cast("string"), F.lit("-"))  # a null id is an item too
+    words = pieces.select("item_id", key.alias("item"), F.explode(F.split(F.col("words").cast("string"), " ")).alias("word")).distinct()
+    wanted = words.groupBy("item").agg(F.least(F.lit(need), F.count("*")).alias("wanted"))
+    there = words.join(counts.select(F.col("term").cast("string").alias("word"), "n"), "word")
+    ranked = there.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("n", "word"))).filter(F.col("rank") <= need)
+    best = ranked.groupBy("item").agg(F.first("item_id").alias("item_id"), F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("t"))  # at most ``need`` an item
+    return best.join(wanted, "item").filter("size(t) >= wanted").select("item_id", F.transform("t", lambda x: x["word"]).alias("terms"))
+
+
+@dataclass
+class Phrases:
+    """A part of the benchmark as term numbers: pieces in a row, where each begins, and its item; terms' places by count; terms to be near."""
+
+    terms: list[bytes]
+    seq: np.ndarray
+    first: np.ndarray
+    items: list
+    rarity: np.ndarray
+    near: list[tuple[int | None, np.ndarray]]
+
+    @classmethod
+    def of(cls, pieces: list[tuple[int | None, bytes]], near: list[tuple[int | None, list[str]]]) -> Phrases:
+        numbers: dict[bytes, int] = {}
+        seqs = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in words.split(b" ")), np.int32) for _, words in pieces]
+        for _, words in near:
+            for w in words:
+                numbers.setdefault(w.encode(), len(numbers))
+        first = np.cumsum([0, *map(len, seqs)])
+        out = cls(list(numbers), np.concatenate(seqs) if seqs else np.zeros(0, np.int32), first, [i for i, _ in pieces], np.zeros(len(numbers), np.int32), [])
+        out.near = out.numbered(near)
+        return out
+
+    def numbered(self, near: list[tuple[int | None, list[str]]]) -> list[tuple[int | None, np.ndarray]]:
+        numbers = {t: k for k, t in enumerate(self.terms)}
+        return [(i, np.array([numbers[w.encode()] for w in words], np.int64)) for i, words in near]
+
+    def rank_by(self, counts: dict[bytes, int]) -> None:
+        """Places of the terms by their counts in all documents, the rarest first."""
+        self.rarity[np.lexsort((np.arange(len(self.terms)), [counts.get(t, 0) for t in self.terms]))] = np.arange(len(self.terms), dtype=np.int32)
+
+    def by_length(self, window: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Phrase lengths, and where phrases of each begin: whole pieces, or all windows of the longer ones."""
+        lens = np.diff(self.first)
+        for n in np.unique(np.minimum(lens, window)).tolist():
+            some = np.flatnonzero(lens == n) if n < window else np.flatnonzero(lens >= window)
+            many = np.where(lens[some] >= window, lens[some] - window + 1, 1)
+            yield n, np.repeat(self.first[some] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
 
 
 class _Shard:
-    """One row of the index, with terms numbered as ``terms`` has them."""
+    """One row of the index: posting lists by term number, as one rising array of (term, position)."""
 
     def __init__(self, row: dict, terms: dict[bytes, int]):
-        n = sum(row["n_words"])
-        self.counts = np.zeros(len(terms), np.int64)
-        self.seq = np.full(n, -1, np.int64)
-        self.starts = np.zeros(len(terms), np.int64)
-        self.positions = np.asarray(row["positions"], np.int64)
-        at = 0
-        for term, count in zip(row["terms"], row["counts"], strict=True):
-            if (k := terms.get(term)) is not None:
-                self.counts[k], self.starts[k] = count, at
-                self.seq[self.positions[at : at + count]] = k
-            at += count
-        self.doc = np.repeat(np.arange(len(row["n_words"])), row["n_words"])
-
-    def phrases(self, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Phrase numbers and start positions of all occurrences of ``table``'s rows."""
-        length = table.shape[1]
-        sizes = self.counts[table]
-        rare = np.argsort(sizes, axis=1, kind="stable")
-        least = sizes[np.arange(len(table)), rare[:, 0]]
-        live = np.flatnonzero(least)
-        groups = np.cumsum(least[live]) // _AT_ONCE
+        self.ends = np.cumsum(row["n_words"])
+        self.n = int(self.ends[-1]) if len(self.ends) else 0
+        known = np.array([terms.get(t, -1) for t in row["terms"]], np.int64)
+        counts = np.asarray(row["counts"], np.int64)
+        keys = np.repeat(known, counts) << 32 | np.asarray(row["positions"], np.int64)
+        self.keys = np.sort(keys[np.repeat(known, counts) >= 0])
+        self.counts = np.bincount(known[known >= 0], weights=counts[known >= 0], minlength=len(terms)).astype(np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def doc_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, at, "right")
+
+    def list_of(self, term: int) -> np.ndarray:
+        return self.keys[self.starts[term] : self.starts[term] + self.counts[term]] & 0xFFFFFFFF
+
+    def stand_at(self, terms: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Whether each position is in the list of its term."""
+        keys = terms.astype(np.int64) << 32 | at
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] == keys
+
+    def find(self, phrases: Phrases, n: int, begin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of phrases of ``n`` terms from ``begin`` on: those that occur and their start positions, an element for each occurrence."""
+        lists = np.zeros(len(begin), np.int8 if n < 128 else np.int32)
+        rarest = np.full(len(begin), np.iinfo(np.int32).max, np.int32)
+        for k in range(n):  # where the rarest term of each phrase stands
+            here = phrases.rarity[phrases.seq[begin + k]]
+            lists[here < rarest] = k
+            rarest = np.minimum(rarest, here)
+        sizes = self.counts[phrases.seq[begin + lists]]
+        live = np.flatnonzero(sizes)
+        groups = np.cumsum(sizes[live] + 32) // _AT_ONCE
         for g in np.unique(groups):
             p = live[groups == g]
-            n = least[p]
-            first = self.starts[table[p, rare[p, 0]]]
-            ends = np.cumsum(n)
-            at = self.positions[np.repeat(first - ends + n, n) + np.arange(int(ends[-1]))]
-            p = np.repeat(p, n)
-            at = at - rare[p, 0]
-            fits = (at >= 0) & (at + length <= len(self.seq))
-            p, at = p[fits], at[fits]
-            for k in range(1, length):
-                col = rare[p, k]
-                fits = self.seq[at + col] == table[p, col]
-                p, at = p[fits], at[fits]
-            fits = self.doc[at] == self.doc[at + length - 1]
-            if fits.any():
-                yield p[fits], at[fits]
-
-
-def _search(phrases: _Phrases):
-    schema = pa.schema([("shard", pa.int64()), ("ordinal", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.int64()))])
+            order = np.argsort(phrases.rarity[phrases.seq[begin[p][:, None] + np.arange(n)]], axis=1, kind="stable")
+            many, ends = sizes[p], np.cumsum(sizes[p])
+            lead = self.starts[phrases.seq[begin[p] + order[:, 0]]]
+            at = self.keys[np.repeat(lead - ends + many, many) + np.arange(int(ends[-1]))] & 0xFFFFFFFF
+            q = np.repeat(np.arange(len(p)), many)
+            at = at - order[q, 0]
+            fits = (at >= 0) & (at + n <= self.n)
+            q, at = q[fits], at[fits]
+            fits = self.doc_of(at) == self.doc_of(at + n - 1)
+            q, at = q[fits], at[fits]
+            for k in range(1, n):  # intersect with the next list, adjusted by its offset
+                if not len(q):
+                    break
+                offset = order[q, k]
+                fits = self.stand_at(phrases.seq[begin[p[q]] + offset], at + offset)
+                q, at = q[fits], at[fits]
+            if len(q):
+                yield begin[p[q]], at
+
+    def near(self, terms: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of the shortest window (the leftmost of equal ones) around each occurrence of the first term that has all ``terms``, where it has ``slop`` words at most."""
+        lists = [self.list_of(t) for t in terms.tolist()]
+        at = lists[0]
+        far = self.n + 2 * slop  # beyond every window
+        for other in lists[1:]:  # one within reach on either side
+            at = at[np.append(other, far)[np.searchsorted(other, at - slop + 1)] < at + slop]
+        low, size = at.copy(), np.full(len(at), slop + 1)
+        for back in range(slop - 1, -1, -1) if len(at) else ():
+            left = at - back
+            right = at.copy()
+            for other in lists[1:]:
+                right = np.maximum(right, np.append(other, far)[np.searchsorted(other, left)])
+            better = np.flatnonzero((left >= 0) & (right - left + 1 < size))
+            better = better[self.doc_of(left[better]) == self.doc_of(right[better])]
+            low[better], size[better] = left[better], (right - left + 1)[better]
+        ok = size <= slop
+        return low[ok], low[ok] + size[ok] - 1
+
+
+def _search(phrases: Phrases, window: int, slop: int):
+    span = [("start", pa.int64()), ("end", pa.int64())]
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct(span))), ("items", pa.list_(pa.int64())), ("near", pa.list_(pa.struct([("item", pa.int64()), *span])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = {t: k for k, t in enumerate(phrases.terms)}
+        tables = list(phrases.by_length(window))
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k] for c in batch.schema.names}
                 row = {c: v.values.to_numpy() if c == "positions" else v.as_py() for c, v in row.items()}
-                shard = _Shard(row, phrases.terms)
-                mark = np.zeros(len(shard.seq) + 1, np.int32)
+                shard = _Shard(row, terms)
+                mark = np.zeros(shard.n + 1, np.int32)
                 items: list[set] = [set() for _ in row["doc_ids"]]
-                for n, (table, owners) in phrases.by_length.items():
-                    for p, at in shard.phrases(table):
+                close: list[list] = [[] for _ in row["doc_ids"]]
+                for n, begin in tables if len(shard.keys) else ():
+                    for p, at in shard.find(phrases, n, begin):
                         np.add.at(mark, at, 1)
                         np.add.at(mark, at + n, -1)
-                        for doc, which in set(zip(shard.doc[at].tolist(), p.tolist(), strict=True)):
-                            items[doc].update(owners[which])
+                        owner = np.searchsorted(phrases.first, p, "right") - 1
+                        for doc, which in set(zip(shard.doc_of(at).tolist(), owner.tolist(), strict=True)):
+                            items[doc].add(phrases.items[which])
+                bounds = np.concatenate(([0], shard.ends))
+                for item, some in phrases.near:
+                    if shard.counts[some].all():
+                        low, high = shard.near(some, slop)
+                        for d, a, b in zip(shard.doc_of(low).tolist(), low.tolist(), high.tolist(), strict=True):
+                            close[d].append({"item": item, "start": a - int(bounds[d]), "end": b + 1 - int(bounds[d])})
                 hit = np.cumsum(mark[:-1]) > 0
-                ends = np.cumsum(row["n_words"]).tolist()
                 spans = []
-                for n, e in zip(row["n_words"], ends, strict=True):
-                    edges = np.flatnonzero(np.diff(hit[e - n : e], prepend=False, append=False)).tolist() if n else []
+                for lo, hi in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+                    edges = np.flatnonzero(np.diff(hit[lo:hi], prepend=False, append=False)).tolist() if hi > lo else []
                     spans.append([{"start": a, "end": b} for a, b in zip(edges[0::2], edges[1::2], strict=True)])
-                m = len(ends)
-                yield pa.RecordBatch.from_pydict({"shard": [row["shard"]] * m, "ordinal": list(range(m)), "doc_id": row["doc_ids"], "n_words": row["n_words"], "hits": spans, "items": [sorted(x, key=str) for x in items]}, schema)
+                yield pa.RecordBatch.from_pydict({"doc_id": row["doc_ids"], "n_words": row["n_words"], "hits": spans, "items": [sorted(x, key=str) for x in items], "near": close}, schema)
 
     return run
 
 
-def _parts(benchmark: DataFrame, most_bytes: int) -> Iterator[Callable[[], list]]:
-    """Readers of the benchmark's parts, each of about ``most_bytes`` of text at most."""
-    items = id_text(benchmark, "item_id").toDF("item_id", "text").dropDuplicates()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = math.ceil(1.25 * size / most_bytes) if size > most_bytes else 1
-    for k in range(n):
-        some = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield lambda some=some: ((r[0], None if r[1] is None else r[1].encode()) for r in some.collect())
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, texts in doc_chunks(batches, 4 << 20):
+        counts: dict[bytes, int] = {}
+        for t in texts:
+            for w in words_of(t):
+                counts[w] = counts.get(w, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_bytes: int = 16 << 20) -> DataFrame:
-    """``doc_id, n_words, hits array<struct<start,end>>`` (merged word spans)``, items array<bigint>`` of each document row.
+def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, need: int = 5, slop: int = 20, most_bytes: int = 8 << 20, shard_bytes: int = 4 << 20) -> DataFrame:
+    """Of each document row ``doc_id, n_words, hits array<struct<start,end>>`` (merged word spans of phrases)``, items
+    array<bigint>`` (with phrases)``, near array<struct<item,start,end>>``.
 
-    A phrase is ``window`` consecutive words of an item, or all of a shorter item.
+    A phrase is ``window`` consecutive words of an item, or all of a shorter item.  ``near`` has an element for each
+    occurrence of the rarest of the ``need`` rarest terms of an item with all of them in ``slop`` words: the shortest such
+    window, the leftmost of equal ones; with ``need`` 0 it is empty.
     """
-    parts = list(_parts(benchmark, most_bytes))
-    several = len(parts) > 1
-    rows = cut(numbered(id_text(docs))) if several else docs  # parts meet by row number, whatever the partitions of each scan
-    found = None
-    for part in parts:
-        phrases = _Phrases(list(part()), window)
-        here = build_index(rows.select(F.col(ROW).alias("doc_id"), "text") if several else rows, list(phrases.terms)).mapInArrow(trimmed(_search(phrases)), HITS).drop("shard", "ordinal")
-        if not several:
+    pieces = cut(cut_items(benchmark, window))
+    size = pieces.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    n = math.ceil(1.25 * size / most_bytes) if size > most_bytes else 1
+    rows, close, found = id_text(docs), None, None
+    if n > 1:  # parts meet by row number, whatever the partitions of each scan
+        rows = cut(numbered(rows))
+        if need:
+            close = cut(rarest_terms(pieces, rows.select("doc_id", "text").mapInArrow(trimmed(_count_words), "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")), need))
+    for k in range(n):
+        mine = lambda some, *by, k=k: some if n == 1 else some.filter(F.pmod(F.xxhash64(*by), F.lit(n)) == k)
+        some = [(r[0], bytes(r[1])) for r in mine(pieces, "item_id", "words").collect()]
+        near = [tuple(r) for r in mine(close, "item_id").collect()] if close is not None else []
+        phrases = Phrases.of(some, near)
+        index = build_index(rows if n == 1 else rows.select(F.col(ROW).alias("doc_id"), "text"), phrases.terms, shard_bytes)
+        counts = term_counts(index)
+        if n == 1 and need:
+            counts = cut(counts)
+            phrases.near = phrases.numbered([tuple(r) for r in rarest_terms(pieces, counts, need).collect()])
+        phrases.rank_by({bytes(r[0]): r[1] for r in counts.collect()})  # a row for each word of the part at most
+        here = index.mapInArrow(trimmed(_search(phrases, window, slop)), FOUND)
+        if n == 1:
             return here
         here = cut(here.withColumnRenamed("doc_id", ROW))
         found = here if found is None else found.unionByName(here)
@@ -198,73 +323,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_byt
         F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda out, s: F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] >= s["start"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.try_element_at(out, F.lit(-1))["start"].alias("start"), F.greatest(F.try_element_at(out, F.lit(-1))["end"], s["end"]).alias("end"))))).otherwise(F.concat(out, F.array(s))),
     )
-    each = found.groupBy(ROW).agg(F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return rows.select(ROW, "doc_id").join(each, ROW).select("doc_id", "n_words", "hits", "items")
-
-
-def _windows(shard: _Shard, some: list[int], slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last place of the shortest window (the leftmost of equal ones) around each occurrence of ``some[0]`` that has all of ``some``, where it has ``slop`` words at most."""
-    lists = [shard.positions[shard.starts[t] : shard.starts[t] + shard.counts[t]] for t in some]
-    at = lists[0]
-    far = len(shard.seq) + slop  # beyond every window
-    low, size = at.copy(), np.full(len(at), slop + 1)
-    for back in range(slop - 1, -1, -1):
-        left = at - back
-        right = at.copy()
-        for other in lists[1:]:
-            right = np.maximum(right, np.append(other, far)[np.searchsorted(other, left)])
-        n = right - left + 1
-        better = np.flatnonzero((left >= 0) & (n < size))
-        better = better[shard.doc[left[better]] == shard.doc[right[better]]]
-        low[better], size[better] = left[better], n[better]
-    ok = size <= slop
-    return low[ok], low[ok] + size[ok] - 1
-
-
-def _near(phrases: list[tuple[int, list[int]]], terms: dict[bytes, int], slop: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
-                shard, out = _Shard(row, terms), []
-                bounds = np.concatenate(([0], np.cumsum(row["n_words"])))
-                for item, some in phrases:
-                    if not shard.counts[some].all():
-                        continue
-                    low, high = _windows(shard, some, slop)
-                    for a, b in zip(low.tolist(), high.tolist(), strict=True):
-                        d = int(shard.doc[a])
-                        out.append((row["doc_ids"][d], item, a - int(bounds[d]), b + 1 - int(bounds[d])))
-                cols = list(zip(*out, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["doc_id", "item_id", "start", "end"])
-
-    return run
-
-
-def _rarest(words: list[bytes], counts: dict[bytes, int], need: int) -> list[bytes]:
-    """The ``need`` (or all, if fewer) distinct words of an item that are the rarest of those that occur; none where too few occur."""
-    there = sorted((counts[w], w) for w in set(words) if w in counts)
-    n = min(need, len(set(words)))
-    return [w for _, w in there[:n]] if len(there) >= n else []
+    each = found.groupBy(ROW).agg(F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("near")).alias("near"))
+    return rows.select(ROW, "doc_id").join(each, ROW).select("doc_id", "n_words", "hits", "items", "near")
 
 
-def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int = 20, most_bytes: int = 16 << 20, shard_bytes: int = 4 << 20) -> DataFrame:
-    """Proximity: ``doc_id, item_id, start, end`` where the ``need`` rarest terms of an item stand within ``slop`` words.
-
-    Rarest by the counts in all of ``docs``, of the terms that occur there.  A row for each occurrence of the rarest one
-    in such a window: the shortest around it, the leftmost of equal ones.
-    """
-    found = None
-    for part in _parts(benchmark, most_bytes):
-        items = [(i, words_of(t)) for i, t in part()]
-        index = build_index(docs, sorted({w for _, ws in items for w in ws}), shard_bytes)
-        pairs = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).select("x.terms", "x.counts")
-        counts = {bytes(r[0]): r[1] for r in pairs.groupBy("terms").agg(F.sum("counts")).collect()}
-        terms: dict[bytes, int] = {}
-        phrases = [(i, [terms.setdefault(w, len(terms)) for w in some]) for i, ws in items if (some := _rarest(ws, counts, need))]
-        here = build_index(docs, list(terms), shard_bytes).mapInArrow(trimmed(_near(phrases, terms, slop)), "doc_id long, item_id long, start long, end long")
-        found = here if found is None else found.unionByName(here)
-    return found
+def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int = 20, **sizes: int) -> DataFrame:
+    """``doc_id, item_id, start, end``: a row for each proximity match of ``find_items``."""
+    found = find_items(docs, benchmark, need=need, slop=slop, **sizes)
+    return found.select("doc_id", F.explode("near").alias("m")).select("doc_id", F.col("m.item").alias("item_id"), "m.start", "m.end")
 
 
 def contaminated(n_hit: F.Column, n_words: F.Column) -> F.Column:
@@ -280,14 +346,15 @@ def with_verdict(found: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """Rows of ``docs``, with all their columns, that aren't contaminated."""
     rows = cut(numbered(docs))
-    found = with_verdict(find_items(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, window))
+    found = with_verdict(find_items(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, window, need=0))
     return without_rows(rows, found.filter("contaminated").withColumnRenamed("doc_id", ROW))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = with_verdict(find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
     items = F.array_sort(F.col("items").cast("array<string>"))
-    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated")
+    near = F.array_distinct(F.transform("near", lambda m: m["item"]))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated", F.size(near).cast("long").alias("n_near"))
 
 
 def op3_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:

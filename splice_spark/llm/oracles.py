@@ -27,16 +27,34 @@ FROM d LEFT JOIN e ON d.doc_id = e.doc_id
 
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-OP3_SQL = f"""
-WITH b AS (
+#: Every window of 20 words around the rarest of the five rarest terms of an item; the shortest, then the leftmost, for each place of the rarest.
+_NEAR = f"""b AS (
     SELECT DISTINCT item_id, {_WORDS} AS a FROM benchmark
-), p AS (
-    SELECT DISTINCT item_id, n, array_to_string(a[k:k + n - 1], ' ') AS phrase
-    FROM (SELECT item_id, a, least(13, len(a)) AS n, unnest(range(1, len(a) - least(13, len(a)) + 2)) AS k FROM b WHERE len(a) > 0)
 ), d AS (
     SELECT doc_id, {_WORDS} AS a FROM documents
 ), w AS (
     SELECT doc_id, unnest(a) AS word, unnest(range(1, len(a) + 1)) AS i FROM d
+), n1 AS (
+    SELECT x.item_id, x.word, y.n FROM (SELECT DISTINCT item_id, unnest(a) AS word FROM b) x LEFT JOIN (SELECT word, count(*) AS n FROM w GROUP BY word) y ON x.word = y.word
+), n2 AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY n NULLS LAST, word) AS r, least(5, count(*) OVER (PARTITION BY item_id)) AS need, count(n) OVER (PARTITION BY item_id) AS there FROM n1
+), n3 AS (
+    SELECT w.doc_id, n2.item_id, n2.r, n2.need, w.i FROM n2 JOIN w ON n2.word = w.word WHERE n2.r <= n2.need AND n2.there >= n2.need
+), n4 AS (
+    SELECT a.doc_id, a.item_id, a.i, a.need, l.i AS low, least(l.i + 19, x.i) AS ends, x.r
+    FROM n3 a JOIN n3 l ON a.doc_id = l.doc_id AND a.item_id = l.item_id AND l.i BETWEEN a.i - 19 AND a.i
+    JOIN n3 x ON a.doc_id = x.doc_id AND a.item_id = x.item_id AND x.i BETWEEN l.i AND l.i + 19 WHERE a.r = 1
+), n5 AS (
+    SELECT doc_id, item_id, i, low, greatest(i, max(ends)) - low + 1 AS size
+    FROM (SELECT doc_id, item_id, i, need, low, r, min(ends) AS ends FROM n4 GROUP BY ALL) GROUP BY doc_id, item_id, i, need, low HAVING count(*) = need
+), near AS (
+    SELECT doc_id, item_id, i, arg_min(low, size * 100 - (i - low)) AS low, min(size) AS size FROM n5 GROUP BY doc_id, item_id, i
+)"""
+
+OP3_SQL = f"""
+WITH {_NEAR}, p AS (
+    SELECT DISTINCT item_id, n, array_to_string(a[k:k + n - 1], ' ') AS phrase
+    FROM (SELECT item_id, a, least(13, len(a)) AS n, unnest(range(1, len(a) - least(13, len(a)) + 2)) AS k FROM b WHERE len(a) > 0)
 ), g AS (
     SELECT doc_id, i, n, CASE WHEN count(*) OVER f = n THEN string_agg(word, ' ') OVER f END AS phrase
     FROM w, (SELECT DISTINCT n FROM p)
@@ -48,10 +66,18 @@ WITH b AS (
 ), m AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id
+), f AS (
+    SELECT DISTINCT doc_id, item_id FROM near
 )
 SELECT d.doc_id, len(d.a) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
-       sha256(coalesce(m.items, '')) AS items_sha256, coalesce(c.n_hit > 0 AND 20 * c.n_hit >= len(d.a), false) AS contaminated
-FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN m ON d.doc_id = m.doc_id
+       sha256(coalesce(m.items, '')) AS items_sha256, coalesce(c.n_hit > 0 AND 20 * c.n_hit >= len(d.a), false) AS contaminated,
+       coalesce(r.n_near, 0) AS n_near
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN m ON d.doc_id = m.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n_near FROM f GROUP BY doc_id) r ON d.doc_id = r.doc_id
+"""
+
+OP3_PROXIMITY_SQL = f"""
+WITH {_NEAR}
+SELECT doc_id, item_id, low - 1 AS start, low + size - 1 AS "end" FROM near
 """
 
 

@@ -7,7 +7,7 @@ import corpus_pipeline
 from .byte_bpe import op10_byte_bpe
 from .chat_snapshots import OP4_SQL, op4_chat_snapshots
 from .decontamination import op3_decontamination, op3_proximity
-from .oracles import OP1_SQL, OP3_SQL, OP5_SQL
+from .oracles import OP1_SQL, OP3_PROXIMITY_SQL, OP3_SQL, OP5_SQL
 from .pii import op2_pii
 from .quality_classifier import op7_quality_classifier
 from .repetition import op5_repetition_rules
@@ -34,6 +34,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op3_decontamination": OP3_SQL,
+    "op3_proximity": OP3_PROXIMITY_SQL,
     "op4_chat_snapshots": OP4_SQL,
     "op5_repetition_rules": OP5_SQL,
 }
