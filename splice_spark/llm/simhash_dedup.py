@@ -1,14 +1,23 @@
-"""SimHash near-duplicates through an inverted index on positional bytes.
+"""SimHash near-duplicates: an inverted index on byte positions with count filtering.
 
 A 64-bit fingerprint is eight positional bytes.  Fingerprints at two or fewer
-differing bits differ in two bytes at most, so they share at least six: that is
-the count filter's guaranteed minimum.  A list for each single (place, byte)
-would hold 1/256 of all fingerprints, and tallying its pairs grows with the
-square of the input; so the lists are keyed by all 28 choices of six places at
-once.  A pair with six or more equal bytes meets in at least one of them, and
-no other pair meets at all, so the tally is read off the key.  Members of a
-list differ in two bytes only (65,536 values at most, which bounds a list);
-they are verified by the differing bits.
+differing bits differ in two bytes at most, so they share at least six: the
+guaranteed minimum of matches.
+
+Lists.  A list for one (place, byte) would hold 1/256 of all fingerprints, so
+a list is keyed by the first ``depth`` bytes that its pairs share: of the first
+``depth + 2`` places a pair lacks two at most, which makes (depth + 2 over 2)
+lists a fingerprint, and every pair with six shared bytes meets in one of them
+at least.  ``depth`` follows from the number of distinct fingerprints, so that a
+list of even data holds few.  Lists are counted first, and one of more than
+``long`` members is replaced by the lists of six shared bytes that refine it;
+members of those differ in two bytes (65,536 values at most, which bounds
+them).  So hot lists are split, and no pair is lost.
+
+Tally.  In a list each pair's shared positional bytes are counted, pairs with
+six or more are retained, and their differing bits verify them.  In the bounded
+lists of six bytes every pair has the minimum already; long ones are verified
+by looking up the values at one and two differing bits.
 
 Copies of a fingerprint count once, so a group of any size costs one entry a
 list.  Inside a list, verified links are reduced to a star for each connected
@@ -17,8 +26,8 @@ pairs of a group are listed.  A fingerprint or component that holds a large
 share of all rows is joined back by broadcast, where its rows are.
 
 Nulls and edges: a null or wordless text has fingerprint zero and links like
-any other; each row gives a row; null doc_ids never name a component unless
-nothing else is in it (then it is null).
+any other; each row gives a row, an empty table none; null doc_ids never name a
+component unless nothing else is in it (then it is null).
 """
 
 from __future__ import annotations
@@ -35,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import LOWER, ROW, cut, id_text, ids_and_bytes, join_counted, numbered, read_table, trimmed, without_rows
 from .graph import star_components
 
+#: Bytes that a pair shares at least.
+SHARED = 6
 _ROWS = 1 << 16
 
 
@@ -67,25 +78,68 @@ def fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFrame:
     return id_text(docs).mapInArrow(trimmed(_fingerprints(n, seed)), "doc_id long, fp long")
 
 
-def positional_index(prints: DataFrame) -> DataFrame:
-    """``places, shared, fp``: 28 entries a distinct fingerprint; ``shared`` has the six bytes in place, the others zero."""
-    full = (1 << 64) - 1
-    keys = []
-    for k, (i, j) in enumerate(combinations(range(8), 2)):
-        mask = full ^ (0xFF << 8 * i) ^ (0xFF << 8 * j)
-        keys.append(F.struct(F.lit(k).alias("places"), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("shared")))
-    return prints.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.places", "k.shared", "fp")
+def _masked(places: tuple[int, ...]) -> F.Column:
+    """The bytes of ``fp`` at ``places`` (0 is the highest), the others zero."""
+    mask = sum(0xFF << 8 * (7 - p) for p in places)
+    return F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+
+
+def _list_of(places: tuple[int, ...]) -> F.Column:
+    return F.struct(F.lit(sum(1 << p for p in places)).alias("places"), _masked(places).alias("shared"))
+
+
+def depth_for(n: int) -> int:
+    """Shared bytes of a key, 1 to 6, such that lists of ``n`` evenly spread fingerprints hold one each or fewer."""
+    return next((d for d in range(1, SHARED) if n <= 256**d), SHARED)
+
+
+def positional_index(prints: DataFrame, depth: int) -> DataFrame:
+    """``places, shared, fp``: entries of each distinct fingerprint in the lists of its first ``depth`` shared bytes."""
+    lists = [_list_of(p) for p in combinations(range(depth + 2), depth)]
+    return prints.select("fp", F.explode(F.array(*lists)).alias("k")).select("k.places", "k.shared", "fp")
+
+
+def refined(entries: DataFrame, depth: int) -> DataFrame:
+    """Entries of lists of ``depth`` bytes as entries of the lists of six bytes that begin with those."""
+    longer = F.lit(None)
+    for p in combinations(range(depth + 2), depth):
+        more = [q for q in combinations(range(8), SHARED) if q[:depth] == p]
+        longer = F.when(F.col("places") == sum(1 << x for x in p), F.array(*map(_list_of, more))).otherwise(longer)
+    return entries.select("fp", F.explode(longer).alias("k")).select("k.places", "k.shared", "fp")
+
+
+def split_long(entries: DataFrame, depth: int, long: int) -> DataFrame:
+    """``entries`` with those of lists of more than ``long`` members refined; members are counted before they are dealt."""
+    hot = cut(entries.groupBy("places", "shared").agg(F.count("*").alias("n")).filter(F.col("n") > long))
+    if depth == SHARED or hot.isEmpty():
+        return entries
+    entries, hot = entries.withColumn("list", F.xxhash64("places", "shared")), hot.groupBy(F.xxhash64("places", "shared").alias("list")).agg(F.sum("n").alias("n"))
+    long_ones = join_counted(entries, hot, "list").drop("list")
+    # lists that hold one in 256 of these entries or more, 256 of them at most, leave where they are
+    least = hot.agg(F.sum("n")).first()[0] / 256
+    cold = entries.join(F.broadcast(hot.filter(F.col("n") >= least)), "list", "left_anti").join(hot, "list", "left_anti")
+    return cold.drop("list").unionByName(refined(long_ones, depth))
 
 
 _FLIPS = np.array([0] + [1 << i for i in range(16)] + [1 << i | 1 << j for i, j in combinations(range(16), 2)], np.int64)
 
 
-def _stars(fp: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Links of one list of the index, as a star for each part connected by ``most`` or fewer differing bits."""
+def _tally(fp: np.ndarray) -> np.ndarray:
+    """Shared positional bytes of every pair of a short list."""
+    differ = (fp[:, None] ^ fp[None, :]).view(np.uint8).reshape(len(fp), len(fp), 8)
+    return (differ == 0).sum(axis=2)
+
+
+def _stars(fp: np.ndarray, most: int, short: int = 256) -> list[tuple[int, int]]:
+    """Links of one list of the index, as a star for each part connected by ``most`` or fewer differing bits.
+
+    A list of more than ``short`` members has six bytes in common.
+    """
     n = len(fp)
     label = np.arange(n)
-    if n <= 256:
-        near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= most
+    if n <= short:
+        near = _tally(fp) >= SHARED
+        near[near] = np.bitwise_count((fp[:, None] ^ fp[None, :])[near]) <= most
         step = lambda label: np.where(near, label[None, :], n).min(axis=1)
     else:
         diff = np.bitwise_or.reduce(fp ^ fp[0])
@@ -134,7 +188,9 @@ def _links(most: int):
             lens = np.diff(np.append(runs, len(fp)))
             fp = fp.view(np.uint64)
             two = runs[lens == 2]
-            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= most]
+            differ = fp[two] ^ fp[two + 1]
+            shared = (differ[:, None].view(np.uint8) == 0).sum(axis=1)
+            two = two[(shared >= SHARED) & (np.bitwise_count(differ) <= most)]
             u, v = fp[two + 1].view(np.int64).tolist(), fp[two].view(np.int64).tolist()
             for s, k in zip(runs[lens > 2].tolist(), lens[lens > 2].tolist(), strict=True):
                 for a, b in _stars(fp[s : s + k], most):
@@ -145,15 +201,23 @@ def _links(most: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, most: int = 2, n: int = 3, seed: int = 42) -> DataFrame:
+def links(prints: DataFrame, most: int = 2, long: int = 256) -> DataFrame:
+    """``u, v``: stars of the parts of each list that links of ``most`` or fewer bits connect, from distinct ``fp``."""
+    depth = depth_for(prints.count())
+    index = split_long(positional_index(prints, depth), depth, long)
+    dealt = index.repartition("places", "shared").sortWithinPartitions("places", "shared", "fp")
+    return dealt.mapInArrow(trimmed(_links(most)), "u long, v long")
+
+
+def near_duplicates(docs: DataFrame, most: int = 2, n: int = 3, seed: int = 42, long: int = 256) -> DataFrame:
     """``doc_id, fp, component_id`` of each row: the smallest doc_id reached over links of ``most`` (0 to 2) or fewer differing bits."""
     if not 0 <= most <= 2:
         raise ValueError("six of eight shared bytes are guaranteed for 0, 1 or 2 differing bits only")
+    if not 1 <= long <= 256:
+        raise ValueError("lists may hold 1 to 256 members before they are split")
     prints = cut(fingerprints(docs, n, seed))
-    each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    index = positional_index(each)
-    dealt = index.repartition("places", "shared").sortWithinPartitions("places", "shared", "fp")
-    roots = star_components(dealt.mapInArrow(trimmed(_links(most)), "u long, v long"))
+    each = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
+    roots = star_components(links(each, most, long))
     rooted = each.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
     of_print = join_counted(rooted, named, "root").select("fp", "component_id", F.col("copies").alias("n"))
