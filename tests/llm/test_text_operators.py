@@ -173,12 +173,42 @@ def test_simhash(docs, rows, empty):
     want = counted((i, p, least.get(root(k))) for k, (i, p) in enumerate(prints))
     got = simhash_dedup.near_duplicates(docs).collect()
     assert counted((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got) == want
+    got = simhash_dedup.near_duplicates(docs, long=1).collect()
+    assert counted((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got) == want
     kept = simhash_dedup.keep_one(docs)
     assert kept.columns == docs.columns
     assert kept.count() == len({root(k) for k in range(len(prints))})
     assert simhash_dedup.near_duplicates(empty).count() == 0
 
 
+def test_no_link_is_lost_in_long_lists(spark):
+    """Fingerprints that share bytes by the hundred, and pairs that differ in each two places."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    fp = [rng.integers(0, 1 << 63, 300, dtype=np.uint64), np.uint64(0x123456) << np.uint64(40) | rng.integers(0, 1 << 18, 900, dtype=np.uint64)]
+    some = fp[0][:70]
+    fp += [some ^ (np.uint64(1) << rng.integers(0, 64, 70, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 70, dtype=np.uint64)) for _ in range(3)]
+    fp = np.unique(np.concatenate(fp))
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 2
+    label = np.arange(len(fp))
+    while not ((new := np.where(near, label[None, :], len(fp)).min(1)) == label).all():
+        label = new
+    want = {}
+    for k, r in enumerate(label.tolist()):
+        want.setdefault(r, set()).add(int(fp[k].view(np.int64)))
+    table = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
+    for long in (256, 20, 2):
+        group = {int(x): {int(x)} for x in fp.view(np.int64)}
+        for u, v in simhash_dedup.links(table, 2, long).collect():
+            if group[u] is not group[v]:
+                group[u] |= group[v]
+                for x in group[v]:
+                    group[x] = group[u]
+        assert {frozenset(g) for g in group.values()} == {frozenset(g) for g in want.values()}
+    assert [simhash_dedup.depth_for(n) for n in (0, 256, 257, 1 << 24, 1 << 60)] == [1, 1, 2, 3, 6]
+
+
 def test_links_of_a_large_list():
     import numpy as np
 
@@ -277,11 +307,21 @@ def test_proximity_is_that_of_brute_force_over_shards(spark):
                 spans = [(b - a, a, b) for a in range(max(0, at - 19), at + 1) for b in range(at + 1, min(len(words), a + 20) + 1) if set(terms) <= set(words[a:b])]
                 want |= {(d, i, *min(spans)[1:])} if spans else set()
     assert {i for _, i, *_ in want} == {1, 2, 3, 6}
-    for size in (1 << 20, 600):
-        got = decontamination.find_near(docs, bench, need=3, slop=20, shard_bytes=size).collect()
+    for size, most in ((1 << 20, 1 << 20), (600, 1 << 20), (600, 20)):
+        got = decontamination.find_near(docs, bench, need=3, slop=20, shard_bytes=size, most_bytes=most).collect()
         assert counted(tuple(r) for r in got) == counted(want)
 
 
+def test_items_are_cut_without_losing_phrases(spark):
+    words = [f"w{k}" for k in range(100)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "a b"), (3, None), (4, " ".join(words[:13]))], "item_id long, text string")
+    pieces = [(r.item_id, bytes(r.words).decode().split()) for r in decontamination.cut_items(bench, 13, 7).collect()]
+    for item, n in ((1, 100), (4, 13)):
+        found = {tuple(w[k : k + 13]) for i, w in pieces if i == item for k in range(len(w) - 12)}
+        assert found == {tuple(words[k : k + 13]) for k in range(n - 12)} and all(len(w) >= 13 for i, w in pieces if i == item)
+    assert [w for i, w in pieces if i in (2, 3)] == [["a", "b"]]
+
+
 def test_row_numbers_hold_when_splits_change(spark, tmp_path, monkeypatch):
     """Cores that come or go between two scans change the splits of files; here each written table changes them."""
     copy, item = " ".join(f"c{k}" for k in range(60)), " ".join(f"b{k}" for k in range(30))
@@ -335,10 +375,63 @@ def test_repetition(docs, rows, empty):
     for r in got:
         assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
         assert not (r.kept and r.base_failed)
-        assert all(x.length >= 5 for x in r.repeats)
+    brute = counted((i, tuple(brute_repeats(WORD.findall(t or "")))) for i, t in rows)
+    assert counted((r.doc_id, tuple((x.start, x.length, x.copies) for x in r.repeats)) for r in got) == brute
     assert repetition.measure_repetition(empty).count() == 0
 
 
+def brute_repeats(words, least=5):
+    """Substrings that stand twice or more, and lose a copy with any word more on either side."""
+    out, n = [], len(words)
+    begin = {}
+    for length in range(least, n):
+        found = {}
+        for k in range(n - length + 1):
+            found.setdefault(tuple(words[k : k + length]), []).append(k)
+        found = {w: at for w, at in found.items() if len(at) > 1}
+        if not found:
+            break
+        for at in found.values():
+            left = {words[k - 1] if k else None for k in at}
+            right = {words[k + length] if k + length < n else None for k in at}
+            whole = len(left) > 1 or None in left, len(right) > 1 or None in right
+            if all(whole):
+                begin[(at[0], length)] = len(at)
+    out = sorted((p, length, c) for (p, length), c in begin.items())
+    return out
+
+
+def test_suffix_arrays_of_few_words(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(12)
+    for case in range(300):
+        docs_ = [[rng.randrange(rng.choice([1, 2, 3, 9])) for _ in range(rng.choice([0, 1, 2, 7, 40, 90]))] for _ in range(rng.randrange(1, 5))]
+        bounds = np.cumsum([0, *map(len, docs_)])
+        words = np.array([w for d in docs_ for w in d], np.uint64)
+        sa, lcp = repetition.suffix_array(words, bounds)
+        assert sorted(sa.tolist()) == list(range(len(words)))
+        doc = np.repeat(np.arange(len(docs_)), np.diff(bounds)).tolist()
+        common = lambda a, b: next((k for k in range(len(words)) if max(a, b) + k >= len(words) or doc[a + k] != doc[a] or doc[b + k] != doc[b] or words[a + k] != words[b + k]), 0) if doc[a] == doc[b] else 0
+        assert lcp.tolist() == [0, *(common(a, b) for a, b in zip(sa.tolist(), sa.tolist()[1:]))][: len(words)]
+        got = list(zip(*(x.tolist() for x in repetition.maximal_repeats(words, bounds, sa, lcp, 2)), strict=True))
+        want = [(p + lo, n, c) for d, lo in zip(docs_, bounds.tolist()) for p, n, c in brute_repeats(d, 2)]
+        assert got == want
+
+
+def test_memory_of_a_long_repetitive_text():
+    import tracemalloc
+
+    import numpy as np
+
+    text = np.tile(np.arange(7, dtype=np.uint64), 40_000)
+    tracemalloc.start()
+    sa, lcp = repetition.suffix_array(text, np.array([0, len(text)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int(lcp.max()) == len(text) - 7 and peak < 160 * len(text)
+
+
 def test_pii(spark, docs, empty):
     cases = [
         (1, "write to jo.doe+x@mail.example.com now, or +1 (361) 555-8283."),
