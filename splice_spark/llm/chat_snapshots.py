@@ -9,16 +9,17 @@ prefix leave by an anti-join; the others are rendered.
 
 Sums are taken in segments of ``segment`` turns, and a segment's base is added
 from a window over segments, so a conversation of very many turns is spread
-over tasks; it is rendered in pieces of a segment, joined by piece, for the same
-reason.  Turn numbers may repeat without end (rows of one id, or of none, logged
-over and over), so a conversation with a piece of more than ``most_bytes`` is cut
-by the place of its rows in their order instead.  A first turn or a conversation that very many share is one row in the
-anti-join, as both sides are made distinct before.
+over tasks.  A conversation is rendered as one row.  Only one that would exceed
+``most_bytes`` comes in pieces of ``segment`` rows, cut by the place of its rows
+in their order, whatever its turn numbers are (they may repeat without end in
+rows of one id, or of none, logged over and over); its pieces, put together in
+order, are the conversation.  A first turn or a conversation that very many
+share is one row in the anti-join, as both sides are made distinct before.
 
 Nulls and edges: rows with a null conv_id are one conversation; a null turn
 comes first, a null role or text is shown as nothing but differs from an empty
 one; repeated rows count as often as they occur; prefixes end between turn
-numbers, never inside one.
+numbers, never inside one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,28 +99,26 @@ def _shown(turns: DataFrame) -> DataFrame:
 
 
 def collapse_snapshots(conversations: DataFrame, segment: int = 128, most_bytes: int = 16 << 20) -> DataFrame:
-    """``conv_id, piece, n_turns, n_copies, rendered``: a row for each ``segment`` turns of a conversation that stays.
+    """``conv_id, piece, n_turns, n_copies, rendered``: a row for each conversation that stays.
 
-    ``n_turns`` is of the whole conversation; ``n_copies`` counts equal conversations; pieces follow each other.  Pieces
-    are of ``segment`` turn numbers, or of ``segment`` rows where one of the former would exceed ``most_bytes``.
+    ``n_turns`` is of the whole conversation; ``n_copies`` counts equal conversations.  ``piece`` is 0, but for
+    conversations of more than ``most_bytes``, whose pieces of ``segment`` rows follow each other.
     """
     turns = _turns(conversations, segment)
     stay = maximal(turns)
-    sizes = turns.groupBy("conv", "piece").agg(F.sum(_bytes()).alias("bytes"))
-    dense = cut(sizes.groupBy("conv").agg(F.max("bytes").alias("most"), F.sum("bytes").alias("bytes")).filter(F.col("most") > most_bytes))
-    n_bytes = dense.agg(F.sum("bytes")).first()[0]
+    large = cut(turns.groupBy("conv").agg(F.sum(_bytes()).alias("bytes")).filter(F.col("bytes") > most_bytes))
+    n_bytes = large.agg(F.sum("bytes")).first()[0]
+    whole = turns.withColumn("piece", F.lit(0).cast("long"))
     if not n_bytes:
-        shown = _shown(turns.join(turns.select("conv", "piece").distinct().join(stay, "conv"), ["conv", "piece"]))
+        shown = _shown(whole.join(stay, "conv"))
     else:
         # Each has more than ``most_bytes`` of text, so there are few.
-        stay, few = cut(stay), F.broadcast(dense.select("conv"))
-        light = turns.join(few, "conv", "left_anti")
-        shown = _shown(light.join(light.select("conv", "piece").distinct().join(stay, "conv"), ["conv", "piece"]))
+        stay, few = cut(stay), F.broadcast(large.select("conv"))
+        shown = _shown(whole.join(few, "conv", "left_anti").join(stay, "conv"))
         known = F.broadcast(cut(stay.join(few, "conv")))
         placed = _by_place(turns.join(F.broadcast(known.select("conv")), "conv", "left_semi"), segment, n_bytes)
         shown = shown.unionByName(_shown(placed.join(known, "conv")))
-    none = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    return shown.select(none("conv").alias("conv_id"), none("piece").alias("piece"), "n_turns", "n_copies", "rendered")
+    return shown.select(F.when(F.col("conv") != _NO_ID, F.col("conv")).alias("conv_id"), "piece", "n_turns", "n_copies", "rendered")
 
 
 def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,8 +136,8 @@ WITH c AS (
 ), m AS (
     SELECT w.* FROM w LEFT JOIN p ON w.a = p.a WHERE p.a IS NULL
 )
-SELECT m.conv_id, t.turn // 128 AS piece, len(any_value(m.a)) AS n_turns, any_value(m.n_copies) AS n_copies,
+SELECT m.conv_id, CAST(0 AS BIGINT) AS piece, len(any_value(m.a)) AS n_turns, any_value(m.n_copies) AS n_copies,
        string_agg('<|im_start|>' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '<|im_end|>' || chr(10), '' ORDER BY t.turn, t.role, t.text) AS rendered
 FROM m JOIN conversations t ON t.conv_id = m.conv_id
-GROUP BY m.conv_id, t.turn // 128
+GROUP BY m.conv_id
 """

@@ -5,32 +5,35 @@ exactly; they always stay.  Looser patterns find further candidates.  Five
 labelers (strict pattern, structure, gazetteer, context words, shape) vote yes,
 no or nothing on every candidate.  Expectation-maximisation over the counts of
 vote patterns estimates each labeler's reliability by kind, and its posteriors
-train the final span classifier, a logistic regression over votes and shapes,
-which adds the candidates it is sure of.
+train the final span classifier, a ridge logistic regression over votes, shapes
+and the word before the span (one of 32 hashes), which no labeler's list needs
+to hold.  It adds the candidates it is sure of.
 
 One pass over the texts makes a small row of candidates a document; patterns
-are counted by Spark (a table of at most 4 kinds x 3^5 votes x 8 shapes, which
-bounds what comes to the driver), and the verdicts are a narrow second step.
-
-Nulls and edges: a null text is an empty one; each row gives a row; positions
-are code points, ends exclusive; an added span never touches a base span.
+are counted by Spark (a table of at most 4 kinds x 3^5 votes x 8 shapes x 32
+words, which bounds what comes to the driver), and the verdicts are a narrow
+second step.  Counts enter the regression as shares of all candidates, so the
+ridge weighs alike at every size.
+
+Nulls and edges: a null text is an empty one; each row gives a row, an empty
+table none; positions are code points, ends exclusive; an added span never
+touches a base span.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import cut, give_back, id_text, read_table, trimmed
+from .common import cut, give_back, id_text, read_table, small_batches, trimmed
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns (fixed values).
@@ -53,9 +56,11 @@ _LOOSE = {
     "card": re.compile(r"(?<![0-9A-Za-z])(?=((?:[0-9]{4}(?:[ ./_-]{1,3}[0-9]{4}){3}|[0-9]{13,19})(?![0-9A-Za-z])))"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])(?=((?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|00[1-9][0-9 ]{8,14}[0-9]|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])))"),
 }
-#: Gazetteers: top-level domains, dialling codes, first digits of card issuers.
-_DOMAINS = frozenset("com org net edu gov io info de fr es it uk eu us ca ch at nl be".split())
-_DIALLING = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "52", "55", "61", "81", "86", "91")
+#: Gazetteers (fixed values): generic top-level domains, beside which any two letters are a country's; dialling codes of two
+#: digits, beginnings of those of three (and 1 and 7); first digits of card issuers.
+_DOMAINS = frozenset("com org net edu gov mil int info biz name pro io dev app online site cloud tech shop blog test example invalid".split())
+_TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+_OF_THREE = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
 _ISSUERS = ("34", "37", "4", "51", "52", "53", "54", "55", "60", "62", "65")
 _NEAR = {
     "email": "email e-mail mail contact write correo courriel".split(),
@@ -65,6 +70,8 @@ _NEAR = {
 }
 _AGAINST = "version release build serial order invoice token id isbn page chapter".split()
 YES, NO, NONE = "y", "n", "-"
+#: Hashes of the word before a span.
+WORDS = 32
 
 
 def luhn(digits: str) -> bool:
@@ -75,6 +82,10 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _dialling(digits: str) -> bool:
+    return digits[:1] in ("1", "7") or digits[:2] in _TWO_DIGITS or (len(digits) > 2 and digits[:2] in _OF_THREE)
+
+
 def base_holds(kind: str, found: str) -> bool:
     """The check that a match of the base pattern must pass."""
     if kind == "ip":
@@ -126,7 +137,7 @@ def votes(kind: str, found: str, base: bool, text: str, start: int, end: int) ->
     if kind == "email":
         tail = re.split(r"[^A-Za-z]+", found.lower())[-1]
         structure = YES if tail.isalpha() and len(tail) > 1 else NO
-        gazetteer = YES if tail in _DOMAINS else NONE
+        gazetteer = YES if tail in _DOMAINS or len(tail) == 2 else NONE
         shape = YES if len(found) <= 60 else NO
     elif kind == "ip":
         parts = [int(p) for p in re.findall("[0-9]{1,9}", found)]
@@ -139,14 +150,14 @@ def votes(kind: str, found: str, base: bool, text: str, start: int, end: int) ->
         shape = YES if len(digits) in (15, 16) else NO
     else:
         structure = YES if 9 <= len(digits) <= 15 else NO
-        gazetteer = YES if found.startswith("+") and digits.startswith(_DIALLING) else NONE
+        gazetteer = (YES if _dialling(digits) else NO) if found.startswith("+") else NONE
         shape = YES if re.search(r"[0-9][ ).-]", found) else NO
     context = YES if any(w in _NEAR[kind] for w in around) else NO if any(w in _AGAINST for w in around) else NONE
     return strict + structure + gazetteer + context + shape
 
 
 def candidates(text: str) -> list[dict]:
-    """Base spans, and loose ones that touch none of them, with votes and a shape from 0 to 7."""
+    """Base spans, and loose ones that touch none of them, with votes, a shape from 0 to 7, and the hash of the word before."""
     spans = []
     asked = {"email": "@" in text, "phone": "+" in text, "ip": True, "card": True}
     for k, kind in enumerate(KINDS):
@@ -165,11 +176,14 @@ def candidates(text: str) -> list[dict]:
     for k, s, e, base in sorted(spans):
         left, right = text[s - 1 : s] if s else "", text[e : e + 1]
         shape = 4 * left.isalnum() + 2 * right.isalnum() + ("\n" in text[max(0, s - 1) : e + 1])
-        out.append({"kind": k, "start": s, "end": e, "base": base, "votes": votes(KINDS[k], text[s:e], base, text, s, e), "shape": int(shape)})
+        before = text[max(0, s - 40) : s].lower().split()[-1:]
+        word = zlib.crc32(before[0].strip(".,;:()=\"'").encode()) % WORDS if before else 0
+        out.append({"kind": k, "start": s, "end": e, "base": base, "votes": votes(KINDS[k], text[s:e], base, text, s, e), "shape": int(shape), "word": word})
     return out
 
 
-_CANDIDATE = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_()), ("votes", pa.string()), ("shape", pa.int32())])
+_CANDIDATE = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_()), ("votes", pa.string()), ("shape", pa.int32()), ("word", pa.int32())])
+_FOUND_TYPE = "array<struct<kind:int,start:long,end:long,base:boolean,votes:string,shape:int,word:int>>"
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +193,8 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def find_candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id, found array<struct<kind,start,end,base,votes,shape>>`` of each row; no shuffle."""
-    return id_text(docs).mapInArrow(trimmed(_find), "doc_id long, found array<struct<kind:int,start:long,end:long,base:boolean,votes:string,shape:int>>")
+    """``doc_id, found array<struct<kind,start,end,base,votes,shape,word>>`` of each row; no shuffle."""
+    return id_text(docs).mapInArrow(trimmed(_find), f"doc_id long, found {_FOUND_TYPE}")
 
 
 @dataclass
@@ -190,92 +204,121 @@ class SpanModel:
     reliability: np.ndarray
     weights: np.ndarray
 
-    def probability(self, kind: int, votes: str, shape: int) -> float:
-        return float(1 / (1 + np.exp(-np.clip(_inputs(kind, votes, shape) @ self.weights, -50, 50))))
+    def probability(self, kind: int, votes: str, shape: int, word: int) -> float:
+        return float(1 / (1 + np.exp(-np.clip(_inputs(kind, votes, shape, word) @ self.weights, -50, 50))))
 
 
-def _inputs(kind: int, votes: str, shape: int) -> np.ndarray:
-    """One-hot kind, signed votes by kind, and shape bits."""
-    x = np.zeros(4 + 20 + 3)
+def _inputs(kind: int, votes: str, shape: int, word: int) -> np.ndarray:
+    """One-hot kind, signed votes by kind, shape bits, and the one-hot word before."""
+    x = np.zeros(4 + 20 + 3 + WORDS)
     x[kind] = 1
     x[4 + 5 * kind : 9 + 5 * kind] = [{YES: 1, NO: -1, NONE: 0}[v] for v in votes]
-    x[24:] = [shape >> 2 & 1, shape >> 1 & 1, shape & 1]
+    x[24:27] = [shape >> 2 & 1, shape >> 1 & 1, shape & 1]
+    x[27 + word] = 1
     return x
 
 
-def fit(patterns: list[tuple[int, str, int, int]], rounds: int = 50) -> SpanModel:
-    """From counts of (kind, votes, shape): EM for the labelers' reliabilities, then ridge logistic regression on the posteriors."""
-    reliability = np.zeros((4, 5, 2, 3))
-    targets = []
-    code = {YES: 0, NO: 1, NONE: 2}
+#: What the label model starts from, and how many candidates that counts for: shares of yes, no and none of a labeler for class 0 and 1.
+_START = np.array([[0.1, 0.5, 0.4], [0.6, 0.1, 0.3]])
+_STRENGTH = 5
+
+
+def label_model(votes: list[str], n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Expectation-maximisation for one kind: (labeler, class, vote) shares, and the posterior of each vote pattern, of which there are ``n``."""
+    like, prior, post = np.tile(_START, (5, 1, 1)), 0.5, np.zeros(len(votes))
+    v = np.array([["yn-".index(c) for c in p] for p in votes], int).reshape(-1, 5)
+    for _ in range(rounds if len(votes) else 0):
+        logs = [np.log(like[np.arange(5), c, v]).sum(1) + np.log(prior if c else 1 - prior) for c in (0, 1)]
+        post = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
+        prior = float(np.clip((n * post).sum() / n.sum(), 0.02, 0.98))
+        for c, w in ((0, n * (1 - post)), (1, n * post)):
+            for j in range(5):
+                got = np.bincount(v[:, j], weights=w, minlength=3) + _STRENGTH * _START[c]
+                like[j, c] = got / got.sum()
+    return like, post
+
+
+def fit(patterns: list[tuple[int, str, int, int, int]], ridge: float = 1e-4) -> SpanModel:
+    """From counts of (kind, votes, shape, word): EM for the labelers' reliabilities, then ridge logistic regression on the posteriors.
+
+    ``ridge`` is relative to all candidates, whose shares are the weights.
+    """
+    reliability, x, q, n = np.zeros((4, 5, 2, 3)), [], [], []
     for kind in range(4):
         rows = [p for p in patterns if p[0] == kind]
-        # start: labelers are right four times in five; a share of 0.5
-        like = np.tile(np.array([[0.1, 0.5, 0.4], [0.6, 0.1, 0.3]]), (5, 1, 1))
-        prior, v = 0.5, np.array([[code[c] for c in p[1]] for p in rows], int).reshape(-1, 5)
-        n = np.array([p[3] for p in rows], float)
-        post = np.zeros(len(rows))
-        for _ in range(rounds if len(rows) else 0):
-            logs = [np.log(like[np.arange(5), c, v]).sum(1) + np.log(prior if c else 1 - prior) for c in (0, 1)]
-            post = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
-            prior = float(np.clip((n * post).sum() / n.sum(), 0.02, 0.98))
-            for c, w in ((0, n * (1 - post)), (1, n * post)):
-                for j in range(5):
-                    got = np.bincount(v[:, j], weights=w, minlength=3) + 5 * (np.array([0.1, 0.5, 0.4]) if c == 0 else np.array([0.6, 0.1, 0.3]))
-                    like[j, c] = got / got.sum()
-        reliability[kind] = like
-        targets += [(_inputs(p[0], p[1], p[2]), q, p[3]) for p, q in zip(rows, post, strict=True)]
-    weights = np.zeros(27)
-    if targets:
-        x, q, n = np.array([t[0] for t in targets]), np.array([t[1] for t in targets]), np.array([t[2] for t in targets], float)
-        n = n / n.sum() * min(n.sum(), 10_000)
-        for _ in range(30):
+        reliability[kind], post = label_model([p[1] for p in rows], np.array([p[4] for p in rows], float))
+        x += [_inputs(*p[:4]) for p in rows]
+        q += post.tolist()
+        n += [p[4] for p in rows]
+    weights = np.zeros(27 + WORDS)
+    if x:
+        x, q, n = np.array(x), np.array(q), np.array(n, float) / sum(n)
+        for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.eye(27), x.T @ (n * (q - p)) - weights)
+            step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(weights)), x.T @ (n * (q - p)) - ridge * weights)
             weights += step
             if np.abs(step).max() < 1e-7:
                 break
     return SpanModel(reliability, weights)
 
 
-def train(found: DataFrame, sure: float = 0.9) -> frozenset[str]:
-    """Kinds of candidates (kind, votes, shape) that the span classifier, trained on ``found``, is ``sure`` of."""
-    counts = found.select(F.explode("found").alias("c")).groupBy("c.kind", "c.votes", "c.shape").agg(F.count("*").alias("n"))
-    patterns = sorted((r["kind"], r["votes"], r["shape"], r["n"]) for r in counts.collect())  # bounded: see above
+def train(found: DataFrame, column: str = "found", sure: float = 0.9) -> frozenset[str]:
+    """Kinds of candidates (kind, votes, shape, word) that the span classifier, trained on ``found``, is ``sure`` of."""
+    key = ["kind", "votes", "shape", "word"]
+    counts = found.select(F.explode(column).alias("c")).groupBy(*[f"c.{k}" for k in key]).agg(F.count("*").alias("n"))
+    patterns = sorted(tuple(r[k] for k in (*key, "n")) for r in counts.collect())  # bounded: see above
     model = fit(patterns)
-    return frozenset(f"{k}{v}{s}" for k, v, s, _ in patterns if model.probability(k, v, s) >= sure)
+    return frozenset(f"{k}{v}{s}.{w}" for k, v, s, w, _ in patterns if model.probability(k, v, s, w) >= sure)
+
+
+def accepted(found: F.Column, yes: frozenset[str]) -> F.Column:
+    """The base spans of a document's candidates, and those whose kind is among ``yes``."""
+    sure = F.array(*map(F.lit, sorted(yes))).cast("array<string>")
+    key = lambda c: F.concat(c["kind"].cast("string"), c["votes"], c["shape"].cast("string"), F.lit("."), c["word"].cast("string"))
+    return F.filter(found, lambda c: c["base"] | F.array_contains(sure, key(c)))
 
 
 def find_personal(docs: DataFrame, sure: float = 0.9) -> DataFrame:
-    """``doc_id, spans array<struct<kind,start,end,base,votes,shape>>`` of each row, by kind, then start."""
+    """``doc_id, spans array<struct<kind,start,end,base,votes,shape,word>>`` of each row, by kind, then start."""
     found = cut(find_candidates(docs))
-    yes = F.array(*map(F.lit, sorted(train(found, sure)))).cast("array<string>")
-    key = lambda c: F.concat(c["kind"].cast("string"), c["votes"], c["shape"].cast("string"))
-    return found.select("doc_id", F.filter("found", lambda c: c["base"] | F.array_contains(yes, key(c))).alias("spans"))
+    return found.select("doc_id", accepted(F.col("found"), train(found, sure=sure)).alias("spans"))
+
+
+def candidates_of(texts: pa.Array) -> pa.Array:
+    """The candidates of a text column."""
+    out = pa.array([candidates(t or "") for t in texts.to_pylist()], pa.list_(_CANDIDATE))
+    give_back()
+    return out
+
+
+def cleaned(text: str | None, spans: list[dict]) -> str | None:
+    """``text`` with spans replaced by their kinds; overlapping ones by that of the first."""
+    if text is None or not spans:
+        return text
+    out, at = [], 0
+    for c in sorted(spans, key=lambda c: (c["start"], -c["end"])):
+        if c["start"] >= at:
+            out += [text[at : c["start"]], f"[{KINDS[c['kind']].upper()}]"]
+        at = max(at, c["end"])
+    return "".join([*out, text[at:]])
+
+
+def _clean(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    return pa.array(map(cleaned, texts.to_pylist(), spans.to_pylist()), pa.string())
+
+
+#: A name that no caller's column has.
+_FOUND = "__personal_data__"
 
 
 def redact(docs: DataFrame, sure: float = 0.9, text_col: str = "text") -> DataFrame:
-    """``docs`` with each span in ``text_col`` replaced by its kind in brackets; overlapping spans by the first one's. Other columns stay."""
-    yes = train(cut(find_candidates(docs)), sure)
-
-    def cleaned(text: str | None) -> str | None:
-        if text is None:
-            return None
-        out, at = [], 0
-        spans = [c for c in candidates(text) if c["base"] or f"{c['kind']}{c['votes']}{c['shape']}" in yes]
-        for c in sorted(spans, key=lambda c: (c["start"], -c["end"])):
-            if c["start"] >= at:
-                out += [text[at : c["start"]], f"[{KINDS[c['kind']].upper()}]"]
-            at = max(at, c["end"])
-        return "".join([*out, text[at:]])
-
-    @pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        out = pd.Series([cleaned(t) for t in texts], dtype=object)
-        give_back()
-        return out
-
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    """``docs`` with each span in ``text_col`` replaced by its kind in brackets; overlapping spans by the first one's. Other columns stay.
+
+    Rows and their candidates are written once; both the model and the replacement read them there.
+    """
+    small_batches(docs.sparkSession)
+    found = cut(docs.withColumn(_FOUND, F.arrow_udf(candidates_of, _FOUND_TYPE)(F.col(text_col).cast("string"))))
+    return found.withColumn(text_col, F.arrow_udf(_clean, "string")(F.col(text_col), accepted(F.col(_FOUND), train(found, _FOUND, sure)))).drop(_FOUND)
 
 
 def _shown(spans: F.Column) -> F.Column:

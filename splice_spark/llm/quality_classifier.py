@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import cut, id_text, ids_and_bytes, read_table, trimmed
+from .common import cut, give_back, id_text, ids_and_bytes, read_table, small_batches, trimmed
 
 STATS = [
     "word_length", "word_spread", "symbols", "bars", "bangs", "capitals", "digits", "marks",
@@ -76,12 +76,22 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
+def _all_statistics(texts: list) -> pa.Array:
+    rows = np.array([statistics(t) for t in texts], np.float64).reshape(-1)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(STATS), pa.int32()), pa.array(rows, pa.float64()))
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = ids_and_bytes(batch)
-        rows = np.array([statistics(t) for t in texts], np.float64).reshape(-1)
-        offsets = pa.array(np.arange(len(ids) + 1) * len(STATS), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(rows, pa.float64()))], names=["doc_id", "stats"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _all_statistics(texts)], names=["doc_id", "stats"])
+
+
+def stats_of(texts: pa.Array) -> pa.Array:
+    """The statistics of a text column."""
+    out = _all_statistics(texts.cast(pa.binary()).to_pylist())
+    give_back()
+    return out
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -151,13 +161,12 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Discri
     return fit(stats.join(known, "doc_id"))
 
 
-def scorer(model: Discriminant, of_text: bool = False):
-    """A vectorised function of the ``stats`` column, or of a text column, to the score."""
+def scorer(model: Discriminant):
+    """A vectorised function of the ``stats`` column to the score."""
 
     @pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
-        rows = [statistics(None if t is None else t.encode()) for t in x] if of_text else x.tolist()
-        return pd.Series(model.scores(np.array(rows, np.float64).reshape(-1, len(STATS))))
+        return pd.Series(model.scores(np.array(x.tolist(), np.float64).reshape(-1, len(STATS))))
 
     return score
 
@@ -170,10 +179,19 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
     return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+#: A name that no caller's column has.
+_STATS = "__quality_stats__"
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose score is 0.5 or more; texts are measured again where they are, not shuffled."""
-    score = scorer(train(cut(measure(docs)), labels, label), of_text=True)
-    return docs.filter(score(F.col(text_col)) >= 0.5)
+    """Rows of ``docs``, with all their columns, whose score is 0.5 or more.
+
+    Rows and their statistics are written once; both the model and the choice read them there.
+    """
+    small_batches(docs.sparkSession)
+    measured = cut(docs.withColumn(_STATS, F.arrow_udf(stats_of, "array<double>")(F.col(text_col).cast("string"))))
+    score = scorer(train(measured.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_STATS).alias("stats")), labels, label))
+    return measured.filter(score(F.col(_STATS)) >= 0.5).drop(_STATS)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,14 @@
 """Toxicity scores: Levenshtein automata over a lexicon trie, weighed by context.
 
 The lexicon is learned from labelled rows: whole words and word stems that
-stand in at least a share ``support`` of the toxic texts and hardly in clean ones,
-besides a short seed list.  It is bounded by 1 / support entries a text.  A
+stand in ``least`` toxic texts or more and hardly in clean ones, beyond what
+chance explains (``evidence``, a likelihood ratio), besides a short seed list.
+Counting and choice are Spark's; only what is chosen comes to the driver.  A
 word of a document hits if it is a lexicon word, begins with a lexicon stem, or
 is a misspelling: the word's Levenshtein automaton (one edit from five letters,
 two from nine) is run down the trie of lexicon words, after a test that a piece
-of some word stands at its place.  Figures for letters are undone first.
+of some word stands at its place.  Words longer than any of the lexicon by more
+than the edits allowed can't be misspellings and aren't tried.  Figures for letters are undone first.
 
 Each hit looks at the words around it: inside or beside quotation marks, or
 near a word of saying, it counts as quoted.  Counts and rates of direct, stem,
@@ -17,8 +19,9 @@ class (those with the least hash of the id), outside the held-out fifth (crc32
 of doc_id as text, modulo 5, is 0).  All texts are scored whole, in one pass
 without a shuffle.
 
-Nulls and edges: a null text is an empty one and has a score; several labels of
-a doc_id all count; without toxic rows the seed list and fixed weights serve.
+Nulls and edges: a null text is an empty one and has a score; each row gives a
+row, an empty table none; words of any length are looked up; several labels of a
+doc_id all count; without toxic rows the seed list and fixed weights serve.
 """
 
 from __future__ import annotations
@@ -67,6 +70,7 @@ class Lexicon:
                 node = node.setdefault(c, {})
             node[""] = w
         self.stem_lengths = sorted({len(s) for s in self.stems})
+        self.reach = max((len(w) + edits_allowed(len(w)) for w in self.words), default=0)
         pieces = []
         for w in sorted(self.words):
             if k := edits_allowed(len(w)):
@@ -75,23 +79,22 @@ class Lexicon:
         self.piece = re.compile("|".join(pieces) or r"(?!)", re.S).match
 
     def misspelt(self, word: str) -> str | None:
-        """A lexicon word within the edits allowed for it, found by running the automaton of ``word`` down the trie."""
-        found = None
-
-        def down(node: dict, row: list[int]) -> None:
-            nonlocal found
+        """A lexicon word within the edits allowed for it, the first of several, found by running the automaton of ``word`` down the trie."""
+        if len(word) > self.reach:
+            return None
+        found, todo = None, [(self.trie, list(range(len(word) + 1)))]
+        while todo:
+            node, row = todo.pop()
             if "" in node and row[-1] <= edits_allowed(len(node[""])):
                 found = node[""] if found is None else min(found, node[""])
             if min(row) > 2:
-                return
+                continue
             for c, child in node.items():
                 if c:
                     new = [row[0] + 1]
                     for i, d in enumerate(word):
                         new.append(min(new[i] + 1, row[i + 1] + 1, row[i] + (c != d)))
-                    down(child, new)
-
-        down(self.trie, list(range(len(word) + 1)))
+                    todo.append((child, new))
         return found
 
     def kind(self, word: str) -> int:
@@ -139,43 +142,40 @@ def features(text: bytes | None, kinds: dict, around: int = 6) -> tuple[list[flo
     return [math.log1p(count[WORD]), math.log1p(count[NEAR]), rate(count[WORD]), rate(count[STEM]), rate(count[NEAR]), rate(len(hits) - sum(count.values()))], hits
 
 
-def _entries(text: str, dense: int = 150) -> set[str]:
-    """Whole words of a text (with an end mark), and stems of 3 to 7 letters that begin two words or more, and one in ``dense``."""
+def _entries(text: str) -> set[str]:
+    """Whole words of a text (with an end mark), and stems of 3 to 7 letters that begin two words or more."""
     words = _WORDS.findall(text.lower())
     stems = Counter(w[:n] for w in words for n in LENGTHS if len(w) > n)
-    return {w + "$" for w in words if len(w) > 3} | {s for s, k in stems.items() if k > 1 and k * dense >= len(words)}
-
+    return {w + "$" for w in words if len(w) > 1} | {s for s, k in stems.items() if k > 1}
 
-def _count_entries(only: frozenset[str] | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            count: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                e = _entries(t or "")
-                count.update(e if only is None else e & only)
-            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["entry", "n"])
 
-    return run
+def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts: tuple[Counter, Counter] = Counter(), Counter()
+        for t, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            counts[label].update(_entries(t or ""))
+        found = list(counts[0] | counts[1])
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *(pa.array([c[e] for e in found], pa.int64()) for c in counts)], names=["entry", "clean", "toxic"])
 
 
-def learn_lexicon(sampled: DataFrame, support: float = 0.02, least: int = 3, purity: float = 0.97) -> Lexicon:
-    """From ``text, label``: entries in a share ``support`` of the toxic texts (and in ``least``) whose odds in toxic texts are ``purity`` or more.  Copies count once."""
+def learn_lexicon(sampled: DataFrame, least: int = 3, purity: float = 0.97, evidence: float = 20.0) -> Lexicon:
+    """From ``text, label`` (0 or 1): entries of ``least`` toxic texts or more whose odds in toxic texts are ``purity`` or more, with a likelihood ratio of ``evidence`` or more against even odds.  Copies count once."""
     texts = sampled.select("text", "label").distinct()
     size = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
-    need = max(least, support * n1)
-    toxic = texts.filter("label = 1").select("text").mapInArrow(trimmed(_count_entries(None)), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n")).filter(F.col("n") >= need)
-    toxic = {r["entry"]: r["n"] for r in toxic.collect()}  # at most (entries a text) / support rows
-    clean = texts.filter("label = 0").select("text").mapInArrow(trimmed(_count_entries(frozenset(toxic))), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-    clean = {r["entry"]: r["n"] for r in clean.collect()}
+    counts = texts.mapInArrow(trimmed(_count_entries), "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    share = n1 / max(n0 + n1, 1)
+    surplus = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.ln(F.col(c) / ((F.col("clean") + F.col("toxic")) * p))).otherwise(0.0)
+    ratio = 2 * (surplus("toxic", max(share, 1e-9)) + surplus("clean", max(1 - share, 1e-9)))
+    p1, p0 = F.col("toxic") / max(n1, 1), (F.col("clean") + 0.5) / (n0 + 1)
+    chosen = counts.filter((F.col("toxic") >= least) & (p1 / (p1 + p0) >= purity) & (F.col("clean") * 20 <= F.col("toxic")) & (ratio >= evidence))
+    toxic = {r["entry"]: r["toxic"] for r in chosen.collect()}  # what ``2 * sample`` texts can prove
     words, stems = set(SEED), set()
-    for e in sorted(toxic, key=len):
-        p1, p0 = toxic[e] / max(n1, 1), (clean.get(e, 0) + 0.5) / (n0 + 1)
-        if p1 / (p1 + p0) >= purity and clean.get(e, 0) * 20 <= toxic[e]:
-            if e.endswith("$"):
-                words.add(e[:-1])
-            elif not any(e[:n] in stems for n in LENGTHS):
-                stems.add(e)
+    for e in sorted(toxic, key=lambda e: (len(e), e)):
+        if e.endswith("$"):
+            words.add(e[:-1])
+        elif not any(e[:n] in stems for n in LENGTHS):
+            stems.add(e)
     # a stem which only one kept word explains says no more than the word
     spread = Counter(w[:n] for w in words for n in LENGTHS if len(w) > n)
     alone = {s for s in stems if spread[s] == 1 and any(w.startswith(s) and toxic.get(w + "$", 0) >= 0.9 * toxic[s] for w in words)}
