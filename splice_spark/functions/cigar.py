@@ -68,11 +68,20 @@ def split_cigar_chim(cigar: Column) -> Column:
 
 
 def kmer_entropy(seq: Column, c: int = 5) -> Column:
-    """Shannon entropy (natural logarithm) of the sequence's c-mers; 0 if it is shorter."""
+    """Shannon entropy (natural logarithm) of the sequence's c-mers; 0 if it is shorter.
+
+    The c-mers are sorted and their runs counted: ln n less the mean of ln(copies).
+    """
     n = F.length(seq) - c + 1
     mers = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substr(seq, i, F.lit(c)))).otherwise(F.array().cast("array<string>"))
-    share = lambda m: F.size(F.filter(mers, lambda x: x == m)) / n
-    return F.aggregate(F.array_distinct(mers), F.lit(0.0), lambda e, m: e - share(m) * F.log(share(m)))
+    part = lambda k: k * F.ln(F.greatest(k, F.lit(1.0)))
+    state = lambda mer, run, done: F.struct(mer.alias("mer"), run.alias("run"), done.alias("done"))
+    runs = F.aggregate(
+        F.sort_array(mers),
+        state(F.lit(""), F.lit(0.0), F.lit(0.0)),
+        lambda s, m: F.when(m == s["mer"], state(m, s["run"] + 1, s["done"])).otherwise(state(m, F.lit(1.0), s["done"] + part(s["run"]))),
+    )
+    return F.when(n > 0, F.ln(n) - (runs["done"] + part(runs["run"])) / n).otherwise(0.0)
 
 
 def longest_runs(seq: Column) -> Column:

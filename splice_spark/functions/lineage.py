@@ -2,17 +2,51 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared folder in ``spark.checkpoint.dir`` and read again: computed once, and safe from lost executors."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"/tmp/spark-checkpoints-{uuid.uuid4().hex}"
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder of the cluster (``spark.checkpoint.dir``); on a local master without one, one of our own."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return f"{folder.rstrip('/')}/{sc.applicationId}"
+
+
+_written: list[str] = []
+
+
+def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: computed once, and safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    _written.append(path)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of any file system that Spark knows."""
+    for path in paths:
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``cut`` writes inside; the results must be stored elsewhere by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        delete(spark, *_written[before:])
+        del _written[before:]

@@ -10,30 +10,39 @@ from pyspark.sql import Column
 from pyspark.sql.pandas.functions import pandas_udf
 
 
+def _lgamma(half: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function of positive halves, by the distinct ones."""
+    values, at = np.unique(half, return_inverse=True)
+    return np.array([math.lgamma(v) for v in values.tolist()])[at]
+
+
+def chi2_tails(x: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """P(X > x) for chi-square with ``df`` degrees of freedom: a finite sum for even ones, the error function and a sum for odd ones; NaN where it isn't defined."""
+    x, df = np.asarray(x, np.float64), np.asarray(df, np.float64)
+    out = np.full(len(x), np.nan)
+    out[(df > 0) & (x <= 0)] = 1.0
+    k = np.flatnonzero((df > 0) & (x > 0))
+    if not len(k):
+        return out
+    h, n = x[k] / 2, df[k].astype(np.int64)
+    odd = n % 2 == 1
+    root = np.sqrt(np.minimum(h, 1e4))
+    total = np.where(odd, [math.erfc(r) if o else 0.0 for r, o in zip(root.tolist(), odd.tolist(), strict=True)], 0.0)
+    for j in range(int((n // 2).max())):  # one term a pair of degrees, for all values at once
+        more = j < n // 2
+        place = j + np.where(odd, 0.5, 0.0)
+        total += np.where(more, np.exp(place * np.log(h) - h - _lgamma(place + 1)), 0.0)
+    out[k] = np.minimum(total, 1.0)
+    return out
+
+
 def chi2_tail(x: float, df: int) -> float:
-    """P(X > x) for chi-square with ``df`` degrees of freedom: a finite sum for even ones, the error function and a sum for odd ones."""
-    if not (x == x and df > 0):
-        return math.nan
-    if x <= 0:
-        return 1.0
-    h = x / 2
-    if df % 2 == 0:
-        term, total = 0.0, []
-        for k in range(df // 2):
-            total.append(term - h)
-            term += math.log(h) - math.log(k + 1)
-        return min(1.0, sum(map(math.exp, total)))
-    total = math.erfc(math.sqrt(h))
-    term = 0.5 * math.log(h) - h - math.lgamma(1.5)
-    for k in range((df - 1) // 2):
-        total += math.exp(term)
-        term += math.log(h) - math.log(k + 1.5)
-    return min(1.0, total)
+    return float(chi2_tails(np.array([x]), np.array([df]))[0])
 
 
 def _tails(x: pd.Series, df: pd.Series) -> pd.Series:
-    out = [None if a is None or b is None or a != a or b != b else chi2_tail(float(a), int(b)) for a, b in zip(x, df, strict=True)]
-    return pd.Series(out, dtype="float64")
+    found = chi2_tails(x.to_numpy(np.float64, na_value=np.nan), df.to_numpy(np.float64, na_value=np.nan))
+    return pd.Series(found, dtype="Float64").mask(np.isnan(found))
 
 
 def chi2_sf(x: Column, df: Column) -> Column:
@@ -41,25 +50,38 @@ def chi2_sf(x: Column, df: Column) -> Column:
     return pandas_udf(_tails, "double")(x, df)
 
 
-def permuted_statistics(z: np.ndarray, labels: np.ndarray, counts: np.ndarray, var_add: float, rng: np.random.Generator, n: int, at_once: int = 4_000_000) -> np.ndarray:
-    """The statistic of ``n`` random labellings: variance-weighted spread of the groups' medians.
+#: A prime below 2^31, so that products fit 64 bits.
+PRIME = 2_147_483_647
 
-    Values are sorted once; a stable sort of permuted labels then leaves every group sorted.
+
+def permutation_keys(n: int, seed: int, perms: np.ndarray) -> np.ndarray:
+    """A number under ``PRIME`` for each permutation (row) and cell (column); cells stand in its order, equal ones by their own.
+
+    Whole-number arithmetic only, so that SQL gives the same.
     """
-    z = np.sort(z)
-    sizes = np.bincount(labels, minlength=len(counts))
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    i, r = np.arange(n, dtype=np.int64)[None, :], np.asarray(perms, np.int64)[:, None]
+    a = (seed * 48_271 + r * 1_566_083_941 + 1) % PRIME
+    x = (i * 1_103_515_245 + a) % PRIME
+    x = (x * x + a) % PRIME
+    x = (x * 69_621 + r + i) % PRIME
+    x = (x * x + a) % PRIME
+    return (x * 48_271 + i) % PRIME
+
+
+def permuted_statistics(z: np.ndarray, sizes: np.ndarray, var_add: float, seed: int, perms: np.ndarray, at_once: int = 2_000_000) -> np.ndarray:
+    """The statistic of permutations of ``z`` over groups of ``sizes``, in the order of ``perms``: variance-weighted spread of the groups' medians."""
+    ends = np.cumsum(sizes)
     out = []
     step = max(1, at_once // max(len(z), 1))
-    for k in range(0, n, step):
-        b = min(step, n - k)
-        perm = rng.permuted(np.tile(labels, (b, 1)), axis=1)
-        v = z[np.argsort(perm, axis=1, kind="stable")]
-        mid = (v[:, starts + (sizes - 1) // 2] + v[:, starts + sizes // 2]) / 2
-        total, square = np.add.reduceat(v, starts, axis=1), np.add.reduceat(v * v, starts, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            var = np.maximum(square - total**2 / sizes, 0) / (sizes - 1) + var_add
-            w = counts / var
-            mean = (w * mid).sum(1) / w.sum(1)
-            out.append((w * (mid - mean[:, None]) ** 2).sum(1))
+    for k in range(0, len(perms), step):
+        v = z[np.argsort(permutation_keys(len(z), seed, perms[k : k + step]), axis=1, kind="stable")]
+        weights, middles = [], []
+        for lo, hi in zip(ends - sizes, ends, strict=True):
+            group = v[:, lo:hi]
+            middles.append(np.median(group, axis=1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                weights.append((hi - lo) / (group.var(axis=1, ddof=1) + var_add) if hi - lo > 1 else np.full(len(v), np.nan))
+        w, mid = np.stack(weights, axis=1), np.stack(middles, axis=1)
+        mean = (w * mid).sum(1) / w.sum(1)
+        out.append((w * (mid - mean[:, None]) ** 2).sum(1))
     return np.concatenate(out) if out else np.zeros(0)

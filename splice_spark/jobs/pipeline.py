@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.operators import annotate, counts, differential, reads, score, sites, svd
 from splice_spark.sources import tables
@@ -55,7 +56,7 @@ def score_job(junctions: DataFrame, params: Params) -> tuple[DataFrame, DataFram
     normal = tables.normalise_input(checked, params.sicilian, params.level_1)
     rows = score.score_rows(normal, params.sicilian, params.bounds, params.pin_s, params.pin_z, params.rank_quant)
     if not params.light:
-        rows = score.add_split_z(rows, params.pin_z).join(score.gene_cov(rows), "gene")
+        rows = lookup(score.add_split_z(rows, params.pin_z), score.gene_cov(rows), ["gene"])
     rows = score.contributions(rows, params.level_1, params.level_2)
     rows = cut(rows)
     values = cut(svd.site_values(rows, params.svd_type))
@@ -71,5 +72,5 @@ def analysis_job(scores: DataFrame, loadings: DataFrame, params: Params) -> tupl
     tests = differential.differential_tests(scores, params.level_1, params.level_2, params.n_perms, params.seed)
     shares = scores.groupBy("gene").agg(*[F.max(f"f{k}").alias(f"f{k}") for k in range(3)])
     wide = cut(differential.widen(tests, shares))
-    found = sites.top_sites(loadings.join(sites.site_genes(wide, params.library), "gene", "left_semi"))
+    found = sites.top_sites(loadings.filter("component < 3").join(sites.site_genes(wide, params.library), "gene", "left_semi"))
     return tests, wide, found, sites.summarise(scores, wide, found, params.level_1, params.level_2)

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-from functools import partial
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions import cigar
-from splice_spark.jobs.score_queries import r6
+from splice_spark.jobs.score_queries import io_folder, r6
 from splice_spark.operators import annotate, counts, gene_repair, genes, reads
 from splice_spark.sources import fixtures, tables
 
 
-def _gtf(spark, sf_dir, whole=False):
-    return fixtures.gtf(spark, sf_dir, whole)
-
-
 def cigar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("cigar")
     r = fixtures.reads(spark, sf_dir).select("qname", "pos", "cigar", cigar.cigar_junction(F.col("pos"), c).alias("j"), cigar.cigar_ref_span(c).alias("span"), cigar.cigar_counts(c).alias("k"), cigar.split_cigar_align(c).alias("s"))
@@ -51,48 +44,48 @@ def barcodes(spark, sf_dir):
 
 
 def max_genomic_score(spark, sf_dir):
-    return reads.max_genomic_score(fixtures.reads(spark, sf_dir).withColumn("qname", F.concat(F.lit("q"), F.substring("qname", -1, 1))), "10X")
+    return reads.max_genomic_score(fixtures.reads(spark, sf_dir).withColumn("qname", F.concat(F.lit("q"), F.element_at(F.split("qname", "_U"), -1))), "10X")
 
 
-def gene_intervals(spark, sf_dir, whole=False):
-    return genes.gene_intervals(_gtf(spark, sf_dir, whole))
+def gene_intervals(spark, sf_dir):
+    return genes.gene_intervals(fixtures.gtf(spark, sf_dir))
 
 
-def gene_strands(spark, sf_dir, whole=False):
-    return genes.gene_strands(_gtf(spark, sf_dir, whole))
+def gene_strands(spark, sf_dir):
+    return genes.gene_strands(fixtures.gtf(spark, sf_dir))
 
 
-def _loci(spark, sf_dir, whole=False):
-    r = fixtures.reads(spark, sf_dir, fixtures.N_GENES if whole else 150)
+def _loci(spark, sf_dir):
+    r = fixtures.reads(spark, sf_dir)
     return r.select(reads.normalise_chrom(F.col("rname")).alias("chr"), "pos", reads.strand_from_flag(F.col("flag")).alias("read_strand"))
 
 
-def genes_at_locus(spark, sf_dir, whole=False):
-    return genes.genes_at_locus(_loci(spark, sf_dir, whole), genes.gene_intervals(_gtf(spark, sf_dir, whole)))
+def genes_at_locus(spark, sf_dir):
+    return genes.genes_at_locus(_loci(spark, sf_dir), genes.gene_intervals(fixtures.gtf(spark, sf_dir)))
 
 
-def genes_at_locus_stranded(spark, sf_dir, whole=False):
-    return genes.genes_at_locus(_loci(spark, sf_dir, whole), genes.gene_intervals(_gtf(spark, sf_dir, whole)), True)
+def genes_at_locus_stranded(spark, sf_dir):
+    return genes.genes_at_locus(_loci(spark, sf_dir), genes.gene_intervals(fixtures.gtf(spark, sf_dir)), True)
 
 
-def _named(spark, sf_dir, spread: int | str = 150, whole=False):
-    return reads.class_input(fixtures.reads(spark, sf_dir, spread), _gtf(spark, sf_dir, whole), "10X")
+def _named(spark, sf_dir):
+    return reads.class_input(fixtures.reads(spark, sf_dir), fixtures.gtf(spark, sf_dir), "10X")
 
 
-def spliced_junctions(spark, sf_dir, whole=False):
-    return _named(spark, sf_dir, fixtures.N_GENES if whole else 150, whole).select("sample_id", "id", "refName_ABR1", "UMI", "barcode", "read_strandR1", "juncPosR1A", "juncPosR1B", "geneR1A", "geneR1B", "chrR1A")
+def spliced_junctions(spark, sf_dir):
+    return _named(spark, sf_dir).select("sample_id", "id", "refName_ABR1", "UMI", "barcode", "read_strandR1", "juncPosR1A", "juncPosR1B", "geneR1A", "geneR1B", "chrR1A")
 
 
 def _mates(spark, sf_dir):
     """Every read as a first mate, and odd ones again as the second mate of the read before."""
     r = fixtures.reads(spark, sf_dir)
     number = F.regexp_extract("qname", "^r([0-9]+)_", 1).cast("long")
-    second = r.filter(number % 2 == 1).withColumns({"mate": F.lit(2), "qname": F.concat(F.lit("r"), (number - 1).cast("string"), F.lit("_U"), ((number - 1) % 7).cast("string")), "sample_id": F.lit("S0")})
+    second = r.filter(number % 2 == 1).withColumns({"mate": F.lit(2), "qname": F.concat(F.lit("r"), (number - 1).cast("string"), F.lit("_U"), F.floor(number / 4).cast("string")), "sample_id": F.lit("S0")})
     return r.withColumn("sample_id", F.lit("S0")).unionByName(second)
 
 
 def pair_reads(spark, sf_dir):
-    out = reads.class_input(_mates(spark, sf_dir), _gtf(spark, sf_dir), "SS2")
+    out = reads.class_input(_mates(spark, sf_dir), fixtures.gtf(spark, sf_dir), "SS2")
     return out.select("id", "refName_ABR1", "juncPosR1A", "juncPosR1B", "juncPosR2A", "read_strandR1", "read_strandR2", "read_strand_compatible", "location_compatible")
 
 
@@ -101,19 +94,19 @@ def chimeric_junctions(spark, sf_dir):
     r = fixtures.reads(spark, sf_dir)
     number = F.regexp_extract("qname", "^r([0-9]+)_", 1).cast("long")
     lines = r.select(F.concat(F.lit("c"), (number - number % 2).cast("string")).alias("qname"), (number % 2).alias("segment"), "flag", F.when(number % 10 < 6, F.lit("chr1")).otherwise(F.concat(F.lit("chr"), "rname")).alias("rname"), "pos", "cigar", F.lit("1").alias("ch"))
-    return reads.chimeric_junctions(lines, genes.gene_intervals(_gtf(spark, sf_dir)))
+    return reads.chimeric_junctions(lines, genes.gene_intervals(fixtures.gtf(spark, sf_dir)))
 
 
 def dedup_umis(spark, sf_dir):
-    return counts.dedup_umis(_named(spark, sf_dir, 10)).select("sample_id", "barcode", "UMI", "refName_ABR1", "id")
+    return counts.dedup_umis(_named(spark, sf_dir)).select("sample_id", "barcode", "UMI", "refName_ABR1", "id")
 
 
 def umi_counts(spark, sf_dir):
-    return counts.count_junctions(_named(spark, sf_dir, 10)).select("sample_id", "barcode", "refName_ABR1", "numReads", "id")
+    return counts.count_junctions(_named(spark, sf_dir)).select("sample_id", "barcode", "refName_ABR1", "numReads", "id")
 
 
 def junction_table(spark, sf_dir):
-    return counts.junction_table(_named(spark, sf_dir, 10), "10X")
+    return counts.junction_table(_named(spark, sf_dir), "10X")
 
 
 def _meta(spark, sf_dir):
@@ -128,7 +121,7 @@ def attach_meta(spark, sf_dir):
 
 def annotate_exons(spark, sf_dir):
     j = fixtures.junctions(spark, sf_dir).drop("splice_ann")
-    bounds = j.filter("juncPosR1A <> 3000").select(F.col("chrR1A").alias("chr"), F.col("juncPosR1A").alias("pos")).union(j.filter("juncPosR1B <> 103000").select("chrR1A", "juncPosR1B"))
+    bounds = j.filter("juncPosR1A % 200000 <> 3000").select(F.col("chrR1A").alias("chr"), F.col("juncPosR1A").alias("pos")).union(j.filter("juncPosR1B % 200000 <> 103000").select("chrR1A", "juncPosR1B"))
     return annotate.annotate_exons(j, bounds).select("cell", "refName_newR1", "exon_annR1A", "exon_annR1B", "both_ann")
 
 
@@ -138,50 +131,109 @@ def annotate_splices(spark, sf_dir):
     return annotate.annotate_splices(j.withColumns({"juncPosR1A": F.col("juncPosR1B"), "juncPosR1B": F.col("juncPosR1A")}), known).select("cell", "refName_newR1", "splice_ann")
 
 
-def gene_repair_names(spark, sf_dir, whole=False):
-    out = gene_repair.modify_refnames(fixtures.class_input(spark, sf_dir, whole), genes.gene_strands(_gtf(spark, sf_dir, whole)))
+def gene_repair_names(spark, sf_dir):
+    out = gene_repair.modify_refnames(fixtures.class_input(spark, sf_dir), genes.gene_strands(fixtures.gtf(spark, sf_dir)))
     return out.select("refName_ABR1", "refName_newR1", "chrR1A", "chrR1B", "juncPosR1A", "juncPosR1B", "geneR1A_uniq", "geneR1B_uniq", "gene_strandR1A", "gene_strandR1B")
 
 
-def weird_genes(spark, sf_dir, whole=False):
-    one = gene_repair.resolve_shared_gene(gene_repair.drop_weird_genes(fixtures.class_input(spark, sf_dir, whole)))
+def weird_genes(spark, sf_dir):
+    one = gene_repair.resolve_shared_gene(gene_repair.drop_weird_genes(fixtures.class_input(spark, sf_dir)))
     return one.select("refName_ABR1", "geneR1A", "geneR1B", "uniq_A", "uniq_B", "n_A", "n_B", "shared")
 
 
-def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-io"
-    return f"{base.rstrip('/')}/io-{uuid.uuid4().hex}"
+def gene_repair_stranded(spark, sf_dir):
+    out = gene_repair.modify_refnames(fixtures.class_input(spark, sf_dir), genes.gene_strands(fixtures.gtf(spark, sf_dir)), True)
+    return out.select("refName_ABR1", "refName_newR1", "geneR1A_uniq", "geneR1B_uniq", "gene_strandR1A", "gene_strandR1B")
+
+
+def unspliced_names(spark, sf_dir):
+    """Short names of unspliced alignments."""
+    plain = reads.usable_reads(fixtures.reads(spark, sf_dir), "10X").filter("cigar not like '%N%'")
+    return reads.name_junctions(plain, genes.gene_intervals(fixtures.gtf(spark, sf_dir)), "10X").select("id", "refName_ABR1", "juncPosR1A", "juncPosR1B", "geneR1A", "chrR1A", "chrR1B")
+
+
+def cell_ids(spark, sf_dir):
+    """Of all libraries, a row for each read and library."""
+    named, out = _named(spark, sf_dir).withColumn("id", F.concat("id", F.lit(".1"))), None
+    for library in counts.LIBRARIES:
+        one = named.select("id", F.lit(library).alias("library"), counts.cell_id(library).alias("cell_id"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def io_tsv_roundtrip(spark, sf_dir):
-    path = f"{_folder(spark)}/junctions.tsv"
+    path = f"{io_folder(spark)}/junctions.tsv"
     tables.write_tsv(fixtures.junctions(spark, sf_dir), path)
     return tables.read_junctions(spark, path).select("cell", "refName_newR1", "juncPosR1A", "juncPosR1B", "numReads", "splice_ann", "called")
 
 
 def io_by_chromosome(spark, sf_dir):
-    path = f"{_folder(spark)}/chromosomes.parquet"
+    path = f"{io_folder(spark)}/chromosomes.parquet"
     tables.write_by_chromosome(fixtures.junctions(spark, sf_dir), path)
     return tables.read_junctions(spark, path).select("cell", "refName_newR1", "numReads", F.col("chrR1A").cast("string").alias("chrR1A"))
 
 
-QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, junction_table, attach_meta, annotate_exons, annotate_splices, weird_genes, io_tsv_roundtrip, io_by_chromosome)}
+def io_convert(spark, sf_dir):
+    """Parquet to text and back."""
+    folder = io_folder(spark)
+    fixtures.junctions(spark, sf_dir).write.parquet(f"{folder}/a.parquet")
+    tables.convert_table(spark, f"{folder}/a.parquet", f"{folder}/b.tsv")
+    tables.convert_table(spark, f"{folder}/b.tsv", f"{folder}/c.pq")
+    return tables.read_junctions(spark, f"{folder}/c.pq").select("cell", "refName_newR1", "juncPosR1A", "juncPosR1B", "numReads", "splice_ann", "called")
+
+
+SAM_TAGS = {"cb": "CB:Z", "ub": "UB:Z", "ur": "UR:Z", "xc": "XC:Z", "xm": "XM:Z", "as_score": "AS:i", "ch": "ch:A", "md": "MD:Z"}
+
+
+def io_samples(spark, sf_dir):
+    """SAM text of three samples, named by a sample sheet."""
+    folder = io_folder(spark)
+    tags = [F.concat(F.lit(f"{t}:"), F.col(c).cast("string")) for c, t in SAM_TAGS.items()]
+    line = F.concat_ws("\t", "qname", F.col("flag").cast("string"), "rname", F.col("pos").cast("string"), F.lit("60"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", F.lit("*"), *tags)
+    aligned = fixtures.reads(spark, sf_dir)
+    heads = aligned.select("sample_id", F.lit("@HD\tVN:1.6").alias("value")).distinct()
+    aligned.select("sample_id", line.alias("value")).unionByName(heads).write.partitionBy("sample_id").text(f"{folder}/sam")
+    files = spark.read.text(f"{folder}/sam").select(F.col("_metadata.file_path").alias("path"), "sample_id").distinct()
+    files.select(F.concat_ws(", ", "sample_id", "path").alias("value")).write.text(f"{folder}/sheet.csv")
+    out = tables.read_samples(spark, tables.read_samplesheet(spark, f"{folder}/sheet.csv", "10X"))
+    return out.select("sample_id", F.col("mate").cast("long").alias("mate"), "qname", F.col("flag").cast("long").alias("flag"), "rname", "pos", "cigar", "seq", *[c for c in SAM_TAGS if c != "as_score"], F.col("as_score").cast("long").alias("as_score"))
+
+
+def io_gtf(spark, sf_dir):
+    """An annotation file with a comment; genes' places in it by sequence."""
+    path = f"{io_folder(spark)}/genes.gtf"
+    columns = [c.split()[0] for c in tables.GTF_SCHEMA.split(", ")]
+    lines = fixtures.gtf(spark, sf_dir).select("line", F.concat_ws("\t", *[F.col(c).cast("string") for c in columns]).alias("value"))
+    lines.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("line"), F.lit("#!genome-build x").alias("value"))).repartition(1).sortWithinPartitions("line").select("value").write.text(path)
+    found = genes.gene_intervals(tables.read_gtf(spark, path))
+    return found.select("seqname", "gene", "start", "end", "strand", F.row_number().over(Window.partitionBy("seqname").orderBy("ord")).cast("long").alias("place"))
+
+
+def io_meta(spark, sf_dir):
+    path = f"{io_folder(spark)}/meta.tsv"
+    tables.write_tsv(_meta(spark, sf_dir), path)
+    return tables.read_meta(spark, path).select("cell_id", "tissue", "compartment", "called")
+
+
+QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, junction_table, attach_meta, annotate_exons, annotate_splices, weird_genes, gene_repair_stranded, unspliced_names, cell_ids, io_tsv_roundtrip, io_by_chromosome, io_convert, io_samples, io_gtf, io_meta)}
 QUERIES["gene_repair"] = gene_repair_names
-#: Queries that also run over all of part, as ``..._whole``; under their own names they keep the inputs of their SQL.
+#: Queries that are registered under a second name too.
 WHOLE = ("gene_repair", "weird_genes", "gene_intervals", "gene_strands", "genes_at_locus", "genes_at_locus_stranded", "spliced_junctions")
-QUERIES |= {f"{name}_whole": partial(QUERIES[name], whole=True) for name in WHOLE}
+QUERIES |= {f"{name}_whole": QUERIES[name] for name in WHOLE}
 
 # SQL
 
-_READS = f"r AS ({fixtures.duck(fixtures.READS, spread=150)})"
-_FEW = f"r AS ({fixtures.duck(fixtures.READS, spread=10)})"
-#: Fixed CIGARs of the fixture and what they stand for, worked out by hand: bases to the junction, its gap and what follows, span, totals, parts.
-_CIGARS = """cg(cigar, a, b, span, n_m, n_s, n_i, n_d, c1, c2, kept_a, kept_b) AS (VALUES
-('50M', NULL, NULL, 50, 50, 0, 0, 0, '50M', NULL, '', ''),
-('20M500N30M', 19, 520, 550, 50, 0, 0, 0, '20M', '30M', '', ''),
-('10M2D10M800N5I20M100N10M', 21, 822, 952, 50, 0, 5, 2, '10M2D10M', '5I20M100N10M', '', ''),
-('5S20M1200N25M', 19, 1220, 1245, 45, 5, 0, 0, '5S20M', '25M', '', ''),
-('30M300N1D20M', 29, 331, 351, 50, 0, 0, 1, '30M', '1D20M', '', ''))"""
+_READS = f"r AS ({fixtures.duck(fixtures.READS)})"
+#: Each distinct CIGAR, operation by operation: bases to the junction, and from there to the other end; span, totals, and both parts.
+_CIGARS = """st AS (SELECT cigar, CAST(unnest(regexp_extract_all(cigar, '[0-9]+')) AS BIGINT) AS n, unnest(regexp_extract_all(cigar, '[A-Z]')) AS op, unnest(range(1, len(regexp_extract_all(cigar, '[A-Z]')) + 1)) AS i FROM (SELECT DISTINCT cigar FROM r)),
+kn AS (SELECT cigar, i AS k, n AS gap FROM (SELECT *, row_number() OVER (PARTITION BY cigar ORDER BY n DESC, i) AS place FROM st WHERE op = 'N') WHERE place = 1),
+km AS (SELECT st.cigar, min(i) AS m FROM st JOIN kn ON st.cigar = kn.cigar WHERE op = 'M' AND i > k GROUP BY st.cigar),
+co AS (SELECT st.*, k, gap, m FROM st LEFT JOIN kn ON st.cigar = kn.cigar LEFT JOIN km ON st.cigar = km.cigar),
+cg AS (SELECT cigar, CAST(CASE WHEN m IS NOT NULL THEN before - 1 END AS BIGINT) AS a, CAST(CASE WHEN m IS NOT NULL THEN before + gap + after END AS BIGINT) AS b, * EXCLUDE (cigar, k, gap, m, before, after, c1), CASE WHEN k IS NULL THEN cigar ELSE coalesce(c1, '') END AS c1 FROM (
+    SELECT cigar, k, gap, m, coalesce(sum(n) FILTER (op IN ('M', 'N', 'D') AND i < k), 0) AS before, coalesce(sum(n) FILTER (op IN ('N', 'D') AND i > k AND i < m), 0) AS after, CAST(coalesce(sum(n) FILTER (op IN ('M', 'N', 'D')), 0) AS BIGINT) AS span,
+           CAST(coalesce(sum(n) FILTER (op = 'M'), 0) AS BIGINT) AS n_m, CAST(coalesce(sum(n) FILTER (op = 'S'), 0) AS BIGINT) AS n_s, CAST(coalesce(sum(n) FILTER (op = 'I'), 0) AS BIGINT) AS n_i, CAST(coalesce(sum(n) FILTER (op = 'D'), 0) AS BIGINT) AS n_d,
+           string_agg(CAST(n AS VARCHAR) || op, '' ORDER BY i) FILTER (i < k) AS c1, string_agg(CAST(n AS VARCHAR) || op, '' ORDER BY i) FILTER (i > k) AS c2
+    FROM co GROUP BY cigar, k, gap, m))"""
 _GTF = f"""gt AS ({fixtures.duck(fixtures.GTF)}),
 gn AS (SELECT *, CASE WHEN attribute LIKE '%gene_name%' THEN split_part(split_part(attribute, 'gene_name', 2), '"', 2) WHEN attribute LIKE '%;gene=%' THEN split_part(split_part(attribute, ';gene=', 2), ';', 1) END AS gene FROM gt),
 gi AS (SELECT seqname, gene, min("start") AS "start", max("end") AS "end", CASE WHEN count(DISTINCT strand) = 1 THEN min(strand) ELSE '?' END AS strand, min(line) AS ord FROM gn WHERE gene IS NOT NULL GROUP BY seqname, gene)"""
@@ -239,7 +291,7 @@ ck AS (SELECT *, CASE WHEN pc <> qc THEN 'fus' WHEN ps <> qs THEN 'sc' WHEN ps =
 SELECT 'c' || CAST(k AS VARCHAR) AS id, {_NAME.format(c1="pc", p1="pp", c2="qc", p2="qp")} kind AS refName_ABR1, kind AS junc_type, pc AS chrR1A, x.gene AS geneR1A, pp AS juncPosR1A, qc AS chrR1B, y.gene AS geneR1B, qp AS juncPosR1B
 FROM ck JOIN lg x ON x.chr = pc AND x.pos = pp AND x.read_strand = ps JOIN lg y ON y.chr = qc AND y.pos = qp AND y.read_strand = qs"""
 _PAIRS = f"""WITH {_READS}, {_CIGARS}, {_GTF},
-mt AS (SELECT 1 AS mate, qname, flag, rname, pos, cigar, ch FROM r UNION ALL SELECT 2, 'r' || CAST({_NUM} - 1 AS VARCHAR) || '_U' || CAST(({_NUM} - 1) % 7 AS VARCHAR), flag, rname, pos, cigar, ch FROM r WHERE {_NUM} % 2 = 1),
+mt AS (SELECT 1 AS mate, qname, flag, rname, pos, cigar, ch FROM r UNION ALL SELECT 2, 'r' || CAST({_NUM} - 1 AS VARCHAR) || '_U' || CAST(CAST(floor({_NUM} / 4) AS BIGINT) AS VARCHAR), flag, rname, pos, cigar, ch FROM r WHERE {_NUM} % 2 = 1),
 nx AS (SELECT mate, qname AS id, {_STRAND} AS strand, 'chr' || rname AS chr, coalesce(pos + a, pos) AS pa, pos + b AS pb, flag & 256 = 0 AS prim FROM mt JOIN cg ON mt.cigar = cg.cigar WHERE flag & 4 = 0 AND ch IS NULL),
 lx AS (SELECT chr, pa AS pos, strand AS read_strand FROM nx WHERE pb IS NOT NULL UNION SELECT chr, pb, strand FROM nx WHERE pb IS NOT NULL),
 {_loc("lg", "lx")},
@@ -270,41 +322,47 @@ SELECT rp9.refName_ABR1, rp9.chrR1A, rp9.chrR1B, rp9.juncPosR1A, rp9.juncPosR1B,
        WHEN fileTypeR1 = 'Chimeric' AND (read_strandR1A = '+' AND rp9.juncPosR1A > rp9.juncPosR1B OR read_strandR1A = '-' AND rp9.juncPosR1A < rp9.juncPosR1B) THEN '|rev' ELSE '|lin' END AS refName_newR1
 FROM rp9 JOIN ci ON ci.refName_ABR1 = rp9.refName_ABR1"""
 
+#: Stranded libraries take the reads' strands where genes are chosen and at the end.
+_STRANDED = _REPAIR.replace("SELECT rp0.*, a.strand AS new_A, b.strand AS new_B FROM", "SELECT rp0.*, read_A AS new_A, read_B AS new_B FROM").replace("END AS new_B) FROM rp5)", "END AS new_B) FROM (SELECT * REPLACE (read_A AS new_A, read_B AS new_B) FROM rp5))")
+_STRANDED = f"SELECT refName_ABR1, refName_newR1, geneR1A_uniq, geneR1B_uniq, gene_strandR1A, gene_strandR1B FROM ({_STRANDED})"
+
 ORACLE_SQL = {
     "gene_repair": _REPAIR,
     "chimeric_junctions": _CHIMERIC,
     "pair_reads": _PAIRS,
     "cigar_features": f"WITH {_READS}, {_CIGARS} SELECT qname, pos + a AS pos_a, pos + b AS pos_b, CAST(span AS BIGINT) AS span, CAST(n_m AS BIGINT) AS n_m, CAST(n_s AS BIGINT) AS n_s, CAST(n_i AS BIGINT) AS n_i, CAST(n_d AS BIGINT) AS n_d, c1 AS cigar_1, c2 AS cigar_2 FROM r JOIN cg ON r.cigar = cg.cigar",
-    "chimeric_cigars": f"WITH {_READS} SELECT qname, CASE WHEN as_score % 3 = 0 OR as_score % 3 = 1 AND cigar NOT LIKE '5S%' THEN cigar WHEN as_score % 3 = 1 THEN cigar WHEN as_score % 4 + 1 > 3 THEN cigar || '3S' ELSE CAST(as_score % 4 + 1 AS VARCHAR) || 'S' || cigar END AS kept FROM r",
+    "chimeric_cigars": f"""WITH {_READS}, cl AS (SELECT qname, CASE as_score % 3 WHEN 0 THEN '7S' || cigar WHEN 1 THEN cigar || '9H' ELSE CAST(as_score % 4 + 1 AS VARCHAR) || 'S' || cigar || '3S' END AS c FROM r),
+cp AS (SELECT *, CAST(regexp_extract(c, '^([0-9]+)', 1) AS BIGINT) AS first, CAST(regexp_extract(c, '([0-9]+)[A-Z]$', 1) AS BIGINT) AS last, regexp_matches(c, '^[0-9]+[SH]') AS a, regexp_matches(c, '[SH]$') AS b FROM cl)
+SELECT qname, CASE WHEN a AND (NOT b OR first > last) THEN regexp_replace(c, '^[0-9]+[A-Z]', '') WHEN b THEN regexp_replace(c, '[0-9]+[A-Z]$', '') END AS kept FROM cp""",
     "sequence_features": f"""WITH {_READS}, km AS (SELECT qname, seq, substr(seq, CAST(i AS BIGINT), 5) AS m FROM r, range(1, 60) t(i) WHERE i <= length(seq) - 4),
 k1 AS (SELECT qname, m, count(*) AS n FROM km GROUP BY qname, m), k2 AS (SELECT qname, n / CAST(sum(n) OVER (PARTITION BY qname) AS DOUBLE) AS p FROM k1), en AS (SELECT qname, -sum(p * ln(p)) AS e FROM k2 GROUP BY qname)
 SELECT r.qname, round(coalesce(e, 0), 6) + 0.0 AS entropy, {", ".join(f"coalesce(list_max(list_transform(regexp_extract_all(seq, '{b}+'), lambda x: length(x))), 0) AS run_{b.lower()}" for b in "ATCGN")}, CAST(length(regexp_replace(md, '[^ACGT]', '', 'g')) AS BIGINT) AS mismatches FROM r LEFT JOIN en ON r.qname = en.qname""",
     "spliced_reads": f"WITH {_READS} SELECT qname, cb AS barcode, coalesce(ub, ur) AS UMI, 'chr' || rname AS chr, {_STRAND} AS strand FROM r WHERE {_USABLE} AND ch IS NULL AND cigar LIKE '%N%' AND flag & 256 = 0",
     "barcodes": f"""WITH {_READS} SELECT qname, '10X' AS library, cb AS barcode, coalesce(ub, ur) AS UMI FROM r WHERE {_USABLE} UNION ALL SELECT qname, 'names', split_part(qname, '_', 1), split_part(qname, '_', 2) FROM r WHERE {_USABLE}
 UNION ALL SELECT qname, 'SLS', xc, xm FROM r WHERE flag & 4 = 0 UNION ALL SELECT qname, 'SS2', NULL, NULL FROM r WHERE flag & 4 = 0""",
-    "max_genomic_score": f"WITH {_READS} SELECT 'q' || right(qname, 1) AS id, max(as_score) AS score FROM r WHERE {_USABLE} AND ch IS NULL AND cigar NOT LIKE '%N%' GROUP BY 1",
+    "max_genomic_score": f"WITH {_READS} SELECT 'q' || split_part(qname, '_U', 2) AS id, max(as_score) AS score FROM r WHERE {_USABLE} AND ch IS NULL AND cigar NOT LIKE '%N%' GROUP BY 1",
     "gene_intervals": f'WITH {_GTF} SELECT seqname, gene, "start", "end", strand, ord FROM gi',
     "gene_strands": f"WITH {_GTF} SELECT DISTINCT seqname, strand, gene FROM gn",
     "genes_at_locus": f"WITH {_READS}, {_GTF}, {_LOCI}, {_loc('lg', 'lo')} SELECT * FROM lg",
     "genes_at_locus_stranded": f"WITH {_READS}, {_GTF}, {_LOCI}, {_loc('lg', 'lo', True)} SELECT * FROM lg",
     "spliced_junctions": f"WITH {_names(_READS)} SELECT sample_id, id, name AS refName_ABR1, UMI, barcode, read_strand AS read_strandR1, pa AS juncPosR1A, pb AS juncPosR1B, ga AS geneR1A, gb AS geneR1B, chr AS chrR1A FROM nm",
-    "dedup_umis": f"WITH {_names(_FEW)}, {_COUNTS} SELECT sample_id, barcode, UMI, name AS refName_ABR1, id FROM um",
-    "umi_counts": f"WITH {_names(_FEW)}, {_COUNTS} SELECT sample_id, barcode, name AS refName_ABR1, numReads, id FROM ct",
-    "junction_table": f"WITH {_names(_FEW)}, {_COUNTS} SELECT name AS refName_newR1, ga AS geneR1A_uniq, gb AS geneR1B_uniq, pa AS juncPosR1A, pb AS juncPosR1B, chr AS chrR1A, chr AS chrR1B, numReads, 1 AS called, ct.sample_id || '_' || rtrim(ct.barcode, '-1') AS cell_id FROM ct JOIN (SELECT DISTINCT name AS nm_name, ga, gb, pa, pb, chr FROM nm) ON nm_name = name",
+    "dedup_umis": f"WITH {_names(_READS)}, {_COUNTS} SELECT sample_id, barcode, UMI, name AS refName_ABR1, id FROM um",
+    "umi_counts": f"WITH {_names(_READS)}, {_COUNTS} SELECT sample_id, barcode, name AS refName_ABR1, numReads, id FROM ct",
+    "junction_table": f"WITH {_names(_READS)}, {_COUNTS} SELECT name AS refName_newR1, ga AS geneR1A_uniq, gb AS geneR1B_uniq, pa AS juncPosR1A, pb AS juncPosR1B, chr AS chrR1A, chr AS chrR1B, numReads, 1 AS called, ct.sample_id || '_' || rtrim(ct.barcode, '-1') AS cell_id FROM ct JOIN (SELECT DISTINCT name AS nm_name, ga, gb, pa, pb, chr FROM nm) ON nm_name = name",
     "attach_meta": f"WITH {_J}, mt AS (SELECT DISTINCT cell AS cell_id, tissue, compartment, 2 AS called FROM j WHERE cell NOT LIKE '%7') SELECT cell, refName_newR1, numReads, mt.tissue, mt.compartment, mt.called FROM j LEFT JOIN mt ON j.cell = mt.cell_id",
-    "annotate_exons": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A <> 3000 AS exon_annR1A, juncPosR1B <> 103000 AS exon_annR1B, juncPosR1A <> 3000 AND juncPosR1B <> 103000 AS both_ann FROM j",
+    "annotate_exons": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A % 200000 <> 3000 AS exon_annR1A, juncPosR1B % 200000 <> 103000 AS exon_annR1B, juncPosR1A % 200000 <> 3000 AND juncPosR1B % 200000 <> 103000 AS both_ann FROM j",
     "annotate_splices": f"WITH {_J}, kn AS (SELECT DISTINCT juncPosR1A AS a, juncPosR1B AS b FROM j WHERE splice_ann) SELECT cell, refName_newR1, (juncPosR1A, juncPosR1B) IN (SELECT (a, b) FROM kn) AS splice_ann FROM j",
     "weird_genes": f"WITH {_weird_sql()} SELECT refName_ABR1, geneR1A, geneR1B, uniq_A, uniq_B, n_A, n_B, shared FROM sh",
     "io_tsv_roundtrip": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A, juncPosR1B, numReads, splice_ann, called FROM j",
+    "gene_repair_stranded": _STRANDED,
+    "unspliced_names": f"""WITH {_READS}, {_GTF}, un AS (SELECT qname AS id, CASE WHEN regexp_matches(rname, '^[0-9]+$') THEN 'chr' || rname ELSE rname END AS chr, pos, {_STRAND} AS read_strand FROM r WHERE {_USABLE} AND cigar NOT LIKE '%N%'), {_loc('lg', 'un')}
+SELECT id, un.chr || ':' || gene || ':' || strand AS refName_ABR1, un.pos AS juncPosR1A, CAST(NULL AS BIGINT) AS juncPosR1B, gene AS geneR1A, un.chr AS chrR1A, CAST(NULL AS VARCHAR) AS chrR1B FROM un JOIN lg ON lg.chr = un.chr AND lg.pos = un.pos AND lg.read_strand = un.read_strand""",
+    "cell_ids": f"WITH {_names(_READS)} SELECT id || '.1' AS id, library, CASE WHEN library = 'SS2' THEN id ELSE sample_id || '_' || coalesce(rtrim(barcode, '-1'), 'nan') END AS cell_id FROM nm, (VALUES ('SS2'), ('10X'), ('SLS')) l(library)",
+    "io_convert": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A, juncPosR1B, numReads, splice_ann, called FROM j",
+    "io_samples": f"WITH {_READS} SELECT sample_id, CAST(mate AS BIGINT) AS mate, qname, CAST(flag AS BIGINT) AS flag, rname, pos, cigar, seq, cb, ub, ur, xc, xm, ch, md, as_score FROM r",
+    "io_gtf": f'WITH {_GTF} SELECT seqname, gene, "start", "end", strand, row_number() OVER (PARTITION BY seqname ORDER BY ord) AS place FROM gi',
+    "io_meta": f"WITH {_J} SELECT DISTINCT cell AS cell_id, tissue, compartment, '2' AS called FROM j WHERE cell NOT LIKE '%7'",
     "io_by_chromosome": f"WITH {_J} SELECT cell, refName_newR1, numReads, chrR1A FROM j WHERE called = 1",
 }
 
-
-def _whole_sql(sql: str) -> str:
-    """``sql`` with the inputs over all of part."""
-    for one, whole in ((fixtures.GTF, fixtures.GTF_WHOLE), (fixtures.CLASS_INPUT, fixtures.CLASS_INPUT_WHOLE)):
-        sql = sql.replace(fixtures.duck(one), fixtures.duck(whole))
-    return sql.replace(fixtures.duck(fixtures.READS, spread=150), fixtures.duck(fixtures.READS, spread=fixtures.N_GENES))
-
-
-ORACLE_SQL |= {f"{name}_whole": _whole_sql(ORACLE_SQL[name]) for name in WHOLE}
+ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name] for name in WHOLE}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splice_spark.functions.lineage import cut
+from splice_spark.functions.lineage import cut, shared_folder
 from splice_spark.operators import score
 from splice_spark.sources import fixtures, tables
 
@@ -37,6 +39,11 @@ def with_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept(spark, sf_dir).withColumns({"missing_domains": missing, "domain_insertions": inserted})
 
 
+def io_folder(spark: SparkSession) -> str:
+    """A new folder for what a query writes and reads."""
+    return f"{shared_folder(spark)}/io-{uuid.uuid4().hex}"
+
+
 def r6(*names: str) -> list:
     return [(F.round(F.col(n), 6) + 0.0).alias(n) for n in names]
 
@@ -128,6 +135,15 @@ def split_z(spark, sf_dir):
     return out.select(*ROW, *r6("z_Start_ann", "z_End_ann", "z_Start_unann", "z_End_unann", "cov_ann", "cov_unann", "z_ann", "z_unann"))
 
 
+def split_z_pinned(spark, sf_dir):
+    out = score.add_split_z(merged(spark, sf_dir), 0.05)
+    return out.select(*ROW, *r6("z_Start_ann", "z_End_ann", "z_Start_unann", "z_End_unann", "z_ann", "z_unann"))
+
+
+def drop_constitutive_clamped(spark, sf_dir):
+    return score.drop_constitutive(named(spark, sf_dir), 0.2).select(*ROW)
+
+
 def domain_change(spark, sf_dir):
     """Of both sides, in one table."""
     rows = with_domains(spark, sf_dir)
@@ -173,6 +189,8 @@ QUERIES = {
     "top_junction_start": _top("Start"),
     "top_junction_end": _top("End"),
     "split_z": split_z,
+    "split_z_pinned": split_z_pinned,
+    "drop_constitutive_clamped": drop_constitutive_clamped,
     "domain_change": domain_change,
     "domain_split_z": domain_split_z,
     "gene_cov": gene_cov,
@@ -232,17 +250,21 @@ def d6(**columns: str) -> str:
     return ", ".join(f"round({sql}, 6) + 0.0 AS {name}" for name, sql in columns.items())
 
 
-def _split_sql(flag: str, names: tuple[str, str], source: str) -> str:
-    parts = []
+def _split_sql(flag: str, names: tuple[str, str], source: str, quantile: float = 0.0) -> str:
+    parts, pinned = [], {}
     for side in ("Start", "End"):
         f = flag.format(side=side)
         parts.append(
             f"""w_{side} AS (SELECT cell, gene, refName_newR1, {", ".join(f"sign * sum(CASE WHEN {f} = {v} THEN s * CASE WHEN v > 1e-12 THEN numReads ELSE 0 END END) OVER (PARTITION BY cell, gene) / nullif(sqrt(sum(CASE WHEN v > 1e-12 THEN numReads ELSE 0 END) OVER (PARTITION BY cell, gene)), 0) AS {n}" for v, n in zip(("true", "false"), names, strict=True))} FROM {source.format(side=side)})"""
         )
     cols = ", ".join(f"a.{n} AS z_Start_{n}, b.{n} AS z_End_{n}" for n in names)
+    if quantile:
+        pinned = {c: f"CASE WHEN {c} IS NOT NULL THEN greatest((SELECT quantile_cont({c}, {quantile}) FROM u0), least((SELECT quantile_cont({c}, {1 - quantile}) FROM u0), {c})) END" for n in names for c in (f"z_Start_{n}", f"z_End_{n}")}
+    shown = ", ".join(f"{v} AS {k}" for k, v in pinned.items())
     covs = ", ".join(f"CASE WHEN count(z_Start_{n} + z_End_{n}) > 1 THEN covar_samp(z_Start_{n}, z_End_{n}) END AS cov_{n}" for n in names)
     return f""", {", ".join(parts)},
-u AS (SELECT o.cell, o.gene, o.refName_newR1, {cols} FROM o LEFT JOIN w_Start a USING (cell, gene, refName_newR1) LEFT JOIN w_End b USING (cell, gene, refName_newR1)),
+u0 AS (SELECT o.cell, o.gene, o.refName_newR1, {cols} FROM o LEFT JOIN w_Start a USING (cell, gene, refName_newR1) LEFT JOIN w_End b USING (cell, gene, refName_newR1)),
+u AS (SELECT {"cell, gene, refName_newR1, " + shown if quantile else "*"} FROM u0),
 cv AS (SELECT gene, {covs} FROM u GROUP BY gene)"""
 
 
@@ -295,6 +317,12 @@ SELECT cell, gene, tissue, compartment, n_g, n_g_Start, n_g_End, {d6(z='z', scZ=
     **{f"top_junction_{k}": v for k, v in _sides(_top_sql).items()},
     "split_z": f"""{MERGED}{_split_sql("splice_ann", ("ann", "unann"), "z_{side}")}
 SELECT cell, u.gene, refName_newR1, {d6(**{c: c for c in ("z_Start_ann", "z_End_ann", "z_Start_unann", "z_End_unann", "cov_ann", "cov_unann")}, z_ann=_split_z_sql("ann"), z_unann=_split_z_sql("unann"))} FROM u JOIN cv ON u.gene = cv.gene""",
+    "split_z_pinned": f"""{MERGED}{_split_sql("splice_ann", ("ann", "unann"), "z_{side}", 0.05)}
+SELECT cell, u.gene, refName_newR1, {d6(**{c: c for c in ("z_Start_ann", "z_End_ann", "z_Start_unann", "z_End_unann")}, z_ann=_split_z_sql("ann"), z_unann=_split_z_sql("unann"))} FROM u JOIN cv ON u.gene = cv.gene""",
+    "drop_constitutive_clamped": f"""{BASE}, qa AS (SELECT gene, juncStart, quantile_cont(rank_acc, 0.2) AS lo, quantile_cont(rank_acc, 0.8) AS hi FROM rk GROUP BY gene, juncStart),
+qd AS (SELECT gene, juncEnd, quantile_cont(rank_don, 0.2) AS lo, quantile_cont(rank_don, 0.8) AS hi FROM rk GROUP BY gene, juncEnd),
+qc AS (SELECT cell, gene, refName_newR1, max(least(qa.hi, greatest(qa.lo, rank_acc)) - qa.lo + 1) OVER (PARTITION BY gene, juncStart) AS ma, max(least(qd.hi, greatest(qd.lo, rank_don)) - qd.lo + 1) OVER (PARTITION BY gene, juncEnd) AS md FROM rk JOIN qa USING (gene, juncStart) JOIN qd USING (gene, juncEnd))
+SELECT cell, gene, refName_newR1 FROM qc WHERE ma > 1 OR md > 1""",
     "domain_change": f"{BASE}{DOMAINS} SELECT gene, pos, side, domain_changed FROM dc",
     "domain_split_z": f"""{MERGED}{DOMAINS}, zd_Start AS (SELECT z.*, domain_changed FROM z_Start z JOIN dc ON dc.side = 'Start' AND dc.gene = z.gene AND dc.pos = juncStart), zd_End AS (SELECT z.*, domain_changed FROM z_End z JOIN dc ON dc.side = 'End' AND dc.gene = z.gene AND dc.pos = juncEnd)
 {_split_sql("domain_changed", ("dom_ch", "dom_unch"), "zd_{side}")}

@@ -1,7 +1,7 @@
 """Known exon bounds and junctions.
 
-Distinct ends and junctions are matched and joined back; the annotation is
-small as a rule, and Spark broadcasts it when its size is under the threshold.
+Distinct ends and junctions of the annotation are looked up: by broadcast if
+they are few, and with rows of hot ones left in place if not.
 """
 
 from __future__ import annotations
@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
+
 
 def annotate_exons(junctions: DataFrame, exon_bounds: DataFrame) -> DataFrame:
     """``exon_annR1A, exon_annR1B, both_ann``: both ends are looked up on the first end's chromosome."""
     known = exon_bounds.select("chr", "pos").distinct()
     for end in "AB":
         here = known.select(F.col("chr").alias("chrR1A"), F.col("pos").alias(f"juncPosR1{end}"), F.lit(True).alias(f"exon_annR1{end}"))
-        junctions = junctions.join(here, ["chrR1A", f"juncPosR1{end}"], "left").withColumn(f"exon_annR1{end}", F.coalesce(f"exon_annR1{end}", F.lit(False)))
+        junctions = lookup(junctions, here, ["chrR1A", f"juncPosR1{end}"], "left").withColumn(f"exon_annR1{end}", F.coalesce(f"exon_annR1{end}", F.lit(False)))
     return junctions.withColumn("both_ann", F.col("exon_annR1A") & F.col("exon_annR1B"))
 
 
@@ -23,4 +25,4 @@ def annotate_splices(junctions: DataFrame, splices: DataFrame) -> DataFrame:
     """``splice_ann``: whether the pair of positions, in order, is a known junction of the chromosome."""
     known = splices.select(F.col("chr").alias("chrR1A"), "lo", "hi").distinct().withColumn("splice_ann", F.lit(True))
     ordered = junctions.drop("splice_ann").withColumns({"lo": F.least("juncPosR1A", "juncPosR1B"), "hi": F.greatest("juncPosR1A", "juncPosR1B")})
-    return ordered.join(known, ["chrR1A", "lo", "hi"], "left").withColumn("splice_ann", F.coalesce("splice_ann", F.lit(False))).drop("lo", "hi")
+    return lookup(ordered, known, ["chrR1A", "lo", "hi"], "left").withColumn("splice_ann", F.coalesce("splice_ann", F.lit(False))).drop("lo", "hi")

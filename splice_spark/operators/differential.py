@@ -3,19 +3,22 @@
 For each (level 1, gene, score) the medians of the level-2 groups are compared
 by a chi-square statistic with adjusted variances; permutations follow where it
 is significant.  Groups are counted and summed by Spark; the permutation kernel
-gets one test and one chunk of permutations at a time, so a hot gene's
-permutations spread over tasks.
+gets one test at a time, and a test of many cells once for each share of its
+permutations, so that it spreads over tasks.  A permutation is a rule (see
+``stats.permutation_keys``), so it is the same on every run and in any engine.
+A task holds the cells of one test, 24 bytes each.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.functions.stats import chi2_sf, permuted_statistics
 
@@ -24,12 +27,15 @@ TEST = ["level_1", "gene", "z_col"]
 
 
 def eligible(scores: DataFrame, level_1: str, level_2: str, min_cells: int = 10) -> DataFrame:
-    """One row a cell and gene, ``level_1, level_2``, of level-2 groups with more than ``min_cells`` cells of the gene in all level-1 groups."""
-    one = scores.dropDuplicates(["cell", "gene"])
+    """One row a cell and gene, ``level_1, level_2`` and scores, of level-2 groups with more than ``min_cells`` cells of the gene in all level-1 groups.
+
+    Of several rows of a cell and gene it is the least by level 2, level 1 and scores.
+    """
     l1 = F.lit("null") if level_1 == "dummy" else F.col(level_1).cast("string")
-    one = one.withColumns({"level_1": l1, "level_2": F.col(level_2).cast("string")})
+    row = F.struct(F.col(level_2).cast("string").alias("level_2"), l1.alias("level_1"), *SCORES)
+    one = scores.groupBy("cell", "gene").agg(F.min(row).alias("r")).select("cell", "gene", "r.*")
     large = one.groupBy("level_2", "gene").agg(F.count_distinct("cell").alias("n")).filter(F.col("n") > min_cells).select("level_2", "gene")
-    return one.join(large, ["level_2", "gene"], "left_semi")
+    return lookup(one.filter("level_2 is not null"), large, ["level_2", "gene"])
 
 
 def melt_scores(cells: DataFrame) -> DataFrame:
@@ -62,28 +68,40 @@ def with_pvals(tests: DataFrame) -> DataFrame:
     return tests.withColumn("pval", chi2_sf(F.col("Tn1"), (F.col("num_onts") - 1).cast("double")))
 
 
-def _kernel(n_perms: int, chunk: int, seed: int, var_add: float):
+#: A permuted statistic counts as below the observed one if it is by more than this share, so that equal ones, whose last digits follow the order of sums, never do.
+TIE = 1e-9
+#: Cells times permutations of one task.
+PER_TASK = 20_000_000
+
+
+def seed_of(key: tuple, seed: int) -> int:
+    """The first 28 bits of the MD5 of a test's names and the seed."""
+    return int(hashlib.md5("|".join(["" if k is None else str(k) for k in key] + [str(seed)]).encode()).hexdigest()[:7], 16)
+
+
+def _kernel(n_perms: int, seed: int, var_add: float):
     def run(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        t, part = cells["Tn1"].iloc[0], int(cells["chunk"].iloc[0])
-        n = min(chunk, n_perms - part * chunk)
+        t, part, parts = cells["Tn1"].iloc[0], int(cells["part"].iloc[0]), int(cells["parts"].iloc[0])
         cells = cells.sort_values(["level_2", "cell"])
-        labels, _ = pd.factorize(cells["level_2"], sort=True)
-        rng = np.random.default_rng(zlib.crc32(f"{seed}|{key}".encode()))
-        found = permuted_statistics(cells["z"].to_numpy(float), labels, np.bincount(labels).astype(float), var_add, rng, n)
-        return pd.DataFrame([[*key[:3], int((found < t).sum())]], columns=[*TEST, "below"])
+        sizes = cells.groupby("level_2", sort=True).size().to_numpy()
+        found = permuted_statistics(cells["z"].to_numpy(float), sizes, var_add, seed_of(key[:3], seed), np.arange(part, n_perms, parts))
+        return pd.DataFrame([[*key[:3], int((found < t * (1 - TIE)).sum())]], columns=[*TEST, "below"])
 
     return run
 
 
-def permute(melted: DataFrame, tests: DataFrame, n_perms: int = 100, alpha: float = 0.05, seed: int = 123, chunk: int = 25, var_add: float = 0.1) -> DataFrame:
+def permute(melted: DataFrame, tests: DataFrame, n_perms: int = 100, alpha: float = 0.05, seed: int = 123, var_add: float = 0.1, per_task: int = PER_TASK) -> DataFrame:
     """Tests with ``perm_pval``, the share of permuted statistics below the observed one where ``pval`` is under ``alpha``, and two-sided ``perm_pval2``.
 
-    The random stream depends on the test and the chunk only, so a task that is run again gives the same numbers.
+    The permutations depend on the test and their numbers only, however they are dealt over tasks.
     """
+    valued = melted.filter("z is not null and level_2 is not null")
     chosen = tests.filter(F.col("pval") < alpha).select(*TEST, "Tn1")
-    chunks = F.explode(F.sequence(F.lit(0), F.lit(max(0, (n_perms - 1) // chunk)))).alias("chunk")
-    cells = melted.filter("z is not null and level_2 is not null").join(chosen, TEST).select(*TEST, "cell", "level_2", "z", "Tn1", chunks)
-    below = cells.groupBy(*TEST, "chunk").applyInPandas(_kernel(n_perms, chunk, seed, var_add), "level_1 string, gene string, z_col string, below long")
+    parts = F.least(F.lit(n_perms), F.ceil(F.col("n") * n_perms / per_task)).cast("int")
+    sized = lookup(valued.groupBy(*TEST).agg(F.count("*").alias("n")), chosen, TEST).select(*TEST, "Tn1", parts.alias("parts"))
+    cells = lookup(valued.select(*TEST, "cell", "level_2", "z"), sized, TEST)
+    cells = cells.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    below = cells.groupBy(*TEST, "part").applyInPandas(_kernel(n_perms, seed, var_add), "level_1 string, gene string, z_col string, below long")
     share = below.groupBy(*TEST).agg((F.sum("below") / F.lit(float(n_perms))).alias("perm_pval"))
     out = tests.join(share, TEST, "left")
     return out.withColumn("perm_pval2", 2 * F.least("perm_pval", 1 - F.col("perm_pval")))

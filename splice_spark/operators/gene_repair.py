@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.functions.names import CHROMOSOME, GENE, POSITION, STRAND, make_name, name_part
 
@@ -108,12 +109,17 @@ def junction_class(df: DataFrame) -> DataFrame:
 
 
 def modify_refnames(reads: DataFrame, strands: DataFrame, stranded: bool = False) -> DataFrame:
-    """Reads with repaired names, and the columns that follow from them; of several names for one old name the last in order."""
-    one = reads.dropDuplicates(["refName_ABR1"]).withColumns({f"geneR1{e}": F.coalesce(f"geneR1{e}", F.lit("")) for e in "AB"})
+    """Reads with repaired names, and the columns that follow from them; of several names for one old name the last in order.
+
+    Where reads of one old name differ, the least of them by strands, file type, places and genes stands for all.
+    """
+    what = [f"{c}{e}" for c in ("read_strandR1", "juncPosR1", "chrR1", "geneR1") for e in "AB"]
+    one = reads.groupBy("refName_ABR1").agg(F.min(F.struct(*what[:2], "fileTypeR1", *what[2:])).alias("r")).select("refName_ABR1", "r.*")
+    one = one.withColumns({f"geneR1{e}": F.coalesce(f"geneR1{e}", F.lit("")) for e in "AB"})
     read_b = F.when(F.col("fileTypeR1") == "Aligned", F.col("read_strandR1A")).otherwise(F.col("read_strandR1B"))
     # written between steps: chains of conditions on each other's results would make expressions that double at every step
     one = cut(drop_weird_genes(one.withColumns({"read_A": F.col("read_strandR1A"), "read_B": read_b})))
     picked = cut(pick_gene_by_strand(cut(resolve_shared_gene(one)), strands, stranded))
     named = rebuild_ref_name(cut(fill_strand(picked)))
     new = named.groupBy("refName_ABR1").agg(F.max("refName_newR1").alias("refName_newR1"))
-    return junction_class(parse_ref_name(reads.join(new, "refName_ABR1")))
+    return junction_class(parse_ref_name(lookup(reads, new, ["refName_ABR1"])))

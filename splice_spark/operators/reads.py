@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splice_spark.functions.cigar import cigar_junction, cigar_ref_span
+from splice_spark.functions.joins import lookup
+from splice_spark.functions.lineage import cut
 from splice_spark.functions.names import make_name
 from splice_spark.operators.genes import gene_intervals, genes_at_locus
 
@@ -60,18 +62,19 @@ def max_genomic_score(reads: DataFrame, library: str) -> DataFrame:
 def name_junctions(reads: DataFrame, intervals: DataFrame, library: str, stranded: bool = False, suffix: str = "R1", cellranger: bool = True) -> DataFrame:
     """Alignments with the genes at both ends and their name; unspliced ones have one end and a short name.
 
-    Genes are looked up for distinct positions and joined back.
+    Parsed reads are written once; genes are looked up for their distinct ends and joined back, with reads of hot ends left in place.
     """
     at = F.when(F.col("cigar").contains("N"), cigar_junction(F.col("pos"), F.col("cigar")))
     base = reads.select(
         *[c for c in ("sample_id",) if c in reads.columns], F.col("qname").alias("id"), *barcode_umi(library, cellranger), normalise_chrom(F.col("rname")).alias("chr"),
         strand_from_flag(F.col("flag")).alias("read_strand"), primary(F.col("flag")).alias("primary"), F.col("cigar").contains("N").alias("spliced"), F.col("pos"), at.alias("at"),
     ).withColumns({"a": F.when(F.col("spliced"), F.col("at.posA")).otherwise(F.col("pos")), "b": F.col("at.posB")}).filter("not spliced or at is not null")
+    base = cut(base.drop("at"))
     ends = base.select("chr", F.col("a").alias("pos"), "read_strand").unionByName(base.filter("b is not null").select("chr", F.col("b").alias("pos"), "read_strand"))
-    genes = genes_at_locus(ends, intervals, stranded)
+    genes = cut(genes_at_locus(ends, intervals, stranded))
     for end in "ab":
         here = genes.select("chr", F.col("pos").alias(end), "read_strand", F.col("gene").alias(f"gene_{end}"), F.col("strand").alias(f"strand_{end}"))
-        base = base.join(here, ["chr", end, "read_strand"], "left")
+        base = lookup(base, here, ["chr", end, "read_strand"], "left")
     long = make_name(F.col("chr"), F.col("gene_a"), F.col("a"), F.col("strand_a"), F.col("chr"), F.col("gene_b"), F.col("b"), F.col("strand_b"), F.lit("lin"))
     short = F.concat_ws(":", "chr", "gene_a", "strand_a")
     return base.select(
@@ -137,7 +140,7 @@ def chimeric_junctions(reads: DataFrame, intervals: DataFrame, stranded: bool =
         loci = one if loci is None else loci.unionByName(one)
     genes = genes_at_locus(loci, intervals, stranded)
     for x in "pq":
-        base = base.join(genes.toDF(f"{x}_chr", f"{x}_pos", f"{x}_strand", f"{x}_gene", f"{x}_gene_strand"), [f"{x}_chr", f"{x}_pos", f"{x}_strand"], "left")
+        base = lookup(base, genes.toDF(f"{x}_chr", f"{x}_pos", f"{x}_strand", f"{x}_gene", f"{x}_gene_strand"), [f"{x}_chr", f"{x}_pos", f"{x}_strand"], "left")
     plus, before, after = F.col("p_strand") == "+", F.col("p_pos") < F.col("q_pos"), F.col("p_pos") > F.col("q_pos")
     kind = F.when(F.col("p_chr") != F.col("q_chr"), "fus").when(F.col("p_strand") != F.col("q_strand"), "sc").when((plus & after) | (~plus & before), "rev").when((plus & before) | (~plus & after), "lin").otherwise("err")
     name = make_name(*[F.col(f"{x}_{c}") for x in "pq" for c in ("chr", "gene", "pos", "gene_strand")], kind)

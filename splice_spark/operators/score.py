@@ -4,8 +4,9 @@ A side is ``Start`` (donors rank their acceptors) or ``End`` (acceptors rank
 their donors).  Ranks, means, variances and standardised values depend only on
 the junction, so they are computed on the junction table ``K(gene, juncStart,
 juncEnd; reads, rows)``, which is smaller than the cell rows by orders of
-magnitude, and joined back; quantiles over rows are weighted by ``rows``.
-Cell rows are shuffled by (cell, gene) only.
+magnitude, and joined back by ``lookup``: by broadcast while the table is small,
+and with hot junctions and genes left in place beyond.  Quantiles over rows are
+weighted by ``rows``.  Else cell rows are shuffled by (cell, gene) only.
 
 Missing values are null, never NaN; a variance of 1e-12 or less is zero.
 """
@@ -15,8 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.functions.names import GENE, STRAND, name_part
+from splice_spark.functions.quantiles import weighted_quantiles
 
 SIDES = ("Start", "End")
 OTHER = {"Start": "End", "End": "Start"}
@@ -29,7 +32,7 @@ def filter_called(junctions: DataFrame, sicilian: bool = False) -> DataFrame:
     if sicilian:
         return junctions.filter("called = 1")
     seen = junctions.groupBy("refName_newR1").agg(F.sum("numReads").alias("n")).filter("n > 1").select("refName_newR1")
-    return junctions.join(seen, "refName_newR1", "left_semi")
+    return lookup(junctions, seen, ["refName_newR1"])
 
 
 def _unknown(gene: Column) -> Column:
@@ -77,7 +80,7 @@ def drop_constitutive(junctions: DataFrame, quantile: float = 0.0) -> DataFrame:
     k = clamp_ranks(dense_ranks(junction_table(junctions)), quantile)
     most = lambda s, name: F.max(name).over(Window.partitionBy("gene", f"junc{s}"))
     keep = k.withColumns({"a": most("Start", "rank_acc"), "d": most("End", "rank_don")}).filter("a > 1 or d > 1").select(*JUNCTION)
-    return junctions.join(keep, JUNCTION, "left_semi")
+    return lookup(junctions, keep, JUNCTION)
 
 
 def min_reads(junctions: DataFrame, bounds: int = 5) -> DataFrame:
@@ -88,10 +91,11 @@ def min_reads(junctions: DataFrame, bounds: int = 5) -> DataFrame:
 
 def pin(df: DataFrame, name: str, quantile: float, freq: str | Column, where: Column | None = None) -> DataFrame:
     """``name`` held between its global quantiles, each value counting ``freq`` times; nulls stay null."""
-    freq = F.col(freq) if isinstance(freq, str) else freq
-    q = (df if where is None else df.filter(where)).agg(F.percentile(name, F.array(F.lit(quantile), F.lit(1 - quantile)), freq).alias("pin_q"))
-    held = F.greatest(F.col("pin_q")[0], F.least(F.col("pin_q")[1], F.col(name)))
-    return df.crossJoin(F.broadcast(q)).withColumn(name, F.when(F.col(name).isNotNull(), held)).drop("pin_q")  # one row
+    ends = weighted_quantiles(df if where is None else df.filter(where), name, freq, [quantile, 1 - quantile])
+    if ends is None:
+        return df
+    held = F.greatest(F.lit(ends[0]), F.least(F.lit(ends[1]), F.col(name)))
+    return df.withColumn(name, F.when(F.col(name).isNotNull(), held))
 
 
 def side_ranks(k: DataFrame, side: str) -> DataFrame:
@@ -134,11 +138,11 @@ def merge_sides(junctions: DataFrame, pin_s: float = 0.01) -> DataFrame:
     (cell, gene, refName_newR1) must be unique.
     """
     k = cut(junction_table(junctions))  # small, and read four times: ranks and quantiles of two sides
-    out = junctions
+    values = None
     for side in SIDES:
-        values = normalise_sijk(sijk(k, side, pin_s)).select(*JUNCTION, F.col("nSijk").alias(f"nSijk{side}"), F.col("S").alias(f"S_{side}"), F.col("S_unpinned").alias(f"S_{side}_unpinned"), F.col("flat").alias(f"flat_{side}"))
-        out = out.join(values, JUNCTION, "left")
-    return out.filter("nSijkStart is not null or nSijkEnd is not null")
+        one = normalise_sijk(sijk(k, side, pin_s)).select(*JUNCTION, F.col("nSijk").alias(f"nSijk{side}"), F.col("S").alias(f"S_{side}"), F.col("S_unpinned").alias(f"S_{side}_unpinned"), F.col("flat").alias(f"flat_{side}"))
+        values = one if values is None else values.join(one, JUNCTION, "full")
+    return lookup(junctions, values, JUNCTION)
 
 
 def side_z(rows: DataFrame, side: str) -> DataFrame:
@@ -165,48 +169,46 @@ def add_z(rows: DataFrame, pin_z: float = 0.0) -> DataFrame:
         n_g = F.sum(F.when(has, F.col("numReads"))).over(w)
         x = F.sum(F.when(has, F.col("numReads") * F.col(f"nSijk{s}"))).over(w)
         rows = rows.withColumns({f"all_n_{s}": n_g, f"z_{s}": F.col("sign") * x / F.sqrt(n_g)}).withColumns({f"n_g_{s}": F.when(has, F.col(f"all_n_{s}")), f"scaled_z_{s}": F.col(f"z_{s}") / F.sqrt(f"all_n_{s}")}).drop(f"all_n_{s}")
-        if pin_z:
-            rows = pin(rows, f"z_{s}", pin_z, F.lit(1), has)
-    return rows.withColumns({"z": combine(F.col("z_Start"), F.col("z_End")), "scZ": combine(F.col("scaled_z_Start"), F.col("scaled_z_End")), "n_g": F.sum("numReads").over(w)})
+    rows = rows.withColumn("n_g", F.sum("numReads").over(w))
+    if pin_z:
+        rows = cut(rows)  # read for the quantiles, and again
+        for s in SIDES:
+            rows = pin(rows, f"z_{s}", pin_z, F.lit(1), F.col(f"nSijk{s}").isNotNull())
+    return rows.withColumns({"z": combine(F.col("z_Start"), F.col("z_End")), "scZ": combine(F.col("scaled_z_Start"), F.col("scaled_z_End"))})
+
+
+def _counted(side: str) -> Column:
+    """Reads of a row that count for a side: none where it has no value or no variance."""
+    return F.when(F.col(f"nSijk{side}").isNull() | F.col(f"flat_{side}"), 0).otherwise(F.col("numReads"))
 
 
 def top_junction(rows: DataFrame, side: str) -> DataFrame:
     """``cell, gene, junc_max, max_don_z``: the junction that adds most to a side, the first by name if several do."""
-    mine = _shares(rows.filter(F.col(f"nSijk{side}").isNotNull()), side)
+    weight = F.sum(_counted(side)).over(Window.partitionBy("cell", "gene"))
+    mine = rows.filter(F.col(f"nSijk{side}").isNotNull()).withColumn("share", F.try_divide(F.col(f"S_{side}") * _counted(side), F.sqrt(weight)))
     best = F.min_by(F.struct("refName_newR1", "share"), F.struct(-F.round(F.abs("share"), 9), F.col("refName_newR1")))
     return mine.filter("share is not null").groupBy("cell", "gene").agg(best.alias("b")).select("cell", "gene", F.col("b.refName_newR1").alias("junc_max"), F.col("b.share").alias("max_don_z"))
 
 
-def _shares(mine: DataFrame, side: str) -> DataFrame:
-    """``x``: S times reads that count; ``weight``: such reads of the cell-gene; ``share``: x over the root of weight."""
-    n = F.when(F.col(f"flat_{side}"), 0).otherwise(F.col("numReads"))
-    out = mine.withColumns({"x": F.col(f"S_{side}") * n, "weight": F.sum(n).over(Window.partitionBy("cell", "gene"))})
-    return out.withColumn("share", F.try_divide(F.col("x"), F.sqrt("weight")))
-
-
-def split_z(rows: DataFrame, side: str, flag: str, names: tuple[str, str], pin_z: float = 0.0) -> DataFrame:
-    """Rows of a side with a z for those junctions where ``flag`` is true and one for those where it isn't."""
-    mine = _shares(rows.filter(F.col(f"nSijk{side}").isNotNull()), side)
-    w = Window.partitionBy("cell", "gene")
-    for value, name in zip((True, False), names, strict=True):
-        total = F.sum(F.when(F.col(flag) == value, F.col("x"))).over(w)
-        mine = mine.withColumn(f"z_{side}_{name}", F.try_divide(F.col("sign") * total, F.sqrt("weight")))
-        if pin_z:
-            mine = pin(mine, f"z_{side}_{name}", pin_z, F.lit(1))
-    return mine.drop("x", "weight", "share")
-
-
 def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", names: tuple[str, str] = ("ann", "unann")) -> DataFrame:
     """Merged rows with annotated and unannotated z of each side, on the rows of that side, and combined less the gene's covariance.
 
-    ``flag`` is a column, or ``{side}`` in it is replaced by the side.
+    ``flag`` is a column, or ``{side}`` in it is replaced by the side.  One window over (cell, gene) serves all four.
     """
-    key = ["cell", "gene", "refName_newR1"]
+    w = Window.partitionBy("cell", "gene")
     for side in SIDES:
-        got = split_z(rows, side, flag.format(side=side), names, pin_z).select(*key, *[f"z_{side}_{n}" for n in names])
-        rows = rows.join(got, key, "left")
+        here, n = F.col(f"nSijk{side}").isNotNull(), _counted(side)
+        weight = F.sum(n).over(w)
+        for value, name in zip((True, False), names, strict=True):
+            total = F.sum(F.when(here & (F.col(flag.format(side=side)) == value), F.col(f"S_{side}") * n)).over(w)
+            rows = rows.withColumn(f"z_{side}_{name}", F.when(here, F.try_divide(F.col("sign") * total, F.sqrt(weight))))
+    rows = cut(rows)  # read for quantiles and covariances, and again
+    if pin_z:
+        for side in SIDES:
+            for name in names:
+                rows = pin(rows, f"z_{side}_{name}", pin_z, F.lit(1))
     cov = rows.groupBy("gene").agg(*[F.when(F.count(F.col(f"z_Start_{n}") + F.col(f"z_End_{n}")) > 1, F.covar_samp(f"z_Start_{n}", f"z_End_{n}")).alias(f"cov_{n}") for n in names])
-    rows = rows.join(cov, "gene")
+    rows = lookup(rows, cov, ["gene"])
     for n in names:
         start, end = F.col(f"z_Start_{n}"), F.col(f"z_End_{n}")
         both = start.isNotNull() & end.isNotNull()
@@ -244,4 +246,4 @@ def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pi
     named = fill_gene(filter_called(junctions, sicilian))
     sign = gene_sign(named)
     kept = cut(min_reads(drop_constitutive(named, rank_quant), bounds))
-    return cut(add_z(merge_sides(kept, pin_s).join(sign, "gene"), pin_z))
+    return cut(add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
 from splice_spark.operators.differential import SCORES
 
 
@@ -34,9 +35,13 @@ def site_list(sites: DataFrame) -> DataFrame:
 
 
 def summarise(scores: DataFrame, pvals: DataFrame, sites: DataFrame, level_1: str, level_2: str) -> DataFrame:
-    """Medians of each score by gene and both levels, adjusted p-values (also those without a level-1 label), sites."""
+    """Medians of each score by gene and both levels, sites, and adjusted p-values: those of the level-1 group, or else those without a level-1 label."""
     l1 = F.lit("null") if level_1 == "dummy" else F.col(level_1).cast("string")
     medians = scores.groupBy("gene", l1.alias("level_1"), F.col(level_2).cast("string").alias("level_2")).agg(*[F.median(z).alias(f"{z}_median") for z in SCORES], F.count("*").alias("n_cells"))
-    p = pvals.select(F.col("gene").alias("p_gene"), F.col("level_1").alias("p_level_1"), *[F.col(f"perm_pval_adj_{z}").alias(f"{z}_pval") for z in SCORES])
-    out = medians.join(p, (F.col("gene") == F.col("p_gene")) & ((F.col("level_1") == F.col("p_level_1")) | F.col("p_level_1").isNull()), "left").drop("p_gene", "p_level_1")
+    p = pvals.select("gene", "level_1", *[F.col(f"perm_pval_adj_{z}").alias(f"{z}_pval") for z in SCORES])
+    row = F.struct(*[f"{z}_pval" for z in SCORES])
+    own = p.filter("level_1 is not null").groupBy("gene", "level_1").agg(F.min(row).alias("own"))
+    any_level = p.filter("level_1 is null").groupBy("gene").agg(F.min(row).alias("any_level"))
+    out = lookup(lookup(medians, own, ["gene", "level_1"], "left"), any_level, ["gene"], "left").withColumn("p", F.coalesce("own", "any_level"))
+    out = out.select(*medians.columns, "p.*")
     return out.join(site_list(sites), "gene", "left").orderBy("gene", "level_1", "scZ_median", "level_2")

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
 from splice_spark.operators.score import SIDES
 
 TYPES = ("normdonor", "normgene")
@@ -60,15 +61,15 @@ def total_energy(gram: DataFrame, where: DataFrame) -> DataFrame:
 
 
 def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Top ``k`` right singular vectors of one gene and their share of the energy; nothing if cells or sites are fewer than k.
+    """All right singular vectors of one gene, as many as it has cells or sites, and their share of the energy; nothing if it has fewer than ``k``.
 
     The loading of largest size is positive (the first site of several).
     """
-    empty = pd.DataFrame({c.split()[0]: [] for c in LOADINGS.split(", ")})
     where = where.sort_values(["let", "pos"])
     p = len(where)
-    if not p or min(p, int(where["n_cells"].iloc[0])) < k:
-        return empty
+    n = min(p, int(where["n_cells"].iloc[0])) if p else 0
+    if n < k or not n:
+        return pd.DataFrame({c.split()[0]: [] for c in LOADINGS.split(", ")})
     index = {key: i for i, key in enumerate(zip(where["let"], where["pos"], strict=True))}
     m = np.zeros((p, p))
     i = [index[key] for key in zip(gram["let_i"], gram["pos_i"], strict=True)]
@@ -78,19 +79,16 @@ def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int) -> pd.DataFra
     m -= m.mean(axis=0)
     m -= m.mean(axis=1)[:, None]
     values, vectors = np.linalg.eigh((m + m.T) / 2)
-    values, vectors = np.maximum(values[::-1][:k], 0.0), vectors[:, ::-1][:, :k]
+    values, vectors = np.maximum(values[::-1][:n], 0.0), vectors[:, ::-1][:, :n]
+    vectors = vectors * np.where(vectors[np.argmax(np.round(np.abs(vectors), 9), axis=0), np.arange(n)] >= 0, 1, -1)
     energy = float(np.trace(m))
-    out = []
-    for c in range(k):
-        v = vectors[:, c]
-        v = v * (1 if v[np.argmax(np.round(np.abs(v), 9))] >= 0 else -1)
-        share = values[c] / energy if energy > 0 else np.nan
-        out.append(pd.DataFrame({"gene": where["gene"].to_numpy(), "component": c, "let": where["let"].to_numpy(), "pos": where["pos"].to_numpy(), "loading": v, "centred": v - v.mean(), "f": share}))
-    return pd.concat(out)
+    share = values / energy if energy > 0 else np.full(n, np.nan)
+    each = {c: np.tile(where[c].to_numpy(), n) for c in ("gene", "let", "pos")}
+    return pd.DataFrame({**each, "component": np.repeat(np.arange(n), p), "loading": vectors.T.ravel(), "centred": (vectors - vectors.mean(axis=0)).T.ravel(), "f": np.repeat(share, p)})[[c.split()[0] for c in LOADINGS.split(", ")]]
 
 
 def gene_components(gram: DataFrame, where: DataFrame, k: int = 3) -> DataFrame:
-    """``gene, component, let, pos, loading, centred, f`` of all genes with k cells and k sites or more."""
+    """``gene, component, let, pos, loading, centred, f``: all components of all genes with ``k`` cells and ``k`` sites or more."""
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return components_of(a, b, k)
@@ -104,7 +102,7 @@ def gene_components(gram: DataFrame, where: DataFrame, k: int = 3) -> DataFrame:
 def svd_scores(values: DataFrame, loadings: DataFrame, k: int = 3) -> DataFrame:
     """``gene, cell, svd_z0..``: cells projected on the components; centring is in the loadings."""
     wide = loadings.groupBy("gene", "let", "pos").pivot("component", list(range(k))).agg(F.first("centred"))
-    got = values.join(wide, ["gene", "let", "pos"])
+    got = lookup(values, wide, ["gene", "let", "pos"])
     return got.groupBy("gene", "cell").agg(*[F.sum(F.col("value") * F.col(f"`{c}`")).alias(f"svd_z{c}") for c in range(k)])
 
 
@@ -115,6 +113,6 @@ def fractions(loadings: DataFrame, k: int = 3) -> DataFrame:
 
 def add_svd(scores: DataFrame, values: DataFrame, loadings: DataFrame, k: int = 3) -> DataFrame:
     """Scores with ``svd_z*, f*`` and ``svd_z_sumsq``, which is 0 without components."""
-    out = scores.join(svd_scores(values, loadings, k), ["gene", "cell"], "left").join(fractions(loadings, k), "gene", "left")
+    out = lookup(scores.join(svd_scores(values, loadings, k), ["gene", "cell"], "left"), fractions(loadings, k), ["gene"], "left")
     energy = sum((F.coalesce(F.col(f"svd_z{c}") ** 2, F.lit(0.0)) for c in range(k)), F.lit(0.0))
     return out.withColumn("svd_z_sumsq", energy)

@@ -7,54 +7,76 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Genes, sites and cells grow with the tables: customers in blocks of 150 share ten genes, and every block has gene 0.
 JUNCTIONS = """
 SELECT cell, refName_newR1, geneR1A_uniq, juncPosR1A, juncPosR1B, chrR1A, splice_ann, tissue, compartment,
        CAST(sum(reads) AS BIGINT) AS numReads, max(called) AS called
 FROM (
-    SELECT 'C' || CAST(c_custkey AS STRING) AS cell, r_name AS tissue, c_mktsegment AS compartment,
-           1000 * (1 + sb) AS juncPosR1A, 100000 + 1000 * eb AS juncPosR1B, 'chr1' AS chrR1A,
-           (sb + eb) % 3 <> 0 AS splice_ann,
-           CAST(l_quantity AS BIGINT) % 5 + 1 AS reads,
-           CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 0 ELSE 1 END AS called,
-           CASE WHEN gi IN (18, 19) THEN 'unknown' ELSE 'g' || CAST(gi AS STRING) END AS geneR1A_uniq,
-           'chr1:' || CASE WHEN gi IN (18, 19) THEN 'unknown' ELSE 'g' || CAST(gi AS STRING) END || ':' || CAST(1000 * (1 + sb) AS STRING) || CASE WHEN gi % 2 = 0 THEN ':+' ELSE ':-' END
-               || '|chr1:' || CASE WHEN gi = 18 THEN 'unknown' ELSE 'g' || CAST(gi AS STRING) END || ':' || CAST(100000 + 1000 * eb AS STRING) || CASE WHEN gi % 2 = 0 THEN ':+' ELSE ':-' END || '|lin' AS refName_newR1
+    SELECT cell, tissue, compartment, juncPosR1A, juncPosR1B, chrR1A, splice_ann, reads, called,
+           CASE WHEN gi % 10 IN (7, 9) THEN 'unknown' ELSE gene END AS geneR1A_uniq,
+           chrR1A || ':' || CASE WHEN gi % 10 IN (7, 9) THEN 'unknown' ELSE gene END || ':' || CAST(juncPosR1A AS STRING) || strand
+               || '|' || chrR1A || ':' || CASE WHEN gi % 10 = 7 THEN 'unknown' ELSE gene END || ':' || CAST(juncPosR1B AS STRING) || strand || '|lin' AS refName_newR1
     FROM (
-        SELECT *, CASE WHEN gi % 5 = 1 AND sb = 0 THEN 9 WHEN gi % 4 = 0 THEN (length(c_mktsegment) % 3) * 2 + l_linenumber % 2 ELSE (l_suppkey + l_linenumber) % 5 END AS eb
+        SELECT gi, 'C' || CAST(c_custkey AS STRING) AS cell, r_name AS tissue, c_mktsegment AS compartment,
+               gi * 200000 + 1000 * (1 + sb) AS juncPosR1A, gi * 200000 + 100000 + 1000 * eb AS juncPosR1B, 'chr' || CAST(1 + gi % 3 AS STRING) AS chrR1A,
+               (sb + eb) % 3 <> 0 AS splice_ann, CAST(l_quantity AS BIGINT) % 5 + 1 AS reads,
+               CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 0 ELSE 1 END AS called,
+               'g' || CAST(gi AS STRING) AS gene, CASE WHEN gi % 2 = 0 THEN ':+' ELSE ':-' END AS strand
         FROM (
-            SELECT CAST(l_partkey AS BIGINT) % 20 AS gi, CAST(floor(l_partkey / 20) AS BIGINT) % 4 AS sb, CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag, c_custkey, c_mktsegment, r_name
-            FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
-        ) AS a
-    ) AS b
-) AS c
+            SELECT *, CASE WHEN gi % 5 = 1 AND sb = 0 THEN 9 WHEN gi % 4 = 0 THEN (length(c_mktsegment) % 3) * 2 + l_linenumber % 2 ELSE (l_suppkey + l_linenumber) % 5 END AS eb
+            FROM (
+                SELECT *, CAST(floor(l_partkey / 10) AS BIGINT) % CASE WHEN gi = 0 THEN 12 ELSE 3 + gi % 4 END AS sb
+                FROM (
+                    SELECT CAST(l_partkey AS BIGINT) AS l_partkey, CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_returnflag, c_custkey, c_mktsegment, r_name,
+                           CASE WHEN l_partkey % 10 = 0 THEN CAST(0 AS BIGINT) ELSE CAST(floor(c_custkey / 150) AS BIGINT) * 10 + CAST(l_partkey AS BIGINT) % 10 END AS gi
+                    FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+                ) AS a
+            ) AS b
+        ) AS c
+    ) AS d
+) AS e
 GROUP BY cell, refName_newR1, geneR1A_uniq, juncPosR1A, juncPosR1B, chrR1A, splice_ann, tissue, compartment
 """
 
-READS = """
-SELECT 'S' || CAST(user_id % 3 AS STRING) AS sample_id, 1 AS mate,
-       'r' || CAST(event_id AS STRING) || '_U' || CAST(event_id % 7 AS STRING) AS qname,
-       CASE WHEN user_id % 2 = 1 THEN 16 ELSE 0 END + CASE WHEN event_id % 13 = 0 THEN 256 ELSE 0 END + CASE WHEN event_id % 97 = 0 THEN 4 ELSE 0 END AS flag,
-       CAST(1 + event_id % 2 AS STRING) AS rname,
-       CAST(1 + (event_id * 37 % {{spread}}) * 4000 + (user_id % 5) * 100 AS BIGINT) AS pos,
-       CASE event_id % 5 WHEN 0 THEN '50M' WHEN 1 THEN '20M500N30M' WHEN 2 THEN '10M2D10M800N5I20M100N10M' WHEN 3 THEN '5S20M1200N25M' ELSE '30M300N1D20M' END AS cigar,
-       CASE WHEN user_id % 11 = 0 THEN NULL ELSE 'BC' || CAST(user_id % 40 AS STRING) || '-1' END AS cb,
-       CASE WHEN event_id % 17 = 0 THEN NULL ELSE 'U' || CAST(event_id % 7 AS STRING) END AS ub,
-       'V' || CAST(event_id % 7 AS STRING) AS ur, 'X' || CAST(user_id % 40 AS STRING) AS xc, 'M' || CAST(event_id % 7 AS STRING) AS xm,
+#: Places for genes, and gaps between them.
+_SLOTS = "(SELECT CAST(floor(floor(max(p_partkey) / 4) * 13 / 10) AS BIGINT) + 1 FROM {part})"
+#: Four events are a molecule, 25 molecules a cell, and four cells share their loci and junctions; all grow with the events.
+READS = f"""
+SELECT 'S' || CAST(k % 3 AS STRING) AS sample_id, 1 AS mate,
+       'r' || CAST(event_id AS STRING) || '_U' || CAST(m AS STRING) AS qname,
+       CASE WHEN (CAST(floor(m / 2) AS BIGINT) + CASE WHEN m % 7 = 0 THEN user_id ELSE 0 END) % 2 = 1 THEN 16 ELSE 0 END + CASE WHEN event_id % 13 = 0 THEN 256 ELSE 0 END + CASE WHEN event_id % 97 = 0 THEN 4 ELSE 0 END AS flag,
+       CASE WHEN event_id % 11 = 0 THEN '3' ELSE CAST(1 + m % 2 AS STRING) END AS rname,
+       CAST(1 + (g * 37 + m % 5) % {_SLOTS} * 4000 + CASE WHEN m % 3 = 0 THEN user_id % 5 * 100 ELSE 0 END AS BIGINT) AS pos,
+       CASE m % 5 WHEN 0 THEN '50M'
+            WHEN 1 THEN CAST(10 + q % 31 AS STRING) || 'M' || CAST(500 + q % 4999 AS STRING) || 'N' || CAST(20 + q % 17 AS STRING) || 'M'
+            WHEN 2 THEN '10M2D10M' || CAST(800 + q % 197 AS STRING) || 'N5I20M' || CAST(100 + q % 901 AS STRING) || 'N10M'
+            WHEN 3 THEN CAST(3 + q % 9 AS STRING) || 'S20M' || CAST(1200 + q % 3001 AS STRING) || 'N25M'
+            ELSE CAST(25 + q % 11 AS STRING) || 'M' || CAST(300 + q % 2003 AS STRING) || 'N1D20M' END AS cigar,
+       CASE WHEN user_id % 11 = 0 THEN NULL ELSE 'BC' || CAST(k AS STRING) || '-1' END AS cb,
+       CASE WHEN m % 17 = 0 THEN NULL ELSE 'U' || CAST(m AS STRING) END AS ub,
+       'V' || CAST(m AS STRING) AS ur, 'X' || CAST(k AS STRING) AS xc, 'M' || CAST(m AS STRING) AS xm,
        CAST(event_id % 50 AS BIGINT) AS as_score, CASE WHEN event_id % 101 = 0 THEN '1' ELSE NULL END AS ch,
        CASE event_id % 3 WHEN 0 THEN 'AAAATTTGGCACGTACGTAACCGGNNTT' WHEN 1 THEN 'ACGTACGTACGTACGT' ELSE 'ACG' END || substr('TTTTTGGGGGCCCCC', 1, CAST(event_id % 15 AS INT)) AS seq,
        CAST(event_id % 20 AS STRING) || 'A' || CAST(event_id % 9 AS STRING) || CASE WHEN event_id % 4 = 0 THEN '^TT5C' ELSE 'G3' END AS md
-FROM {events}
+FROM (
+    SELECT *, g * 11 + m % 10 AS q
+    FROM (SELECT event_id, user_id, CAST(floor(event_id / 4) AS BIGINT) AS m, CAST(floor(event_id / 100) AS BIGINT) AS k, CAST(floor(event_id / 400) AS BIGINT) AS g FROM {{events}}) AS a
+) AS b
 """
 
+#: Two exons a gene and sequence, and after every ten genes three empty places.
 GTF = """
 SELECT 'chr' || CAST(1 + p_partkey % 2 AS STRING) AS seqname, 'x' AS source, 'exon' AS feature,
-       CAST(floor(p_partkey / 2) AS BIGINT) * 4000 + 1 AS "start", CAST(floor(p_partkey / 2) AS BIGINT) * 4000 + 3000 + p_size * 100 AS "end",
+       place * 4000 + 1 + exon * 1500 AS "start", place * 4000 + 3000 + p_size * 100 AS "end",
        '.' AS score, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand, '.' AS frame,
-       CASE WHEN p_partkey % 5 = 0 THEN 'ID=' || CAST(p_partkey AS STRING) || ';gene=G' || CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING) || ';x=1'
+       CASE WHEN p_partkey % 5 = 0 THEN 'ID=' || CAST(p_partkey AS STRING) || ';gene=G' || CAST(gene AS STRING) || ';x=1'
             WHEN p_partkey % 23 = 0 THEN 'note "none"'
-            ELSE 'gene_name "G' || CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING) || '"; exon ' || CAST(p_size AS STRING) END AS attribute,
-       CAST(p_partkey AS BIGINT) AS line
-FROM {part} WHERE p_partkey <= 400 AND p_partkey % 10 <> 0
+            ELSE 'gene_name "G' || CAST(gene AS STRING) || '"; exon ' || CAST(p_size AS STRING) END AS attribute,
+       p_partkey AS line
+FROM (
+    SELECT *, gene + CAST(floor(gene / 10) AS BIGINT) * 3 AS place, CAST(floor(p_partkey / 2) AS BIGINT) % 2 AS exon
+    FROM (SELECT CAST(p_partkey AS BIGINT) AS p_partkey, CAST(p_size AS BIGINT) AS p_size, CAST(floor(p_partkey / 4) AS BIGINT) AS gene FROM {part}) AS a
+) AS b
 """
 
 #: One distinct junction a row, with gene lists at both ends, for the repair of gene names.
@@ -65,20 +87,18 @@ SELECT 'chr' || CAST(1 + a % 2 AS STRING) || ':' || ga || ':' || CAST(pa AS STRI
        CASE WHEN a % 2 = 0 THEN '+' ELSE '-' END AS read_strandR1A, CASE WHEN a % 7 = 0 THEN '-' ELSE '+' END AS read_strandR1B,
        CASE WHEN a % 3 = 0 THEN 'Chimeric' ELSE 'Aligned' END AS fileTypeR1
 FROM (
-    SELECT CAST(p_partkey AS BIGINT) AS a, CAST(p_partkey AS BIGINT) * 1000 AS pa, CAST(p_partkey AS BIGINT) * 1000 + CASE WHEN p_partkey % 11 = 0 THEN 2000000 WHEN p_partkey % 4 = 0 THEN -500 ELSE 700 END AS pb,
-           CASE p_partkey % 6 WHEN 0 THEN 'G' || CAST(p_partkey % 50 AS STRING) WHEN 1 THEN 'SNORA1,G' || CAST(p_partkey % 50 AS STRING) || ',G3' WHEN 2 THEN 'G1,G2,RP11-7' WHEN 3 THEN '' WHEN 4 THEN 'G' || CAST(p_partkey % 50 AS STRING) || ',G' || CAST(p_partkey % 40 AS STRING) ELSE 'unknown' END AS ga,
-           CASE p_partkey % 5 WHEN 0 THEN 'G' || CAST(p_partkey % 50 AS STRING) WHEN 1 THEN 'G2,G3' WHEN 2 THEN 'G' || CAST(p_partkey % 45 AS STRING) || ',SNORD5' WHEN 3 THEN 'G8' ELSE 'G4,G5,G6' END AS gb,
-           CASE p_partkey % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '?' END AS sa, CASE p_partkey % 4 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '?' END AS sb
-    FROM {part} WHERE p_partkey <= 400
+    SELECT a, a * 1000 AS pa, a * 1000 + CASE WHEN a % 11 = 0 THEN 2000000 WHEN a % 4 = 0 THEN -500 ELSE 700 END AS pb,
+           CASE a % 6 WHEN 0 THEN g0 WHEN 1 THEN 'SNORA1,' || g0 || ',G3' WHEN 2 THEN g1 || ',' || g0 || ',RP11-7' WHEN 3 THEN '' WHEN 4 THEN g0 || ',' || g1 ELSE 'unknown' END AS ga,
+           CASE a % 5 WHEN 0 THEN g0 WHEN 1 THEN g1 || ',' || g2 WHEN 2 THEN g1 || ',SNORD5' WHEN 3 THEN g2 ELSE g1 || ',' || g2 || ',G6' END AS gb,
+           CASE a % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '?' END AS sa, CASE a % 4 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '?' END AS sb
+    FROM (
+        SELECT CAST(p_partkey AS BIGINT) AS a, 'G' || CAST(CAST(floor(p_partkey / 4) AS BIGINT) AS STRING) AS g0,
+               'G' || CAST(CAST(floor(p_partkey / 4) AS BIGINT) + 1 AS STRING) AS g1, 'G' || CAST(CAST(floor(p_partkey / 6) AS BIGINT) AS STRING) AS g2
+        FROM {part}
+    ) AS s
 ) AS t
 """
 
-_PART = " WHERE p_partkey <= 400"
-#: The same over all of part: annotation without gaps made on purpose, gene lists of all genes, and as many loci of reads as genes.
-GTF_WHOLE = GTF.replace(f"{_PART} AND p_partkey % 10 <> 0", "")
-CLASS_INPUT_WHOLE = CLASS_INPUT.replace(_PART, "").replace("CAST(p_partkey % 50 AS STRING)", "CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING)")
-N_GENES = "(SELECT CAST(floor(max(p_partkey) / 2) AS BIGINT) + 1 FROM {part})"
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -86,17 +106,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _run(spark: SparkSession, sf_dir: str, sql: str, **values) -> DataFrame:
-    for k, v in values.items():
-        sql = sql.replace(f"{{{{{k}}}}}", str(v))
+def _run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     names = [t for t in TABLES if f"{{{t}}}" in sql]
     return spark.sql(sql.replace('"start"', "`start`").replace('"end"', "`end`"), **{t: _table(spark, sf_dir, t) for t in names})
 
 
-def duck(sql: str, **values) -> str:
+def duck(sql: str) -> str:
     """The same text for DuckDB, where the tables are views."""
-    for k, v in values.items():
-        sql = sql.replace(f"{{{{{k}}}}}", str(v))
     for t in TABLES:
         sql = sql.replace(f"{{{t}}}", t)
     return sql
@@ -107,14 +123,14 @@ def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, JUNCTIONS)
 
 
-def reads(spark: SparkSession, sf_dir: str, spread: int | str = 150) -> DataFrame:
-    """Aligned reads; a small ``spread`` makes many reads of one junction."""
-    return _run(spark, sf_dir, READS, spread=spread)
+def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned reads."""
+    return _run(spark, sf_dir, READS)
 
 
-def gtf(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    return _run(spark, sf_dir, GTF_WHOLE if whole else GTF)
+def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, GTF)
 
 
-def class_input(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    return _run(spark, sf_dir, CLASS_INPUT_WHOLE if whole else CLASS_INPUT)
+def class_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, CLASS_INPUT)

@@ -76,13 +76,30 @@ def read_samplesheet(spark: SparkSession, path: str, library: str) -> DataFrame:
     return sheet.select(F.trim("sample_id").alias("sample_id"), F.explode(files).alias("f")).select("sample_id", "f.mate", "f.path")
 
 
+def _name(path: F.Column) -> F.Column:
+    """The last two parts of a path: what a reader's file names and a sheet's paths have in common, whatever the scheme."""
+    return F.array_join(F.slice(F.split(F.regexp_replace(path, "/+$", ""), "/"), -2, 2), "/")
+
+
 def read_samples(spark: SparkSession, sheet: DataFrame) -> DataFrame:
-    """Alignments of all files of a sample sheet (a short list) with ``sample_id`` and ``mate``."""
-    out = None
-    for row in sheet.collect():
-        one = read_alignments(spark, row["path"]).withColumns({"sample_id": F.lit(row["sample_id"]), "mate": F.lit(row["mate"])})
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Alignments of all files of a sample sheet with ``sample_id`` and ``mate``: one scan, whose rows take them from the sheet by their file.
+
+    Files are all Parquet or all SAM text, and differ in name or folder.  A file that two rows name gives its records to both.
+    """
+    files = [r["path"] for r in sheet.select("path").distinct().collect()]  # a line for each file of a run
+    if not files:
+        raise ValueError("the sample sheet is empty")
+    whole = [p.rstrip("/").endswith((".pq", ".parquet")) for p in files]
+    if any(whole) and not all(whole):
+        raise ValueError("Parquet and SAM text can't be read in one sheet")
+    if len({"/".join(p.rstrip("/").split("/")[-2:]) for p in files}) < len(files):
+        raise ValueError("two files of the sheet have the same folder and name")
+    # a Parquet path may be a folder of part files
+    path = F.col("_metadata.file_path")
+    at = F.regexp_replace(path, "/[^/]*$", "") if all(whole) else path
+    out = read_alignments(spark, *files, keep={"__file": _name(at)})
+    known = sheet.select(_name(F.col("path")).alias("__file"), "sample_id", "mate")
+    return out.join(F.broadcast(known), "__file").drop("__file")
 
 
 def read_meta(spark: SparkSession, path: str) -> DataFrame:
@@ -95,16 +112,19 @@ def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", comment="#", schema=GTF_SCHEMA, quote="").withColumn("line", F.monotonically_increasing_id())
 
 
-def read_alignments(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment records from Parquet, or from SAM text: fixed fields, and tags as columns."""
-    if path.rstrip("/").endswith((".pq", ".parquet")):
-        return spark.read.parquet(path)
+def read_alignments(spark: SparkSession, *paths: str, keep: dict[str, F.Column] | None = None) -> DataFrame:
+    """Alignment records from Parquet, or from SAM text: fixed fields, and tags as columns; ``keep`` adds columns of the scan, such as file names."""
+    keep = keep or {}
+    if all(p.rstrip("/").endswith((".pq", ".parquet")) for p in paths):
+        return spark.read.parquet(*paths).withColumns(keep) if keep else spark.read.parquet(*paths)
     field = F.split("value", "\t")
-    tags = F.map_from_entries(F.transform(F.slice(field, 12, 1000), lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substring(t, 6, 1_000_000).alias("value"))))
-    lines = spark.read.text(path).filter("value != '' and value not like '@%'").withColumns({"field": field})
+    rest = F.slice(field, F.lit(12), F.greatest(F.size(field) - 11, F.lit(0)))
+    tags = F.map_from_entries(F.transform(rest, lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substr(t, F.lit(6)).alias("value"))))
+    text = spark.read.text(list(paths))
+    lines = (text.withColumns(keep) if keep else text).filter("value != '' and value not like '@%'").withColumns({"field": field})
     got = lines.select(
         F.col("field")[0].alias("qname"), F.col("field")[1].cast("int").alias("flag"), F.nullif(F.col("field")[2], F.lit("*")).alias("rname"),
-        F.col("field")[3].cast("long").alias("pos"), F.nullif(F.col("field")[5], F.lit("*")).alias("cigar"), F.nullif(F.col("field")[9], F.lit("*")).alias("seq"), tags.alias("tags"),
+        F.col("field")[3].cast("long").alias("pos"), F.nullif(F.col("field")[5], F.lit("*")).alias("cigar"), F.nullif(F.col("field")[9], F.lit("*")).alias("seq"), tags.alias("tags"), *keep,
     )
     names = {"cb": "CB", "ub": "UB", "ur": "UR", "xc": "XC", "xm": "XM", "ch": "ch", "md": "MD"}
     out = got.withColumns({c: F.try_element_at("tags", F.lit(t)) for c, t in names.items()})
@@ -122,7 +142,16 @@ def write_loadings(loadings: DataFrame, folder: str) -> None:
     loadings.write.mode("overwrite").parquet(f"{folder}/loadings.parquet")
 
 
+#: Order of the result files; a null comes last.
+RESULT_ORDER = {
+    "tests": ["level_1", "gene", "z_col"],
+    "wide": ["perm_pval_adj_scZ", "gene", "level_1"],
+    "sites": ["gene", "component", "rank"],
+    "summary": ["gene", "level_1", "scZ_median", "level_2"],
+}
+
+
 def write_results(folder: str, **frames: DataFrame) -> None:
-    """Each result as text in one sorted file set: long and wide p-values, sites, summary."""
+    """Each result as text in one sorted file set: ``tests``, ``wide``, ``sites``, ``summary``."""
     for name, df in frames.items():
-        write_tsv(df, f"{folder}/{name}.tsv")
+        write_tsv(df.orderBy(*[F.asc_nulls_last(c) for c in RESULT_ORDER[name]]), f"{folder}/{name}.tsv")

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from splice_spark.functions import cigar, stats
+from splice_spark.functions.joins import lookup
+from splice_spark.functions.quantiles import weighted_quantiles
 from splice_spark.jobs.pipeline import Params, analysis_job, count_job, score_job
-from splice_spark.operators import counts, differential, gene_repair, reads, score, svd
+from splice_spark.operators import counts, differential, gene_repair, reads, score, sites, svd
 from splice_spark.sources import fixtures, tables
 
 SF = "/root/testdata/sf0.001"
@@ -51,21 +53,64 @@ def test_chi2_tail():
 
 def test_permutation_kernel_is_the_statistic():
     rng = np.random.default_rng(3)
-    z, labels = rng.normal(size=40), rng.integers(0, 3, 40)
-    counts_ = np.bincount(labels).astype(float)
-    got = stats.permuted_statistics(z, labels, counts_, 0.1, np.random.default_rng(1), 6)
-    perm = np.random.default_rng(1).permuted(np.tile(labels, (6, 1)), axis=1)
-    for row, t in zip(perm, got, strict=True):
-        groups = [np.sort(z)[row == k] for k in range(3)]
+    z, sizes = rng.normal(size=40), np.array([9, 14, 17])
+    got = stats.permuted_statistics(z, sizes, 0.1, 77, np.arange(6))
+    assert got == pytest.approx(np.concatenate([stats.permuted_statistics(z, sizes, 0.1, 77, np.arange(k, 6, 2)) for k in (0, 1)]).reshape(2, 3).T.ravel())
+    for key, t in zip(stats.permutation_keys(40, 77, np.arange(6)), got, strict=True):
+        v = z[sorted(range(40), key=lambda i: (key[i], i))]
+        groups = [v[:9], v[9:23], v[23:]]
         w = np.array([len(g) / (g.var(ddof=1) + 0.1) for g in groups])
         m = np.array([np.median(g) for g in groups])
         assert t == pytest.approx((w * (m - (w * m).sum() / w.sum()) ** 2).sum())
 
 
+def test_permutations_are_even():
+    """Every cell comes to every place about equally often, whatever the seed, and pairs of places are independent."""
+    n, perms = 8, 40_000
+    for seed in (0, 1, 987_654):
+        order = np.argsort(stats.permutation_keys(n, seed, np.arange(perms)), axis=1, kind="stable")
+        counts = np.stack([np.bincount(order[:, k], minlength=n) for k in range(n)])
+        assert ((counts - perms / n) ** 2 / (perms / n)).sum() < 110  # chi-square of 49 degrees of freedom
+        pairs = np.bincount(order[:, 0] * n + order[:, 1], minlength=n * n).reshape(n, n)
+        off = pairs[~np.eye(n, dtype=bool)]
+        assert ((off - perms / 56) ** 2 / (perms / 56)).sum() < 110
+
+
+def test_permutation_shares_do_not_matter(spark):
+    rng = np.random.default_rng(5)
+    rows = [("a", f"g{g}", "scZ", f"c{k:03}", f"t{k % 3}", float(rng.normal() + (k % 3) * g)) for g in range(3) for k in range(60)]
+    melted = spark.createDataFrame(rows, "level_1 string, gene string, z_col string, cell string, level_2 string, z double")
+    tests = differential.with_pvals(differential.wald_stat(differential.group_stats(melted)))
+    one, many = (sorted(map(tuple, differential.permute(melted, tests, alpha=1.0, per_task=n).collect())) for n in (10**9, 700))
+    assert one == many and any(r[-2] is not None for r in one)
+
+
+@pytest.mark.parametrize("most", [3, 10_000])
+def test_quantiles_are_exact(spark, most):
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(size=300), rng.integers(0, 4, 200).astype(float), [1e12, -1e-9]])
+    freq = rng.integers(0, 4, len(values))
+    df = spark.createDataFrame([(float(v), int(n)) for v, n in zip(values, freq)] + [(None, 3)], "v double, n long").repartition(3)
+    flat = np.repeat(values, freq)
+    for q in (0.0, 0.01, 0.37, 0.99):
+        assert weighted_quantiles(df, "v", "n", [q, 1 - q], most) == pytest.approx([np.quantile(flat, q), np.quantile(flat, 1 - q)])
+    assert weighted_quantiles(df.filter("v is null"), "v", "n", [0.5]) is None
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_is_a_join(spark, how):
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 0, "x" if k % 5 else None, k) for k in range(900)], "a int, b string, k int")
+    table = spark.createDataFrame([(a, "x", a * 10) for a in range(0, 9, 2)], "a int, b string, v int")
+    want = sorted(map(str, rows.join(table, ["a", "b"], how).select("a", "b", "k", "v").collect()))
+    for most in (0, 1 << 20):
+        assert sorted(map(str, lookup(rows, table, ["a", "b"], how, most).select("a", "b", "k", "v").collect())) == want
+
+
 def test_components_are_those_of_the_dense_matrix(rows):
     values = svd.site_values(rows)
     gram, where = svd.gene_gram(values), svd.sites(values)
     load = svd.gene_components(gram, where)
+    assert load.groupBy("gene").agg(F.max("component").alias("c")).filter("c > 2").count() > 0  # all components, not the first three
     scores, shares = svd.svd_scores(values, load).toPandas(), svd.fractions(load).toPandas().set_index("gene")
     long = values.toPandas()
     for gene in list(shares.index)[:4]:
@@ -160,7 +205,7 @@ def test_jobs(spark):
 
 
 def test_count_job(spark):
-    aligned, gtf = fixtures.reads(spark, SF, 10), fixtures.gtf(spark, SF)
+    aligned, gtf = fixtures.reads(spark, SF), fixtures.gtf(spark, SF)
     meta = spark.createDataFrame([("S0_BC1", "lung")], "cell_id string, tissue string")
     bounds = spark.createDataFrame([("chr1", 1)], "chr string, pos long")
     known = spark.createDataFrame([("chr1", 1, 2)], "chr string, lo long, hi long")
@@ -168,6 +213,52 @@ def test_count_job(spark):
     assert {"cell", "numReads", "tissue", "splice_ann", "both_ann"} <= set(out.columns) and out.count() > 0
 
 
+def test_entropy_of_a_long_read_takes_linear_time(spark):
+    seq = "ACGTTGCA" * 2500
+    e = spark.createDataFrame([(seq,)], "s string").select(cigar.kmer_entropy(F.col("s")).alias("e")).first().e
+    n = len(seq) - 4
+    counts_ = pd.Series([seq[i : i + 5] for i in range(n)]).value_counts() / n
+    assert e == pytest.approx(-(counts_ * np.log(counts_)).sum())
+
+
+def test_chi2_tails_of_many():
+    x, df = np.array([0.5, 3.0, 11.0, -1.0, np.nan, 40.0]), np.array([1, 4, 5, 2, 3, 40])
+    got = stats.chi2_tails(x, df)
+    assert got[:2] == pytest.approx([math.erfc(math.sqrt(0.25)), math.exp(-1.5) * 2.5]) and got[3] == 1 and np.isnan(got[4])
+    assert got[5] == pytest.approx(math.exp(-20) * sum(20**k / math.factorial(k) for k in range(20)))
+
+
+def test_summary_takes_the_group_or_else_the_row_without_one(spark):
+    scores = spark.createDataFrame([("g", "a", "x", 1.0), ("g", "b", "x", 2.0), ("h", "a", "x", 3.0)], "gene string, l1 string, l2 string, scZ double").withColumns({c: F.lit(None).cast("double") for c in differential.SCORES[1:]})
+    p = [("g", "a", 0.1), ("g", None, 0.9), ("h", None, 0.5)]
+    pvals = spark.createDataFrame(p, "gene string, level_1 string, perm_pval_adj_scZ double").withColumns({f"perm_pval_adj_{c}": F.lit(0.0) for c in differential.SCORES[1:]})
+    found = spark.createDataFrame([], "gene string, component int, rank int, let string, end long, score double")
+    got = sites.summarise(scores, pvals, found, "l1", "l2")
+    assert [(r.gene, r.level_1, r.scZ_pval) for r in got.collect()] == [("g", "a", 0.1), ("g", "b", 0.9), ("h", "a", 0.5)]
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "genes.gtf").write_text('#!genome-build x\nchr1\tsrc\texon\t5\t9\t.\t+\t.\tgene_id "a"; gene_name "G1";\nchr1\tsrc\texon\t1\t3\t.\t+\t.\tgene_name "G0";\n')
+    lines = tables.read_gtf(spark, str(tmp_path / "genes.gtf")).orderBy("line").collect()
+    assert [(r.start, r.end, r.attribute) for r in lines] == [(5, 9, 'gene_id "a"; gene_name "G1";'), (1, 3, 'gene_name "G0";')]
+    wide = spark.createDataFrame([("g2", "a", None), ("g1", "b", 0.2), ("g3", "a", 0.1)], "gene string, level_1 string, perm_pval_adj_scZ double")
+    tables.write_results(str(tmp_path), wide=wide)
+    text = [x for f in sorted((tmp_path / "wide.tsv").glob("part-*")) for x in f.read_text().splitlines() if not x.startswith("gene\t")]
+    assert [x.split("\t")[0] for x in text] == ["g3", "g1", "g2"]
+
+
+def test_samples_of_two_mates(spark, tmp_path):
+    rows = {"a": "r1\t0\t1\t10\t9\t5M\t*\t0\t0\tACGTA\t*\tCB:Z:" + "A" * 5000, "b": "r1\t16\t1\t20\t9\t5M\t*\t0\t0\tACGTA\t*", "c": "r2\t0\t1\t30\t9\t5M\t*\t0\t0\t*\t*\tXC:Z:q"}
+    for name, row in rows.items():
+        (tmp_path / f"{name}.sam").write_text(f"@HD\tVN:1\n{row}\n")
+    (tmp_path / "s.csv").write_text(f"S1, {tmp_path}/a.sam, {tmp_path}/b.sam\nS2, {tmp_path}/c.sam, {tmp_path}/c.sam\n")
+    got = tables.read_samples(spark, tables.read_samplesheet(spark, str(tmp_path / "s.csv"), "SS2")).collect()
+    assert sorted((r.sample_id, r.mate, r.qname, r.pos) for r in got) == [("S1", 1, "r1", 10), ("S1", 2, "r1", 20), ("S2", 1, "r2", 30), ("S2", 2, "r2", 30)]
+    assert {len(r.cb) for r in got if r.cb} == {5000} and {r.seq for r in got} == {"ACGTA", None}
+    with pytest.raises(ValueError):
+        tables.read_samples(spark, spark.createDataFrame([("S", 1, "/x/a.sam"), ("S", 1, "/y/x/a.sam")], "sample_id string, mate int, path string"))
+
+
 def test_sam_text(spark, tmp_path):
     (tmp_path / "a.sam").write_text("@HD\tVN:1\nr1\t16\t1\t100\t9\t5M9N5M\t*\t0\t0\tACGTACGTAC\t*\tCB:Z:AA-1\tUR:Z:U1\tAS:i:7\n")
     row = tables.read_alignments(spark, str(tmp_path / "a.sam")).first()
