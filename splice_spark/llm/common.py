@@ -9,7 +9,6 @@ from __future__ import annotations
 import ctypes
 import functools
 import math
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from splice_spark.functions import lineage
+
 #: A-Z to a-z, every other byte unchanged.
 LOWER = bytes(range(256)).lower()
 
@@ -92,23 +93,9 @@ def parts_for(spark: SparkSession, n_bytes: int, each: int = 64 << 20) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / each))
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``); one of our own only where none is set."""
-    sc = spark.sparkContext
-    there = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not there:
-        there = f"/tmp/spark-checkpoints-{uuid.uuid4().hex}"
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(there)
-    return there
-
-
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: short lineage, one evaluation."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return lineage.cut(df, "zstd")
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: str, share: int = 256) -> DataFrame:

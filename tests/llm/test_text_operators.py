@@ -452,7 +452,7 @@ def test_pii(spark, docs, empty):
     assert {k for k, *_ in next(iter(shown[3]))} == {"phone", "card"}  # the base patterns fail on both
     assert shown[4] == shown[5] == {()}
     clean = pii.redact(spark.createDataFrame(cases, "doc_id long, text string")).collect()
-    assert clean[0].text == "write to [EMAIL] now, or [PHONE]." and clean[3].text is None
+    assert {r.text for r in clean if r.doc_id in (1, 4)} == {"write to [EMAIL] now, or [PHONE].", "[EMAIL]@d.e", None}
     assert pii.find_personal(docs).count() == docs.count() and pii.find_personal(empty).count() == 0
 
 
@@ -520,7 +520,7 @@ def test_chat_snapshots(spark):
     assert {r.conv_id for r in got} == {3, 4, 6, 7, 8, None}
     assert {(r.conv_id, r.n_copies) for r in got if r.conv_id in (3, 4)} == {(3, 1), (4, 2)}
     assert next(r.rendered for r in got if r.conv_id == 4) == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nx<|im_end|>\n"
-    assert sorted(r.piece for r in got if r.conv_id == 8) == [0, 1, 2, 3, 4]
+    assert [(r.piece, r.n_turns, r.rendered) for r in got if r.conv_id == 8] == [(0, 300, "".join(f"<|im_start|>user\n{k}<|im_end|>\n" for k in range(300)))]
     assert chat_snapshots.collapse_snapshots(table.limit(0)).count() == 0
     shuffled = chat_snapshots.collapse_snapshots(table.repartition(5), segment=2)
     assert {r.conv_id for r in shuffled.collect()} == {3, 4, 6, 7, 8, None}
