@@ -12,8 +12,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from splice_spark.functions.lineage import delete, shared_folder, temporary
 from splice_spark.llm import byte_bpe, decontamination, pii, quality_classifier, simhash_dedup
-from splice_spark.llm.common import ensure_checkpoint_dir, read_table
+from splice_spark.llm.common import read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    """All stages; what a stage needs on the way, and the rows of the stage before, go once it is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(path)
+        path = f"{folder}/{k}-{name}"
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
