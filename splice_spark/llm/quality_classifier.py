@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import cut, give_back, id_text, ids_and_bytes, read_table, small_batches, trimmed
+from .common import cut, id_text, read_table, trimmed
 
 STATS = [
     "word_length", "word_spread", "symbols", "bars", "bangs", "capitals", "digits", "marks",
@@ -76,22 +76,13 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
-def _all_statistics(texts: list) -> pa.Array:
-    rows = np.array([statistics(t) for t in texts], np.float64).reshape(-1)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(STATS), pa.int32()), pa.array(rows, pa.float64()))
-
-
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text in the second column gives way to its statistics."""
     for batch in batches:
-        ids, texts = ids_and_bytes(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _all_statistics(texts)], names=["doc_id", "stats"])
-
-
-def stats_of(texts: pa.Array) -> pa.Array:
-    """The statistics of a text column."""
-    out = _all_statistics(texts.cast(pa.binary()).to_pylist())
-    give_back()
-    return out
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        rows = np.array([statistics(t) for t in texts], np.float64).reshape(-1)
+        stats = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(STATS), pa.int32()), pa.array(rows, pa.float64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), stats, *batch.columns[2:]], names=["doc_id", "stats", *batch.schema.names[2:]])
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -179,19 +170,22 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
     return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
-#: A name that no caller's column has.
-_STATS = "__quality_stats__"
+#: Names that no caller's column has.
+_ID, _HASH = "__quality_id__", "__quality_text__"
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", text_col: str = "text") -> DataFrame:
     """Rows of ``docs``, with all their columns, whose score is 0.5 or more.
 
-    Rows and their statistics are written once; both the model and the choice read them there.
+    Texts are measured once.  Rows with one id and text have one score, so the rejected ones leave by an anti-join on
+    both (the text by its hash), where they are while the rejects are few enough to broadcast.
     """
-    small_batches(docs.sparkSession)
-    measured = cut(docs.withColumn(_STATS, F.arrow_udf(stats_of, "array<double>")(F.col(text_col).cast("string"))))
-    score = scorer(train(measured.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_STATS).alias("stats")), labels, label))
-    return measured.filter(score(F.col(_STATS)) >= 0.5).drop(_STATS)
+    key = lambda text: {_ID: F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), _HASH: F.xxhash64(F.col(text).cast("string"))}
+    rows = id_text(docs, text_col=text_col).withColumns(key("text"))
+    measured = cut(rows.mapInArrow(trimmed(_measure), f"doc_id long, stats array<double>, {_ID} string, {_HASH} long"))
+    score = scorer(train(measured, labels, label))
+    gone = cut(measured.filter(score("stats") < 0.5).select(_ID, _HASH).distinct())
+    return docs.withColumns(key(text_col)).join(gone, [_ID, _HASH], "left_anti").drop(_ID, _HASH)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
