@@ -26,34 +26,32 @@ def _around(counts: DataFrame, place: int, most: int) -> tuple[list, int]:
                 low, high, size = first, last, many
                 break
             before += n
-    return sorted(tuple(r) for r in counts.filter(F.col("v").between(low, high)).select("v", "n").collect()), before
-
-
-def _at(counts: DataFrame, places: list[int], most: int) -> list[float]:
-    out = []
-    rows, before, last = [], 0, -1
-    for place in places:
-        if not before <= place <= last:
-            rows, before = _around(counts, place, most)
-            ends = before + np.cumsum([n for _, n in rows])
-            last = int(ends[-1]) - 1
-        out.append(float(rows[int(np.searchsorted(ends, place, "right"))][0]))
-    return out
+    return sorted(tuple(r) for r in counts.filter(F.col("v").between(low, high)).collect()), before
 
 
 def weighted_quantiles(df: DataFrame, name: str | Column, freq: str | Column, quantiles: list[float], most: int = 50_000) -> list[float] | None:
     """Quantiles of ``name``, each value counting ``freq`` times, interpolated between neighbours; nulls don't count, and there is none without values.
 
-    Equal values are counted first.  Of many, histograms of ranges narrow down on the range of the wanted one, and only
-    ``most`` values are looked at one by one.
+    Equal values are counted first.  If more than ``most`` are left, they are written, and histograms of ranges narrow
+    down on the range of the wanted one, so that ``most`` values are looked at one by one in any case.
     """
     value = F.col(name) if isinstance(name, str) else name
     weight = F.col(freq) if isinstance(freq, str) else freq
-    counts = cut(df.select(value.cast("double").alias("v"), weight.cast("long").alias("n")).filter("v is not null and n > 0").groupBy("v").agg(F.sum("n").alias("n")))
-    total = counts.agg(F.sum("n")).first()[0]
-    if not total:
+    counts = df.select(value.cast("double").alias("v"), weight.cast("long").alias("n")).filter("v is not null and n > 0").groupBy("v").agg(F.sum("n").alias("n"))
+    rows, before = sorted(tuple(r) for r in counts.limit(most + 1).collect()), 0
+    if not rows:
         return None
+    if few := len(rows) <= most:
+        total = sum(n for _, n in rows)
+    else:
+        counts = cut(counts)
+        total, rows = counts.agg(F.sum("n")).first()[0], []
     places = [(total - 1) * q for q in quantiles]
-    wanted = sorted({f(p) for p in places for f in (math.floor, math.ceil)})
-    found = dict(zip(wanted, _at(counts, wanted, most), strict=True))
+    found = {}
+    for place in sorted({f(p) for p in places for f in (math.floor, math.ceil)}):
+        ends = before + np.cumsum([n for _, n in rows])
+        if not few and not (len(rows) and before <= place < ends[-1]):
+            rows, before = _around(counts, place, most)
+            ends = before + np.cumsum([n for _, n in rows])
+        found[place] = float(rows[int(np.searchsorted(ends, place, "right"))][0])
     return [found[math.floor(p)] + (found[math.ceil(p)] - found[math.floor(p)]) * (p - math.floor(p)) for p in places]

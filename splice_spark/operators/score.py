@@ -113,7 +113,7 @@ def sijk(k: DataFrame, side: str, pin_s: float = 0.01) -> DataFrame:
     var = F.try_divide(F.sum(F.col("reads") * (F.col("rank") - F.col("rank_mean")) ** 2).over(group), F.sum("reads").over(group))
     out = out.withColumn("var", var).withColumn("flat", F.coalesce(F.col("var") <= ZERO, F.lit(True)))
     out = out.withColumn("S_unpinned", F.when(~F.col("flat"), F.try_divide(F.col("rank") - F.col("rank_mean"), F.sqrt("var"))))
-    out = pin(out.withColumn("S", F.col("S_unpinned")), "S", pin_s, "rows")
+    out = pin(cut(out.withColumn("S", F.col("S_unpinned"))), "S", pin_s, "rows")  # read for the quantiles, and again
     return out.withColumn("S", F.when(F.col("flat"), 0.0).otherwise(F.col("S")))
 
 
