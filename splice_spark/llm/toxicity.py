@@ -3,8 +3,10 @@
 The lexicon is learned from labelled rows: whole words and word stems that
 stand in ``least`` toxic texts or more and hardly in clean ones, beyond what
 chance explains (``evidence``, a likelihood ratio), besides a short seed list.
-Counting and choice are Spark's; only what is chosen comes to the driver.  A
-word of a document hits if it is a lexicon word, begins with a lexicon stem, or
+It is learned in rounds that ask for less and less evidence; each counts only
+toxic texts that no entry hits so far, so that the other words of a text that is
+copied and changed over and over are no evidence.  Counting and choice are
+Spark's; only what is chosen comes to the driver.  A word of a document hits if it is a lexicon word, begins with a lexicon stem, or
 is a misspelling: the word's Levenshtein automaton (one edit from five letters,
 two from nine) is run down the trie of lexicon words, after a test that a piece
 of some word stands at its place.  Words longer than any of the lexicon by more
@@ -151,39 +153,74 @@ def _entries(text: str) -> set[str]:
 
 def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts: tuple[Counter, Counter] = Counter(), Counter()
-        for t, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            counts[label].update(_entries(t or ""))
-        found = list(counts[0] | counts[1])
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *(pa.array([c[e] for e in found], pa.int64()) for c in counts)], names=["entry", "clean", "toxic"])
+        count: Counter = Counter()
+        for t in batch.column(0).to_pylist():
+            count.update(_entries(t or ""))
+        yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["entry", "n"])
 
 
-def learn_lexicon(sampled: DataFrame, least: int = 3, purity: float = 0.97, evidence: float = 20.0) -> Lexicon:
-    """From ``text, label`` (0 or 1): entries of ``least`` toxic texts or more whose odds in toxic texts are ``purity`` or more, with a likelihood ratio of ``evidence`` or more against even odds.  Copies count once."""
-    texts = sampled.select("text", "label").distinct()
-    size = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
-    counts = texts.mapInArrow(trimmed(_count_entries), "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    share = n1 / max(n0 + n1, 1)
-    surplus = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.ln(F.col(c) / ((F.col("clean") + F.col("toxic")) * p))).otherwise(0.0)
-    ratio = 2 * (surplus("toxic", max(share, 1e-9)) + surplus("clean", max(1 - share, 1e-9)))
-    p1, p0 = F.col("toxic") / max(n1, 1), (F.col("clean") + 0.5) / (n0 + 1)
-    chosen = counts.filter((F.col("toxic") >= least) & (p1 / (p1 + p0) >= purity) & (F.col("clean") * 20 <= F.col("toxic")) & (ratio >= evidence))
-    toxic = {r["entry"]: r["toxic"] for r in chosen.collect()}  # what ``2 * sample`` texts can prove
-    words, stems = set(SEED), set()
-    for e in sorted(toxic, key=lambda e: (len(e), e)):
+def _without_hits(lexicon: Lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = _Kinds(lexicon)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            yield batch.filter(pa.array([not any(map(kinds.__getitem__, (t or "").encode().split())) for t in texts], pa.bool_()))
+
+    return run
+
+
+def _grown(lexicon: Lexicon, chosen: dict[str, int]) -> Lexicon:
+    """``lexicon`` with chosen entries and the texts they stand in; of stems the shortest."""
+    words, stems = set(lexicon.words), set(lexicon.stems)
+    for e in sorted(chosen, key=lambda e: (len(e), e)):
         if e.endswith("$"):
             words.add(e[:-1])
         elif not any(e[:n] in stems for n in LENGTHS):
             stems.add(e)
     # a stem which only one kept word explains says no more than the word
     spread = Counter(w[:n] for w in words for n in LENGTHS if len(w) > n)
-    alone = {s for s in stems if spread[s] == 1 and any(w.startswith(s) and toxic.get(w + "$", 0) >= 0.9 * toxic[s] for w in words)}
-    stems -= alone
+    stems -= {s for s in stems if spread[s] == 1 and any(w.startswith(s) and chosen.get(w + "$", 0) >= 0.9 * chosen.get(s, math.inf) for w in words)}
     words = {w for w in words if not any(w[:n] in stems for n in LENGTHS)} | set(SEED)
     return Lexicon(frozenset(words), frozenset(stems))
 
 
+def levels(strongest: float, evidence: tuple[float, ...] = (150.0, 60.0, 20.0)) -> list[float]:
+    """Evidence asked for round by round: fourfold steps from the strongest that there is down to the first of ``evidence``, and the rest of it."""
+    first = [evidence[0]]
+    while first[-1] * 4 <= strongest:
+        first.append(first[-1] * 4)
+    return [*reversed(first), *evidence[1:]]
+
+
+def learn_lexicon(sampled: DataFrame, least: int = 3, purity: float = 0.97) -> Lexicon:
+    """From ``text, label`` (0 or 1): entries of ``least`` toxic texts or more whose odds in toxic texts are ``purity`` or more, by likelihood ratios against even odds (``levels``).  Copies count once."""
+    texts = cut(sampled.select("text", "label").distinct())
+    size = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = size.get(1, 0), size.get(0, 0)
+    count = lambda some, name: some.select("text").mapInArrow(trimmed(_count_entries), "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
+    lexicon, toxic = Lexicon(frozenset(SEED), frozenset()), texts.filter("label = 1").select("text")
+    if not n1:
+        return lexicon
+    clean = cut(count(texts.filter("label = 0"), "clean"))
+    share = n1 / (n0 + n1)
+    surplus = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.ln(F.col(c) / ((F.col("clean") + F.col("toxic")) * p))).otherwise(0.0)
+    ratio = 2 * (surplus("toxic", share) + surplus("clean", max(1 - share, 1e-9)))
+    p1, p0 = F.col("toxic") / n1, (F.col("clean") + 0.5) / (n0 + 1)
+    rounds = None
+    while rounds is None or rounds:
+        toxic = cut(toxic.mapInArrow(trimmed(_without_hits(lexicon)), "text string"))
+        counts = count(toxic, "toxic").filter(F.col("toxic") >= least).join(clean, "entry", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
+        proved = counts.filter((p1 / (p1 + p0) >= purity) & (F.col("clean") * 20 <= F.col("toxic"))).select("entry", "toxic", ratio.alias("ratio"))
+        rows = proved.filter(F.col("ratio") >= levels(0)[-1]).collect()  # what ``2 * sample`` texts can prove
+        if not rows:
+            break
+        strongest = max(r["ratio"] for r in rows)
+        rounds = [x for x in rounds or levels(strongest) if x <= strongest]
+        lexicon = _grown(lexicon, {r["entry"]: r["toxic"] for r in rows if r["ratio"] >= rounds[0]})
+        rounds = rounds[1:]
+    return lexicon
+
+
 @dataclass
 class Weights:
     values: np.ndarray

@@ -112,19 +112,41 @@ def test_long_words_and_long_lexicon_words():
 
 
 def plain_lexicon(texts):
-    """Entries of the distinct (text, label) by the rule, counted in plain Python."""
+    """The lexicon of the distinct (text, label), counted in plain Python, round by round."""
     n1, n0 = sum(x for _, x in texts), sum(1 - x for _, x in texts)
-    counts = {0: Counter(), 1: Counter()}
-    for t, label in texts:
-        counts[label].update(toxicity._entries(t))
-    chosen = {}
-    for e, toxic in counts[1].items():
-        clean = counts[0][e]
-        p1, p0, share = toxic / n1, (clean + 0.5) / (n0 + 1), n1 / (n0 + n1)
-        ratio = 2 * (toxic * math.log(toxic / ((toxic + clean) * share)) + (clean * math.log(clean / ((toxic + clean) * (1 - share))) if clean else 0))
-        if toxic >= 3 and p1 / (p1 + p0) >= 0.97 and clean * 20 <= toxic and ratio >= 20:
-            chosen[e] = toxic
-    return chosen
+    clean = Counter(e for t, label in texts if not label for e in toxicity._entries(t))
+    lexicon, rounds = toxicity.Lexicon(frozenset(toxicity.SEED), frozenset()), None
+    while rounds is None or rounds:
+        hit = lambda w: any(brute_kind(lexicon, p) for p in toxicity._WORDS.findall(w.lower()))  # noqa: B023, E731
+        counts = Counter(e for t, label in texts if label and not any(map(hit, t.split())) for e in toxicity._entries(t))
+        chosen = {}
+        for e, toxic in counts.items():
+            p1, p0, share = toxic / n1, (clean[e] + 0.5) / (n0 + 1), n1 / (n0 + n1)
+            ratio = 2 * (toxic * math.log(toxic / ((toxic + clean[e]) * share)) + (clean[e] * math.log(clean[e] / ((toxic + clean[e]) * (1 - share))) if clean[e] else 0))
+            if toxic >= 3 and p1 / (p1 + p0) >= 0.97 and clean[e] * 20 <= toxic and ratio >= 20:
+                chosen[e] = (toxic, ratio)
+        if not chosen:
+            break
+        strongest = max(r for _, r in chosen.values())
+        rounds = [x for x in rounds or toxicity.levels(strongest) if x <= strongest]
+        lexicon = toxicity._grown(lexicon, {e: n for e, (n, r) in chosen.items() if r >= rounds[0]})
+        rounds = rounds[1:]
+    return lexicon
+
+
+def test_levels():
+    assert toxicity.levels(0) == toxicity.levels(599) == [150, 60, 20] and toxicity.levels(9600) == [9600, 2400, 600, 150, 60, 20]
+
+
+def test_words_of_copied_texts_are_no_evidence(spark):
+    rng = random.Random(6)
+    prose = lambda: [f"p{rng.randrange(4000)}" for _ in range(40)]
+    rows = [(" ".join(prose()), 0) for _ in range(300)]
+    rows += [(" ".join([*prose(), "vequair", "vequon"]), 1) for _ in range(60)]
+    copied = prose()
+    rows += [(" ".join([*copied[:20], f"changed{k}", *copied[21:], "vequair", "vequest"]), 1) for k in range(50)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert not set(copied) & lexicon.words and any(s.startswith("veq") for s in lexicon.stems)
 
 
 def test_toxicity_scores_are_those_of_plain_steps(spark, labelled):
@@ -132,11 +154,8 @@ def test_toxicity_scores_are_those_of_plain_steps(spark, labelled):
     of = {k: t for k, _, t in labels}
     train = [(t, of[k]) for k, t in rows if k in of and not held(k, 5, 0)]
     sampled = spark.createDataFrame(train, "text string, label int")
-    lexicon = toxicity.learn_lexicon(sampled)
-    chosen = plain_lexicon(set(train))
-    assert {w for w in lexicon.words if w not in toxicity.SEED} <= {e[:-1] for e in chosen if e.endswith("$")} and lexicon.stems <= set(chosen)
-    assert any("vequ".startswith(s) or s.startswith("vequ") for s in lexicon.stems)
-
+    lexicon, want = toxicity.learn_lexicon(sampled), plain_lexicon(set(train))
+    assert (lexicon.words, lexicon.stems) == (want.words, want.stems)
     def plain_features(text):
         words = (text or "").split()
         count, quoted_hits = Counter(), 0
