@@ -8,6 +8,7 @@ from .byte_bpe import op10_byte_bpe
 from .chat_snapshots import OP4_SQL, op4_chat_snapshots
 from .decontamination import op3_decontamination, op3_proximity
 from .hard_negatives import OP13_SQL, op13_hard_negatives
+from .lexical_search import OP11_SQL, op11_lexical_search
 from .oracles import OP1_SQL, OP3_PROXIMITY_SQL, OP3_SQL, OP5_SQL
 from .pii import op2_pii
 from .quality_classifier import op7_quality_classifier
@@ -30,6 +31,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_lexical_search": op11_lexical_search,
     "op12_warc": op12_warc,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
@@ -41,6 +43,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_proximity": OP3_PROXIMITY_SQL,
     "op4_chat_snapshots": OP4_SQL,
     "op5_repetition_rules": OP5_SQL,
+    "op11_lexical_search": OP11_SQL,
     "op12_warc": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }
