@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "pages", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
