@@ -54,14 +54,14 @@ def chi2_sf(x: Column, df: Column) -> Column:
 PRIME = 2_147_483_647
 
 
-def permutation_keys(n: int, seed: int, perms: np.ndarray) -> np.ndarray:
+def permutation_keys(n: int, seed: int, perms: np.ndarray, cells: np.ndarray | None = None) -> np.ndarray:
     """A number under ``PRIME`` for each permutation (row) and cell (column); cells stand in its order, equal ones by their own.
 
-    Whole-number arithmetic only, so that SQL gives the same.
+    Of the first ``n`` cells, or of those in ``cells``.  Whole-number arithmetic only, so that SQL gives the same.
     """
-    i, r = np.arange(n, dtype=np.int64)[None, :], np.asarray(perms, np.int64)[:, None]
+    i, r = (np.arange(n, dtype=np.int64) if cells is None else cells)[None, :], np.asarray(perms, np.int64)[:, None]
     a = (seed * 48_271 + r * 1_566_083_941 + 1) % PRIME
-    x = (i * 1_103_515_245 + a) % PRIME
+    x = (i % PRIME * 1_103_515_245 + a) % PRIME
     x = (x * x + a) % PRIME
     x = (x * 69_621 + r + i) % PRIME
     x = (x * x + a) % PRIME

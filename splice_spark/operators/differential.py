@@ -2,25 +2,24 @@
 
 For each (level 1, gene, score) the medians of the level-2 groups are compared
 by a chi-square statistic with adjusted variances; permutations follow where it
-is significant.  Groups are counted and summed by Spark; the permutation kernel
-gets one test at a time, and a test of many cells once for each share of its
-permutations, so that it spreads over tasks.  A permutation is a rule (see
-``stats.permutation_keys``), so it is the same on every run and in any engine.
-A task holds the cells of one test, 24 bytes each.
+is significant.  Groups are counted and summed by Spark.  A permutation is a rule
+(see ``stats.permutation_keys``), so it is the same on every run and in any
+engine, however cells are dealt over tasks.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import lookup
 from splice_spark.functions.lineage import cut
+from splice_spark.functions.ordering import adjusted_by_rank
+from splice_spark.functions.quantiles import MOST, grouped_medians
 from splice_spark.functions.stats import chi2_sf, permuted_statistics
+from splice_spark.operators.permutation import permuted_tests
 
 SCORES = ("scZ", "svd_z0", "svd_z1", "svd_z2")
 TEST = ["level_1", "gene", "z_col"]
@@ -43,10 +42,15 @@ def melt_scores(cells: DataFrame) -> DataFrame:
     return cells.unpivot(["cell", "gene", "level_1", "level_2"], [F.col(c).cast("double").alias(c) for c in SCORES], "z_col", "z").withColumn("z", F.nanvl("z", F.lit(None).cast("double")))
 
 
-def group_stats(melted: DataFrame, var_add: float = 0.1) -> DataFrame:
-    """Per test and level-2 group: ``cells, ont_median, ont_var`` (sample variance, plus ``var_add``; null for one value)."""
+def group_stats(melted: DataFrame, var_add: float = 0.1, most: int = MOST) -> DataFrame:
+    """Per test and level-2 group: ``cells, ont_median, ont_var`` (sample variance, plus ``var_add``; null for one value).
+
+    Medians of groups of more than ``most`` cells are selected without a task that has the group.
+    """
+    keys = [*TEST, "level_2"]
     var = F.when(F.count("z") > 1, F.var_samp("z")) + var_add
-    return melted.groupBy(*TEST, "level_2").agg(F.count_distinct("cell").alias("cells"), F.median("z").alias("ont_median"), var.alias("ont_var"))
+    out = grouped_medians(melted, keys, ["z"], F.count_distinct("cell").alias("cells"), var.alias("ont_var"), most=most)
+    return out.select(*keys, "cells", F.col("z_median").alias("ont_median"), "ont_var")
 
 
 def wald_stat(stats: DataFrame) -> DataFrame:
@@ -70,39 +74,46 @@ def with_pvals(tests: DataFrame) -> DataFrame:
 
 #: A permuted statistic counts as below the observed one if it is by more than this share, so that equal ones, whose last digits follow the order of sums, never do.
 TIE = 1e-9
-#: Cells times permutations of one task.
-PER_TASK = 20_000_000
+#: Cells of a test that one task permutes; larger tests are taken apart.
+TEST_ROWS = 100_000
 
 
-def seed_of(key: tuple, seed: int) -> int:
+def seed_column(seed: int) -> F.Column:
     """The first 28 bits of the MD5 of a test's names and the seed."""
-    return int(hashlib.md5("|".join(["" if k is None else str(k) for k in key] + [str(seed)]).encode()).hexdigest()[:7], 16)
+    names = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TEST], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(names), 1, 7), 16, 10).cast("long")
 
 
-def _kernel(n_perms: int, seed: int, var_add: float):
-    def run(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        t, part, parts = cells["Tn1"].iloc[0], int(cells["part"].iloc[0]), int(cells["parts"].iloc[0])
-        cells = cells.sort_values(["level_2", "cell"])
-        sizes = cells.groupby("level_2", sort=True).size().to_numpy()
-        found = permuted_statistics(cells["z"].to_numpy(float), sizes, var_add, seed_of(key[:3], seed), np.arange(part, n_perms, parts))
-        return pd.DataFrame([[*key[:3], int((found < t * (1 - TIE)).sum())]], columns=[*TEST, "below"])
+def _kernel(n_perms: int, var_add: float):
+    def run(key: tuple, cells: pa.Table) -> pa.Table:
+        i = np.argsort(cells.column("i").to_numpy())
+        sizes = np.bincount(cells.column("g").to_numpy()[i])[1:]
+        found = permuted_statistics(cells.column("z").to_numpy()[i], sizes, var_add, cells.column("seed")[0].as_py(), np.arange(n_perms))
+        return pa.table([pa.array([key[0].as_py()] * n_perms, pa.int64()), pa.array(np.arange(n_perms)), pa.array(found)], names=["t", "perm", "statistic"])
 
     return run
 
 
-def permute(melted: DataFrame, tests: DataFrame, n_perms: int = 100, alpha: float = 0.05, seed: int = 123, var_add: float = 0.1, per_task: int = PER_TASK) -> DataFrame:
+def permute(melted: DataFrame, tests: DataFrame, n_perms: int = 100, alpha: float = 0.05, seed: int = 123, var_add: float = 0.1, test_rows: int = TEST_ROWS) -> DataFrame:
     """Tests with ``perm_pval``, the share of permuted statistics below the observed one where ``pval`` is under ``alpha``, and two-sided ``perm_pval2``.
 
-    The permutations depend on the test and their numbers only, however they are dealt over tasks.
+    The permutations depend on the test and their numbers only.  A test of ``test_rows`` cells or fewer is permuted by one task, which gets four
+    numbers a cell; the cells of larger tests stay spread (``permuted_tests``).
     """
     valued = melted.filter("z is not null and level_2 is not null")
     chosen = tests.filter(F.col("pval") < alpha).select(*TEST, "Tn1")
-    parts = F.least(F.lit(n_perms), F.ceil(F.col("n") * n_perms / per_task)).cast("int")
-    sized = lookup(valued.groupBy(*TEST).agg(F.count("*").alias("n")), chosen, TEST).select(*TEST, "Tn1", parts.alias("parts"))
-    cells = lookup(valued.select(*TEST, "cell", "level_2", "z"), sized, TEST)
-    cells = cells.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    below = cells.groupBy(*TEST, "part").applyInPandas(_kernel(n_perms, seed, var_add), "level_1 string, gene string, z_col string, below long")
-    share = below.groupBy(*TEST).agg((F.sum("below") / F.lit(float(n_perms))).alias("perm_pval"))
+    sized = lookup(valued.groupBy(*TEST).agg(F.count("*").alias("n")), chosen, TEST)
+    sized = cut(sized.withColumns({"t": F.monotonically_increasing_id(), "seed": seed_column(seed)}))
+    small = lookup(valued.select(*TEST, "cell", "level_2", "z"), sized.filter(F.col("n") <= test_rows).select(*TEST, "t", "seed"), TEST)
+    place = Window.partitionBy("t").orderBy("level_2", "cell")
+    coded = small.select("t", "seed", "z", F.row_number().over(place).alias("i"), F.dense_rank().over(Window.partitionBy("t").orderBy("level_2")).alias("g"))
+    statistics = coded.groupBy("t").applyInArrow(_kernel(n_perms, var_add), "t long, perm long, statistic double")
+    large = cut(sized.filter(F.col("n") > test_rows))
+    if not large.isEmpty():
+        cells = lookup(valued.select(*TEST, "cell", "level_2", "z"), large.select(*TEST, "t"), TEST)
+        statistics = statistics.unionByName(permuted_tests(cells, large, n_perms, var_add))
+    below = lookup(statistics, sized.select("t", "Tn1"), ["t"]).groupBy("t").agg(F.count_if(F.col("statistic") < F.col("Tn1") * (1 - TIE)).alias("below"))
+    share = sized.join(below, "t").select(*TEST, (F.col("below") / F.lit(float(n_perms))).alias("perm_pval"))
     out = tests.join(share, TEST, "left")
     return out.withColumn("perm_pval2", 2 * F.least("perm_pval", 1 - F.col("perm_pval")))
 
@@ -110,16 +121,10 @@ def permute(melted: DataFrame, tests: DataFrame, n_perms: int = 100, alpha: floa
 def bh_adjust(tests: DataFrame, name: str, out: str) -> DataFrame:
     """Benjamini-Hochberg over all non-null values of ``name``.
 
-    Equal values share an adjusted value, so the global order is taken over
-    distinct values with their counts: a table of at most one row a test.
+    Equal values share an adjusted value, so the order is taken over distinct values with their counts, dealt over range partitions.
     """
     values = tests.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
-    up = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.orderBy(F.col(name).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    total = values.agg(F.sum("n").alias("m"))
-    ranked = values.withColumn("rank", F.sum("n").over(up)).crossJoin(F.broadcast(total))  # one row
-    adjusted = ranked.withColumn(out, F.least(F.lit(1.0), F.min(F.col(name) * F.col("m") / F.col("rank")).over(down)))
-    return tests.join(adjusted.select(name, out), name, "left")
+    return lookup(tests, adjusted_by_rank(values, name, "n", out), [name], "left")
 
 
 def widen(tests: DataFrame, fractions: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import lookup
+from splice_spark.functions.quantiles import grouped_medians
 from splice_spark.operators.differential import SCORES
 
 
@@ -37,7 +38,9 @@ def site_list(sites: DataFrame) -> DataFrame:
 def summarise(scores: DataFrame, pvals: DataFrame, sites: DataFrame, level_1: str, level_2: str) -> DataFrame:
     """Medians of each score by gene and both levels, sites, and adjusted p-values: those of the level-1 group, or else those without a level-1 label."""
     l1 = F.lit("null") if level_1 == "dummy" else F.col(level_1).cast("string")
-    medians = scores.groupBy("gene", l1.alias("level_1"), F.col(level_2).cast("string").alias("level_2")).agg(*[F.median(z).alias(f"{z}_median") for z in SCORES], F.count("*").alias("n_cells"))
+    keys = ["gene", "level_1", "level_2"]
+    labelled = scores.select("gene", l1.alias("level_1"), F.col(level_2).cast("string").alias("level_2"), *SCORES)
+    medians = grouped_medians(labelled, keys, list(SCORES), F.count("*").alias("n_cells"))
     p = pvals.select("gene", "level_1", *[F.col(f"perm_pval_adj_{z}").alias(f"{z}_pval") for z in SCORES])
     row = F.struct(*[f"{z}_pval" for z in SCORES])
     own = p.filter("level_1 is not null").groupBy("gene", "level_1").agg(F.min(row).alias("own"))
