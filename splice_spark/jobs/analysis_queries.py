@@ -35,13 +35,12 @@ def svd_total_energy(spark, sf_dir):
 
 
 def loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = values(spark, sf_dir)
-    return svd.gene_components(svd.gene_gram(v), svd.sites(v))
+    return svd.gene_components(values(spark, sf_dir), all_components=True)
 
 
 def gene_components(spark, sf_dir):
-    """The first three; the others are in ``svd_spectrum``."""
-    return loadings(spark, sf_dir).filter("component < 3").select("gene", F.col("component").cast("long").alias("component"), "let", "pos", *r6("loading", "f"))
+    """The first three, as the job makes them; the others are in ``svd_spectrum``."""
+    return svd.gene_components(values(spark, sf_dir)).select("gene", F.col("component").cast("long").alias("component"), "let", "pos", *r6("loading", "f"))
 
 
 def svd_spectrum(spark, sf_dir):
@@ -55,7 +54,7 @@ def scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Scores of cells and genes with components, and loadings."""
     rows = merged(spark, sf_dir)
     v = cut(svd.site_values(rows))
-    load = cut(svd.gene_components(svd.gene_gram(v), svd.sites(v)))
+    load = cut(svd.gene_components(v))
     return cut(svd.add_svd(score.cell_gene_scores(rows, [L1, L2]), v, load)), load
 
 

@@ -60,7 +60,7 @@ def score_job(junctions: DataFrame, params: Params) -> tuple[DataFrame, DataFram
     rows = score.contributions(rows, params.level_1, params.level_2)
     rows = cut(rows)
     values = cut(svd.site_values(rows, params.svd_type))
-    loadings = cut(svd.gene_components(svd.gene_gram(values), svd.sites(values)))
+    loadings = cut(svd.gene_components(values))
     known = {*tables.REQUIRED, "called", "gene", "juncStart", "juncEnd", "dummy"}
     carried = [*levels, "ontology", *[c for c in normal.columns if c not in known and c not in levels]]
     return svd.add_svd(score.cell_gene_scores(rows, carried), values, loadings), rows, loadings

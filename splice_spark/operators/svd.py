@@ -2,7 +2,8 @@
 
 Contributions stay in long form.  The Gram matrix of the sites is a sum over
 cells of products of the few sites a cell has in the gene, so it is a Spark
-aggregate with partial sums; only a sites x sites matrix a gene goes to numpy.
+aggregate with partial sums; only a sites x sites matrix a gene goes to numpy,
+and none for genes of many sites, whose first components are found by iteration.
 With C = I - 11'/p, C (M'M) C is the Gram matrix of the row-centred M.
 """
 
@@ -14,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import lookup
+from splice_spark.functions.lineage import cut
 from splice_spark.operators.score import SIDES
+from splice_spark.operators.subspace import top_components
 
 TYPES = ("normdonor", "normgene")
 LOADINGS = "gene string, component int, let string, pos long, loading double, centred double, f double"
@@ -60,8 +63,8 @@ def total_energy(gram: DataFrame, where: DataFrame) -> DataFrame:
     return p.join(sums, "gene", "left").select("gene", F.coalesce(F.col("t") - F.col("a") / F.col("p"), F.lit(0.0)).alias("energy"))
 
 
-def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int) -> pd.DataFrame:
-    """All right singular vectors of one gene, as many as it has cells or sites, and their share of the energy; nothing if it has fewer than ``k``.
+def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int, all_components: bool = False) -> pd.DataFrame:
+    """The first ``k`` right singular vectors of one gene, or as many as it has cells or sites, and their share of the energy; nothing if it has fewer than ``k``.
 
     The loading of largest size is positive (the first site of several).
     """
@@ -69,7 +72,9 @@ def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int) -> pd.DataFra
     p = len(where)
     n = min(p, int(where["n_cells"].iloc[0])) if p else 0
     if n < k or not n:
-        return pd.DataFrame({c.split()[0]: [] for c in LOADINGS.split(", ")})
+        kinds = {"string": object, "int": "int32", "long": "int64", "double": "float64"}
+        return pd.DataFrame({name: pd.Series([], dtype=kinds[kind]) for name, kind in (c.split() for c in LOADINGS.split(", "))})
+    n = n if all_components else k
     index = {key: i for i, key in enumerate(zip(where["let"], where["pos"], strict=True))}
     m = np.zeros((p, p))
     i = [index[key] for key in zip(gram["let_i"], gram["pos_i"], strict=True)]
@@ -87,15 +92,30 @@ def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int) -> pd.DataFra
     return pd.DataFrame({**each, "component": np.repeat(np.arange(n), p), "loading": vectors.T.ravel(), "centred": (vectors - vectors.mean(axis=0)).T.ravel(), "f": np.repeat(share, p)})[[c.split()[0] for c in LOADINGS.split(", ")]]
 
 
-def gene_components(gram: DataFrame, where: DataFrame, k: int = 3) -> DataFrame:
-    """``gene, component, let, pos, loading, centred, f``: all components of all genes with ``k`` cells and ``k`` sites or more."""
+#: Sites of a gene whose matrix one task may hold: 8 MB of numbers, and its Gram matrix in rows.
+DIRECT_SITES = 1_000
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return components_of(a, b, k)
 
-    where = where.select(*[F.col(c).alias(c) for c in where.columns])  # both sides may come from one frame
-    gram = gram.select(*[F.col(c).alias(c) for c in gram.columns])
-    out = where.groupBy("gene").cogroup(gram.groupBy("gene")).applyInPandas(run, LOADINGS)
+def gene_components(values: DataFrame, k: int = 3, all_components: bool = False, direct_sites: int = DIRECT_SITES) -> DataFrame:
+    """``gene, component, let, pos, loading, centred, f``: the first ``k`` components of all genes with ``k`` cells and ``k`` sites or more.
+
+    Genes of ``direct_sites`` or fewer are solved from their Gram matrix, larger ones by iteration over their cells (``splice_spark.operators.subspace``).
+    ``all_components`` solves every gene from its matrix, in one task that has sites x sites numbers, and gives as many rows.  ``values`` is a written table.
+    """
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return components_of(a, b, k, all_components)
+
+    where = cut(sites(values))
+    large = cut(where.groupBy("gene").agg(F.count("*").alias("p"), F.first("n_cells").alias("n_cells")).filter(F.col("p") > direct_sites).filter(F.col("n_cells") >= k))
+    small_values, small_where = values, where
+    if split := not (all_components or large.isEmpty()):
+        marks = large.select("gene", F.lit(True).alias("large"))
+        small_values, small_where = (lookup(x, marks, ["gene"], "left").filter("large is null").drop("large") for x in (values, where))
+    gram = gene_gram(small_values)
+    out = small_where.groupBy("gene").cogroup(gram.groupBy("gene")).applyInPandas(run, LOADINGS)
+    if split:
+        out = out.unionByName(top_components(values, where, large, k))
     return out.withColumn("f", F.nanvl("f", F.lit(None).cast("double")))
 
 

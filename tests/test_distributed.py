@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from splice_spark.functions import ordering, stats
 from splice_spark.functions.quantiles import grouped_medians
-from splice_spark.operators import differential, permutation
+from splice_spark.operators import differential, permutation, svd
 
 
 def plan(df):
@@ -80,3 +80,23 @@ def test_permuted_statistics_from_parts(spark):
     assert len(got) == 3 * 23
     for t, each in want.items():
         assert [got[t, p] for p in range(23)] == pytest.approx(list(each), nan_ok=True)
+
+
+def test_components_of_many_sites(spark):
+    """Genes above the size are iterated: projections and shares are those of the matrix, for close values, few cells and sites without reads too."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for gene, p, n in (("big", 60, 100), ("flat", 24, 60), ("few", 45, 4), ("small", 12, 30), ("none", 50, 2)):
+        m = rng.normal(size=(n, 6)) @ rng.normal(size=(6, p)) * (gene == "big") + rng.normal(size=(n, p)) * (0.3 if gene == "big" else 1.0)
+        m[:, 7] = 0.0
+        keep = rng.random((n, p)) < 0.7
+        keep[0] = True
+        rows += [(gene, f"c{i}", "AB"[j % 2], j * 10, float(m[i, j])) for i in range(n) for j in range(p) if keep[i, j]]
+    values = spark.createDataFrame(rows, "gene string, cell string, let string, pos long, value double").repartition(4)
+    whole, iterated = (svd.gene_components(values, direct_sites=d).toPandas() for d in (1000, 20))
+    assert set(iterated.gene) == set(whole.gene) == {"big", "flat", "few", "small"}
+    both = whole.merge(iterated, on=["gene", "component", "let", "pos"], suffixes=("", "_i"))
+    assert len(both) == len(whole) == len(iterated)
+    assert both.loading_i.to_numpy() == pytest.approx(both.loading.to_numpy(), abs=1e-7)
+    assert both.centred_i.to_numpy() == pytest.approx(both.centred.to_numpy(), abs=1e-7)
+    assert both.f_i.to_numpy() == pytest.approx(both.f.to_numpy(), abs=1e-10)

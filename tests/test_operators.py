@@ -108,8 +108,7 @@ def test_lookup_is_a_join(spark, how):
 
 def test_components_are_those_of_the_dense_matrix(rows):
     values = svd.site_values(rows)
-    gram, where = svd.gene_gram(values), svd.sites(values)
-    load = svd.gene_components(gram, where)
+    load = svd.gene_components(values, all_components=True)
     assert load.groupBy("gene").agg(F.max("component").alias("c")).filter("c > 2").count() > 0  # all components, not the first three
     scores, shares = svd.svd_scores(values, load).toPandas(), svd.fractions(load).toPandas().set_index("gene")
     long = values.toPandas()
