@@ -17,13 +17,13 @@ near a word of saying, it counts as quoted.  Counts and rates of direct, stem,
 misspelt and quoted hits go into a ridge logistic regression.
 
 The lexicon and the regression are fitted on at most ``sample`` labelled rows a
-class (those with the least hash of the id), outside the held-out fifth (crc32
-of doc_id as text, modulo 5, is 0).  All texts are scored whole, in one pass
+class (``labelled_sample``), outside the held-out fifth (crc32 of doc_id as text,
+modulo 5, is 0).  All texts are scored whole, in one pass
 without a shuffle.
 
 Nulls and edges: a null text is an empty one and has a score; each row gives a
-row, an empty table none; words of any length are looked up; several labels of a
-doc_id all count; without toxic rows the seed list and fixed weights serve.
+row, an empty table none; words of any length are looked up; several different labels of a
+doc_id all count, repeated rows once; without toxic rows the seed list and fixed weights serve.
 """
 
 from __future__ import annotations
@@ -163,6 +163,8 @@ def _without_hits(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _Kinds(lexicon)
         for batch in batches:
+            if len(kinds) > _CACHE:
+                kinds.clear()
             texts = batch.column(0).to_pylist()
             yield batch.filter(pa.array([not any(map(kinds.__getitem__, (t or "").encode().split())) for t in texts], pa.bool_()))
 
@@ -192,8 +194,8 @@ def levels(strongest: float, evidence: tuple[float, ...] = (150.0, 60.0, 20.0))
     return [*reversed(first), *evidence[1:]]
 
 
-def learn_lexicon(sampled: DataFrame, least: int = 3, purity: float = 0.97) -> Lexicon:
-    """From ``text, label`` (0 or 1): entries of ``least`` toxic texts or more whose odds in toxic texts are ``purity`` or more, by likelihood ratios against even odds (``levels``).  Copies count once."""
+def learn_lexicon(sampled: DataFrame, least: int = 3, purity: float = 0.97, toxic_per_clean: int = 8) -> Lexicon:
+    """From ``text, label`` (0 or 1): entries of ``least`` toxic texts or more whose odds in toxic texts are ``purity`` or more, and of at most one clean text for each ``toxic_per_clean``, by likelihood ratios against even odds (``levels``).  Copies count once."""
     texts = cut(sampled.select("text", "label").distinct())
     size = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
@@ -210,7 +212,7 @@ def learn_lexicon(sampled: DataFrame, least: int = 3, purity: float = 0.97) -> L
     while rounds is None or rounds:
         toxic = cut(toxic.mapInArrow(trimmed(_without_hits(lexicon)), "text string"))
         counts = count(toxic, "toxic").filter(F.col("toxic") >= least).join(clean, "entry", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
-        proved = counts.filter((p1 / (p1 + p0) >= purity) & (F.col("clean") * 20 <= F.col("toxic"))).select("entry", "toxic", ratio.alias("ratio"))
+        proved = counts.filter((p1 / (p1 + p0) >= purity) & (F.col("clean") * toxic_per_clean <= F.col("toxic"))).select("entry", "toxic", ratio.alias("ratio"))
         rows = proved.filter(F.col("ratio") >= levels(0)[-1]).collect()  # what ``2 * sample`` texts can prove
         if not rows:
             break
@@ -268,12 +270,24 @@ def _score(lexicon: Lexicon, weights: Weights | None):
     return run
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
+    """``text, label`` of at most ``sample`` rows a class, however often an id stands in ``docs`` or ``labels``.
+
+    First the ``sample`` ids of least hash, then, of the rows they have, those of least hash of id and text; rows equal in id, text and label count once.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(~held_out(parts=5, part=0)).distinct()
+    some = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
+    met = cut(docs.join(F.broadcast(some[0].unionByName(some[1])), "doc_id").select(F.xxhash64("doc_id", "text").alias("key"), "label", "text"))
+    keys = met.select("label", "key").distinct()
+    kept = [keys.filter(F.col("label") == k).orderBy("key").limit(sample) for k in (0, 1)]
+    rows = met.join(F.broadcast(kept[0].unionByName(kept[1])), ["label", "key"])  # at most 2 * sample keys
+    return rows.groupBy("label", "key").agg(F.min("text").alias("text")).select("text", "label")
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 20_000) -> DataFrame:
     """``doc_id, held_out, score, predicted, hits array<struct<word,kind,quoted>>`` of each row of ``docs``."""
     docs = id_text(docs)
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(~held_out(parts=5, part=0))
-    some = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
-    sampled = cut(docs.join(F.broadcast(some[0].unionByName(some[1])), "doc_id").select("text", "label"))  # at most 2 * sample labels
+    sampled = cut(labelled_sample(docs, labels, label, sample))
     lexicon = learn_lexicon(sampled)
     rows = sampled.select(F.col("label").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(_score(lexicon, None)), "label long, x array<double>").collect()
     x = np.array([r["x"] for r in rows], np.float64).reshape(-1, len(FEATURES))
