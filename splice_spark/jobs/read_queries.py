@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from splice_spark.functions import cigar
 from splice_spark.jobs.score_queries import io_folder, r6
 from splice_spark.operators import annotate, counts, gene_repair, genes, reads
-from splice_spark.sources import fixtures, tables
+from splice_spark.sources import bam, fixtures, tables
 
 
 def cigar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +199,19 @@ def io_samples(spark, sf_dir):
     return out.select("sample_id", F.col("mate").cast("long").alias("mate"), "qname", F.col("flag").cast("long").alias("flag"), "rname", "pos", "cigar", "seq", *[c for c in SAM_TAGS if c != "as_score"], F.col("as_score").cast("long").alias("as_score"))
 
 
+def io_bam(spark, sf_dir):
+    """The same reads as BAM files of three samples, read in parts of 256 kB by a sample sheet."""
+    folder = io_folder(spark)
+    aligned = fixtures.reads(spark, sf_dir).withColumn("as_score", F.col("as_score").cast("int"))
+    sheet = []
+    for name in ("S0", "S1", "S2"):
+        bam.write_bam(aligned.filter(F.col("sample_id") == name), f"{folder}/{name}", [(c, 1 << 29) for c in "123"])
+        sheet += [(f"{name}, {path}",) for path, _ in bam.files_of(f"{folder}/{name}")]
+    spark.createDataFrame(sheet, "value string").write.text(f"{folder}/sheet.csv")
+    out = tables.read_samples(spark, tables.read_samplesheet(spark, f"{folder}/sheet.csv", "10X"), split_bytes=1 << 18)
+    return out.select("sample_id", F.col("mate").cast("long").alias("mate"), "qname", F.col("flag").cast("long").alias("flag"), "rname", "pos", "cigar", "seq", *[c for c in SAM_TAGS if c != "as_score"], F.col("as_score").cast("long").alias("as_score"))
+
+
 def io_gtf(spark, sf_dir):
     """An annotation file with a comment; genes' places in it by sequence."""
     path = f"{io_folder(spark)}/genes.gtf"
@@ -215,11 +228,8 @@ def io_meta(spark, sf_dir):
     return tables.read_meta(spark, path).select("cell_id", "tissue", "compartment", "called")
 
 
-QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, junction_table, attach_meta, annotate_exons, annotate_splices, weird_genes, gene_repair_stranded, unspliced_names, cell_ids, io_tsv_roundtrip, io_by_chromosome, io_convert, io_samples, io_gtf, io_meta)}
+QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, junction_table, attach_meta, annotate_exons, annotate_splices, weird_genes, gene_repair_stranded, unspliced_names, cell_ids, io_tsv_roundtrip, io_by_chromosome, io_convert, io_samples, io_bam, io_gtf, io_meta)}
 QUERIES["gene_repair"] = gene_repair_names
-#: Queries that are registered under a second name too.
-WHOLE = ("gene_repair", "weird_genes", "gene_intervals", "gene_strands", "genes_at_locus", "genes_at_locus_stranded", "spliced_junctions")
-QUERIES |= {f"{name}_whole": QUERIES[name] for name in WHOLE}
 
 # SQL
 
@@ -364,5 +374,4 @@ SELECT id, un.chr || ':' || gene || ':' || strand AS refName_ABR1, un.pos AS jun
     "io_meta": f"WITH {_J} SELECT DISTINCT cell AS cell_id, tissue, compartment, '2' AS called FROM j WHERE cell NOT LIKE '%7'",
     "io_by_chromosome": f"WITH {_J} SELECT cell, refName_newR1, numReads, chrR1A FROM j WHERE called = 1",
 }
-
-ORACLE_SQL |= {f"{name}_whole": ORACLE_SQL[name] for name in WHOLE}
+ORACLE_SQL["io_bam"] = ORACLE_SQL["io_samples"]

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from splice_spark.sources.bam import SPLIT_BYTES, read_bam
+
 JUNCTION_SCHEMA = (
     "cell string, refName_newR1 string, geneR1A_uniq string, geneR1B_uniq string, juncPosR1A long, juncPosR1B long, "
     "chrR1A string, chrR1B string, numReads long, splice_ann boolean, called int"
@@ -81,23 +83,28 @@ def _name(path: F.Column) -> F.Column:
     return F.array_join(F.slice(F.split(F.regexp_replace(path, "/+$", ""), "/"), -2, 2), "/")
 
 
-def read_samples(spark: SparkSession, sheet: DataFrame) -> DataFrame:
+def _kind(path: str) -> str:
+    end = path.rstrip("/").rpartition(".")[2]
+    return {"pq": "parquet", "parquet": "parquet", "bam": "bam"}.get(end, "sam")
+
+
+def read_samples(spark: SparkSession, sheet: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Alignments of all files of a sample sheet with ``sample_id`` and ``mate``: one scan, whose rows take them from the sheet by their file.
 
-    Files are all Parquet or all SAM text, and differ in name or folder.  A file that two rows name gives its records to both.
+    Files are all Parquet, all BAM or all SAM text, and differ in name or folder.  A file that two rows name gives its records to both.
     """
     files = [r["path"] for r in sheet.select("path").distinct().collect()]  # a line for each file of a run
     if not files:
         raise ValueError("the sample sheet is empty")
-    whole = [p.rstrip("/").endswith((".pq", ".parquet")) for p in files]
-    if any(whole) and not all(whole):
-        raise ValueError("Parquet and SAM text can't be read in one sheet")
+    kinds = {_kind(p) for p in files}
+    if len(kinds) > 1:
+        raise ValueError(f"files of one sheet must be of one kind, not {', '.join(sorted(kinds))}")
     if len({"/".join(p.rstrip("/").split("/")[-2:]) for p in files}) < len(files):
         raise ValueError("two files of the sheet have the same folder and name")
     # a Parquet path may be a folder of part files
-    path = F.col("_metadata.file_path")
-    at = F.regexp_replace(path, "/[^/]*$", "") if all(whole) else path
-    out = read_alignments(spark, *files, keep={"__file": _name(at)})
+    path = F.col("path") if kinds == {"bam"} else F.col("_metadata.file_path")
+    at = F.regexp_replace(path, "/[^/]*$", "") if kinds == {"parquet"} else path
+    out = read_alignments(spark, *files, keep={"__file": _name(at)}, split_bytes=split_bytes)
     known = sheet.select(_name(F.col("path")).alias("__file"), "sample_id", "mate")
     return out.join(F.broadcast(known), "__file").drop("__file")
 
@@ -112,10 +119,12 @@ def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", comment="#", schema=GTF_SCHEMA, quote="").withColumn("line", F.monotonically_increasing_id())
 
 
-def read_alignments(spark: SparkSession, *paths: str, keep: dict[str, F.Column] | None = None) -> DataFrame:
-    """Alignment records from Parquet, or from SAM text: fixed fields, and tags as columns; ``keep`` adds columns of the scan, such as file names."""
-    keep = keep or {}
-    if all(p.rstrip("/").endswith((".pq", ".parquet")) for p in paths):
+def read_alignments(spark: SparkSession, *paths: str, keep: dict[str, F.Column] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Alignment records from Parquet, from BAM or from SAM text: fixed fields, and tags as columns; ``keep`` adds columns of the scan, such as file names."""
+    keep, kinds = keep or {}, {_kind(p) for p in paths}
+    if kinds == {"bam"}:
+        return read_bam(spark, *paths, split_bytes=split_bytes).withColumns(keep).drop("path")
+    if kinds == {"parquet"}:
         return spark.read.parquet(*paths).withColumns(keep) if keep else spark.read.parquet(*paths)
     field = F.split("value", "\t")
     rest = F.slice(field, F.lit(12), F.greatest(F.size(field) - 11, F.lit(0)))
