@@ -1,4 +1,4 @@
-"""Joins of cell rows with tables of one row a key, whose hot keys stay where the rows are."""
+"""Joins of cell rows with tables of one row a key, whose hot keys are dealt over tasks."""
 
 from __future__ import annotations
 
@@ -9,8 +9,10 @@ from splice_spark.functions.lineage import cut
 
 #: Broadcast up to so many bytes, reckoned at 8 a number and 40 a string.
 BROADCAST_BYTES = 64 << 20
-#: A key with one in so many rows, or more, is hot; there are as many hot keys at most.
-SHARE = 256
+#: A key with one in so many rows, or more, is hot: there are as many hot keys at most, and each is dealt over ``SALTS`` tasks.
+SHARE, SALTS = 256, 64
+#: Counters of the sketch that finds hot keys; it misses none with more than a few of this share of the rows.
+COUNTERS = 4096
 
 
 def reckoned_bytes(table: DataFrame) -> int:
@@ -18,17 +20,30 @@ def reckoned_bytes(table: DataFrame) -> int:
     return table.count() * each
 
 
+def hot_hashes(rows: DataFrame, keys: list[str], share: int = SHARE) -> list[int]:
+    """Hashes of the keys that one in ``share`` rows or more have: from one pass over the key columns, by a sketch of counters that tasks merge.
+
+    Null keys count too.
+    """
+    hashes = rows.select(F.xxhash64(*keys).alias("h"))
+    found, n = hashes.agg(F.expr(f"approx_top_k(h, {share}, {COUNTERS})"), F.count("*")).first()
+    return sorted(x["item"] for x in found or [] if x["count"] * share >= n)
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``rows`` joined with ``table``, which has one row a key; ``how`` is inner or left.
 
-    The table is written first.  If it is small, by its counted rows, it is broadcast; else the hot keys of ``rows`` are
-    counted and their rows joined by broadcast too, so that only rows of the other keys are shuffled.
+    The table is written first.  If it is small, by its counted rows, it is broadcast.  Else both sides are shuffled, once; rows of hot keys
+    are dealt over ``SALTS`` tasks by a hash of the whole row, to each of which the table's row of that key is sent.
     """
     table = cut(table)
     if reckoned_bytes(table) <= most_bytes:
         return rows.join(F.broadcast(table), keys, how)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n__"))
-    total = counts.agg(F.sum("n__")).first()[0] or 0
-    hot = F.broadcast(cut(counts.filter(F.col("n__") * SHARE >= total).select(*keys)))
-    here = rows.join(hot, keys, "left_semi").join(F.broadcast(table.join(hot, keys, "left_semi")), keys, how)
-    return here.unionByName(rows.join(hot, keys, "left_anti").join(table, keys, how))
+    hot = hot_hashes(rows, keys)
+    if not hot:
+        return rows.join(table, keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    spread = [c for c, kind in rows.dtypes if "map<" not in kind]
+    salted = rows.withColumn("salt__", F.when(is_hot, F.pmod(F.xxhash64(F.lit(1), *spread), F.lit(SALTS))).otherwise(0).cast("int"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(table.withColumn("salt__", F.explode(copies)), [*keys, "salt__"], how).drop("salt__")

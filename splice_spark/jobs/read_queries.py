@@ -102,7 +102,18 @@ def dedup_umis(spark, sf_dir):
 
 
 def umi_counts(spark, sf_dir):
-    return counts.count_junctions(_named(spark, sf_dir)).select("sample_id", "barcode", "refName_ABR1", "numReads", "id")
+    return counts.count_junctions(_named(spark, sf_dir))
+
+
+def first_read_counts(spark, sf_dir):
+    return counts.count_first_reads(_named(spark, sf_dir)).select("sample_id", "barcode", "refName_ABR1", "numReads", "id")
+
+
+def ss2_counts(spark, sf_dir):
+    """Without barcodes and UMIs: a cell is named by its first read."""
+    none = F.lit(None).cast("string")
+    named = _named(spark, sf_dir).withColumns({"barcode": none, "UMI": none, "id": F.concat("id", F.lit(".1"))})
+    return counts.junction_table(named, "SS2").select("refName_newR1", "geneR1A_uniq", "juncPosR1B", "numReads", "cell_id")
 
 
 def junction_table(spark, sf_dir):
@@ -119,15 +130,23 @@ def attach_meta(spark, sf_dir):
     return counts.attach_meta(table, _meta(spark, sf_dir)).select("cell", "refName_newR1", "numReads", "tissue", "compartment", "called")
 
 
+def exon_bounds(spark, sf_dir):
+    return annotate.exon_bounds(fixtures.annotation(spark, sf_dir))
+
+
+def known_splices(spark, sf_dir):
+    return annotate.known_splices(fixtures.annotation(spark, sf_dir))
+
+
 def annotate_exons(spark, sf_dir):
-    j = fixtures.junctions(spark, sf_dir).drop("splice_ann")
-    bounds = j.filter("juncPosR1A % 200000 <> 3000").select(F.col("chrR1A").alias("chr"), F.col("juncPosR1A").alias("pos")).union(j.filter("juncPosR1B % 200000 <> 103000").select("chrR1A", "juncPosR1B"))
-    return annotate.annotate_exons(j, bounds).select("cell", "refName_newR1", "exon_annR1A", "exon_annR1B", "both_ann")
+    """Bounds from the annotation; second ends on another chromosome are looked up on the first end's too."""
+    j = fixtures.junctions(spark, sf_dir).drop("splice_ann").withColumn("chrR1B", F.when(F.col("juncPosR1B") % 7000 == 0, "chr9").otherwise(F.col("chrR1A")))
+    return annotate.annotate_exons(j, annotate.exon_bounds(fixtures.annotation(spark, sf_dir))).select("cell", "refName_newR1", "exon_annR1A", "exon_annR1B", "both_ann")
 
 
 def annotate_splices(spark, sf_dir):
-    j = fixtures.junctions(spark, sf_dir)
-    known = j.filter("splice_ann").select(F.col("chrR1A").alias("chr"), F.least("juncPosR1A", "juncPosR1B").alias("lo"), F.greatest("juncPosR1A", "juncPosR1B").alias("hi"))
+    """Junctions from the annotation's transcripts; ends may stand in either order."""
+    j, known = fixtures.junctions(spark, sf_dir), annotate.known_splices(fixtures.annotation(spark, sf_dir))
     return annotate.annotate_splices(j.withColumns({"juncPosR1A": F.col("juncPosR1B"), "juncPosR1B": F.col("juncPosR1A")}), known).select("cell", "refName_newR1", "splice_ann")
 
 
@@ -228,7 +247,7 @@ def io_meta(spark, sf_dir):
     return tables.read_meta(spark, path).select("cell_id", "tissue", "compartment", "called")
 
 
-QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, junction_table, attach_meta, annotate_exons, annotate_splices, weird_genes, gene_repair_stranded, unspliced_names, cell_ids, io_tsv_roundtrip, io_by_chromosome, io_convert, io_samples, io_bam, io_gtf, io_meta)}
+QUERIES = {f.__name__: f for f in (cigar_features, chimeric_cigars, sequence_features, spliced_reads, barcodes, max_genomic_score, gene_intervals, gene_strands, genes_at_locus, genes_at_locus_stranded, spliced_junctions, pair_reads, chimeric_junctions, dedup_umis, umi_counts, first_read_counts, ss2_counts, junction_table, attach_meta, exon_bounds, known_splices, annotate_exons, annotate_splices, weird_genes, gene_repair_stranded, unspliced_names, cell_ids, io_tsv_roundtrip, io_by_chromosome, io_convert, io_samples, io_bam, io_gtf, io_meta)}
 QUERIES["gene_repair"] = gene_repair_names
 
 # SQL
@@ -271,6 +290,9 @@ nm AS (SELECT sp.*, x.gene AS ga, y.gene AS gb, sp.chr || ':' || x.gene || ':' |
 
 
 _COUNTS = "um AS (SELECT sample_id, barcode, name, UMI, min(id) AS id FROM nm GROUP BY ALL), ct AS (SELECT sample_id, barcode, name, count(*) AS numReads, min(id) AS id FROM um GROUP BY sample_id, barcode, name)"
+_ANNOTATED = f"""an AS ({fixtures.duck(fixtures.ANNOTATION)}), xb AS (SELECT DISTINCT seqname AS chr, unnest(["start", "end"]) AS pos FROM an WHERE feature = 'exon'),
+xt AS (SELECT seqname AS chr, "start", "end", CASE WHEN attribute LIKE '%transcript_id "%' THEN split_part(split_part(attribute, 'transcript_id "', 2), '"', 1) WHEN attribute LIKE '%;Parent=%' THEN split_part(split_part(attribute, ';Parent=', 2), ';', 1) END AS t FROM an WHERE feature = 'exon'),
+xs AS (SELECT DISTINCT chr, lo, hi FROM (SELECT chr, max("end") OVER (PARTITION BY chr, t ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS lo, lead("start") OVER (PARTITION BY chr, t ORDER BY "start", "end") AS hi FROM xt WHERE t IS NOT NULL) WHERE hi > lo + 1)"""
 _J = f"j AS ({fixtures.duck(fixtures.JUNCTIONS)})"
 
 
@@ -357,11 +379,15 @@ UNION ALL SELECT qname, 'SLS', xc, xm FROM r WHERE flag & 4 = 0 UNION ALL SELECT
     "genes_at_locus_stranded": f"WITH {_READS}, {_GTF}, {_LOCI}, {_loc('lg', 'lo', True)} SELECT * FROM lg",
     "spliced_junctions": f"WITH {_names(_READS)} SELECT sample_id, id, name AS refName_ABR1, UMI, barcode, read_strand AS read_strandR1, pa AS juncPosR1A, pb AS juncPosR1B, ga AS geneR1A, gb AS geneR1B, chr AS chrR1A FROM nm",
     "dedup_umis": f"WITH {_names(_READS)}, {_COUNTS} SELECT sample_id, barcode, UMI, name AS refName_ABR1, id FROM um",
-    "umi_counts": f"WITH {_names(_READS)}, {_COUNTS} SELECT sample_id, barcode, name AS refName_ABR1, numReads, id FROM ct",
+    "umi_counts": f"WITH {_names(_READS)}, {_COUNTS} SELECT sample_id, barcode, name AS refName_ABR1, numReads, ga AS geneR1A, gb AS geneR1B, pa AS juncPosR1A, pb AS juncPosR1B, chr AS chrR1A, chr AS chrR1B FROM ct JOIN (SELECT DISTINCT name AS nm_name, ga, gb, pa, pb, chr FROM nm) ON nm_name = name",
+    "first_read_counts": f"WITH {_names(_READS)}, {_COUNTS} SELECT sample_id, barcode, name AS refName_ABR1, numReads, id FROM ct",
+    "ss2_counts": f"WITH {_names(_READS)} SELECT name AS refName_newR1, ga AS geneR1A_uniq, pb AS juncPosR1B, 1 AS numReads, min(id) AS cell_id FROM nm GROUP BY sample_id, name, ga, pb",
     "junction_table": f"WITH {_names(_READS)}, {_COUNTS} SELECT name AS refName_newR1, ga AS geneR1A_uniq, gb AS geneR1B_uniq, pa AS juncPosR1A, pb AS juncPosR1B, chr AS chrR1A, chr AS chrR1B, numReads, 1 AS called, ct.sample_id || '_' || rtrim(ct.barcode, '-1') AS cell_id FROM ct JOIN (SELECT DISTINCT name AS nm_name, ga, gb, pa, pb, chr FROM nm) ON nm_name = name",
     "attach_meta": f"WITH {_J}, mt AS (SELECT DISTINCT cell AS cell_id, tissue, compartment, 2 AS called FROM j WHERE cell NOT LIKE '%7') SELECT cell, refName_newR1, numReads, mt.tissue, mt.compartment, mt.called FROM j LEFT JOIN mt ON j.cell = mt.cell_id",
-    "annotate_exons": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A % 200000 <> 3000 AS exon_annR1A, juncPosR1B % 200000 <> 103000 AS exon_annR1B, juncPosR1A % 200000 <> 3000 AND juncPosR1B % 200000 <> 103000 AS both_ann FROM j",
-    "annotate_splices": f"WITH {_J}, kn AS (SELECT DISTINCT juncPosR1A AS a, juncPosR1B AS b FROM j WHERE splice_ann) SELECT cell, refName_newR1, (juncPosR1A, juncPosR1B) IN (SELECT (a, b) FROM kn) AS splice_ann FROM j",
+    "exon_bounds": f"WITH {_ANNOTATED} SELECT chr, pos FROM xb",
+    "known_splices": f"WITH {_ANNOTATED} SELECT chr, lo, hi FROM xs",
+    "annotate_exons": f"WITH {_J}, {_ANNOTATED} SELECT cell, refName_newR1, a.pos IS NOT NULL AS exon_annR1A, b.pos IS NOT NULL AS exon_annR1B, a.pos IS NOT NULL AND b.pos IS NOT NULL AS both_ann FROM j LEFT JOIN xb a ON chrR1A = a.chr AND juncPosR1A = a.pos LEFT JOIN xb b ON chrR1A = b.chr AND juncPosR1B = b.pos",
+    "annotate_splices": f"WITH {_J}, {_ANNOTATED} SELECT cell, refName_newR1, lo IS NOT NULL AS splice_ann FROM j LEFT JOIN xs ON chrR1A = chr AND juncPosR1A = lo AND juncPosR1B = hi",
     "weird_genes": f"WITH {_weird_sql()} SELECT refName_ABR1, geneR1A, geneR1B, uniq_A, uniq_B, n_A, n_B, shared FROM sh",
     "io_tsv_roundtrip": f"WITH {_J} SELECT cell, refName_newR1, juncPosR1A, juncPosR1B, numReads, splice_ann, called FROM j",
     "gene_repair_stranded": _STRANDED,

@@ -1,4 +1,4 @@
-"""Known exon bounds and junctions.
+"""Known exon bounds and junctions: from an annotation, and as marks of junctions.
 
 Distinct ends and junctions of the annotation are looked up: by broadcast if
 they are few, and with rows of hot ones left in place if not.
@@ -6,12 +6,35 @@ they are few, and with rows of hot ones left in place if not.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import lookup
 
 
+def transcript_name(attribute: Column) -> Column:
+    """The quoted ``transcript_id``, or the ``Parent=`` value, or null."""
+    quoted = F.regexp_extract(attribute, r'(?:^|[;\s])transcript_id\s+"([^"]*)"', 1)
+    keyed = F.regexp_extract(attribute, r"(?:^|;\s*)(?:Parent|transcript_id)=([^;]*)", 1)
+    return F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(keyed, F.lit("")))
+
+
+def exon_bounds(gtf: DataFrame) -> DataFrame:
+    """``chr, pos``: first and last bases of all exons, once each."""
+    return gtf.filter("feature = 'exon'").select(F.col("seqname").alias("chr"), F.explode(F.array("start", "end")).alias("pos")).distinct()
+
+
+def known_splices(gtf: DataFrame) -> DataFrame:
+    """``chr, lo, hi``: last base of an exon and first of the next one of its transcript, once each.
+
+    Exons are chained by start within a transcript and sequence; exons that overlap or touch leave no junction between them.
+    """
+    exons = gtf.filter("feature = 'exon'").select(F.col("seqname").alias("chr"), transcript_name(F.col("attribute")).alias("transcript"), "start", "end").filter("transcript is not null")
+    chain = Window.partitionBy("chr", "transcript").orderBy("start", "end")
+    ends = exons.select("chr", F.max("end").over(chain.rowsBetween(Window.unboundedPreceding, 0)).alias("lo"), F.lead("start").over(chain).alias("hi"))
+    return ends.filter("hi > lo + 1").distinct()
+
+
 def annotate_exons(junctions: DataFrame, exon_bounds: DataFrame) -> DataFrame:
     """``exon_annR1A, exon_annR1B, both_ann``: both ends are looked up on the first end's chromosome."""
     known = exon_bounds.select("chr", "pos").distinct()

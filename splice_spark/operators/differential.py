@@ -25,14 +25,28 @@ SCORES = ("scZ", "svd_z0", "svd_z1", "svd_z2")
 TEST = ["level_1", "gene", "z_col"]
 
 
+def least_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key, the least of several; keys aren't null.
+
+    Keys are counted first, by a hash aggregate: rows whose key is theirs alone pass as they are, and only the others are ordered.
+    """
+    twice = cut(rows.groupBy(*keys).agg(F.count("*").alias("n__")).filter("n__ > 1").select(*keys, F.lit(True).alias("twice__")))
+    if twice.isEmpty():
+        return rows
+    rest = [c for c in rows.columns if c not in keys]
+    marked = lookup(rows, twice, keys, "left")
+    least = marked.filter("twice__").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("r")).select(*keys, "r.*")
+    return marked.filter("twice__ is null").select(*rows.columns).unionByName(least)
+
+
 def eligible(scores: DataFrame, level_1: str, level_2: str, min_cells: int = 10) -> DataFrame:
     """One row a cell and gene, ``level_1, level_2`` and scores, of level-2 groups with more than ``min_cells`` cells of the gene in all level-1 groups.
 
     Of several rows of a cell and gene it is the least by level 2, level 1 and scores.
     """
     l1 = F.lit("null") if level_1 == "dummy" else F.col(level_1).cast("string")
-    row = F.struct(F.col(level_2).cast("string").alias("level_2"), l1.alias("level_1"), *SCORES)
-    one = scores.groupBy("cell", "gene").agg(F.min(row).alias("r")).select("cell", "gene", "r.*")
+    plain = scores.select("cell", "gene", F.col(level_2).cast("string").alias("level_2"), l1.alias("level_1"), *SCORES)
+    one = least_rows(plain, ["cell", "gene"])
     large = one.groupBy("level_2", "gene").agg(F.count_distinct("cell").alias("n")).filter(F.col("n") > min_cells).select("level_2", "gene")
     return lookup(one.filter("level_2 is not null"), large, ["level_2", "gene"])
 

@@ -79,6 +79,17 @@ FROM (
 ) AS b
 """
 
+#: Exons by transcript over the places of JUNCTIONS, some of them on another chromosome, in both notations of attributes, and other features between them.
+ANNOTATION = """
+SELECT 'chr' || CAST(1 + (gi + CASE WHEN j = 5 THEN 1 ELSE 0 END) % 3 AS STRING) AS seqname, 'x' AS source, CASE WHEN j = 14 THEN 'gene' WHEN c_custkey % 41 = 0 THEN 'CDS' ELSE 'exon' END AS feature,
+       gi * 200000 + CASE WHEN j < 7 THEN 1000 * (1 + j) - 200 ELSE 100000 + 1000 * (j - 7) END AS "start", gi * 200000 + CASE WHEN j < 7 THEN 1000 * (1 + j) ELSE 100200 + 1000 * (j - 7) END AS "end",
+       '.' AS score, CASE WHEN gi % 2 = 0 THEN '+' ELSE '-' END AS strand, '.' AS frame,
+       CASE WHEN c_custkey % 29 = 0 THEN 'note "none"' WHEN gi % 2 = 0 THEN 'gene_id "g' || CAST(gi AS STRING) || '"; transcript_id "T' || CAST(gi AS STRING) || '.' || CAST(j % 3 AS STRING) || '"; exon ' || CAST(j AS STRING)
+            ELSE 'ID=e' || CAST(c_custkey AS STRING) || ';Parent=T' || CAST(gi AS STRING) || '.' || CAST(j % 3 AS STRING) || ';gene=g' || CAST(gi AS STRING) END AS attribute,
+       c_custkey AS line
+FROM (SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(floor(c_custkey / 150) AS BIGINT) * 10 + CAST(c_custkey AS BIGINT) % 10 AS gi, CAST(floor(c_custkey / 10) AS BIGINT) % 15 AS j FROM {customer}) AS a
+"""
+
 #: One distinct junction a row, with gene lists at both ends, for the repair of gene names.
 CLASS_INPUT = """
 SELECT 'chr' || CAST(1 + a % 2 AS STRING) || ':' || ga || ':' || CAST(pa AS STRING) || ':' || sa || '|chr' || CAST(CASE WHEN a % 9 = 0 THEN 3 ELSE 1 + a % 2 END AS STRING) || ':' || gb || ':' || CAST(pb AS STRING) || ':' || sb AS refName_ABR1,
@@ -132,5 +143,10 @@ def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, GTF)
 
 
+def annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exons with transcripts."""
+    return _run(spark, sf_dir, ANNOTATION)
+
+
 def class_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, CLASS_INPUT)

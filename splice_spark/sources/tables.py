@@ -5,9 +5,11 @@ Schemas are given where a format has none, so nothing is inferred at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import lookup
+from splice_spark.functions.lineage import cut
 from splice_spark.sources.bam import SPLIT_BYTES, read_bam
 
 JUNCTION_SCHEMA = (
@@ -115,8 +117,17 @@ def read_meta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation lines in file order (``line``)."""
-    return spark.read.csv(path, sep="\t", comment="#", schema=GTF_SCHEMA, quote="").withColumn("line", F.monotonically_increasing_id())
+    """Annotation lines with ``line``, a number in file order: by file name, and within a file by place, however it is split.
+
+    A task reads a block of a file from its start to its end, so its own numbers order the lines of a block; blocks are ordered by file and
+    offset, a row for each.
+    """
+    lines = spark.read.csv(path, sep="\t", comment="#", schema=GTF_SCHEMA, quote="")
+    lines = cut(lines.withColumns({"file__": F.col("_metadata.file_path"), "start__": F.col("_metadata.file_block_start"), "row__": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    order = Window.partitionBy(F.lit(0)).orderBy("file__", "start__")
+    blocks = lines.select("file__", "start__").distinct().withColumn("block__", F.row_number().over(order).cast("long"))
+    placed = lookup(lines, blocks, ["file__", "start__"]).withColumn("line", F.shiftleft("block__", 33) + F.col("row__"))
+    return placed.drop("file__", "start__", "row__", "block__")
 
 
 def read_alignments(spark: SparkSession, *paths: str, keep: dict[str, F.Column] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:

@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from splice_spark.functions import ordering, stats
+from splice_spark.functions import joins, ordering, stats
 from splice_spark.functions.quantiles import grouped_medians
-from splice_spark.operators import differential, permutation, svd
+from splice_spark.operators import annotate, counts, differential, permutation, svd
+from splice_spark.sources import tables
 
 
 def plan(df):
@@ -100,3 +101,69 @@ def test_components_of_many_sites(spark):
     assert both.loading_i.to_numpy() == pytest.approx(both.loading.to_numpy(), abs=1e-7)
     assert both.centred_i.to_numpy() == pytest.approx(both.centred.to_numpy(), abs=1e-7)
     assert both.f_i.to_numpy() == pytest.approx(both.f.to_numpy(), abs=1e-10)
+
+
+def test_lookup_reads_rows_once(spark, tmp_path):
+    """Beyond broadcast size: one scan of the rows in the join, hot and null keys dealt over tasks, all rows kept."""
+    path = str(tmp_path / "rows")
+    spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")).write.parquet(path)
+    rows, table = spark.read.parquet(path), spark.range(0, 6000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")).union(spark.sql("select 7L, 70L"))
+    assert len(joins.hot_hashes(rows, ["k"])) == 2
+    for how, n in (("inner", 3000), ("left", 6000)):
+        got = joins.lookup(rows, table, ["k"], how, most_bytes=0)
+        assert plan(got).count("rows") <= 2 and plan(got).count("FileScan") == 2  # the rows and the table
+        assert got.count() == n and got.select("v").distinct().count() == n
+        assert got.filter("w is not null and w <> k * 10").count() == 0
+        assert got.columns == ["k", "v", "w"]
+
+
+def test_counts_are_hash_aggregates(spark):
+    row = ("s", "b", "u", "chr1:G:5:+|chr1:H:9:-|lin", "r1", "G", "H", 5, 9, "chr1", "chr1")
+    frame = spark.createDataFrame([row, row[:2] + ("u2",) + row[3:], row[:1] + (None, None) + row[3:]], "sample_id string, barcode string, UMI string, refName_ABR1 string, id string, geneR1A string, geneR1B string, juncPosR1A long, juncPosR1B long, chrR1A string, chrR1B string")
+    one, two = counts.count_junctions(frame), counts.count_first_reads(frame)
+    assert "SortAggregate" not in plan(one) and "Sort " not in plan(one)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.select(*one.columns).collect()))
+
+
+def test_least_rows(spark):
+    frame = spark.createDataFrame([("a", "g", "x", 2.0), ("a", "g", "w", 3.0), ("a", "h", None, 1.0), ("b", "g", "x", None)] + [("c", "g", "x", 1.0)] * 3, "cell string, gene string, level_2 string, z double")
+    got = differential.least_rows(frame, ["cell", "gene"])
+    assert sorted(map(tuple, got.select("cell", "gene", "level_2").collect()), key=str) == [("a", "g", "w"), ("a", "h", None), ("b", "g", "x"), ("c", "g", "x")]
+
+
+def test_metadata_of_a_cell_is_one_row(spark):
+    table = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "cell_id string, n long")
+    meta = spark.createDataFrame([("a", "T"), ("a", "T"), (None, "N"), ("c", "C")], "cell_id string, tissue string")
+    assert sorted(map(tuple, counts.attach_meta(table, meta).collect()), key=str) == [("a", 1, "T"), ("b", 2, None), (None, 3, None)]
+    with pytest.raises(ValueError, match="cells with several rows of metadata: a"):
+        counts.attach_meta(table, meta.union(spark.createDataFrame([("a", "U")], "cell_id string, tissue string")))
+
+
+def test_lines_are_in_file_order(spark, tmp_path):
+    """Several files in many splits, which Spark reads by size: lines come by file name and place."""
+    want = []
+    for f, n in (("a", 40), ("b", 400), ("c", 5)):
+        lines = [f'chr1\tx\texon\t{k}\t{k + 5}\t.\t+\t.\tgene_name "{f}{k:04}"; {"pad " * (k % 30)}' for k in range(n)]
+        (tmp_path / f"{f}.gtf").write_text("#!comment\n" + "\n".join(lines) + "\n")
+        want += [f"{f}{k:04}" for k in range(n)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = tables.read_gtf(spark, str(tmp_path))
+        assert got.columns[-1] == "line"
+        assert [r.attribute.split('"')[1] for r in got.orderBy("line").collect()] == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_bounds_and_junctions_of_an_annotation(spark):
+    exon = lambda c, a, b, t, f="exon": (c, "x", f, a, b, ".", "+", ".", t)
+    t1, t2 = 'gene_id "g"; transcript_id "t1"; n "1"', "ID=e;Parent=t2;gene=g"
+    rows = [exon("chr1", 300, 400, t1), exon("chr1", 100, 200, t1), exon("chr1", 350, 380, t1), exon("chr1", 500, 600, t1), exon("chr1", 601, 700, t1), exon("chr2", 900, 950, t1)]
+    rows += [exon("chr1", 100, 200, t2), exon("chr1", 500, 600, t2), exon("chr1", 1000, 1100, t1, "CDS"), exon("chr1", 5, 9, None), exon("chr1", 20, 30, 'note "none"')]
+    gtf = spark.createDataFrame(rows, tables.GTF_SCHEMA)
+    assert {tuple(r) for r in annotate.known_splices(gtf).collect()} == {("chr1", 200, 300), ("chr1", 400, 500), ("chr1", 200, 500)}
+    bounds = {tuple(r) for r in annotate.exon_bounds(gtf).collect()}
+    assert ("chr1", 1000) not in bounds and {("chr1", 5), ("chr1", 9), ("chr2", 950), ("chr1", 350)} <= bounds
