@@ -243,7 +243,7 @@ def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pi
     The kept rows feed the junction table and the join back, and the merged rows
     all later steps, so both are written once.
     """
-    named = fill_gene(filter_called(junctions, sicilian))
+    named = cut(fill_gene(filter_called(junctions, sicilian)))  # read for junctions, signs and rows
     sign = gene_sign(named)
     kept = cut(min_reads(drop_constitutive(named, rank_quant), bounds))
     return cut(add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z))

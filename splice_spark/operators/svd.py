@@ -9,8 +9,10 @@ With C = I - 11'/p, C (M'M) C is the Gram matrix of the row-centred M.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,33 +65,46 @@ def total_energy(gram: DataFrame, where: DataFrame) -> DataFrame:
     return p.join(sums, "gene", "left").select("gene", F.coalesce(F.col("t") - F.col("a") / F.col("p"), F.lit(0.0)).alias("energy"))
 
 
-def components_of(where: pd.DataFrame, gram: pd.DataFrame, k: int, all_components: bool = False) -> pd.DataFrame:
-    """The first ``k`` right singular vectors of one gene, or as many as it has cells or sites, and their share of the energy; nothing if it has fewer than ``k``.
+def components_of(m: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` right singular vectors (columns) and their share of the energy, from the Gram matrix of the sites before centring.
 
     The loading of largest size is positive (the first site of several).
     """
-    where = where.sort_values(["let", "pos"])
-    p = len(where)
-    n = min(p, int(where["n_cells"].iloc[0])) if p else 0
-    if n < k or not n:
-        kinds = {"string": object, "int": "int32", "long": "int64", "double": "float64"}
-        return pd.DataFrame({name: pd.Series([], dtype=kinds[kind]) for name, kind in (c.split() for c in LOADINGS.split(", "))})
-    n = n if all_components else k
-    index = {key: i for i, key in enumerate(zip(where["let"], where["pos"], strict=True))}
-    m = np.zeros((p, p))
-    i = [index[key] for key in zip(gram["let_i"], gram["pos_i"], strict=True)]
-    j = [index[key] for key in zip(gram["let_j"], gram["pos_j"], strict=True)]
-    m[i, j] = gram["g"]
-    m[j, i] = gram["g"]
-    m -= m.mean(axis=0)
+    m = m - m.mean(axis=0)
     m -= m.mean(axis=1)[:, None]
     values, vectors = np.linalg.eigh((m + m.T) / 2)
     values, vectors = np.maximum(values[::-1][:n], 0.0), vectors[:, ::-1][:, :n]
     vectors = vectors * np.where(vectors[np.argmax(np.round(np.abs(vectors), 9), axis=0), np.arange(n)] >= 0, 1, -1)
     energy = float(np.trace(m))
-    share = values / energy if energy > 0 else np.full(n, np.nan)
-    each = {c: np.tile(where[c].to_numpy(), n) for c in ("gene", "let", "pos")}
-    return pd.DataFrame({**each, "component": np.repeat(np.arange(n), p), "loading": vectors.T.ravel(), "centred": (vectors - vectors.mean(axis=0)).T.ravel(), "f": np.repeat(share, p)})[[c.split()[0] for c in LOADINGS.split(", ")]]
+    return vectors, values / energy if energy > 0 else np.full(n, np.nan)
+
+
+def _direct(k: int, all_components: bool):
+    """Components of genes that are a row each: sites in order, cells, and products of sites."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                places = batch.column("sites")[r].values
+                let, pos = places.field("let").to_pylist(), places.field("pos").to_pylist()
+                p, cells = len(pos), batch.column("n_cells")[r].as_py()
+                n = min(p, cells)
+                if n < k or not n:
+                    continue
+                n = n if all_components else k
+                index = {key: i for i, key in enumerate(zip(let, pos, strict=True))}
+                m = np.zeros((p, p))
+                if (products := batch.column("products")[r].values) is not None:
+                    i, j = ([index[key] for key in zip(products.field(f"let_{x}").to_pylist(), products.field(f"pos_{x}").to_pylist(), strict=True)] for x in "ij")
+                    m[i, j] = m[j, i] = products.field("g").to_numpy()
+                vectors, shares = components_of(m, n)
+                columns = [
+                    pa.array([batch.column("gene")[r].as_py()] * (n * p), pa.string()), pa.array(np.repeat(np.arange(n, dtype=np.int32), p)), pa.array(let * n, pa.string()), pa.array(pos * n, pa.int64()),
+                    pa.array(vectors.T.ravel()), pa.array((vectors - vectors.mean(axis=0)).T.ravel()), pa.array(np.repeat(shares, p)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in LOADINGS.split(", ")])
+
+    return run
 
 
 #: Sites of a gene whose matrix one task may hold: 8 MB of numbers, and its Gram matrix in rows.
@@ -103,17 +118,16 @@ def gene_components(values: DataFrame, k: int = 3, all_components: bool = False,
     ``all_components`` solves every gene from its matrix, in one task that has sites x sites numbers, and gives as many rows.  ``values`` is a written table.
     """
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return components_of(a, b, k, all_components)
-
     where = cut(sites(values))
     large = cut(where.groupBy("gene").agg(F.count("*").alias("p"), F.first("n_cells").alias("n_cells")).filter(F.col("p") > direct_sites).filter(F.col("n_cells") >= k))
     small_values, small_where = values, where
     if split := not (all_components or large.isEmpty()):
         marks = large.select("gene", F.lit(True).alias("large"))
         small_values, small_where = (lookup(x, marks, ["gene"], "left").filter("large is null").drop("large") for x in (values, where))
-    gram = gene_gram(small_values)
-    out = small_where.groupBy("gene").cogroup(gram.groupBy("gene")).applyInPandas(run, LOADINGS)
+    # a gene's sites, of which there are direct_sites at most, and their products meet in one row
+    one = small_where.groupBy("gene").agg(F.sort_array(F.collect_list(F.struct("let", "pos"))).alias("sites"), F.first("n_cells").alias("n_cells"))
+    products = gene_gram(small_values).groupBy("gene").agg(F.collect_list(F.struct("let_i", "pos_i", "let_j", "pos_j", "g")).alias("products"))
+    out = one.join(products, "gene", "left").mapInArrow(_direct(k, all_components), LOADINGS)
     if split:
         out = out.unionByName(top_components(values, where, large, k))
     return out.withColumn("f", F.nanvl("f", F.lit(None).cast("double")))
