@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions.lineage import cut
@@ -35,21 +35,30 @@ def svd_total_energy(spark, sf_dir):
 
 
 def loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return svd.gene_components(values(spark, sf_dir), all_components=True)
+    """The first three, as the job makes them."""
+    return svd.gene_components(values(spark, sf_dir))
 
 
 def gene_components(spark, sf_dir):
-    """The first three, as the job makes them; the others are in ``svd_spectrum``."""
-    return svd.gene_components(values(spark, sf_dir)).select("gene", F.col("component").cast("long").alias("component"), "let", "pos", *r6("loading", "f"))
+    """The first three; the others are in ``svd_spectrum`` and ``svd_reconstruction``."""
+    return loadings(spark, sf_dir).select("gene", F.col("component").cast("long").alias("component"), "let", "pos", *r6("loading", "f"))
 
 
 def svd_spectrum(spark, sf_dir):
     """Of all components of a gene: their number, the sums of their shares and squared shares, and whether all loadings have length 1."""
-    each = loadings(spark, sf_dir).groupBy("gene", "component").agg(F.first("f").alias("f"), F.sum(F.col("loading") ** 2).alias("length"))
+    each = svd.gene_components(values(spark, sf_dir), all_components=True).groupBy("gene", "component").agg(F.first("f").alias("f"), F.sum(F.col("loading") ** 2).alias("length"))
     out = each.groupBy("gene").agg(F.count("*").alias("n"), F.sum("f").alias("shares"), F.sum(F.col("f") ** 2).alias("squares"), F.max(F.abs(F.col("length") - 1)).alias("off"))
     return out.select("gene", "n", *r6("shares", "squares", "off"))
 
 
+def svd_reconstruction(spark, sf_dir):
+    """The centred Gram matrix put together again from all components: its diagonal and the numbers beside it, as shares of the energy."""
+    load = svd.gene_components(values(spark, sf_dir), all_components=True)
+    following = F.lead("loading").over(Window.partitionBy("gene", "component").orderBy("let", "pos"))
+    sums = load.withColumn("following", following).groupBy("gene", "let", "pos").agg(F.sum(F.col("f") * F.col("loading") ** 2).alias("own"), F.sum(F.col("f") * F.col("loading") * F.col("following")).alias("beside"))
+    return sums.select("gene", "let", "pos", *r6("own", "beside"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Scores of cells and genes with components, and loadings."""
     rows = merged(spark, sf_dir)
@@ -108,9 +117,9 @@ def permutation_adjusted(spark, sf_dir):
     return differential.differential_tests(scored(spark, sf_dir)[0], L1, L2).select(*differential.TEST, *r6("perm_pval2", "perm_pval2_adj"))
 
 
-def wide(scores: DataFrame) -> DataFrame:
+def wide(scores: DataFrame, level_1: str = L1) -> DataFrame:
     shares = scores.groupBy("gene").agg(*[F.max(f"f{k}").alias(f"f{k}") for k in range(3)])
-    return cut(differential.widen(differential.differential_tests(scores, L1, L2), shares))
+    return cut(differential.widen(differential.differential_tests(scores, level_1, L2), shares))
 
 
 def pvals_wide(spark, sf_dir):
@@ -119,7 +128,7 @@ def pvals_wide(spark, sf_dir):
 
 
 def _top(load: DataFrame) -> DataFrame:
-    return sites.top_sites(load.filter("component < 3"))
+    return sites.top_sites(load)
 
 
 def top_sites(spark, sf_dir):
@@ -146,6 +155,22 @@ def summary(spark, sf_dir):
     return out.select("gene", "level_1", "level_2", "n_cells", "SpliZsites", *r6(*names))
 
 
+def summary_dummy(spark, sf_dir):
+    """Without a first level, all the way to the summary."""
+    scores, load = scored(spark, sf_dir)
+    out = sites.summarise(scores, wide(scores, "dummy"), _top(load), "dummy", L2)
+    return out.select("gene", "level_1", "level_2", "n_cells", "SpliZsites", *r6(*[f"{z}_{a}" for z in differential.SCORES for a in ("median", "pval")]))
+
+
+def pipeline_scores_light(spark, sf_dir):
+    """Without the split scores, with a column of metadata that passes through."""
+    named = fixtures.junctions(spark, sf_dir).withColumn("batch", F.concat(F.lit("B"), F.substring("cell", -1, 1)))
+    scores, rows, _ = score_job(named, Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2, light=True))
+    if split := [c for c in rows.columns if c.endswith("ann") and c != "splice_ann"]:
+        raise AssertionError(f"split scores in a light run: {split}")
+    return scores.select("cell", "gene", L1, L2, "ontology", "batch", "n_g_Start", "n_g_End", *r6("scZ", "svd_z0", "svd_z_sumsq", "f0"))
+
+
 def pipeline_scores(spark, sf_dir):
     scores, _, _ = score_job(fixtures.junctions(spark, sf_dir), Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2))
     return scores.select("cell", "gene", L1, L2, "ontology", "n_g_Start", "n_g_End", *r6("scZ", "svd_z0", "svd_z1", "svd_z2", "svd_z_sumsq", "f0", "f1", "f2"))
@@ -164,6 +189,7 @@ QUERIES = {
     "svd_total_energy": svd_total_energy,
     "gene_components": gene_components,
     "svd_spectrum": svd_spectrum,
+    "svd_reconstruction": svd_reconstruction,
     "svd_scores": svd_scores,
     "eligible": eligible,
     "eligible_dummy": eligible_dummy,
@@ -180,7 +206,9 @@ QUERIES = {
     "site_list": site_list,
     "site_genes": site_genes,
     "summary": summary,
+    "summary_dummy": summary_dummy,
     "pipeline_scores": pipeline_scores,
+    "pipeline_scores_light": pipeline_scores_light,
     "pipeline_diff": pipeline_diff,
 }
 
@@ -282,6 +310,7 @@ ORACLE_SQL = {
     "gene_gram": f"{_GRAM} SELECT gene, let_i, pos_i, let_j, pos_j, round(g, 5) + 0.0 AS g FROM gr",
     "svd_total_energy": f"{_VALUES}, rm AS (SELECT gene, cell, sum(value) AS t, sum(value * value) AS q FROM sv GROUP BY gene, cell), np AS (SELECT gene, count(DISTINCT let || pos) AS p FROM sv GROUP BY gene) SELECT rm.gene, round(sum(q - t * t / p), 4) + 0.0 AS energy FROM rm JOIN np ON rm.gene = np.gene GROUP BY rm.gene",
     "gene_components": f"{_SVD} SELECT gene, CAST(component AS BIGINT) AS component, let, pos, {d6(loading='loading', f='f')} FROM ld",
+    "svd_reconstruction": f"{_SVD} SELECT a.gene, let, pos, {d6(own='a.g / energy', beside='b.g / energy')} FROM w0 a JOIN en ON en.gene = a.gene JOIN si ON si.gene = a.gene AND si.i = a.i LEFT JOIN w0 b ON b.gene = a.gene AND b.i = a.i AND b.j = a.i + 1 WHERE a.j = a.i",
     "svd_spectrum": f"{_SVD} SELECT w0.gene, least(any_value(p), any_value(cells)) AS n, CAST(1 AS DOUBLE) AS shares, round(sum(g * g) / (any_value(energy) * any_value(energy)), 6) + 0.0 AS squares, CAST(0 AS DOUBLE) AS off FROM w0 JOIN sn ON sn.gene = w0.gene JOIN en ON en.gene = w0.gene GROUP BY w0.gene",
     "svd_scores": f"{_SCORED} SELECT gene, cell, {d6(svd_z0='svd_z0', svd_z1='svd_z1', svd_z2='svd_z2', **_SHARES, svd_z_sumsq='coalesce(svd_z0 * svd_z0, 0) + coalesce(svd_z1 * svd_z1, 0) + coalesce(svd_z2 * svd_z2, 0)')} FROM ps",
     "eligible": f"{_CELLS} SELECT cell, gene, level_1, level_2, {d6(scZ='scZ')} FROM el",
@@ -322,10 +351,25 @@ def io_score_rows(spark, sf_dir):
 
 
 def io_loadings(spark, sf_dir):
-    """All loadings written and read again."""
+    """Loadings written and read again."""
     folder = io_folder(spark)
     tables.write_loadings(loadings(spark, sf_dir), folder)
-    return spark.read.parquet(f"{folder}/loadings.parquet").filter("component < 3").select("gene", F.col("component").cast("long").alias("component"), "let", "pos", *r6("loading"))
+    return spark.read.parquet(f"{folder}/loadings.parquet").select("gene", F.col("component").cast("long").alias("component"), "let", "pos", *r6("loading"))
+
+
+def io_results_tests(spark, sf_dir):
+    """The long table of tests as a result file."""
+    folder = io_folder(spark)
+    tables.write_results(folder, tests=differential.differential_tests(scored(spark, sf_dir)[0], L1, L2))
+    back = tables.read_tsv(spark, f"{folder}/tests.tsv", "num_onts long, Tn1 double, pval_adj double, perm_pval2_adj double")
+    return back.select(*differential.TEST, "num_onts", *r6("Tn1", "pval_adj", "perm_pval2_adj"))
+
+
+def io_results_sites(spark, sf_dir):
+    folder = io_folder(spark)
+    tables.write_results(folder, sites=_top(loadings(spark, sf_dir)))
+    back = tables.read_tsv(spark, f"{folder}/sites.tsv", "component long, rank long, end long, score double")
+    return back.select("gene", "component", "rank", "let", "end", *r6("score"))
 
 
 def _results(spark: SparkSession, sf_dir: str) -> str:
@@ -347,11 +391,15 @@ def io_results_summary(spark, sf_dir):
     return back.select("gene", "level_1", "level_2", "n_cells", "SpliZsites", *r6("scZ_median", "scZ_pval"))
 
 
-QUERIES |= {f.__name__: f for f in (io_scores, io_score_rows, io_loadings, io_results_wide, io_results_summary)}
+QUERIES |= {f.__name__: f for f in (io_scores, io_score_rows, io_loadings, io_results_tests, io_results_sites, io_results_wide, io_results_summary)}
 ORACLE_SQL |= {
     "io_scores": f"{MERGED}, k1 AS (SELECT *, row_number() OVER (PARTITION BY cell, gene ORDER BY refName_newR1) AS k FROM y) SELECT cell, gene, tissue, compartment, n_g, {d6(z='z', scZ='scZ')} FROM k1 WHERE k = 1",
     "io_score_rows": f"{MERGED} SELECT cell, gene, refName_newR1, n_g, {d6(nSijkStart='nSijkStart', nSijkEnd='nSijkEnd', z='z', scZ='scZ')} FROM y",
     "io_loadings": f"{_SVD} SELECT gene, CAST(component AS BIGINT) AS component, let, pos, {d6(loading='loading')} FROM ld",
     "io_results_wide": f"{_WIDE} SELECT gene, level_1, {d6(**{f'{a}_{z}': f'{a}_{z}' for z in differential.SCORES for a in ('perm_pval_adj', 'perm_cdf')})} FROM wd",
     "io_results_summary": f"WITH whole AS ({_SUMMARY}) SELECT gene, level_1, level_2, n_cells, SpliZsites, scZ_median, scZ_pval FROM whole",
+    "io_results_tests": f"{_PERMUTED} SELECT {_TESTED}, num_onts, {d6(Tn1='Tn1', pval_adj='pval_adj', perm_pval2_adj='perm_pval2_adj')} FROM bh",
+    "io_results_sites": f'{_SVD}{_TOP} SELECT gene, component, rank, let, "end", {d6(score="score")} FROM tp',
+    "summary_dummy": _SUMMARY.replace("tissue AS level_1", "'null' AS level_1").replace("GROUP BY gene, tissue, compartment", "GROUP BY gene, compartment"),
+    "pipeline_scores_light": f"{_SCORED} SELECT ps.cell, ps.gene, ps.tissue, ps.compartment, ps.tissue || ps.compartment AS ontology, 'B' || right(ps.cell, 1) AS batch, n_g_Start, n_g_End, {d6(scZ='ps.scZ', svd_z0='svd_z0', svd_z_sumsq='coalesce(svd_z0 * svd_z0, 0) + coalesce(svd_z1 * svd_z1, 0) + coalesce(svd_z2 * svd_z2, 0)', f0='f0')} FROM ps JOIN k1 ON k1.cell = ps.cell AND k1.gene = ps.gene WHERE k = 1",
 }

@@ -59,14 +59,15 @@ def max_genomic_score(reads: DataFrame, library: str) -> DataFrame:
     return usable_reads(reads, library).filter("ch is null and cigar not like '%N%'").groupBy(F.col("qname").alias("id")).agg(F.max("as_score").alias("score"))
 
 
-def name_junctions(reads: DataFrame, intervals: DataFrame, library: str, stranded: bool = False, suffix: str = "R1", cellranger: bool = True) -> DataFrame:
-    """Alignments with the genes at both ends and their name; unspliced ones have one end and a short name.
+def named_reads(reads: DataFrame, intervals: DataFrame, library: str, stranded: bool = False, cellranger: bool = True) -> DataFrame:
+    """Alignments with the genes at both ends and their name, as ``name_junctions`` has them but without a mate's suffix; ``sample_id`` and ``mate`` are kept.
 
-    Parsed reads are written once; genes are looked up for their distinct ends and joined back, with reads of hot ends left in place.
+    Parsed reads are written once; genes are looked up for their distinct ends and joined back, with reads of hot ends dealt over tasks.
     """
+    kept = [c for c in ("sample_id", "mate") if c in reads.columns]
     at = F.when(F.col("cigar").contains("N"), cigar_junction(F.col("pos"), F.col("cigar")))
     base = reads.select(
-        *[c for c in ("sample_id",) if c in reads.columns], F.col("qname").alias("id"), *barcode_umi(library, cellranger), normalise_chrom(F.col("rname")).alias("chr"),
+        *kept, F.col("qname").alias("id"), *barcode_umi(library, cellranger), normalise_chrom(F.col("rname")).alias("chr"),
         strand_from_flag(F.col("flag")).alias("read_strand"), primary(F.col("flag")).alias("primary"), F.col("cigar").contains("N").alias("spliced"), F.col("pos"), at.alias("at"),
     ).withColumns({"a": F.when(F.col("spliced"), F.col("at.posA")).otherwise(F.col("pos")), "b": F.col("at.posB")}).filter("not spliced or at is not null")
     base = cut(base.drop("at"))
@@ -77,13 +78,23 @@ def name_junctions(reads: DataFrame, intervals: DataFrame, library: str, strande
         base = lookup(base, here, ["chr", end, "read_strand"], "left")
     long = make_name(F.col("chr"), F.col("gene_a"), F.col("a"), F.col("strand_a"), F.col("chr"), F.col("gene_b"), F.col("b"), F.col("strand_b"), F.lit("lin"))
     short = F.concat_ws(":", "chr", "gene_a", "strand_a")
-    return base.select(
-        *[c for c in ("sample_id",) if c in reads.columns], "id", F.when(F.col("spliced"), long).otherwise(short).alias(f"refName_AB{suffix}"), "UMI", "barcode",
+    return base.withColumn("name", F.when(F.col("spliced"), long).otherwise(short))
+
+
+def as_mate(named: DataFrame, suffix: str = "R1") -> DataFrame:
+    """``named_reads`` under the column names of the first or second mate."""
+    return named.select(
+        *[c for c in ("sample_id", "mate") if c in named.columns], "id", F.col("name").alias(f"refName_AB{suffix}"), "UMI", "barcode",
         F.col("primary").alias(f"primary{suffix}"), F.col("read_strand").alias(f"read_strand{suffix}"), F.col("a").alias(f"juncPos{suffix}A"), F.col("b").alias(f"juncPos{suffix}B"),
         F.col("gene_a").alias(f"gene{suffix}A"), F.col("gene_b").alias(f"gene{suffix}B"), F.col("chr").alias(f"chr{suffix}A"), F.when(F.col("spliced"), F.col("chr")).alias(f"chr{suffix}B"),
     )
 
 
+def name_junctions(reads: DataFrame, intervals: DataFrame, library: str, stranded: bool = False, suffix: str = "R1", cellranger: bool = True) -> DataFrame:
+    """Alignments with the genes at both ends and their name; unspliced ones have one end and a short name."""
+    return as_mate(named_reads(reads.drop("mate"), intervals, library, stranded, cellranger), suffix)
+
+
 def mate_candidates(mates: DataFrame, first: DataFrame) -> DataFrame:
     """Mapped, primary second mates, spliced or not, of reads in ``first``."""
     chosen = mates.filter("ch is null").filter((F.col("flag").bitwiseAND(4) == 0) & primary(F.col("flag")))
@@ -101,7 +112,7 @@ def location_flag() -> Column:
 
 def pair_reads(first: DataFrame, second: DataFrame) -> DataFrame:
     """All first mates with their second mates, and whether strands and places go together."""
-    keys = ["id", *[c for c in ("sample_id",) if c in first.columns]]
+    keys = ["id", *[c for c in ("sample_id", "mate") if c in first.columns and c in second.columns]]
     out = first.join(second.drop("UMI", "barcode"), keys, "left")
     apart = F.when(F.col("read_strandR1") == F.col("read_strandR2"), 0).otherwise(1)
     return out.withColumns({"read_strand_compatible": apart, "location_compatible": location_flag()})
@@ -112,12 +123,12 @@ def class_input(aligned: DataFrame, gtf: DataFrame, library: str, stranded: bool
     intervals = gene_intervals(gtf)
     if library != "SS2":
         return name_junctions(spliced_reads(aligned, library), intervals, library, stranded).filter("primaryR1")
-    rounds = []
-    for one, two in ((1, 2), (2, 1)):
-        first = name_junctions(spliced_reads(aligned.filter(F.col("mate") == one), library), intervals, library, stranded)
-        second = name_junctions(mate_candidates(aligned.filter(F.col("mate") == two), first), intervals, library, stranded, "R2")
-        rounds.append(pair_reads(first, second).filter("primaryR1"))
-    return rounds[0].unionByName(rounds[1])
+    # both mates are parsed and named once; each spliced one meets the other mate of its read in one join
+    mapped = usable_reads(aligned, library).filter("ch is null and mate in (1, 2)").filter(F.col("cigar").contains("N") | primary(F.col("flag")))
+    named = cut(named_reads(mapped, intervals, library, stranded))
+    first = as_mate(named.filter("spliced and primary"))
+    second = as_mate(named.filter("primary"), "R2").withColumn("mate", (3 - F.col("mate")).cast(dict(named.dtypes)["mate"]))
+    return pair_reads(first, second).drop("mate")
 
 
 def chimeric_junctions(reads: DataFrame, intervals: DataFrame, stranded: bool = False) -> DataFrame:

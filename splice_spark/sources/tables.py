@@ -67,9 +67,30 @@ def convert_table(spark: SparkSession, source: str, target: str) -> None:
     write_tsv(df, target) if target.rstrip("/").endswith((".tsv", ".txt")) else df.write.mode("overwrite").parquet(target)
 
 
-def write_by_chromosome(junctions: DataFrame, path: str) -> None:
-    """Called rows, a folder for each chromosome."""
-    junctions.filter("called = 1").write.mode("overwrite").partitionBy("chrR1A").parquet(path)
+#: Rows of a file of cell rows, some hundred MB at most.
+FILE_ROWS = 2_000_000
+
+
+def planned_files(df: DataFrame, by: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """``df`` dealt for a write in folders by ``by``: each value's rows, which are counted, go by hash to as many files as they need, or fewer where hashes meet."""
+    counts = df.groupBy(by).agg(F.ceil(F.count("*") / file_rows).cast("int").alias("files__"))
+    counts = cut(counts)
+    total = counts.agg(F.sum("files__")).first()[0] or 1
+    sized = lookup(df, counts.filter(F.col(by).isNotNull()), [by], "left")
+    nulls = F.lit((counts.filter(F.col(by).isNull()).first() or {"files__": 1})["files__"])
+    atoms = [c for c, kind in df.dtypes if "map<" not in kind]
+    dealt = sized.withColumn("salt__", F.pmod(F.xxhash64(*atoms), F.coalesce("files__", nulls)))
+    return dealt.repartition(int(total), by, "salt__").drop("files__", "salt__")
+
+
+def spread_files(df: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """``df`` dealt over as many files as its counted rows need."""
+    return df.repartition(max(1, -(-df.count() // file_rows)))
+
+
+def write_by_chromosome(junctions: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+    """Called rows, a folder for each chromosome, with files of about ``file_rows`` rows whatever wrote them."""
+    planned_files(junctions.filter("called = 1"), "chrR1A", file_rows).write.mode("overwrite").partitionBy("chrR1A").parquet(path)
 
 
 def read_samplesheet(spark: SparkSession, path: str, library: str) -> DataFrame:
@@ -152,9 +173,10 @@ def read_alignments(spark: SparkSession, *paths: str, keep: dict[str, F.Column]
 
 
 def write_scores(scores: DataFrame, rows: DataFrame, folder: str) -> None:
-    """Scores by cell and gene as text, junction rows as Parquet."""
-    write_tsv(scores, f"{folder}/scores.tsv")
-    rows.write.mode("overwrite").parquet(f"{folder}/junctions.parquet")
+    """Scores by cell and gene as text, junction rows as Parquet, in files of about ``FILE_ROWS`` rows."""
+    scores, rows = cut(scores), cut(rows)  # counted, and written
+    write_tsv(spread_files(scores), f"{folder}/scores.tsv")
+    spread_files(rows).write.mode("overwrite").parquet(f"{folder}/junctions.parquet")
 
 
 def write_loadings(loadings: DataFrame, folder: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from splice_spark.functions import joins, ordering, stats
 from splice_spark.functions.quantiles import grouped_medians
-from splice_spark.operators import annotate, counts, differential, permutation, svd
+from splice_spark.operators import annotate, counts, differential, permutation, reads, svd
 from splice_spark.sources import tables
 
 
@@ -167,3 +167,24 @@ def test_bounds_and_junctions_of_an_annotation(spark):
     assert {tuple(r) for r in annotate.known_splices(gtf).collect()} == {("chr1", 200, 300), ("chr1", 400, 500), ("chr1", 200, 500)}
     bounds = {tuple(r) for r in annotate.exon_bounds(gtf).collect()}
     assert ("chr1", 1000) not in bounds and {("chr1", 5), ("chr1", 9), ("chr2", 950), ("chr1", 350)} <= bounds
+
+
+def test_files_follow_counted_rows(spark, tmp_path):
+    """About as many files a chromosome as its rows need, from whatever partitions they come, nulls too."""
+    sizes = {"chr1": 950, "chr2": 120, "chrUn": 3, None: 210}
+    rows = [(c, 1, k) for c, n in sizes.items() for k in range(n)] + [("chr1", 0, -1)]
+    frame = spark.createDataFrame(rows, "chrR1A string, called int, k long").repartition(7)
+    tables.write_by_chromosome(frame, str(tmp_path / "w"), 100)
+    back = spark.read.parquet(str(tmp_path / "w"))
+    assert back.count() == len(rows) - 1
+    for c, n in sizes.items():
+        files = list((tmp_path / "w" / f"chrR1A={c or '__HIVE_DEFAULT_PARTITION__'}").glob("*.parquet"))
+        assert -(-n // 200) <= len(files) <= -(-n // 100), c
+
+
+def test_mates_that_may_pair(spark):
+    """Second mates of named reads only: mapped, primary and not chimeric."""
+    row = lambda q, flag, ch=None: (q, flag, ch)
+    mates = spark.createDataFrame([row("a", 0), row("a", 4), row("a", 256), row("a", 0, "1"), row("b", 0)], "qname string, flag int, ch string")
+    first = spark.createDataFrame([("a",), ("a",)], "id string")
+    assert [tuple(r) for r in reads.mate_candidates(mates, first).collect()] == [("a", 0, None)]
