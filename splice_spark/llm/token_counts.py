@@ -4,17 +4,20 @@ Offline, once for a vocabulary, every token string is proved or refused: it is
 proved if it is one pre-token and the library encodes it alone as that one
 token.  A pre-token that is a proved string counts one, with no merging; only
 the rest is merged by the library, each string once while it stays in a
-bounded cache.  The proof is bounded by the vocabulary and is redone by any
-task that starts afresh.
-
-Nulls and edges: a null or empty text has 0 bytes and 0 tokens; a special
-token's string inside a text counts as that token, as the library does by
-default; each row gives a row.
+bounded cache.  The proof is a Spark job over the vocabulary (``prove``), stored
+under the digest of its file and read by every later run that names the same
+store; tasks get the proved strings, of which there are no more than tokens.
+
+Nulls and edges: a null or empty text has 0 bytes and 0 tokens, a null id stays
+null; a special token's string inside a text counts as that token, as the
+library does by default; each row gives a row, repeated ones too, and an empty
+table none; very long texts are counted whole.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 from collections.abc import Iterator
 
@@ -25,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from splice_spark.functions.lineage import shared_folder
+
 from .common import id_text, ids_and_bytes, read_table, trimmed
 
 #: The pre-token pattern of byte-level vocabularies (a fixed value).
@@ -46,15 +51,38 @@ def load(path: str) -> tuple[Tokenizer, list[str]]:
     return tokenizer, [t["content"] for t in parts["added_tokens"]]
 
 
-@functools.lru_cache(2)
-def proved(path: str) -> frozenset[str]:
-    """Vocabulary strings that are one pre-token and encode alone as one token."""
+def proved(path: str, ids: list[int]) -> dict[int, str]:
+    """Strings of those of the tokens ``ids`` that are one pre-token and encode alone as that one token."""
     tokenizer, special = load(path)
     split = regex.compile(BYTE_LEVEL).findall
-    strings = {i: tokenizer.decode([i], skip_special_tokens=False) for i in range(tokenizer.get_vocab_size())}
+    strings = {i: tokenizer.decode([i], skip_special_tokens=False) for i in ids}
     whole = [(i, s) for i, s in strings.items() if s not in special and split(s) == [s]]
     found = tokenizer.encode_batch([s for _, s in whole], add_special_tokens=False)
-    return frozenset(s for (i, s), e in zip(whole, found, strict=True) if e.ids == [i])
+    return {i: s for (i, s), e in zip(whole, found, strict=True) if e.ids == [i]}
+
+
+def _prove(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = proved(path, batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], names=["id", "token"])
+
+    return run
+
+
+def prove(spark: SparkSession, path: str, store: str | None = None) -> DataFrame:
+    """``id, token`` of the proved tokens of a vocabulary: read from ``store``, or proved by a job and stored there first.
+
+    Without ``store`` the folder of this application serves, so that a vocabulary is proved once an application.
+    """
+    with open(path, "rb") as f:
+        digest = hashlib.sha256(f.read()).hexdigest()
+    folder = f"{store or shared_folder(spark)}/proved-{digest}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not done.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(done):
+        ids = spark.range(load(path)[0].get_vocab_size())
+        ids.mapInArrow(trimmed(_prove(path)), "id long, token string").write.mode("overwrite").parquet(folder)
+    return spark.read.schema("id long, token string").parquet(folder)
 
 
 def _splits_alike(tokenizer: Tokenizer, char: str) -> bool:
@@ -63,10 +91,10 @@ def _splits_alike(tokenizer: Tokenizer, char: str) -> bool:
     return len(tokenizer.pre_tokenizer.pre_tokenize_str(text)) == len(regex.findall(BYTE_LEVEL, text))
 
 
-def _count(path: str):
+def _count(path: str, one: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, special = load(path)
-        one, split, merged = proved(path), regex.compile(BYTE_LEVEL).findall, {}
+        split, merged = regex.compile(BYTE_LEVEL).findall, {}
         seen: set[str] = set()
         odd: set[str] = set()
         between = regex.compile("|".join(map(regex.escape, special))).split if special else lambda t: [t]
@@ -95,10 +123,11 @@ def _count(path: str):
     return run
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens`` of each row; no shuffle."""
+def count_tokens(docs: DataFrame, tokenizer_path: str | None = None, store: str | None = None) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens`` of each row; no shuffle.  ``store`` is a folder for proofs that outlives the application."""
     path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
-    return id_text(docs).mapInArrow(trimmed(_count(path)), "doc_id long, n_bytes long, n_tokens long")
+    one = frozenset(r["token"] for r in prove(docs.sparkSession, path, store).collect())  # a row a token of the vocabulary at most
+    return id_text(docs).mapInArrow(trimmed(_count(path, one)), "doc_id long, n_bytes long, n_tokens long")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str, limit: int = 512) -> DataFrame:
