@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splice_spark.functions.lineage import cut
 
-#: Broadcast up to so many bytes, reckoned at 8 a number and 40 a string.
+#: Broadcast up to so many bytes, as ``counted_bytes`` counts them.
 BROADCAST_BYTES = 64 << 20
 #: A key with one in so many rows, or more, is hot: there are as many hot keys at most, and each is dealt over ``SALTS`` tasks.
 SHARE, SALTS = 256, 64
@@ -15,9 +15,14 @@ SHARE, SALTS = 256, 64
 COUNTERS = 4096
 
 
-def reckoned_bytes(table: DataFrame) -> int:
-    each = sum(40 if kind == "string" else 8 for _, kind in table.dtypes) + 16
-    return table.count() * each
+def counted_bytes(table: DataFrame) -> int:
+    """Bytes of all rows: of strings their own, 8 a number or element of an array, and 16 a column and row beside."""
+
+    def size(name: str, kind: str) -> Column:
+        value = F.octet_length(name) if kind in ("string", "binary") else 8 * F.size(name) if kind.startswith("array") else F.lit(8)
+        return F.coalesce(value.cast("long"), F.lit(0)) + 16
+
+    return table.agg(F.sum(sum((size(f"`{c}`", k) for c, k in table.dtypes), F.lit(0)))).first()[0] or 0
 
 
 def hot_hashes(rows: DataFrame, keys: list[str], share: int = SHARE) -> list[int]:
@@ -33,11 +38,11 @@ def hot_hashes(rows: DataFrame, keys: list[str], share: int = SHARE) -> list[int
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``rows`` joined with ``table``, which has one row a key; ``how`` is inner or left.
 
-    The table is written first.  If it is small, by its counted rows, it is broadcast.  Else both sides are shuffled, once; rows of hot keys
+    The table is written first.  If it is small, by its counted bytes, it is broadcast.  Else both sides are shuffled, once; rows of hot keys
     are dealt over ``SALTS`` tasks by a hash of the whole row, to each of which the table's row of that key is sent.
     """
     table = cut(table)
-    if reckoned_bytes(table) <= most_bytes:
+    if counted_bytes(table) <= most_bytes:
         return rows.join(F.broadcast(table), keys, how)
     hot = hot_hashes(rows, keys)
     if not hot:

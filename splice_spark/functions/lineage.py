@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,17 +17,28 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
-    return f"{folder.rstrip('/')}/{sc.applicationId}"
+    own = f"{folder.rstrip('/')}/{sc.applicationId}"
+    if own not in _own:
+        _own.add(own)
+        atexit.register(_leave, spark._jvm.org.apache.hadoop.fs.Path(own), spark._jsparkSession.sessionState().newHadoopConf())
+    return own
 
 
+_own: set[str] = set()
 _written: list[str] = []
 
 
+def _leave(path, conf) -> None:
+    """Delete the application's own folder when the driver ends: nothing else reads it.  A driver that is killed leaves it."""
+    with suppress(Exception):  # the JVM may be gone
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: computed once, and safe from lost executors."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
