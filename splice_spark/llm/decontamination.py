@@ -1,15 +1,17 @@
 """Benchmark decontamination on a distributed positional inverted index.
 
 Index.  It is split by document: a shard is a run of documents of a partition,
-one row with the shard's terms and, for each, the rising positions at which it
-stands.  It is stored as a table in the shared folder and searched from there;
-for one benchmark it holds that benchmark's terms only, which is the selection
-pushed into the index.  Counts of terms in all documents are an aggregate of it.
+one row with all the shard's terms and, for each, the gaps between the rising
+positions at which it stands.  It is stored as a table in the shared folder; the
+documents are read once, to build it, and every search reads the index alone,
+whatever the benchmark's size (``build_index``, then ``search_index`` as often as
+wanted).  The filter ``keep_clean``, which searches once and then drops its index,
+stores the terms of a benchmark of one part only.
 
 Phrases.  A shard is searched from its lists alone.  The terms of a phrase are
-taken from the one that is rarest in all documents: the positions in its list,
-less its offset, are the candidate starts, which are intersected with the
-offset-adjusted lists of the other terms, the next rarest first.
+taken from the one that is rarest in all documents, found once for each phrase:
+the positions in its list, less its offset, are the candidate starts, which are
+intersected with the offset-adjusted lists of the other terms, the next rarest first.
 
 Proximity.  The ``need`` rarest terms of an item (of those that occur, by their
 counts in all documents) must stand within ``slop`` words of one document; every
@@ -18,8 +20,8 @@ window around an occurrence of the rarest is looked at, whatever the shards are.
 Benchmark.  Its texts are cut by Spark into pieces of at most ``piece_words``
 words, which overlap so that no phrase is lost.  Pieces are sent to all tasks as
 term numbers and a vocabulary, about as large as the text, in parts of at most
-``most_bytes`` of text; a larger benchmark is searched part by part, and the
-parts' hits are merged by document.
+``most_bytes`` of text; a larger benchmark is searched part by part in the same
+index, and the parts' hits are merged by place in the index.
 
 Nulls and edges: a null text has no words; an item without words matches
 nothing; repeated items count once by item_id; each document row gives a row,
@@ -46,8 +48,8 @@ from .common import ROW, cut, doc_chunks, id_text, ids_and_bytes, numbered, read
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _AT_ONCE = 1 << 22
 
-INDEX = "shard long, doc_ids array<long>, n_words array<long>, terms array<binary>, counts array<long>, positions array<int>"
-FOUND = "doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<long>, near array<struct<item:long,start:long,end:long>>"
+INDEX = "shard long, doc_ids array<long>, n_words array<long>, terms array<binary>, counts array<long>, gaps array<int>"
+FOUND = "shard long, place int, doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<long>, near array<struct<item:long,start:long,end:long>>"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -71,10 +73,13 @@ def _index(terms: list[bytes] | None, size: int):
             at = np.flatnonzero(seq >= 0)
             at = at[np.argsort(seq[at], kind="stable")]
             counts = np.bincount(seq[at], minlength=len(numbers))
+            gaps = np.diff(at, prepend=0)
+            begins = (np.cumsum(counts) - counts)[counts > 0]
+            gaps[begins] = at[begins]  # a term's first gap is its first position
             names = list(numbers)
             yield pa.RecordBatch.from_pydict(
-                {"shard": [base + k], "doc_ids": [ids], "n_words": [lens], "terms": [[names[i] for i in np.flatnonzero(counts).tolist()]], "counts": [counts[counts > 0]], "positions": [at.astype(np.int32)]},
-                pa.schema([("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))]),
+                {"shard": [base + k], "doc_ids": [ids], "n_words": [lens], "terms": [[names[i] for i in np.flatnonzero(counts).tolist()]], "counts": [counts[counts > 0]], "gaps": [gaps.astype(np.int32)]},
+                pa.schema([("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("gaps", pa.list_(pa.int32()))]),
             )
 
     return run
@@ -124,7 +129,7 @@ def rarest_terms(pieces: DataFrame, counts: DataFrame, need: int) -> DataFrame:
 
 @dataclass
 class Phrases:
-    """A part of the benchmark as term numbers: pieces in a row, where each begins, and its item; terms' places by count; terms to be near."""
+    """A part of the benchmark as term numbers: pieces in a row, where each begins, and its item; terms' places by count; terms to be near; by length, where phrases begin and their rarest term's offset."""
 
     terms: list[bytes]
     seq: np.ndarray
@@ -132,6 +137,7 @@ class Phrases:
     items: list
     rarity: np.ndarray
     near: list[tuple[int | None, np.ndarray]]
+    tables: list[tuple[int, np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, pieces: list[tuple[int | None, bytes]], near: list[tuple[int | None, list[str]]]) -> Phrases:
@@ -141,17 +147,22 @@ class Phrases:
             for w in words:
                 numbers.setdefault(w.encode(), len(numbers))
         first = np.cumsum([0, *map(len, seqs)])
-        out = cls(list(numbers), np.concatenate(seqs) if seqs else np.zeros(0, np.int32), first, [i for i, _ in pieces], np.zeros(len(numbers), np.int32), [])
-        out.near = out.numbered(near)
-        return out
+        close = [(i, np.array([numbers[w.encode()] for w in words], np.int64)) for i, words in near]
+        return cls(list(numbers), np.concatenate(seqs) if seqs else np.zeros(0, np.int32), first, [i for i, _ in pieces], np.zeros(len(numbers), np.int32), close, [])
 
-    def numbered(self, near: list[tuple[int | None, list[str]]]) -> list[tuple[int | None, np.ndarray]]:
-        numbers = {t: k for k, t in enumerate(self.terms)}
-        return [(i, np.array([numbers[w.encode()] for w in words], np.int64)) for i, words in near]
-
-    def rank_by(self, counts: dict[bytes, int]) -> None:
-        """Places of the terms by their counts in all documents, the rarest first."""
+    def rank_by(self, counts: dict[bytes, int], window: int) -> None:
+        """Places of the terms by their counts in all documents, the rarest first, and the rarest of each phrase."""
         self.rarity[np.lexsort((np.arange(len(self.terms)), [counts.get(t, 0) for t in self.terms]))] = np.arange(len(self.terms), dtype=np.int32)
+        self.tables = [(n, begin, self._rarest(n, begin)) for n, begin in self.by_length(window)]
+
+    def _rarest(self, n: int, begin: np.ndarray) -> np.ndarray:
+        offset = np.zeros(len(begin), np.int8 if n < 128 else np.int32)
+        rarest = np.full(len(begin), np.iinfo(np.int32).max, np.int32)
+        for k in range(n):
+            here = self.rarity[self.seq[begin + k]]
+            offset[here < rarest] = k
+            rarest = np.minimum(rarest, here)
+        return offset
 
     def by_length(self, window: int) -> Iterator[tuple[int, np.ndarray]]:
         """Phrase lengths, and where phrases of each begin: whole pieces, or all windows of the longer ones."""
@@ -170,8 +181,10 @@ class _Shard:
         self.n = int(self.ends[-1]) if len(self.ends) else 0
         known = np.array([terms.get(t, -1) for t in row["terms"]], np.int64)
         counts = np.asarray(row["counts"], np.int64)
-        keys = np.repeat(known, counts) << 32 | np.asarray(row["positions"], np.int64)
-        self.keys = np.sort(keys[np.repeat(known, counts) >= 0])
+        at, begins = np.cumsum(np.asarray(row["gaps"], np.int64)), np.cumsum(counts) - counts
+        at -= np.repeat(at[begins] - np.asarray(row["gaps"], np.int64)[begins], counts)
+        ours = np.repeat(known, counts)
+        self.keys = np.sort(ours[ours >= 0] << 32 | at[ours >= 0])
         self.counts = np.bincount(known[known >= 0], weights=counts[known >= 0], minlength=len(terms)).astype(np.int64)
         self.starts = np.cumsum(self.counts) - self.counts
 
@@ -186,15 +199,9 @@ class _Shard:
         keys = terms.astype(np.int64) << 32 | at
         return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] == keys
 
-    def find(self, phrases: Phrases, n: int, begin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Of phrases of ``n`` terms from ``begin`` on: those that occur and their start positions, an element for each occurrence."""
-        lists = np.zeros(len(begin), np.int8 if n < 128 else np.int32)
-        rarest = np.full(len(begin), np.iinfo(np.int32).max, np.int32)
-        for k in range(n):  # where the rarest term of each phrase stands
-            here = phrases.rarity[phrases.seq[begin + k]]
-            lists[here < rarest] = k
-            rarest = np.minimum(rarest, here)
-        sizes = self.counts[phrases.seq[begin + lists]]
+    def find(self, phrases: Phrases, n: int, begin: np.ndarray, rarest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of phrases of ``n`` terms from ``begin`` on, whose rarest terms are at the offsets ``rarest``: those that occur and their start positions, an element for each occurrence."""
+        sizes = self.counts[phrases.seq[begin + rarest]]
         live = np.flatnonzero(sizes)
         groups = np.cumsum(sizes[live] + 32) // _AT_ONCE
         for g in np.unique(groups):
@@ -238,23 +245,22 @@ class _Shard:
         return low[ok], low[ok] + size[ok] - 1
 
 
-def _search(phrases: Phrases, window: int, slop: int):
+def _search(phrases: Phrases, slop: int):
     span = [("start", pa.int64()), ("end", pa.int64())]
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct(span))), ("items", pa.list_(pa.int64())), ("near", pa.list_(pa.struct([("item", pa.int64()), *span])))])
+    schema = pa.schema([("shard", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct(span))), ("items", pa.list_(pa.int64())), ("near", pa.list_(pa.struct([("item", pa.int64()), *span])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = {t: k for k, t in enumerate(phrases.terms)}
-        tables = list(phrases.by_length(window))
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k] for c in batch.schema.names}
-                row = {c: v.values.to_numpy() if c == "positions" else v.as_py() for c, v in row.items()}
+                row = {c: v.values.to_numpy() if c == "gaps" else v.as_py() for c, v in row.items()}
                 shard = _Shard(row, terms)
                 mark = np.zeros(shard.n + 1, np.int32)
                 items: list[set] = [set() for _ in row["doc_ids"]]
                 close: list[list] = [[] for _ in row["doc_ids"]]
-                for n, begin in tables if len(shard.keys) else ():
-                    for p, at in shard.find(phrases, n, begin):
+                for n, begin, rarest in phrases.tables if len(shard.keys) else ():
+                    for p, at in shard.find(phrases, n, begin, rarest):
                         np.add.at(mark, at, 1)
                         np.add.at(mark, at + n, -1)
                         owner = np.searchsorted(phrases.first, p, "right") - 1
@@ -271,60 +277,69 @@ def _search(phrases: Phrases, window: int, slop: int):
                 for lo, hi in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
                     edges = np.flatnonzero(np.diff(hit[lo:hi], prepend=False, append=False)).tolist() if hi > lo else []
                     spans.append([{"start": a, "end": b} for a, b in zip(edges[0::2], edges[1::2], strict=True)])
-                yield pa.RecordBatch.from_pydict({"doc_id": row["doc_ids"], "n_words": row["n_words"], "hits": spans, "items": [sorted(x, key=str) for x in items], "near": close}, schema)
+                docs = len(row["doc_ids"])
+                yield pa.RecordBatch.from_pydict({"shard": [row["shard"]] * docs, "place": range(docs), "doc_id": row["doc_ids"], "n_words": row["n_words"], "hits": spans, "items": [sorted(x, key=str) for x in items], "near": close}, schema)
 
     return run
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts in doc_chunks(batches, 4 << 20):
-        counts: dict[bytes, int] = {}
-        for t in texts:
-            for w in words_of(t):
-                counts[w] = counts.get(w, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
-
-
-def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, need: int = 5, slop: int = 20, most_bytes: int = 8 << 20, shard_bytes: int = 4 << 20) -> DataFrame:
+def search_index(index: DataFrame, benchmark: DataFrame, window: int = 13, need: int = 5, slop: int = 20, most_bytes: int = 8 << 20) -> DataFrame:
     """Of each document row ``doc_id, n_words, hits array<struct<start,end>>`` (merged word spans of phrases)``, items
-    array<bigint>`` (with phrases)``, near array<struct<item,start,end>>``.
+    array<bigint>`` (with phrases)``, near array<struct<item,start,end>>``, from a stored index alone.
 
     A phrase is ``window`` consecutive words of an item, or all of a shorter item.  ``near`` has an element for each
     occurrence of the rarest of the ``need`` rarest terms of an item with all of them in ``slop`` words: the shortest such
     window, the leftmost of equal ones; with ``need`` 0 it is empty.
     """
-    pieces = cut(cut_items(benchmark, window))
-    size = pieces.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    n = math.ceil(1.25 * size / most_bytes) if size > most_bytes else 1
-    rows, close, found = id_text(docs), None, None
-    if n > 1:  # parts meet by row number, whatever the partitions of each scan
-        rows = cut(numbered(rows))
-        if need:
-            close = cut(rarest_terms(pieces, rows.select("doc_id", "text").mapInArrow(trimmed(_count_words), "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")), need))
+    return _search_pieces(index, cut(cut_items(benchmark, window)), window, need, slop, most_bytes)
+
+
+def _search_pieces(index: DataFrame, pieces: DataFrame, window: int, need: int, slop: int, most_bytes: int) -> DataFrame:
+    n = max(1, math.ceil(_parts(pieces, most_bytes)))
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(n)))
+    words = cut(pieces.select("part", F.explode(F.split(F.col("words").cast("string"), " ").cast("array<binary>")).alias("term")).distinct())
+    counts = cut(term_counts(index).join(words.select("term").distinct(), "term", "left_semi"))
+    close = cut(rarest_terms(pieces, counts, need).withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(n)))) if need else None
+    found = []
     for k in range(n):
-        mine = lambda some, *by, k=k: some if n == 1 else some.filter(F.pmod(F.xxhash64(*by), F.lit(n)) == k)
-        some = [(r[0], bytes(r[1])) for r in mine(pieces, "item_id", "words").collect()]
-        near = [tuple(r) for r in mine(close, "item_id").collect()] if close is not None else []
+        mine = F.col("part") == k
+        some = [(r[0], bytes(r[1])) for r in pieces.filter(mine).select("item_id", "words").collect()]
+        near = [tuple(r) for r in close.filter(mine).select("item_id", "terms").collect()] if need else []
         phrases = Phrases.of(some, near)
-        index = build_index(rows if n == 1 else rows.select(F.col(ROW).alias("doc_id"), "text"), phrases.terms, shard_bytes)
-        counts = term_counts(index)
-        if n == 1 and need:
-            counts = cut(counts)
-            phrases.near = phrases.numbered([tuple(r) for r in rarest_terms(pieces, counts, need).collect()])
-        phrases.rank_by({bytes(r[0]): r[1] for r in counts.collect()})  # a row for each word of the part at most
-        here = index.mapInArrow(trimmed(_search(phrases, window, slop)), FOUND)
+        phrases.rank_by({bytes(r[0]): r[1] for r in counts.join(words.filter(mine), "term").select("term", "n").collect()}, window)  # a row for each word of the part at most
+        here = index.mapInArrow(trimmed(_search(phrases, slop)), FOUND)
         if n == 1:
-            return here
-        here = cut(here.withColumnRenamed("doc_id", ROW))
-        found = here if found is None else found.unionByName(here)
+            return here.drop("shard", "place")
+        found.append(cut(here.filter("size(hits) + size(near) > 0")))
+    return _merged(index, found)
+
+
+def _parts(pieces: DataFrame, most_bytes: int) -> float:
+    """Parts of the benchmark that are searched one by one; 1 if it is no larger than ``most_bytes``."""
+    size = pieces.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    return 1.25 * size / most_bytes if size > most_bytes else 1
+
+
+def _merged(index: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """A row for each document row of the index, with what the parts found in it."""
+    names = ["shard", "place", "doc_id", "n_words", "hits", "items", "near"]
+    each = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("place", "d")).select("shard", "place", F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").alias("n_words"))
+    rows = each.withColumns({c: F.array().cast(found[0].schema[c].dataType) for c in names[4:]})
+    for more in found:
+        rows = rows.unionByName(more)
     spans = F.array_sort(F.flatten(F.collect_list("hits")))
     merged = F.aggregate(
         spans,
         F.array().cast("array<struct<start:bigint,end:bigint>>"),
         lambda out, s: F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] >= s["start"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.try_element_at(out, F.lit(-1))["start"].alias("start"), F.greatest(F.try_element_at(out, F.lit(-1))["end"], s["end"]).alias("end"))))).otherwise(F.concat(out, F.array(s))),
     )
-    each = found.groupBy(ROW).agg(F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("near")).alias("near"))
-    return rows.select(ROW, "doc_id").join(each, ROW).select("doc_id", "n_words", "hits", "items", "near")
+    once = rows.groupBy("shard", "place").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), merged.alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("near")).alias("near"))
+    return once.select(*names[2:])
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, window: int = 13, need: int = 5, slop: int = 20, most_bytes: int = 8 << 20, shard_bytes: int = 4 << 20) -> DataFrame:
+    """``search_index`` of the documents' index, which is built and stored first."""
+    return search_index(build_index(docs, shard_bytes=shard_bytes), benchmark, window, need, slop, most_bytes)
 
 
 def find_near(docs: DataFrame, benchmark: DataFrame, need: int = 5, slop: int = 20, **sizes: int) -> DataFrame:
@@ -343,10 +358,15 @@ def with_verdict(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", n_hit).withColumn("contaminated", contaminated(F.col("n_hit"), F.col("n_words")))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, most_bytes: int = 8 << 20) -> DataFrame:
     """Rows of ``docs``, with all their columns, that aren't contaminated."""
-    rows = cut(numbered(docs))
-    found = with_verdict(find_items(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, window, need=0))
+    rows, pieces = cut(numbered(docs)), cut(cut_items(benchmark, window))
+    terms = None
+    if _parts(pieces, most_bytes) == 1:
+        words = pieces.select(F.explode(F.split(F.col("words").cast("string"), " ")).alias("term")).distinct()
+        terms = [r[0].encode() for r in words.collect()]
+    index = build_index(rows.select(F.col(ROW).alias("doc_id"), "text"), terms)
+    found = with_verdict(_search_pieces(index, pieces, window, 0, 0, most_bytes))
     return without_rows(rows, found.filter("contaminated").withColumnRenamed("doc_id", ROW))
 
 
