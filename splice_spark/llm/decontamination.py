@@ -32,12 +32,14 @@ rows per partition when a task is run again.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,13 +63,13 @@ def _index(terms: list[bytes] | None, size: int):
         base = TaskContext.get().partitionId() << 24
         fixed = None if terms is None else {t: n for n, t in enumerate(terms)}
         for k, (ids, texts) in enumerate(doc_chunks(batches, size)):
-            numbers, found, lens = fixed if fixed is not None else {}, [], []
+            numbers, found, lens = fixed if fixed is not None else defaultdict(), [], []
+            if fixed is None:
+                numbers.default_factory = numbers.__len__  # a new word gets the next number
             for t in texts:
                 words = words_of(t)
-                if fixed is None:
-                    for w in words:
-                        numbers.setdefault(w, len(numbers))
-                found.append(np.fromiter(map(numbers.get, words, repeat(-1)), np.int32, len(words)))
+                known = map(numbers.__getitem__, words) if fixed is None else map(numbers.get, words, repeat(-1))
+                found.append(np.fromiter(known, np.int32, len(words)))
                 lens.append(len(words))
             seq = np.concatenate(found)
             at = np.flatnonzero(seq >= 0)
@@ -176,10 +178,10 @@ class Phrases:
 class _Shard:
     """One row of the index: posting lists by term number, as one rising array of (term, position)."""
 
-    def __init__(self, row: dict, terms: dict[bytes, int]):
+    def __init__(self, row: dict, terms: pa.Array):
         self.ends = np.cumsum(row["n_words"])
         self.n = int(self.ends[-1]) if len(self.ends) else 0
-        known = np.array([terms.get(t, -1) for t in row["terms"]], np.int64)
+        known = pc.fill_null(pc.index_in(pa.array(row["terms"], pa.binary()), terms), -1).to_numpy().astype(np.int64)
         counts = np.asarray(row["counts"], np.int64)
         at, begins = np.cumsum(np.asarray(row["gaps"], np.int64)), np.cumsum(counts) - counts
         at -= np.repeat(at[begins] - np.asarray(row["gaps"], np.int64)[begins], counts)
@@ -250,11 +252,12 @@ def _search(phrases: Phrases, slop: int):
     schema = pa.schema([("shard", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct(span))), ("items", pa.list_(pa.int64())), ("near", pa.list_(pa.struct([("item", pa.int64()), *span])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = {t: k for k, t in enumerate(phrases.terms)}
+        terms = pa.array(phrases.terms, pa.binary())
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k] for c in batch.schema.names}
-                row = {c: v.values.to_numpy() if c == "gaps" else v.as_py() for c, v in row.items()}
+                row |= {c: row[c].values.to_numpy() for c in ("counts", "gaps")} | {"terms": row["terms"].values}
+                row |= {c: row[c].as_py() for c in ("shard", "doc_ids", "n_words")}
                 shard = _Shard(row, terms)
                 mark = np.zeros(shard.n + 1, np.int32)
                 items: list[set] = [set() for _ in row["doc_ids"]]
@@ -273,11 +276,11 @@ def _search(phrases: Phrases, slop: int):
                         for d, a, b in zip(shard.doc_of(low).tolist(), low.tolist(), high.tolist(), strict=True):
                             close[d].append({"item": item, "start": a - int(bounds[d]), "end": b + 1 - int(bounds[d])})
                 hit = np.cumsum(mark[:-1]) > 0
-                spans = []
-                for lo, hi in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
-                    edges = np.flatnonzero(np.diff(hit[lo:hi], prepend=False, append=False)).tolist() if hi > lo else []
-                    spans.append([{"start": a, "end": b} for a, b in zip(edges[0::2], edges[1::2], strict=True)])
                 docs = len(row["doc_ids"])
+                spans: list[list] = [[] for _ in range(docs)]
+                for doc in np.unique(shard.doc_of(np.flatnonzero(hit))).tolist():
+                    edges = np.flatnonzero(np.diff(hit[bounds[doc] : bounds[doc + 1]], prepend=False, append=False)).tolist()
+                    spans[doc] = [{"start": a, "end": b} for a, b in zip(edges[0::2], edges[1::2], strict=True)]
                 yield pa.RecordBatch.from_pydict({"shard": [row["shard"]] * docs, "place": range(docs), "doc_id": row["doc_ids"], "n_words": row["n_words"], "hits": spans, "items": [sorted(x, key=str) for x in items], "near": close}, schema)
 
     return run

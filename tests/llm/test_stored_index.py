@@ -6,6 +6,7 @@ import shutil
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from splice_spark.llm import decontamination as d
 
@@ -53,7 +54,7 @@ def test_index_holds_every_word_and_gives_positions_back(spark):
     index = d.build_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
     assert len(index) == 1 and index[0].doc_ids == [1, 2, 3, 4] and index[0].n_words == [3, 0, 4, 0]
     terms = {bytes(t): k for k, t in enumerate(index[0].terms)}
-    shard = d._Shard({**index[0].asDict(), "gaps": np.array(index[0].gaps)}, terms)
+    shard = d._Shard({**index[0].asDict(), "gaps": np.array(index[0].gaps)}, pa.array([bytes(t) for t in terms]))
     assert {t.decode(): shard.list_of(k).tolist() for t, k in terms.items()} == {"a": [0, 2, 5, 6], "b": [1, 3], "c": [4]}
     assert {bytes(r.term): r.n for r in d.term_counts(spark.createDataFrame(index, d.INDEX)).collect()} == {b"a": 4, b"b": 2, b"c": 1}
 
