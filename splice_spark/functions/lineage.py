@@ -39,11 +39,11 @@ def _leave(path, conf) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: computed once, and safe from lost executors."""
+def cut(df: DataFrame, compression: str = "snappy", **options: str | int) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: computed once, and safe from lost executors.  ``options`` go to the writer."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -48,15 +48,17 @@ def trimmed(run: Callable) -> Callable:
     return whole
 
 
-#: Rows of an Arrow batch: texts are long, and both the JVM and Python hold whole batches.
-BATCH_ROWS = 512
+#: Rows and bytes of an Arrow batch: texts are long, and both the JVM and Python hold whole batches.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch size to ``BATCH_ROWS`` if it is larger."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` and ``BATCH_BYTES``, where they are larger."""
+    rows, size = (f"spark.sql.execution.arrow.max{what}PerBatch" for what in ("Records", "Bytes"))
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    if not spark.conf.get(size).removesuffix("b").isdigit() or int(spark.conf.get(size).removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,6 +100,14 @@ def cut(df: DataFrame) -> DataFrame:
     return lineage.cut(df, "zstd")
 
 
+def cut_long(df: DataFrame, group_rows: int = 4) -> DataFrame:
+    """``cut`` for rows of megabytes: row groups of ``group_rows`` rows.
+
+    Parquet's writer holds 100 rows or more else, whatever their size, and the reader of arrays a row group of up to 4,096 rows.
+    """
+    return lineage.cut(df, "zstd", **{"parquet.block.row.count.limit": group_rows})
+
+
 def join_counted(left: DataFrame, right: DataFrame, key: str, share: int = 256) -> DataFrame:
     """Inner join with ``right``, which has one row a key and, in ``n``, the rows that ``left`` has of it (left out of the result).
 

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, cut, doc_chunks, id_text, ids_and_bytes, numbered, read_table, trimmed, without_rows
+from .common import ROW, cut, cut_long, doc_chunks, id_text, ids_and_bytes, numbered, read_table, trimmed, without_rows
 
 #: Lower-cases A-Z; other ASCII but digits and letters separates words; bytes from 0x80 belong to words.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -89,7 +89,7 @@ def _index(terms: list[bytes] | None, size: int):
 
 def build_index(docs: DataFrame, terms: list[bytes] | None = None, shard_bytes: int = 4 << 20) -> DataFrame:
     """A row a shard, of all words or only of ``terms`` (a list of checked size), stored in the shared folder."""
-    return cut(id_text(docs).mapInArrow(trimmed(_index(terms, shard_bytes)), INDEX))
+    return cut_long(id_text(docs).mapInArrow(trimmed(_index(terms, shard_bytes)), INDEX))
 
 
 def term_counts(index: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 
 from splice_spark.llm import decontamination as d
 
@@ -70,3 +71,15 @@ def test_filter_keeps_the_same_rows_whatever_the_parts(spark):
     for most in (1 << 20, 60):
         kept = d.keep_clean(docs, bench, most_bytes=most)
         assert kept.columns == docs.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == want
+
+
+def test_a_row_group_of_the_index_holds_few_shards(spark, tmp_path):
+    """However many shards a partition has: the writer and the reader hold a row group each."""
+    words = " ".join(f"w{k * 7919 % 100_003}" for k in range(120_000))
+    spark.createDataFrame([(k, words) for k in range(40)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    index = d.build_index(spark.read.parquet(f"{tmp_path}/docs"), shard_bytes=1 << 19)
+    files = [pq.ParquetFile(p.removeprefix("file://")).metadata for p in index.inputFiles()]
+    groups = [f.row_group(k) for f in files for k in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 40
+    assert max(g.total_byte_size for g in groups) < 16 << 20
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")) <= 8 << 20
