@@ -31,6 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 _own: set[str] = set()
 _written: list[str] = []
+_named: dict[str, str] = {}
 
 
 def _leave(path, conf) -> None:
@@ -47,9 +48,21 @@ def cut(df: DataFrame, compression: str = "snappy", **options: str | int) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_buckets(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    """``cut`` of rows dealt by ``keys`` to ``n`` partitions, as a table of so many buckets, which later steps needn't shuffle by these keys."""
+    spark, name = df.sparkSession, f"table_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    _written.append(path)
+    df.write.bucketBy(n, *keys).option("path", path).option("compression", "snappy").saveAsTable(name)
+    _named.setdefault(path, name)
+    return spark.table(name)
+
+
 def delete(spark: SparkSession, *paths: str) -> None:
     """Delete folders of any file system that Spark knows."""
     for path in paths:
+        if path in _named:
+            spark.sql(f"DROP TABLE IF EXISTS {_named.pop(path)}")
         found = spark._jvm.org.apache.hadoop.fs.Path(path)
         found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
 

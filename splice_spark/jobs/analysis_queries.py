@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import cut_dealt, dealt_by
 from splice_spark.functions.lineage import cut
 from splice_spark.jobs.pipeline import Params, analysis_job, score_job
 from splice_spark.jobs.score_queries import MERGED, d6, io_folder, merged, r6
@@ -15,7 +16,7 @@ L1, L2 = "tissue", "compartment"
 
 
 def values(spark: SparkSession, sf_dir: str, svd_type: str = "normdonor") -> DataFrame:
-    return cut(svd.site_values(merged(spark, sf_dir), svd_type))
+    return cut_dealt(svd.site_values(merged(spark, sf_dir), svd_type))
 
 
 def _site_values(svd_type: str):
@@ -62,9 +63,9 @@ def svd_reconstruction(spark, sf_dir):
 def scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Scores of cells and genes with components, and loadings."""
     rows = merged(spark, sf_dir)
-    v = cut(svd.site_values(rows))
+    v = cut_dealt(svd.site_values(rows))
     load = cut(svd.gene_components(v))
-    return cut(svd.add_svd(score.cell_gene_scores(rows, [L1, L2]), v, load)), load
+    return cut_dealt(svd.add_svd(score.cell_gene_scores(rows, [L1, L2]), v, load)), load
 
 
 def svd_scores(spark, sf_dir):
@@ -164,7 +165,7 @@ def summary_dummy(spark, sf_dir):
 
 def pipeline_scores_light(spark, sf_dir):
     """Without the split scores, with a column of metadata that passes through."""
-    named = fixtures.junctions(spark, sf_dir).withColumn("batch", F.concat(F.lit("B"), F.substring("cell", -1, 1)))
+    named = cut(fixtures.junctions(spark, sf_dir)).withColumn("batch", F.concat(F.lit("B"), F.substring("cell", -1, 1)))
     scores, rows, _ = score_job(named, Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2, light=True))
     if split := [c for c in rows.columns if c.endswith("ann") and c != "splice_ann"]:
         raise AssertionError(f"split scores in a light run: {split}")
@@ -172,13 +173,13 @@ def pipeline_scores_light(spark, sf_dir):
 
 
 def pipeline_scores(spark, sf_dir):
-    scores, _, _ = score_job(fixtures.junctions(spark, sf_dir), Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2))
+    scores, _, _ = score_job(cut(fixtures.junctions(spark, sf_dir)), Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2))
     return scores.select("cell", "gene", L1, L2, "ontology", "n_g_Start", "n_g_End", *r6("scZ", "svd_z0", "svd_z1", "svd_z2", "svd_z_sumsq", "f0", "f1", "f2"))
 
 
 def pipeline_diff(spark, sf_dir):
     params = Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2)
-    scores, _, load = score_job(fixtures.junctions(spark, sf_dir), params)
+    scores, _, load = score_job(cut(fixtures.junctions(spark, sf_dir)), params)
     return analysis_job(scores, load, params)[3].select("gene", "level_1", "level_2", "n_cells", "SpliZsites", *r6(*[f"{z}_{a}" for z in differential.SCORES for a in ("median", "pval")]))
 
 

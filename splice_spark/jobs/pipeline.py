@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splice_spark.functions.joins import lookup
+from splice_spark.functions.joins import cut_dealt, dealt_by, lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.operators import annotate, counts, differential, reads, score, sites, svd
 from splice_spark.sources import tables
@@ -58,12 +58,13 @@ def score_job(junctions: DataFrame, params: Params) -> tuple[DataFrame, DataFram
     if not params.light:
         rows = lookup(score.add_split_z(rows, params.pin_z), score.gene_cov(rows), ["gene"])
     rows = score.contributions(rows, params.level_1, params.level_2)
-    rows = cut(rows)
-    values = cut(svd.site_values(rows, params.svd_type))
+    rows = cut_dealt(rows)
+    values = cut_dealt(svd.site_values(rows, params.svd_type))
     loadings = cut(svd.gene_components(values))
     known = {*tables.REQUIRED, "called", "gene", "juncStart", "juncEnd", "dummy"}
     carried = [*levels, "ontology", *[c for c in normal.columns if c not in known and c not in levels]]
-    return svd.add_svd(score.cell_gene_scores(rows, carried), values, loadings), rows, loadings
+    scores = svd.add_svd(score.cell_gene_scores(rows, carried), values, loadings)
+    return scores.drop(*dealt_by(scores)), rows.drop(*dealt_by(rows)), loadings
 
 
 def analysis_job(scores: DataFrame, loadings: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from splice_spark.functions.joins import cut_dealt, deal, lookup
 from splice_spark.functions.lineage import cut, shared_folder
 from splice_spark.operators import score
 from splice_spark.sources import fixtures, tables
@@ -32,11 +33,11 @@ def merged(spark: SparkSession, sf_dir: str, pin_z: float = 0.0) -> DataFrame:
     return score.score_rows(normal(spark, sf_dir), True, BOUNDS, PIN_S, pin_z)
 
 
-def with_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_domains(rows: DataFrame) -> DataFrame:
     """Kept rows with domain columns: every third acceptor has one missing, every fourth donor one inserted."""
     missing = F.when(F.col("juncEnd") % 3000 == 1000, F.concat(F.lit("D"), F.col("juncEnd").cast("string")))
     inserted = F.when(F.col("juncStart") % 4000 == 1000, F.lit("I"))
-    return kept(spark, sf_dir).withColumns({"missing_domains": missing, "domain_insertions": inserted})
+    return rows.withColumns({"missing_domains": missing, "domain_insertions": inserted})
 
 
 def io_folder(spark: SparkSession) -> str:
@@ -146,15 +147,16 @@ def drop_constitutive_clamped(spark, sf_dir):
 
 def domain_change(spark, sf_dir):
     """Of both sides, in one table."""
-    rows = with_domains(spark, sf_dir)
+    rows = with_domains(kept(spark, sf_dir))
     return score.domain_change(rows, "Start").withColumnRenamed("juncStart", "pos").withColumn("side", F.lit("Start")).unionByName(score.domain_change(rows, "End").withColumnRenamed("juncEnd", "pos").withColumn("side", F.lit("End")))
 
 
 def domain_split_z(spark, sf_dir):
-    rows = with_domains(spark, sf_dir)
-    out = score.add_z(score.merge_sides(rows, PIN_S).join(score.gene_sign(named(spark, sf_dir)), "gene"))
+    dealt = deal(named(spark, sf_dir).drop("tissue", "compartment", "splice_ann", "chrR1A", "called"))
+    rows = cut_dealt(with_domains(score.min_reads(score.drop_constitutive(dealt), BOUNDS)))
+    out = score.add_z(lookup(score.merge_sides(rows, PIN_S), score.gene_sign(dealt), ["gene"]))
     for side in score.SIDES:
-        out = out.join(score.domain_change(rows, side).withColumnRenamed("domain_changed", f"domain_{side}"), ["gene", f"junc{side}"], "left")
+        out = lookup(out, score.domain_change(rows, side).withColumnRenamed("domain_changed", f"domain_{side}"), ["gene", f"junc{side}"], "left")
     out = score.add_split_z(out, 0.0, "domain_{side}", ("dom_ch", "dom_unch"))
     return out.select(*ROW, *r6("z_dom_ch", "z_dom_unch"))
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from splice_spark.functions.joins import lookup
+from splice_spark.functions.joins import by_cell, dealt_by, lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.functions.ordering import adjusted_by_rank
 from splice_spark.functions.quantiles import MOST, grouped_medians
@@ -45,9 +45,9 @@ def eligible(scores: DataFrame, level_1: str, level_2: str, min_cells: int = 10)
     Of several rows of a cell and gene it is the least by level 2, level 1 and scores.
     """
     l1 = F.lit("null") if level_1 == "dummy" else F.col(level_1).cast("string")
-    plain = scores.select("cell", "gene", F.col(level_2).cast("string").alias("level_2"), l1.alias("level_1"), *SCORES)
-    one = least_rows(plain, ["cell", "gene"])
-    large = one.groupBy("level_2", "gene").agg(F.count_distinct("cell").alias("n")).filter(F.col("n") > min_cells).select("level_2", "gene")
+    plain = scores.select("cell", "gene", F.col(level_2).cast("string").alias("level_2"), l1.alias("level_1"), *SCORES, *dealt_by(scores))
+    one = least_rows(plain, by_cell(plain)).drop(*dealt_by(plain))
+    large = one.groupBy("level_2", "gene").agg(F.count("cell").alias("n")).filter(F.col("n") > min_cells).select("level_2", "gene")
     return lookup(one.filter("level_2 is not null"), large, ["level_2", "gene"])
 
 
@@ -57,13 +57,13 @@ def melt_scores(cells: DataFrame) -> DataFrame:
 
 
 def group_stats(melted: DataFrame, var_add: float = 0.1, most: int = MOST) -> DataFrame:
-    """Per test and level-2 group: ``cells, ont_median, ont_var`` (sample variance, plus ``var_add``; null for one value).
+    """Per test and level-2 group: ``cells, ont_median, ont_var`` (sample variance, plus ``var_add``; null for one value), of one row a cell and test, as ``eligible`` gives them.
 
     Medians of groups of more than ``most`` cells are selected without a task that has the group.
     """
     keys = [*TEST, "level_2"]
     var = F.when(F.count("z") > 1, F.var_samp("z")) + var_add
-    out = grouped_medians(melted, keys, ["z"], F.count_distinct("cell").alias("cells"), var.alias("ont_var"), most=most)
+    out = grouped_medians(melted, keys, ["z"], F.count("cell").alias("cells"), var.alias("ont_var"), most=most)
     return out.select(*keys, "cells", F.col("z_median").alias("ont_median"), "ont_var")
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from splice_spark.functions.joins import lookup
+from splice_spark.functions.joins import by_cell, cut_dealt, deal, lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.functions.names import GENE, STRAND, name_part
 from splice_spark.functions.quantiles import weighted_quantiles
@@ -50,7 +50,8 @@ def gene_sign(junctions: DataFrame) -> DataFrame:
     """``gene, sign``: -1 if the gene's first junction by name is on the minus strand (of its second end where the first's is unknown)."""
     first, second = name_part("refName_newR1", 0, STRAND), name_part("refName_newR1", 1, STRAND)
     strand = F.when(first == "?", second).otherwise(first)
-    return junctions.groupBy("gene").agg(F.min_by(strand, "refName_newR1").alias("strand")).select("gene", F.when(F.col("strand") == "-", -1).otherwise(1).alias("sign"))
+    names = junctions.select("gene", "refName_newR1").distinct()  # by hash; the arg-min over strings sorts names only
+    return names.groupBy("gene").agg(F.min_by(strand, "refName_newR1").alias("strand")).select("gene", F.when(F.col("strand") == "-", -1).otherwise(1).alias("sign"))
 
 
 def junction_table(junctions: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def drop_constitutive(junctions: DataFrame, quantile: float = 0.0) -> DataFrame:
 
 def min_reads(junctions: DataFrame, bounds: int = 5) -> DataFrame:
     """Rows of cells with more than ``bounds`` remaining reads in the gene."""
-    total = F.sum("numReads").over(Window.partitionBy("cell", "gene"))
+    total = F.sum("numReads").over(Window.partitionBy(*by_cell(junctions)))
     return junctions.withColumn("noncon_count", total).filter(F.col("noncon_count") > bounds)
 
 
@@ -128,7 +129,7 @@ def normalise_sijk(s: DataFrame) -> DataFrame:
 def domain_change(junctions: DataFrame, side: str) -> DataFrame:
     """``gene, junc<side>, domain_changed``: whether any domain is missing or inserted at the site."""
     key = ["gene", f"junc{side}"]
-    return junctions.groupBy(*key).agg((F.count_distinct("missing_domains") + F.count_distinct("domain_insertions") > 0).alias("domain_changed"))
+    return junctions.groupBy(*key).agg(F.max(F.col("missing_domains").isNotNull() | F.col("domain_insertions").isNotNull()).alias("domain_changed"))
 
 
 def merge_sides(junctions: DataFrame, pin_s: float = 0.01) -> DataFrame:
@@ -148,7 +149,7 @@ def merge_sides(junctions: DataFrame, pin_s: float = 0.01) -> DataFrame:
 def side_z(rows: DataFrame, side: str) -> DataFrame:
     """``cell, gene, z, n_g, rows, scaled_z`` of a side, from merged rows with ``sign``."""
     mine = rows.filter(F.col(f"nSijk{side}").isNotNull())
-    sums = mine.groupBy("cell", "gene").agg(F.sum("numReads").alias("n_g"), F.sum(F.col("numReads") * F.col(f"nSijk{side}")).alias("x"), F.first("sign").alias("sign"), F.count("*").alias("rows"))
+    sums = mine.groupBy(*by_cell(rows)).agg(F.sum("numReads").alias("n_g"), F.sum(F.col("numReads") * F.col(f"nSijk{side}")).alias("x"), F.first("sign").alias("sign"), F.count("*").alias("rows"))
     z = F.col("sign") * F.col("x") / F.sqrt("n_g")
     return sums.select("cell", "gene", z.alias("z"), "n_g", "rows", (z / F.sqrt("n_g")).alias("scaled_z"))
 
@@ -163,7 +164,7 @@ def add_z(rows: DataFrame, pin_z: float = 0.0) -> DataFrame:
 
     One window over (cell, gene) serves both sides.
     """
-    w = Window.partitionBy("cell", "gene")
+    w = Window.partitionBy(*by_cell(rows))
     for s in SIDES:
         has = F.col(f"nSijk{s}").isNotNull()
         n_g = F.sum(F.when(has, F.col("numReads"))).over(w)
@@ -171,7 +172,7 @@ def add_z(rows: DataFrame, pin_z: float = 0.0) -> DataFrame:
         rows = rows.withColumns({f"all_n_{s}": n_g, f"z_{s}": F.col("sign") * x / F.sqrt(n_g)}).withColumns({f"n_g_{s}": F.when(has, F.col(f"all_n_{s}")), f"scaled_z_{s}": F.col(f"z_{s}") / F.sqrt(f"all_n_{s}")}).drop(f"all_n_{s}")
     rows = rows.withColumn("n_g", F.sum("numReads").over(w))
     if pin_z:
-        rows = cut(rows)  # read for the quantiles, and again
+        rows = cut_dealt(rows)  # read for the quantiles, and again
         for s in SIDES:
             rows = pin(rows, f"z_{s}", pin_z, F.lit(1), F.col(f"nSijk{s}").isNotNull())
     return rows.withColumns({"z": combine(F.col("z_Start"), F.col("z_End")), "scZ": combine(F.col("scaled_z_Start"), F.col("scaled_z_End"))})
@@ -184,10 +185,10 @@ def _counted(side: str) -> Column:
 
 def top_junction(rows: DataFrame, side: str) -> DataFrame:
     """``cell, gene, junc_max, max_don_z``: the junction that adds most to a side, the first by name if several do."""
-    weight = F.sum(_counted(side)).over(Window.partitionBy("cell", "gene"))
+    weight = F.sum(_counted(side)).over(Window.partitionBy(*by_cell(rows)))
     mine = rows.filter(F.col(f"nSijk{side}").isNotNull()).withColumn("share", F.try_divide(F.col(f"S_{side}") * _counted(side), F.sqrt(weight)))
     best = F.min_by(F.struct("refName_newR1", "share"), F.struct(-F.round(F.abs("share"), 9), F.col("refName_newR1")))
-    return mine.filter("share is not null").groupBy("cell", "gene").agg(best.alias("b")).select("cell", "gene", F.col("b.refName_newR1").alias("junc_max"), F.col("b.share").alias("max_don_z"))
+    return mine.filter("share is not null").groupBy(*by_cell(rows)).agg(best.alias("b")).select("cell", "gene", F.col("b.refName_newR1").alias("junc_max"), F.col("b.share").alias("max_don_z"))
 
 
 def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", names: tuple[str, str] = ("ann", "unann")) -> DataFrame:
@@ -195,14 +196,14 @@ def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", n
 
     ``flag`` is a column, or ``{side}`` in it is replaced by the side.  One window over (cell, gene) serves all four.
     """
-    w = Window.partitionBy("cell", "gene")
+    w = Window.partitionBy(*by_cell(rows))
     for side in SIDES:
         here, n = F.col(f"nSijk{side}").isNotNull(), _counted(side)
         weight = F.sum(n).over(w)
         for value, name in zip((True, False), names, strict=True):
             total = F.sum(F.when(here & (F.col(flag.format(side=side)) == value), F.col(f"S_{side}") * n)).over(w)
             rows = rows.withColumn(f"z_{side}_{name}", F.when(here, F.try_divide(F.col("sign") * total, F.sqrt(weight))))
-    rows = cut(rows)  # read for quantiles and covariances, and again
+    rows = cut_dealt(rows)  # read for quantiles and covariances, and again
     if pin_z:
         for side in SIDES:
             for name in names:
@@ -234,16 +235,18 @@ def cell_gene_scores(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
     """One row for a cell and gene: scores, and ``n_g_<side>`` and ``carry`` of its first junction by name."""
     first = [F.min_by(c, "refName_newR1").alias(c) for c in ("n_g_Start", "n_g_End", *carry)]
     # min_by passes over rows whose ordering is null only, so a null value of the first row stays null
-    return rows.groupBy("cell", "gene").agg(F.first("scZ").alias("scZ"), F.first("z").alias("z"), F.first("n_g").alias("n_g"), *first)
+    return rows.groupBy(*by_cell(rows)).agg(F.first("scZ").alias("scZ"), F.first("z").alias("z"), F.first("n_g").alias("n_g"), *first)
 
 
 def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
     """Normalised junction rows to merged rows with z: the whole chain.
 
     The kept rows feed the junction table and the join back, and the merged rows
-    all later steps, so both are written once.
+    all later steps, so both are written once.  Rows are shuffled once, by ``deal``;
+    ``junctions`` should be stored.
     """
-    named = cut(fill_gene(filter_called(junctions, sicilian)))  # read for junctions, signs and rows
+    called = filter_called(junctions, sicilian)
+    named = deal(fill_gene(called if sicilian else cut(called)))  # read for junctions, signs and rows
     sign = gene_sign(named)
-    kept = cut(min_reads(drop_constitutive(named, rank_quant), bounds))
-    return cut(add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z))
+    kept = cut_dealt(min_reads(drop_constitutive(named, rank_quant), bounds))
+    return cut_dealt(add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splice_spark.functions.joins import lookup
+from splice_spark.functions.joins import by_cell, dealt_by, lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.operators.score import SIDES
 from splice_spark.operators.subspace import top_components
@@ -33,10 +33,10 @@ def site_values(rows: DataFrame, svd_type: str = "normdonor") -> DataFrame:
     if svd_type not in TYPES:
         raise ValueError(f"svd_type must be one of {TYPES}")
     sides = F.array(*[F.struct(F.lit(s).alias("let"), F.col(f"junc{s}").alias("pos"), F.coalesce(F.col("numReads") * F.col(f"nSijk{s}"), F.lit(0.0)).alias("x")) for s in SIDES])
-    out = rows.select("gene", "cell", "numReads", "n_g", F.explode(sides).alias("s")).groupBy("gene", "cell", "s.let", "s.pos")
+    out = rows.select(*by_cell(rows), "numReads", "n_g", F.explode(sides).alias("s")).groupBy(*by_cell(rows), "s.let", "s.pos")
     out = out.agg(F.sum("s.x").alias("x"), F.sum("numReads").alias("n"), F.first("n_g").alias("n_g"))
     scale = F.col("n") if svd_type == "normdonor" else F.sqrt("n_g")
-    return out.select("gene", "cell", "let", "pos", (F.col("x") / scale).alias("value"))
+    return out.select("gene", "cell", "let", "pos", (F.col("x") / scale).alias("value"), *dealt_by(rows))
 
 
 def sites(values: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def gene_gram(values: DataFrame) -> DataFrame:
     A cell's products are made inside its (gene, cell) group, whose size is the sites of one cell.
     """
     v = F.sort_array(F.collect_list(F.struct("let", "pos", "value")))
-    cells = values.filter("value != 0").groupBy("gene", "cell").agg(v.alias("v"))
+    cells = values.filter("value != 0").groupBy(*by_cell(values)).agg(v.alias("v"))
     first = cells.select("gene", "v", F.posexplode("v").alias("k", "i"))
     pairs = first.select("gene", "i", F.explode(F.slice("v", F.col("k") + 1, F.size("v"))).alias("j"))
     return pairs.groupBy("gene", F.col("i.let").alias("let_i"), F.col("i.pos").alias("pos_i"), F.col("j.let").alias("let_j"), F.col("j.pos").alias("pos_j")).agg(F.sum(F.col("i.value") * F.col("j.value")).alias("g"))
@@ -137,7 +137,7 @@ def svd_scores(values: DataFrame, loadings: DataFrame, k: int = 3) -> DataFrame:
     """``gene, cell, svd_z0..``: cells projected on the components; centring is in the loadings."""
     wide = loadings.groupBy("gene", "let", "pos").pivot("component", list(range(k))).agg(F.first("centred"))
     got = lookup(values, wide, ["gene", "let", "pos"])
-    return got.groupBy("gene", "cell").agg(*[F.sum(F.col("value") * F.col(f"`{c}`")).alias(f"svd_z{c}") for c in range(k)])
+    return got.groupBy(*by_cell(values)).agg(*[F.sum(F.col("value") * F.col(f"`{c}`")).alias(f"svd_z{c}") for c in range(k)])
 
 
 def fractions(loadings: DataFrame, k: int = 3) -> DataFrame:
@@ -147,6 +147,8 @@ def fractions(loadings: DataFrame, k: int = 3) -> DataFrame:
 
 def add_svd(scores: DataFrame, values: DataFrame, loadings: DataFrame, k: int = 3) -> DataFrame:
     """Scores with ``svd_z*, f*`` and ``svd_z_sumsq``, which is 0 without components."""
-    out = lookup(scores.join(svd_scores(values, loadings, k), ["gene", "cell"], "left"), fractions(loadings, k), ["gene"], "left")
+    projected = svd_scores(values, loadings, k)
+    keys = [*("gene", "cell"), *[c for c in dealt_by(scores) if c in projected.columns]]
+    out = lookup(scores.join(projected.drop(*[c for c in dealt_by(projected) if c not in keys]), keys, "left"), fractions(loadings, k), ["gene"], "left")
     energy = sum((F.coalesce(F.col(f"svd_z{c}") ** 2, F.lit(0.0)) for c in range(k)), F.lit(0.0))
     return out.withColumn("svd_z_sumsq", energy)

@@ -38,6 +38,41 @@ FROM (
 GROUP BY cell, refName_newR1, geneR1A_uniq, juncPosR1A, juncPosR1B, chrR1A, splice_ann, tissue, compartment
 """
 
+#: The rows of JUNCTIONS as numbers.  What a lineitem gives but its part is one number of four digits (9: null) in the joins, and rows are summed where the last join left them.
+_NARROW = """
+SELECT c_custkey, c_mktsegment, r_name, gi, sb, CASE WHEN gi IS NULL THEN NULL ELSE eb END AS eb, CAST(sum(reads) AS BIGINT) AS numReads, max(called) AS called
+FROM (
+    SELECT *, CASE WHEN gi % 5 = 1 AND sb = 0 THEN CAST(9 AS BIGINT) WHEN gi % 4 = 0 THEN CAST((length(c_mktsegment) % 3) * 2 + odd AS BIGINT) ELSE CAST(fifth AS BIGINT) END AS eb
+    FROM (
+        SELECT *, CAST(floor(l_partkey / 10) AS BIGINT) % CASE WHEN gi = 0 THEN 12 ELSE 3 + gi % 4 END AS sb
+        FROM (
+            SELECT c_custkey, c_mktsegment, r_name, l_partkey, nullif(packed % 10, 9) - 4 AS fifth, nullif(packed div 10 % 10, 9) - 1 AS odd, nullif(packed div 100 % 10, 9) - 3 AS reads, CAST(packed div 1000 AS INT) AS called,
+                   CASE WHEN l_partkey % 10 = 0 THEN CAST(0 AS BIGINT) ELSE CAST(floor(c_custkey / 150) AS BIGINT) * 10 + l_partkey % 10 END AS gi
+            FROM (
+                SELECT l_orderkey, CAST(l_partkey AS BIGINT) AS l_partkey,
+                       CAST(coalesce((CAST(l_suppkey AS BIGINT) + CAST(l_linenumber AS BIGINT)) % 5 + 4, 9) + 10 * coalesce(CAST(l_linenumber AS BIGINT) % 2 + 1, 9) + 100 * coalesce(CAST(l_quantity AS BIGINT) % 5 + 4, 9)
+                           + 1000 * CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 0 ELSE 1 END AS INT) AS packed
+                FROM {lineitem}
+            ) AS l JOIN {orders} ON l_orderkey = o_orderkey
+            JOIN (SELECT c_custkey, c_mktsegment, r_name FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey) AS p ON o_custkey = c_custkey
+        ) AS a
+    ) AS b
+) AS c
+GROUP BY c_custkey, c_mktsegment, r_name, gi, sb, CASE WHEN gi IS NULL THEN NULL ELSE eb END
+"""
+_JUNCTIONS = f"""
+SELECT cell, chrR1A || ':' || known || ':' || CAST(juncPosR1A AS STRING) || strand || '|' || chrR1A || ':' || CASE WHEN gi % 10 = 7 THEN 'unknown' ELSE gene END || ':' || CAST(juncPosR1B AS STRING) || strand || '|lin' AS refName_newR1,
+       known AS geneR1A_uniq, juncPosR1A, juncPosR1B, chrR1A, splice_ann, tissue, compartment, numReads, called
+FROM (
+    SELECT *, CASE WHEN gi % 10 IN (7, 9) THEN 'unknown' ELSE gene END AS known
+    FROM (
+        SELECT gi, 'C' || CAST(c_custkey AS STRING) AS cell, r_name AS tissue, c_mktsegment AS compartment, gi * 200000 + 1000 * (1 + sb) AS juncPosR1A, gi * 200000 + 100000 + 1000 * eb AS juncPosR1B,
+               'chr' || CAST(1 + gi % 3 AS STRING) AS chrR1A, (sb + eb) % 3 <> 0 AS splice_ann, 'g' || CAST(gi AS STRING) AS gene, CASE WHEN gi % 2 = 0 THEN ':+' ELSE ':-' END AS strand, numReads, called
+        FROM ({_NARROW}) AS s
+    ) AS t
+) AS u
+"""
+
 #: Places for genes, and gaps between them.
 _SLOTS = "(SELECT CAST(floor(floor(max(p_partkey) / 4) * 13 / 10) AS BIGINT) + 1 FROM {part})"
 #: Four events are a molecule, 25 molecules a cell, and four cells share their loci and junctions; all grow with the events.
@@ -130,8 +165,8 @@ def duck(sql: str) -> str:
 
 
 def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each cell and junction with its reads: the core input."""
-    return _run(spark, sf_dir, JUNCTIONS)
+    """A row for each cell and junction with its reads: the core input, the rows of JUNCTIONS."""
+    return _run(spark, sf_dir, _JUNCTIONS)
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
