@@ -54,6 +54,7 @@ def deal(rows: DataFrame, least: int | None = None) -> DataFrame:
     if n < (LEAST_DEALT if least is None else least):
         return cut(rows)
     name = f"deal__{len(_dealings)}"
+    rows.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")  # buckets are of gene and share, keys of joins have more
     _dealings[name] = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // BUCKET_ROWS)), hot
     share = F.when(F.xxhash64("gene").isin(hot), F.pmod(F.xxhash64("cell"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     return cut_dealt(rows.withColumn(name, share))
@@ -88,7 +89,6 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner
     if counted_bytes(table) <= most_bytes:
         return rows.join(F.broadcast(table), keys, how)
     if "gene" in keys and (name := dealt_by(rows)):
-        rows.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")  # buckets are of gene and share, keys have more
         shares = F.when(F.xxhash64("gene").isin(_dealings[name[0]][1]), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         return rows.join(table.withColumn(name[0], F.explode(shares)).hint("shuffle_hash"), [*keys, *name], how)
     hot = hot_hashes(rows, keys)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splice_spark.functions.joins import cut_dealt, dealt_by, lookup
+from splice_spark.functions.joins import cut_dealt, dealt_by
 from splice_spark.functions.lineage import cut
 from splice_spark.operators import annotate, counts, differential, reads, score, sites, svd
 from splice_spark.sources import tables
@@ -50,20 +50,21 @@ def count_job(aligned: DataFrame, gtf: DataFrame, meta: DataFrame, exon_bounds:
 
 
 def score_job(junctions: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scores by cell and gene, junction rows, and loadings."""
+    """Scores by cell and gene, junction rows, and loadings.
+
+    Rows are written once, with all that takes a window; what is returned adds to them what a row and its gene's covariances give.
+    """
     levels = [c for c in dict.fromkeys((params.level_1, params.level_2))]
     checked = tables.validate_columns(junctions, params.level_1, params.level_2, params.sicilian)
     normal = tables.normalise_input(checked, params.sicilian, params.level_1)
-    rows = score.score_rows(normal, params.sicilian, params.bounds, params.pin_s, params.pin_z, params.rank_quant)
-    if not params.light:
-        rows = lookup(score.add_split_z(rows, params.pin_z), score.gene_cov(rows), ["gene"])
-    rows = score.contributions(rows, params.level_1, params.level_2)
-    rows = cut_dealt(rows)
-    values = cut_dealt(svd.site_values(rows, params.svd_type))
+    chain = (normal, params.sicilian, params.bounds, params.pin_s, params.pin_z, params.rank_quant)
+    stored = score.score_rows(*chain) if params.light else score.split_z(score.unwritten_rows(*chain), params.pin_z)
+    rows = score.contributions(stored if params.light else score.combine_split(stored, sides=True), params.level_1, params.level_2)
+    values = cut_dealt(svd.site_values(stored, params.svd_type))
     loadings = cut(svd.gene_components(values))
     known = {*tables.REQUIRED, "called", "gene", "juncStart", "juncEnd", "dummy"}
     carried = [*levels, "ontology", *[c for c in normal.columns if c not in known and c not in levels]]
-    scores = svd.add_svd(score.cell_gene_scores(rows, carried), values, loadings)
+    scores = svd.add_svd(score.cell_gene_scores(score.contributions(stored, params.level_1, params.level_2), carried), values, loadings)
     return scores.drop(*dealt_by(scores)), rows.drop(*dealt_by(rows)), loadings
 
 

@@ -191,10 +191,11 @@ def top_junction(rows: DataFrame, side: str) -> DataFrame:
     return mine.filter("share is not null").groupBy(*by_cell(rows)).agg(best.alias("b")).select("cell", "gene", F.col("b.refName_newR1").alias("junc_max"), F.col("b.share").alias("max_don_z"))
 
 
-def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", names: tuple[str, str] = ("ann", "unann")) -> DataFrame:
-    """Merged rows with annotated and unannotated z of each side, on the rows of that side, and combined less the gene's covariance.
+def split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", names: tuple[str, str] = ("ann", "unann")) -> DataFrame:
+    """Merged rows, written, with annotated and unannotated z of each side, on the rows of that side.
 
-    ``flag`` is a column, or ``{side}`` in it is replaced by the side.  One window over (cell, gene) serves all four.
+    ``flag`` is a column, or ``{side}`` in it is replaced by the side.  One window over (cell, gene) serves all four, and those of ``add_z`` if its
+    rows aren't written yet.
     """
     w = Window.partitionBy(*by_cell(rows))
     for side in SIDES:
@@ -208,8 +209,18 @@ def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", n
         for side in SIDES:
             for name in names:
                 rows = pin(rows, f"z_{side}_{name}", pin_z, F.lit(1))
-    cov = rows.groupBy("gene").agg(*[F.when(F.count(F.col(f"z_Start_{n}") + F.col(f"z_End_{n}")) > 1, F.covar_samp(f"z_Start_{n}", f"z_End_{n}")).alias(f"cov_{n}") for n in names])
-    rows = lookup(rows, cov, ["gene"])
+    return rows
+
+
+def _cov(start: str, end: str) -> Column:
+    """Sample covariance over the rows that have both; null if they are fewer than two."""
+    return F.when(F.count(F.col(start) + F.col(end)) > 1, F.covar_samp(start, end))
+
+
+def combine_split(rows: DataFrame, names: tuple[str, str] = ("ann", "unann"), sides: bool = False) -> DataFrame:
+    """Rows of ``split_z`` with annotated and unannotated z of both sides, less the gene's covariance; with ``sides``, that of both sides' z as ``cov`` beside."""
+    both_sides = [_cov("z_Start", "z_End").alias("cov")] if sides else []
+    rows = lookup(rows, rows.groupBy("gene").agg(*[_cov(f"z_Start_{n}", f"z_End_{n}").alias(f"cov_{n}") for n in names], *both_sides), ["gene"])
     for n in names:
         start, end = F.col(f"z_Start_{n}"), F.col(f"z_End_{n}")
         both = start.isNotNull() & end.isNotNull()
@@ -217,11 +228,14 @@ def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", n
     return rows
 
 
+def add_split_z(rows: DataFrame, pin_z: float = 0.0, flag: str = "splice_ann", names: tuple[str, str] = ("ann", "unann")) -> DataFrame:
+    """Merged rows with annotated and unannotated z of each side, on the rows of that side, and combined less the gene's covariance."""
+    return combine_split(split_z(rows, pin_z, flag, names), names)
+
+
 def gene_cov(rows: DataFrame) -> DataFrame:
     """``gene, cov``: sample covariance of both sides' z over junction rows; null where a gene has fewer than two."""
-    both = F.col("z_Start").isNotNull() & F.col("z_End").isNotNull()
-    pairs = F.count(F.when(both, 1))
-    return rows.groupBy("gene").agg(F.when(pairs > 1, F.covar_samp("z_Start", "z_End")).alias("cov"))
+    return rows.groupBy("gene").agg(_cov("z_Start", "z_End").alias("cov"))
 
 
 def contributions(rows: DataFrame, level_1: str, level_2: str) -> DataFrame:
@@ -233,20 +247,24 @@ def contributions(rows: DataFrame, level_1: str, level_2: str) -> DataFrame:
 
 def cell_gene_scores(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
     """One row for a cell and gene: scores, and ``n_g_<side>`` and ``carry`` of its first junction by name."""
-    first = [F.min_by(c, "refName_newR1").alias(c) for c in ("n_g_Start", "n_g_End", *carry)]
+    taken = ("n_g_Start", "n_g_End", *carry)
     # min_by passes over rows whose ordering is null only, so a null value of the first row stays null
-    return rows.groupBy(*by_cell(rows)).agg(F.first("scZ").alias("scZ"), F.first("z").alias("z"), F.first("n_g").alias("n_g"), *first)
+    found = rows.groupBy(*by_cell(rows)).agg(F.first("scZ").alias("scZ"), F.first("z").alias("z"), F.first("n_g").alias("n_g"), F.min_by(F.struct(*taken), "refName_newR1").alias("first__"))
+    return found.withColumns({c: F.col("first__").getField(c) for c in taken}).drop("first__")
 
 
-def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
-    """Normalised junction rows to merged rows with z: the whole chain.
+def unwritten_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
+    """Normalised junction rows to merged rows with z: the whole chain, for a caller that writes them with what it adds.
 
-    The kept rows feed the junction table and the join back, and the merged rows
-    all later steps, so both are written once.  Rows are shuffled once, by ``deal``;
-    ``junctions`` should be stored.
+    The kept rows feed the junction table and the join back, so they are written.  Rows are shuffled once, by ``deal``; ``junctions`` should be stored.
     """
     called = filter_called(junctions, sicilian)
     named = deal(fill_gene(called if sicilian else cut(called)))  # read for junctions, signs and rows
     sign = gene_sign(named)
     kept = cut_dealt(min_reads(drop_constitutive(named, rank_quant), bounds))
-    return cut_dealt(add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z))
+    return add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z)
+
+
+def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
+    """``unwritten_rows``, written once for all later steps."""
+    return cut_dealt(unwritten_rows(junctions, sicilian, bounds, pin_s, pin_z, rank_quant))

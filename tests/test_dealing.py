@@ -3,10 +3,11 @@
 import duckdb
 import pytest
 
-from splice_spark.functions import joins
+from splice_spark.functions import joins, lineage
 from splice_spark.jobs import catalog, score_queries
-from splice_spark.operators import score
-from splice_spark.sources import fixtures
+from splice_spark.jobs.pipeline import Params, score_job
+from splice_spark.operators import score, svd
+from splice_spark.sources import fixtures, tables
 from test_oracles import SF, TABLES, plain
 
 
@@ -61,3 +62,34 @@ def test_narrow_input_is_that_of_the_sql(spark):
     got = fixtures.junctions(spark, folder).select(*want.columns)
     assert got.dtypes == want.dtypes
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.count()
+
+
+def test_rows_of_the_job_are_written_once(spark, large):
+    """With all that takes a window; and they are those of the steps one by one."""
+    source = lineage.cut(fixtures.junctions(spark, SF))
+    before = len(lineage._written)
+    _, rows, _ = score_job(source, Params(sicilian=True, pin_s=0.1, level_1="tissue", level_2="compartment"))
+    assert sum("z_Start" in spark.read.parquet(p).columns for p in lineage._written[before:]) == 1
+    steps = score.add_split_z(score.score_rows(tables.normalise_input(source, True, "tissue"), True, 5, 0.1))
+    steps = score.contributions(joins.lookup(steps, score.gene_cov(steps), ["gene"]), "tissue", "compartment").drop(*joins.dealt_by(steps))
+    assert dict(steps.dtypes) == dict(rows.dtypes)
+    rounded = [(score.F.round(c, 6) + 0.0).alias(c) if kind == "double" else c for c, kind in steps.dtypes]
+    got, want = rows.select(rounded), steps.select(rounded)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.count()
+
+
+def test_scores_join_components_in_their_buckets(spark, monkeypatch):
+    """Also where every table beside the rows is small enough for a broadcast."""
+    monkeypatch.setattr(joins, "LEAST_DEALT", 0)
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    rows = score_queries.merged(spark, SF)
+    values = joins.cut_dealt(svd.site_values(rows))
+    load = joins.cut(svd.gene_components(values))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the two sides of the join are small here
+    try:
+        plan = svd.add_svd(score.cell_gene_scores(rows, ["tissue"]), values, load)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = plan[plan.index("SortMergeJoin") :]
+    assert "cell" in joined.splitlines()[0]
+    assert not [x for x in joined.splitlines() if "Exchange hashpartitioning" in x and "cell" in x]
