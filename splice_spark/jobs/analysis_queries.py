@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from splice_spark.functions.joins import cut_dealt, dealt_by
 from splice_spark.functions.lineage import cut
 from splice_spark.jobs.pipeline import Params, analysis_job, score_job
-from splice_spark.jobs.score_queries import MERGED, d6, io_folder, merged, r6
+from splice_spark.jobs.score_queries import BOUNDS, MERGED, PIN_S, d6, io_folder, merged, normal, r6
 from splice_spark.operators import differential, score, sites, svd
 from splice_spark.sources import fixtures, tables
 
 L1, L2 = "tissue", "compartment"
 
 
+def narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``merged`` with what scores and components need."""
+    return score.narrow_rows(normal(spark, sf_dir), [L1, L2], True, BOUNDS, PIN_S)
+
+
 def values(spark: SparkSession, sf_dir: str, svd_type: str = "normdonor") -> DataFrame:
-    return cut_dealt(svd.site_values(merged(spark, sf_dir), svd_type))
+    return cut_dealt(svd.site_values(narrow(spark, sf_dir), svd_type))
 
 
 def _site_values(svd_type: str):
@@ -62,7 +67,7 @@ def svd_reconstruction(spark, sf_dir):
 
 def scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Scores of cells and genes with components, and loadings."""
-    rows = merged(spark, sf_dir)
+    rows = narrow(spark, sf_dir)
     v = cut_dealt(svd.site_values(rows))
     load = cut(svd.gene_components(v))
     return cut_dealt(svd.add_svd(score.cell_gene_scores(rows, [L1, L2]), v, load)), load

@@ -46,9 +46,9 @@ def eligible(scores: DataFrame, level_1: str, level_2: str, min_cells: int = 10)
     """
     l1 = F.lit("null") if level_1 == "dummy" else F.col(level_1).cast("string")
     plain = scores.select("cell", "gene", F.col(level_2).cast("string").alias("level_2"), l1.alias("level_1"), *SCORES, *dealt_by(scores))
-    one = least_rows(plain, by_cell(plain)).drop(*dealt_by(plain))
+    one = least_rows(plain, by_cell(plain))
     large = one.groupBy("level_2", "gene").agg(F.count("cell").alias("n")).filter(F.col("n") > min_cells).select("level_2", "gene")
-    return lookup(one.filter("level_2 is not null"), large, ["level_2", "gene"])
+    return lookup(one.filter("level_2 is not null"), large, ["level_2", "gene"]).drop(*dealt_by(one))
 
 
 def melt_scores(cells: DataFrame) -> DataFrame:

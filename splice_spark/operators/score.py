@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from splice_spark.functions.joins import by_cell, cut_dealt, deal, lookup
+from splice_spark.functions.joins import by_cell, cut_dealt, deal, dealt_by, lookup
 from splice_spark.functions.lineage import cut
 from splice_spark.functions.names import GENE, STRAND, name_part
 from splice_spark.functions.quantiles import weighted_quantiles
@@ -24,6 +24,9 @@ from splice_spark.functions.quantiles import weighted_quantiles
 SIDES = ("Start", "End")
 OTHER = {"Start": "End", "End": "Start"}
 JUNCTION = ["gene", "juncStart", "juncEnd"]
+#: What the chain reads of named rows, and what scores and components read of merged ones.
+CHAIN = ["cell", "refName_newR1", "numReads", *JUNCTION]
+MERGED = [*CHAIN, *[f"{c}{s}" for c in ("nSijk", "n_g_") for s in SIDES], "n_g", "z", "scZ"]
 ZERO = 1e-12
 
 
@@ -253,13 +256,15 @@ def cell_gene_scores(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
     return found.withColumns({c: F.col("first__").getField(c) for c in taken}).drop("first__")
 
 
-def unwritten_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
+def unwritten_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0, carry: list[str] | None = None) -> DataFrame:
     """Normalised junction rows to merged rows with z: the whole chain, for a caller that writes them with what it adds.
 
     The kept rows feed the junction table and the join back, so they are written.  Rows are shuffled once, by ``deal``; ``junctions`` should be stored.
+    Of the input's other columns those in ``carry`` go along, all if it is None.
     """
     called = filter_called(junctions, sicilian)
-    named = deal(fill_gene(called if sicilian else cut(called)))  # read for junctions, signs and rows
+    filled = fill_gene(called if sicilian else cut(called))
+    named = deal(filled if carry is None else filled.select(*CHAIN, *carry))  # read for junctions, signs and rows
     sign = gene_sign(named)
     kept = cut_dealt(min_reads(drop_constitutive(named, rank_quant), bounds))
     return add_z(lookup(merge_sides(kept, pin_s), sign, ["gene"]), pin_z)
@@ -268,3 +273,9 @@ def unwritten_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5
 def score_rows(junctions: DataFrame, sicilian: bool = False, bounds: int = 5, pin_s: float = 0.01, pin_z: float = 0.0, rank_quant: float = 0.0) -> DataFrame:
     """``unwritten_rows``, written once for all later steps."""
     return cut_dealt(unwritten_rows(junctions, sicilian, bounds, pin_s, pin_z, rank_quant))
+
+
+def narrow_rows(junctions: DataFrame, carry: list[str], *chain, **options) -> DataFrame:
+    """``score_rows`` for a caller that needs scores and components only: nothing else is shuffled or written."""
+    rows = unwritten_rows(junctions, *chain, **options, carry=carry)
+    return cut_dealt(rows.select(*MERGED, *carry, *dealt_by(rows)))

@@ -4,9 +4,9 @@ import duckdb
 import pytest
 
 from splice_spark.functions import joins, lineage
-from splice_spark.jobs import catalog, score_queries
+from splice_spark.jobs import analysis_queries, catalog, score_queries
 from splice_spark.jobs.pipeline import Params, score_job
-from splice_spark.operators import score, svd
+from splice_spark.operators import differential, score, svd
 from splice_spark.sources import fixtures, tables
 from test_oracles import SF, TABLES, plain
 
@@ -93,3 +93,15 @@ def test_scores_join_components_in_their_buckets(spark, monkeypatch):
     joined = plan[plan.index("SortMergeJoin") :]
     assert "cell" in joined.splitlines()[0]
     assert not [x for x in joined.splitlines() if "Exchange hashpartitioning" in x and "cell" in x]
+
+
+def test_scored_rows_have_what_scores_and_components_need(spark, large):
+    """Nothing else is dealt or written, and cells are chosen where they are."""
+    before = len(lineage._written)
+    scores, _ = analysis_queries.scored(spark, SF)
+    stored = [spark.read.parquet(p).columns for p in lineage._written[before:]]
+    dealt = [c for c in stored if any(x in joins._dealings for x in c)]
+    assert dealt and not [c for c in dealt if {"splice_ann", "chrR1A", "called", "S_Start", "z_Start", "flat_Start"} & set(c)]
+    plan = differential.eligible(scores, "tissue", "compartment")._jdf.queryExecution().executedPlan().toString()
+    joined = plan[plan.index("ShuffledHashJoin") :]
+    assert not [x for x in joined.splitlines() if "Exchange hashpartitioning" in x and "cell" in x]
