@@ -173,10 +173,13 @@ def read_alignments(spark: SparkSession, *paths: str, keep: dict[str, F.Column]
 
 
 def write_scores(scores: DataFrame, rows: DataFrame, folder: str) -> None:
-    """Scores by cell and gene as text, junction rows as Parquet, in files of about ``FILE_ROWS`` rows."""
-    scores, rows = cut(scores), cut(rows)  # counted, and written
-    write_tsv(spread_files(scores), f"{folder}/scores.tsv")
-    spread_files(rows).write.mode("overwrite").parquet(f"{folder}/junctions.parquet")
+    """Scores by cell and gene as text, junction rows as Parquet, in files of about ``FILE_ROWS`` rows; ``rows`` should be stored.
+
+    Junction rows are counted by a pass of its own and written from where they are, neighbouring partitions together.
+    """
+    write_tsv(spread_files(cut(scores)), f"{folder}/scores.tsv")  # counted, and written
+    files = max(1, -(-rows.count() // FILE_ROWS))
+    rows.coalesce(files).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/junctions.parquet")
 
 
 def write_loadings(loadings: DataFrame, folder: str) -> None:

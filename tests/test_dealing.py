@@ -1,9 +1,10 @@
 """Rows dealt in buckets of genes, with every size set low, so that small tables go the way of large ones."""
 
 import duckdb
+import numpy as np
 import pytest
 
-from splice_spark.functions import joins, lineage
+from splice_spark.functions import joins, lineage, stats
 from splice_spark.jobs import analysis_queries, catalog, score_queries
 from splice_spark.jobs.pipeline import Params, score_job
 from splice_spark.operators import differential, score, svd
@@ -105,3 +106,15 @@ def test_scored_rows_have_what_scores_and_components_need(spark, large):
     plan = differential.eligible(scores, "tissue", "compartment")._jdf.queryExecution().executedPlan().toString()
     joined = plan[plan.index("ShuffledHashJoin") :]
     assert not [x for x in joined.splitlines() if "Exchange hashpartitioning" in x and "cell" in x]
+
+
+def test_junction_rows_are_written_from_where_they_are(spark, monkeypatch):
+    """In files of so many rows, without a copy before or a shuffle."""
+    monkeypatch.setattr(tables, "FILE_ROWS", 100)
+    rows = lineage.cut(spark.range(1000, numPartitions=4).selectExpr("id", "concat('c', id) as cell"))
+    folder, before = score_queries.io_folder(spark), len(lineage._written)
+    tables.write_scores(spark.range(3).selectExpr("id as z"), rows, folder)
+    assert not [p for p in lineage._written[before:] if "cell" in spark.read.parquet(p).columns]
+    back = spark.read.parquet(f"{folder}/junctions.parquet")
+    files = [n for _, n in back.groupBy(score.F.input_file_name()).count().collect()]
+    assert sum(files) == 1000 and max(files) <= 100 and back.exceptAll(rows).count() == 0
