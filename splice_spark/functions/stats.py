@@ -74,11 +74,14 @@ def permuted_statistics(z: np.ndarray, sizes: np.ndarray, var_add: float, seed:
     out = []
     step = max(1, at_once // max(len(z), 1))
     for k in range(0, len(perms), step):
-        v = z[np.argsort(permutation_keys(len(z), seed, perms[k : k + step]), axis=1, kind="stable")]
+        placed = permutation_keys(len(z), seed, perms[k : k + step]) << 32 | np.arange(len(z))  # all different, and equal keys by place
+        placed.sort(axis=1)
+        v = z[placed & 0xFFFFFFFF]
         weights, middles = [], []
         for lo, hi in zip(ends - sizes, ends, strict=True):
             group = v[:, lo:hi]
-            middles.append(np.median(group, axis=1))
+            ordered, last = np.sort(group, axis=1), hi - lo - 1
+            middles.append((ordered[:, last // 2] + ordered[:, (last + 1) // 2]) / 2)
             with np.errstate(divide="ignore", invalid="ignore"):
                 weights.append((hi - lo) / (group.var(axis=1, ddof=1) + var_add) if hi - lo > 1 else np.full(len(v), np.nan))
         w, mid = np.stack(weights, axis=1), np.stack(middles, axis=1)

@@ -9,6 +9,8 @@ engine, however cells are dealt over tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -90,6 +92,8 @@ def with_pvals(tests: DataFrame) -> DataFrame:
 TIE = 1e-9
 #: Cells of a test that one task permutes; larger tests are taken apart.
 TEST_ROWS = 100_000
+#: Bytes of an Arrow batch of tests, or one test.
+BATCH_BYTES = 8 << 20
 
 
 def seed_column(seed: int) -> F.Column:
@@ -99,11 +103,15 @@ def seed_column(seed: int) -> F.Column:
 
 
 def _kernel(n_perms: int, var_add: float):
-    def run(key: tuple, cells: pa.Table) -> pa.Table:
-        i = np.argsort(cells.column("i").to_numpy())
-        sizes = np.bincount(cells.column("g").to_numpy()[i])[1:]
-        found = permuted_statistics(cells.column("z").to_numpy()[i], sizes, var_add, cells.column("seed")[0].as_py(), np.arange(n_perms))
-        return pa.table([pa.array([key[0].as_py()] * n_perms, pa.int64()), pa.array(np.arange(n_perms)), pa.array(found)], names=["t", "perm", "statistic"])
+    """Permuted statistics below the observed one, of tests that are a row each: values in the order of groups and cells, and sizes of the groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            below = []
+            for z, sizes, seed, observed in zip(*[batch.column(c) for c in ("z", "sizes", "seed", "Tn1")], strict=True):
+                found = permuted_statistics(z.values.to_numpy(), sizes.values.to_numpy(), var_add, seed.as_py(), np.arange(n_perms))
+                below.append(np.count_nonzero(found < observed.as_py() * (1 - TIE)))
+            yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(below, pa.int64())], names=["t", "below"])
 
     return run
 
@@ -111,22 +119,25 @@ def _kernel(n_perms: int, var_add: float):
 def permute(melted: DataFrame, tests: DataFrame, n_perms: int = 100, alpha: float = 0.05, seed: int = 123, var_add: float = 0.1, test_rows: int = TEST_ROWS) -> DataFrame:
     """Tests with ``perm_pval``, the share of permuted statistics below the observed one where ``pval`` is under ``alpha``, and two-sided ``perm_pval2``.
 
-    The permutations depend on the test and their numbers only.  A test of ``test_rows`` cells or fewer is permuted by one task, which gets four
-    numbers a cell; the cells of larger tests stay spread (``permuted_tests``).
+    The permutations depend on the test and their numbers only.  A test of ``test_rows`` cells or fewer becomes one row, whose statistics
+    are counted where they are made; the cells of larger tests stay spread (``permuted_tests``).
     """
     valued = melted.filter("z is not null and level_2 is not null")
     chosen = tests.filter(F.col("pval") < alpha).select(*TEST, "Tn1")
     sized = lookup(valued.groupBy(*TEST).agg(F.count("*").alias("n")), chosen, TEST)
     sized = cut(sized.withColumns({"t": F.monotonically_increasing_id(), "seed": seed_column(seed)}))
-    small = lookup(valued.select(*TEST, "cell", "level_2", "z"), sized.filter(F.col("n") <= test_rows).select(*TEST, "t", "seed"), TEST)
-    place = Window.partitionBy("t").orderBy("level_2", "cell")
-    coded = small.select("t", "seed", "z", F.row_number().over(place).alias("i"), F.dense_rank().over(Window.partitionBy("t").orderBy("level_2")).alias("g"))
-    statistics = coded.groupBy("t").applyInArrow(_kernel(n_perms, var_add), "t long, perm long, statistic double")
+    small = lookup(valued.select(*TEST, "cell", "level_2", "z"), sized.filter(F.col("n") <= test_rows).select(*TEST, "t", "seed", "Tn1"), TEST)
+    test = ["t", "seed", "Tn1"]
+    groups = small.repartition("t").groupBy(*test, "level_2").agg(F.sort_array(F.collect_list(F.struct("cell", "z"))).alias("cells"))
+    whole = groups.groupBy(*test).agg(F.sort_array(F.collect_list(F.struct("level_2", F.col("cells.z").alias("z")))).alias("groups"))
+    packed = whole.select(*test, F.transform("groups", lambda g: F.size(g["z"]).cast("long")).alias("sizes"), F.flatten("groups.z").alias("z"))
+    melted.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    below = packed.mapInArrow(_kernel(n_perms, var_add), "t long, below long")
     large = cut(sized.filter(F.col("n") > test_rows))
     if not large.isEmpty():
         cells = lookup(valued.select(*TEST, "cell", "level_2", "z"), large.select(*TEST, "t"), TEST)
-        statistics = statistics.unionByName(permuted_tests(cells, large, n_perms, var_add))
-    below = lookup(statistics, sized.select("t", "Tn1"), ["t"]).groupBy("t").agg(F.count_if(F.col("statistic") < F.col("Tn1") * (1 - TIE)).alias("below"))
+        statistics = lookup(permuted_tests(cells, large, n_perms, var_add), large.select("t", "Tn1"), ["t"])
+        below = below.unionByName(statistics.groupBy("t").agg(F.count_if(F.col("statistic") < F.col("Tn1") * (1 - TIE)).alias("below")))
     share = sized.join(below, "t").select(*TEST, (F.col("below") / F.lit(float(n_perms))).alias("perm_pval"))
     out = tests.join(share, TEST, "left")
     return out.withColumn("perm_pval2", 2 * F.least("perm_pval", 1 - F.col("perm_pval")))

@@ -118,3 +118,19 @@ def test_junction_rows_are_written_from_where_they_are(spark, monkeypatch):
     back = spark.read.parquet(f"{folder}/junctions.parquet")
     files = [n for _, n in back.groupBy(score.F.input_file_name()).count().collect()]
     assert sum(files) == 1000 and max(files) <= 100 and back.exceptAll(rows).count() == 0
+
+
+def test_small_tests_are_a_row_each(spark):
+    """Counted where they are permuted, with the numbers of the statistic itself."""
+    rng = np.random.default_rng(5)
+    sizes = {"a": (4, 1, 7), "b": (6, 5)}
+    cells = [(f"c{i:02}", "x", g, f"l{k}", "scZ", float(rng.normal())) for g in sizes for i, k in enumerate(np.repeat(np.arange(len(sizes[g])), sizes[g]).tolist())]
+    melted = spark.createDataFrame(cells, "cell string, level_1 string, gene string, level_2 string, z_col string, z double").repartition(3)
+    found = spark.createDataFrame([("x", g, "scZ", 1.5, 0.01) for g in sizes], "level_1 string, gene string, z_col string, Tn1 double, pval double")
+    out = differential.permute(melted, found, 40)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan and "row_number" not in plan
+    seeds = dict(found.select("gene", differential.seed_column(123)).collect())
+    for r in out.collect():
+        want = stats.permuted_statistics(np.array([c[-1] for c in cells if c[2] == r.gene]), np.array(sizes[r.gene]), 0.1, seeds[r.gene], np.arange(40))
+        assert r.perm_pval == np.count_nonzero(want < 1.5 * (1 - differential.TIE)) / 40
