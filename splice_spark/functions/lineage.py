@@ -48,12 +48,16 @@ def cut(df: DataFrame, compression: str = "snappy", **options: str | int) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Of cell rows, which are most of what is written; other tables are small, or texts.
+CELL_ROWS = "zstd"
+
+
 def cut_buckets(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """``cut`` of rows dealt by ``keys`` to ``n`` partitions, as a table of so many buckets, which later steps needn't shuffle by these keys."""
     spark, name = df.sparkSession, f"table_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/{name}"
     _written.append(path)
-    df.write.bucketBy(n, *keys).option("path", path).option("compression", "snappy").saveAsTable(name)
+    df.write.bucketBy(n, *keys).option("path", path).option("compression", CELL_ROWS).saveAsTable(name)
     _named.setdefault(path, name)
     return spark.table(name)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import cut_dealt, dealt_by
-from splice_spark.functions.lineage import cut
+from splice_spark.functions.lineage import CELL_ROWS, cut
 from splice_spark.jobs.pipeline import Params, analysis_job, score_job
 from splice_spark.jobs.score_queries import BOUNDS, MERGED, PIN_S, d6, io_folder, merged, normal, r6
 from splice_spark.operators import differential, score, sites, svd
@@ -78,7 +78,7 @@ def svd_scores(spark, sf_dir):
 
 
 def melted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(differential.melt_scores(differential.eligible(scored(spark, sf_dir)[0], L1, L2)))
+    return cut(differential.melt_scores(differential.eligible(scored(spark, sf_dir)[0], L1, L2)), CELL_ROWS)
 
 
 def eligible(spark, sf_dir):
@@ -170,7 +170,7 @@ def summary_dummy(spark, sf_dir):
 
 def pipeline_scores_light(spark, sf_dir):
     """Without the split scores, with a column of metadata that passes through."""
-    named = cut(fixtures.junctions(spark, sf_dir)).withColumn("batch", F.concat(F.lit("B"), F.substring("cell", -1, 1)))
+    named = cut(fixtures.junctions(spark, sf_dir), CELL_ROWS).withColumn("batch", F.concat(F.lit("B"), F.substring("cell", -1, 1)))
     scores, rows, _ = score_job(named, Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2, light=True))
     if split := [c for c in rows.columns if c.endswith("ann") and c != "splice_ann"]:
         raise AssertionError(f"split scores in a light run: {split}")
@@ -178,13 +178,13 @@ def pipeline_scores_light(spark, sf_dir):
 
 
 def pipeline_scores(spark, sf_dir):
-    scores, _, _ = score_job(cut(fixtures.junctions(spark, sf_dir)), Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2))
+    scores, _, _ = score_job(cut(fixtures.junctions(spark, sf_dir), CELL_ROWS), Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2))
     return scores.select("cell", "gene", L1, L2, "ontology", "n_g_Start", "n_g_End", *r6("scZ", "svd_z0", "svd_z1", "svd_z2", "svd_z_sumsq", "f0", "f1", "f2"))
 
 
 def pipeline_diff(spark, sf_dir):
     params = Params(sicilian=True, pin_s=0.1, level_1=L1, level_2=L2)
-    scores, _, load = score_job(cut(fixtures.junctions(spark, sf_dir)), params)
+    scores, _, load = score_job(cut(fixtures.junctions(spark, sf_dir), CELL_ROWS), params)
     return analysis_job(scores, load, params)[3].select("gene", "level_1", "level_2", "n_cells", "SpliZsites", *r6(*[f"{z}_{a}" for z in differential.SCORES for a in ("median", "pval")]))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import cut_dealt, deal, lookup
-from splice_spark.functions.lineage import cut, shared_folder
+from splice_spark.functions.lineage import CELL_ROWS, cut, shared_folder
 from splice_spark.operators import score
 from splice_spark.sources import fixtures, tables
 
@@ -18,7 +18,7 @@ ROW = ["cell", "gene", "refName_newR1"]
 
 def normal(spark: SparkSession, sf_dir: str, sicilian: bool = True) -> DataFrame:
     """The derived input, written once as the jobs' input table would be."""
-    return cut(tables.normalise_input(fixtures.junctions(spark, sf_dir), sicilian, "tissue"))
+    return cut(tables.normalise_input(fixtures.junctions(spark, sf_dir), sicilian, "tissue"), CELL_ROWS)
 
 
 def named(spark: SparkSession, sf_dir: str) -> DataFrame:

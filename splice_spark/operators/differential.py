@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from splice_spark.functions.joins import by_cell, dealt_by, lookup
-from splice_spark.functions.lineage import cut
+from splice_spark.functions.lineage import CELL_ROWS, cut
 from splice_spark.functions.ordering import adjusted_by_rank
 from splice_spark.functions.quantiles import MOST, grouped_medians
 from splice_spark.functions.stats import chi2_sf, permuted_statistics
@@ -161,6 +161,6 @@ def widen(tests: DataFrame, fractions: DataFrame) -> DataFrame:
 
 def differential_tests(scores: DataFrame, level_1: str, level_2: str, n_perms: int = 100, seed: int = 123) -> DataFrame:
     """The long table of tests with adjusted p-values."""
-    melted = cut(melt_scores(eligible(scores, level_1, level_2)))
+    melted = cut(melt_scores(eligible(scores, level_1, level_2)), CELL_ROWS)
     tests = cut(permute(melted, cut(with_pvals(wald_stat(cut(group_stats(melted))))), n_perms, seed=seed))
     return bh_adjust(bh_adjust(tests, "pval", "pval_adj"), "perm_pval2", "perm_pval2_adj")

@@ -60,6 +60,7 @@ FROM (
 ) AS c
 GROUP BY c_custkey, c_mktsegment, r_name, gi, sb, CASE WHEN gi IS NULL THEN NULL ELSE eb END
 """
+#: Sorted by junction where they are, by one number, so that a junction's name and places, which are most of a row, repeat and compress wherever rows are written or dealt.
 _JUNCTIONS = f"""
 SELECT cell, chrR1A || ':' || known || ':' || CAST(juncPosR1A AS STRING) || strand || '|' || chrR1A || ':' || CASE WHEN gi % 10 = 7 THEN 'unknown' ELSE gene END || ':' || CAST(juncPosR1B AS STRING) || strand || '|lin' AS refName_newR1,
        known AS geneR1A_uniq, juncPosR1A, juncPosR1B, chrR1A, splice_ann, tissue, compartment, numReads, called
@@ -68,7 +69,7 @@ FROM (
     FROM (
         SELECT gi, 'C' || CAST(c_custkey AS STRING) AS cell, r_name AS tissue, c_mktsegment AS compartment, gi * 200000 + 1000 * (1 + sb) AS juncPosR1A, gi * 200000 + 100000 + 1000 * eb AS juncPosR1B,
                'chr' || CAST(1 + gi % 3 AS STRING) AS chrR1A, (sb + eb) % 3 <> 0 AS splice_ann, 'g' || CAST(gi AS STRING) AS gene, CASE WHEN gi % 2 = 0 THEN ':+' ELSE ':-' END AS strand, numReads, called
-        FROM ({_NARROW}) AS s
+        FROM ({_NARROW} SORT BY gi * 1000 + sb * 10 + eb) AS s
     ) AS t
 ) AS u
 """

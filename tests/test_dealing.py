@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from splice_spark.functions import joins, lineage, stats
@@ -134,3 +135,17 @@ def test_small_tests_are_a_row_each(spark):
     for r in out.collect():
         want = stats.permuted_statistics(np.array([c[-1] for c in cells if c[2] == r.gene]), np.array(sizes[r.gene]), 0.1, seeds[r.gene], np.arange(40))
         assert r.perm_pval == np.count_nonzero(want < 1.5 * (1 - differential.TIE)) / 40
+
+
+def test_stored_rows_repeat_their_junctions(spark, large):
+    """The derived input is in the order of junctions where it is written, and cell rows are compressed as such."""
+    stored = score_queries.normal(spark, SF)
+    rows = stored.select(score.F.spark_partition_id().alias("part"), *score.JUNCTION, "refName_newR1").collect()
+    runs = 1 + sum(a != b for a, b in zip(rows, rows[1:], strict=False))
+    assert runs == len(set(rows)) < len(rows)  # each junction once a partition
+    dealt = joins.deal(stored)
+    codecs = set()
+    for file in [f for table in (stored, dealt, analysis_queries.melted(spark, SF)) for f in table.inputFiles()]:
+        whole = pq.ParquetFile(file.removeprefix("file:").replace("///", "/")).metadata
+        codecs |= {whole.row_group(g).column(c).compression for g in range(whole.num_row_groups) for c in range(whole.num_columns)}
+    assert codecs == {"ZSTD"}
